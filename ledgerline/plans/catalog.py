@@ -595,3 +595,110 @@ def scd2_as_of(spark, sf):
 def scd2_events_as_of(spark, sf):
     return H.as_of(lake(spark, sf).history_events, O.EVENTS_AS_OF,
                    ["user_id", "event_type", "value"])
+
+
+# --------------------------------------------------------------------------
+# Incremental and streaming history (late rows placed by sequence)
+# --------------------------------------------------------------------------
+def _stream(spark, feed: DataFrame, name: str, keys, seq, tracked, batches: int = 3):
+    """Write ``feed`` as ``batches`` arrival files and stream them into history.
+
+    Rows are dealt round-robin to the files, so a key's changes arrive out of
+    sequence order across micro-batches.
+    """
+    from ledgerline.session import scratch_path
+    from ledgerline.streaming import stream_history
+    root = scratch_path(spark, f"stream-{name}")
+    feed.repartition(batches).write.mode("overwrite").parquet(f"{root}/source")
+    return stream_history(spark, f"{root}/source", feed.schema, f"{root}/target", keys, seq,
+                          tracked, buckets=16)
+
+
+@register("scd2_stream_events", "SELECT * FROM h_events")
+def scd2_stream_events(spark, sf):
+    return _stream(spark, lake(spark, sf).model.events(), "events", ["user_id"], "ts",
+                   ["event_type"])
+
+
+@register("scd2_stream_orders", "SELECT * FROM h_orders")
+def scd2_stream_orders(spark, sf):
+    from ledgerline.plans.lakehouse import ORDER_TRACKED
+    return _stream(spark, lake(spark, sf).stage_fact_orders, "orders", ["order_id"],
+                   "updated_at", list(ORDER_TRACKED))
+
+
+@register("scd2_stream_order_items", "SELECT * FROM h_items")
+def scd2_stream_order_items(spark, sf):
+    from ledgerline.plans.lakehouse import ITEM_TRACKED
+    return _stream(spark, lake(spark, sf).stage_fact_order_items, "items", ["order_item_id"],
+                   "updated_at", list(ITEM_TRACKED))
+
+
+LATE_CUT = O.dt.datetime(1998, 1, 1)
+
+
+@register("scd2_late_arrivals", "SELECT * FROM h_items")
+def scd2_late_arrivals(spark, sf):
+    """Items history built in two arrivals: changes from 1998 on first, then
+    every older change, late.  Equals the history built in one pass."""
+    from ledgerline.plans.lakehouse import ITEM_TRACKED
+    from ledgerline.session import scratch_path
+    from ledgerline.streaming import ChangeLogHistory
+    feed = lake(spark, sf).stage_fact_order_items
+    cut = F.lit(LATE_CUT).cast("timestamp_ntz")
+    target = ChangeLogHistory(spark, scratch_path(spark, "late-items"), ["order_item_id"],
+                              "updated_at", list(ITEM_TRACKED), buckets=16)
+    target.apply_batch(feed.where(F.col("updated_at") >= cut), 0)
+    target.apply_batch(feed.where(F.col("updated_at") < cut), 1)
+    return target.history()
+
+
+# --------------------------------------------------------------------------
+# Sources and sinks (round trips through files in the shared folder)
+# --------------------------------------------------------------------------
+@register("scan_csv_roundtrip", "SELECT * FROM customers_raw")
+def scan_csv_roundtrip(spark, sf):
+    """Customers written as CSV with a header, scanned back with the schema."""
+    from ledgerline import schemas
+    from ledgerline.session import scratch_path
+    from ledgerline.sources.files import read_csv, write_table
+    path = scratch_path(spark, "csv-customers")
+    write_table(lake(spark, sf).bronze_customers, path, fmt="csv")
+    return read_csv(spark, path, schema=schemas.CUSTOMERS)
+
+
+@register("scan_partitioned_csv", "SELECT * FROM orders_raw")
+def scan_partitioned_csv(spark, sf):
+    """Orders written to year=/month= CSV folders, scanned back: the folder
+    values return as int columns."""
+    from ledgerline import schemas
+    from ledgerline.session import scratch_path
+    from ledgerline.sources.files import read_csv, write_table
+    path = scratch_path(spark, "csv-orders")
+    write_table(lake(spark, sf).bronze_orders, path, fmt="csv",
+                partition_by=schemas.ARRIVAL_PARTITIONS)
+    return read_csv(spark, path, schema=schemas.ORDERS,
+                    partition_columns=schemas.ARRIVAL_PARTITIONS)
+
+
+@register("sink_overwrite_roundtrip", "SELECT * FROM fact_items")
+def sink_overwrite_roundtrip(spark, sf):
+    """An overwrite replaces what the target held before."""
+    from ledgerline.session import scratch_path
+    from ledgerline.sources.files import read_table, write_table
+    items = lake(spark, sf).fact_order_items
+    path = scratch_path(spark, "fact-items")
+    write_table(items.where(F.col("item_status") == "Cancelled"), path)
+    write_table(items, path)
+    return read_table(spark, path)
+
+
+@register("sink_partitioned_roundtrip", "SELECT * FROM fact_orders")
+def sink_partitioned_roundtrip(spark, sf):
+    """Order facts written partitioned by order_year/month/day and read back."""
+    from ledgerline.operators.silver import ORDER_PARTITIONS
+    from ledgerline.session import scratch_path
+    from ledgerline.sources.files import read_table, write_table
+    path = scratch_path(spark, "fact-orders")
+    write_table(lake(spark, sf).fact_orders, path, partition_by=ORDER_PARTITIONS)
+    return read_table(spark, path)

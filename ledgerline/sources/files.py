@@ -44,7 +44,7 @@ def create_schema(spark: SparkSession, name: str) -> None:
 
 def write_table(df: DataFrame, target: str, fmt: str = "parquet",
                 partition_by: Sequence[str] = (), mode: str = "overwrite",
-                overwrite_schema: bool = True) -> None:
+                overwrite_schema: bool = True, options: dict | None = None) -> None:
     """Overwrite a table (by name) or a path, optionally partitioned.
 
     Partitioned writes first ``rebalance`` on the partition columns: rows of
@@ -54,6 +54,10 @@ def write_table(df: DataFrame, target: str, fmt: str = "parquet",
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     writer = df.write.format(fmt).mode(mode)
+    if fmt == "csv":
+        writer = writer.option("header", True)
+    for key, value in (options or {}).items():
+        writer = writer.option(key, value)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if overwrite_schema and fmt == "delta":
