@@ -40,7 +40,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,6 +79,11 @@ def deduplicate_changes(df: DataFrame, keys: Sequence[str], sequence_by: str) ->
             .select(*keys, sequence_by, *[F.col("_r")[c].alias(c) for c in others]))
 
 
+def count_null_sequences(df: DataFrame, sequence_by: str) -> DataFrame:
+    """Rule 1's dropped rows: how many change rows have no sequence value."""
+    return df.agg(F.count_if(F.col(sequence_by).isNull()).alias("null_sequence_rows"))
+
+
 def find_hot_keys(df: DataFrame, keys: Sequence[str], sequence_by: str,
                   rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
                   sample_fraction: float = DEFAULT_SAMPLE_FRACTION,
@@ -129,8 +134,7 @@ def apply_scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
                ignore_null_updates: bool = False,
                rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
                sample_fraction: float = DEFAULT_SAMPLE_FRACTION,
-               hot_keys: list[tuple] | None = None,
-               null_sequence_observation: Observation | None = None) -> DataFrame:
+               hot_keys: list[tuple] | None = None) -> DataFrame:
     """Versions of every key of ``changes`` (see module doc for the rules).
 
     ``track_history`` defaults to every column other than keys and sequence.
@@ -140,10 +144,6 @@ def apply_scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
     if ignore_null_updates:
         raise NotImplementedError("ignore_null_updates=True is not supported")
     keys = list(keys)
-    if null_sequence_observation is not None:
-        changes = changes.observe(null_sequence_observation,
-                                  F.count_if(F.col(sequence_by).isNull())
-                                  .alias("null_sequence_rows"))
     df = changes.drop(*except_columns) if except_columns else changes
     values = [c for c in df.columns if c not in keys and c != sequence_by]
     tracked = list(track_history) if track_history is not None else values

@@ -142,9 +142,12 @@ class Lakehouse:
                           track_history=["event_type"], **self.scd_options)
 
     # -- materialization ---------------------------------------------------
-    def materialize(self, root: str, fmt: str = "parquet") -> dict[str, str]:
+    def materialize(self, root: str, fmt: str = "parquet",
+                    only: tuple[str, ...] | None = None) -> dict[str, str]:
         """Write silver and gold layers under ``root``; return name -> path.
 
+        ``only`` restricts the write to the named tables (e.g. the gold ones).
+
         Downstream reads of these paths start new, short lineages (the table
         hand-off between layers).
         """
@@ -164,6 +167,8 @@ class Lakehouse:
         }
         paths = {}
         for name, (df, by) in plan.items():
+            if only is not None and name not in only:
+                continue
             path = f"{root.rstrip('/')}/{name}"
             write_table(df, path, fmt=fmt, partition_by=by)
             paths[name] = path
