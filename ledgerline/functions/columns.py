@@ -74,6 +74,8 @@ def to_utc_columns(df: DataFrame, source_zone: str = "UTC",
     default zone 'UTC' the values are unchanged.  Column types are matched
     with ``isinstance`` on the schema, not by string name.
     """
+    if source_zone.upper() in ("UTC", "ETC/UTC", "Z"):
+        return df            # converting from UTC to UTC is the identity
     changes = {}
     for field in df.schema.fields:
         if isinstance(field.dataType, T.TimestampNTZType):

@@ -20,12 +20,13 @@ append-only change log places late rows correctly (see ``streaming``).
 
 Plan and scale
 --------------
-* Rule 1 is an aggregation on (keys, sequence) with map-side partial
-  aggregation, so even a group of copies holding a large share of all rows
-  is reduced inside each task before the shuffle.
-* Rules 2-4 are one window pass ``partitionBy(keys, chunk).orderBy(sequence)``
-  with lag/lead and a running max; the distribution and sort are shared by all
-  window functions (one shuffle, one sort).
+* Rules 1-4 are window passes over ``partitionBy(keys, chunk)`` ordered by
+  (sequence, other columns descending): the first row of a tie is kept, then
+  lag/lead and a running max find version starts and ends.  All windows
+  share one shuffle and one sort; no sort-based aggregate is needed.
+* When the sample shows a single (key, sequence) group larger than a chunk
+  (a group of identical copies), a ``distinct`` runs first: its hash
+  aggregation removes copies inside each map task before any shuffle.
 * A window keeps a whole partition group in one task.  Keys estimated (from a
   sample) to hold more than ``rows_per_chunk`` rows are split into sequence
   range chunks; a small per-chunk table (first/last tracked values, first
@@ -69,7 +70,8 @@ def _ordinal(c: Column, dtype: T.DataType) -> Column:
 
 
 def deduplicate_changes(df: DataFrame, keys: Sequence[str], sequence_by: str) -> DataFrame:
-    """Rule 1: drop NULL sequences; one row per (keys, sequence)."""
+    """Rule 1 as a standalone step: drop NULL sequences; one row per
+    (keys, sequence), the largest struct of the other columns."""
     others = [c for c in df.columns if c not in keys and c != sequence_by]
     if not others:
         return df.where(F.col(sequence_by).isNotNull()).select(*keys, sequence_by).distinct()
@@ -84,15 +86,18 @@ def count_null_sequences(df: DataFrame, sequence_by: str) -> DataFrame:
     return df.agg(F.count_if(F.col(sequence_by).isNull()).alias("null_sequence_rows"))
 
 
-def find_hot_keys(df: DataFrame, keys: Sequence[str], sequence_by: str,
-                  rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
-                  sample_fraction: float = DEFAULT_SAMPLE_FRACTION,
-                  max_keys: int = MAX_HOT_KEYS, seed: int = 7) -> list[tuple]:
-    """Keys estimated to hold more than ``rows_per_chunk`` change rows.
+def plan_chunks(df: DataFrame, keys: Sequence[str], sequence_by: str,
+                rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
+                sample_fraction: float = DEFAULT_SAMPLE_FRACTION,
+                max_keys: int = MAX_HOT_KEYS, seed: int = 7) -> tuple[list[tuple], bool]:
+    """Hot keys and hot copy groups, from one pass over a sample.
 
-    Returns at most ``max_keys`` tuples ``(*key, n_chunks, lo, hi)`` where
-    ``lo``/``hi`` bound the sequence ordinal seen in the sample.  Only the
-    sample is aggregated, and only keys above the threshold reach the driver.
+    Returns ``(hot, hot_copies)``: at most ``max_keys`` tuples
+    ``(*key, n_chunks, lo, hi)`` for keys estimated to hold more than
+    ``rows_per_chunk`` rows (``lo``/``hi`` bound the sequence ordinal seen),
+    and whether some single (key, sequence) group is that large (then copies
+    are combined map-side before the window).  Only the sample is aggregated
+    and only keys above the threshold reach the driver.
     """
     dtype = df.schema[sequence_by].dataType
     src = df.select(*keys, _ordinal(F.col(sequence_by), dtype).alias("_o")) \
@@ -100,18 +105,29 @@ def find_hot_keys(df: DataFrame, keys: Sequence[str], sequence_by: str,
     if sample_fraction < 1.0:
         src = src.sample(fraction=sample_fraction, seed=seed)
     threshold = rows_per_chunk * sample_fraction
-    stats = (src.groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("_n"), F.min("_o").alias("_lo"),
-                  F.max("_o").alias("_hi"))
+    stats = (src.groupBy(*keys, "_o").agg(F.count(F.lit(1)).alias("_c"))
+             .groupBy(*keys)
+             .agg(F.sum("_c").alias("_n"), F.min("_o").alias("_lo"), F.max("_o").alias("_hi"),
+                  F.max("_c").alias("_copies"))
              .where(F.col("_n") > threshold)
              .orderBy(F.col("_n").desc())
              .limit(max_keys))
-    out = []
+    hot, hot_copies = [], False
     for row in stats.collect():
         est = row["_n"] / sample_fraction
         n_chunks = max(2, math.ceil(est / rows_per_chunk))
-        out.append(tuple(row[k] for k in keys) + (n_chunks, row["_lo"], row["_hi"]))
-    return out
+        hot.append(tuple(row[k] for k in keys) + (n_chunks, row["_lo"], row["_hi"]))
+        hot_copies = hot_copies or row["_copies"] > threshold
+    return hot, hot_copies
+
+
+def find_hot_keys(df: DataFrame, keys: Sequence[str], sequence_by: str,
+                  rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
+                  sample_fraction: float = DEFAULT_SAMPLE_FRACTION,
+                  max_keys: int = MAX_HOT_KEYS, seed: int = 7) -> list[tuple]:
+    """Keys estimated to hold more than ``rows_per_chunk`` change rows."""
+    return plan_chunks(df, keys, sequence_by, rows_per_chunk, sample_fraction,
+                       max_keys, seed)[0]
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str],
@@ -134,12 +150,15 @@ def apply_scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
                ignore_null_updates: bool = False,
                rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
                sample_fraction: float = DEFAULT_SAMPLE_FRACTION,
-               hot_keys: list[tuple] | None = None) -> DataFrame:
+               hot_keys: list[tuple] | None = None,
+               combine_copies: bool | None = None) -> DataFrame:
     """Versions of every key of ``changes`` (see module doc for the rules).
 
     ``track_history`` defaults to every column other than keys and sequence.
     ``hot_keys`` may be given (as returned by ``find_hot_keys``) to skip the
-    sample; ``rows_per_chunk=0`` disables splitting.
+    sample; ``rows_per_chunk=0`` disables splitting.  ``combine_copies``
+    forces (True) or skips (False) the map-side removal of identical rows;
+    by default the sample decides.
     """
     if ignore_null_updates:
         raise NotImplementedError("ignore_null_updates=True is not supported")
@@ -147,18 +166,28 @@ def apply_scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
     df = changes.drop(*except_columns) if except_columns else changes
     values = [c for c in df.columns if c not in keys and c != sequence_by]
     tracked = list(track_history) if track_history is not None else values
-    missing = [c for c in tracked if c not in df.columns]
-    if missing:
-        raise ValueError(f"tracked columns not in the change feed: {missing}")
+    bad = [c for c in tracked if c not in values]
+    if bad:
+        raise ValueError(f"tracked columns must be non-key, non-sequence columns: {bad}")
     dtype = df.schema[sequence_by].dataType
     seq = F.col(sequence_by)
 
-    rows = deduplicate_changes(df, keys, sequence_by)
     if hot_keys is None:
-        hot_keys = (find_hot_keys(df, keys, sequence_by, rows_per_chunk, sample_fraction)
-                    if rows_per_chunk > 0 else [])
+        hot_keys, copies = (plan_chunks(df, keys, sequence_by, rows_per_chunk, sample_fraction)
+                            if rows_per_chunk > 0 else ([], False))
+    else:
+        copies = False
+    if combine_copies is not None:
+        copies = combine_copies
 
+    rows = df.where(seq.isNotNull())
+    if copies:
+        # A large group of identical change rows is reduced inside every map
+        # task (hash aggregation) before anything is shuffled by key.
+        rows = rows.distinct()
+    others = F.struct(*[F.col(c) for c in values]) if values else F.lit(0)
     trk = F.struct(*[F.col(c) for c in tracked])
+
     if hot_keys:
         spark = df.sparkSession
         key_fields = [T.StructField(k, df.schema[k].dataType) for k in keys]
@@ -167,8 +196,7 @@ def apply_scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
             T.StructField("_lo", T.DoubleType()),
             T.StructField("_hi", T.DoubleType())])
         hot = spark.createDataFrame(hot_keys, hot_schema)
-        n_chunks_total = sum(h[len(keys)] for h in hot_keys)
-        small = n_chunks_total <= MAX_BROADCAST_CHUNKS
+        small = sum(h[len(keys)] for h in hot_keys) <= MAX_BROADCAST_CHUNKS
         rows = _null_safe_join(rows, hot, keys, "left", broadcast=True)
         o = _ordinal(seq, dtype)
         span = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1.0))
@@ -178,18 +206,24 @@ def apply_scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
                  .otherwise(F.least(F.greatest(idx, F.lit(0)), F.col("_nb") - 1))) \
                    .withColumn("_hot", F.col("_nb").isNotNull()) \
                    .drop("_nb", "_lo", "_hi")
-        # Per chunk of a hot key: first/last tracked values and first sequence,
-        # then the neighbours' values across the chunk border.
-        chunk = (rows.where("_hot").groupBy(*keys, _B)
-                 .agg(F.min_by(trk, seq).alias("_first_t"),
-                      F.max_by(trk, seq).alias("_last_t"),
-                      F.min(seq).alias("_first_seq")))
+        # Border table, one row per chunk of a hot key: the tracked values of
+        # its first and last change (ties on the sequence resolved like rule
+        # 1) and its first sequence, then the neighbours' across the border.
+        hot_rows = rows.where("_hot")
+        bounds = hot_rows.groupBy(*keys, _B).agg(F.min(seq).alias("_fs"), F.max(seq).alias("_ls"))
+        edges = (_null_safe_join(hot_rows, bounds, keys + [_B], "inner", broadcast=small)
+                 .where((seq == F.col("_fs")) | (seq == F.col("_ls")))
+                 .groupBy(*keys, _B, "_fs")
+                 .agg(F.max(F.when(seq == F.col("_fs"), others)).alias("_fr"),
+                      F.max(F.when(seq == F.col("_ls"), others)).alias("_lr")))
+        pick = (lambda r: F.struct(*[F.col(r)[c].alias(c) for c in tracked])) if values else \
+            (lambda r: F.struct())
         wc = Window.partitionBy(*keys).orderBy(_B)
-        border = chunk.select(
+        border = edges.select(
             *keys, _B,
-            F.lag("_last_t").over(wc).alias("_prev_last_t"),
-            F.lead("_first_t").over(wc).alias("_next_first_t"),
-            F.lead("_first_seq").over(wc).alias("_next_first_seq"))
+            F.lag(pick("_lr")).over(wc).alias("_prev_last_t"),
+            F.lead(pick("_fr")).over(wc).alias("_next_first_t"),
+            F.lead("_fs").over(wc).alias("_next_first_seq"))
         rows = _null_safe_join(rows, border, keys + [_B], "left", broadcast=small)
         prev_fix, next_fix, next_seq_fix = (F.col("_prev_last_t"), F.col("_next_first_t"),
                                             F.col("_next_first_seq"))
@@ -198,6 +232,12 @@ def apply_scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
         prev_fix = next_fix = F.lit(None)
         next_seq_fix = F.lit(None).cast(dtype)
 
+    # One shuffle by (keys, chunk) and one sort by (sequence, other columns
+    # descending) serve every window below.  Rule 1: of rows sharing a
+    # sequence the first in this order (largest struct) is kept.
+    w_tie = Window.partitionBy(*keys, _B).orderBy(seq, others.desc())
+    rows = rows.withColumn("_dup", F.coalesce(F.lag(seq).over(w_tie) == seq, F.lit(False))) \
+               .where(~F.col("_dup"))
     w = Window.partitionBy(*keys, _B).orderBy(seq)
     p1 = rows.select(
         *keys, sequence_by, *values, _B, "_hot",
@@ -216,8 +256,8 @@ def apply_scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
         # in any earlier chunk of the same key.
         starts = (p2.where(F.col("_hot") & F.col("_is_start"))
                   .groupBy(*keys, _B).agg(F.max(seq).alias("_last_start")))
-        all_chunks = chunk.select(*keys, _B)
-        carry = _null_safe_join(all_chunks, starts, keys + [_B], "left", broadcast=small)
+        carry = _null_safe_join(bounds.select(*keys, _B), starts, keys + [_B], "left",
+                                broadcast=small)
         before = Window.partitionBy(*keys).orderBy(_B) \
                        .rowsBetween(Window.unboundedPreceding, -1)
         carry = carry.select(*keys, _B, F.max("_last_start").over(before).alias("_carry"))
@@ -226,9 +266,8 @@ def apply_scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
     else:
         start = F.col("_run_start")
 
-    out_cols = [c for c in df.columns]
     return ends.select(
-        *out_cols,
+        *df.columns,
         start.alias(START_AT),
         F.col("_next_seq").alias(END_AT),
         F.col("_next_seq").isNull().alias(CURRENT))

@@ -157,15 +157,16 @@ class OrderModel:
         """Order changes keyed by ``order_id``, ordered by ``updated_at``."""
         o = self.orders().drop("year", "month")
         li = self.table("lineitem")
+        # an int flag keeps the aggregation hash-based (a string max sorts)
         shipped = (li.groupBy(F.col("l_orderkey").alias("order_id"),
                               F.col("l_shipdate").alias("updated_at"))
-                   .agg(F.max("l_linestatus").alias("linestatus")))
+                   .agg(F.max((F.col("l_linestatus") == "O").cast("int")).alias("open")))
         later = (shipped.join(o.drop("updated_at"), "order_id")
                  .withColumn("order_status",
                              F.when(F.col("order_status") == "Cancelled", F.lit("Cancelled"))
-                             .when(F.col("linestatus") == "O", F.lit("In-Progress"))
+                             .when(F.col("open") == 1, F.lit("In-Progress"))
                              .otherwise(F.lit("Complete")))
-                 .drop("linestatus"))
+                 .drop("open"))
         first = o.withColumn("order_status", F.lit("Initial"))
         return first.unionByName(later.select(*first.columns))
 
