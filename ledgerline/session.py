@@ -26,17 +26,43 @@ DEFAULT_CONF = {
 }
 
 
+# Starting point for a large cluster reading tens of terabytes.  AQE coalesces
+# the high initial shuffle partition count down to ``advisoryPartitionSize``
+# per task, converts joins whose measured side is small into broadcasts, and
+# splits skewed join partitions; decommissioning migrates shuffle blocks off
+# executors that are taken away so lost executors do not force recomputation.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.stage.maxConsecutiveAttempts": "8",
+    "spark.task.maxFailures": "8",
+}
+
+
 def build_session(master: str | None = None, app_name: str = "ledgerline",
                   shuffle_partitions: int | None = None,
-                  extra_conf: dict | None = None) -> SparkSession:
+                  extra_conf: dict | None = None, cluster: bool = False) -> SparkSession:
     """Create (or reuse) a session with the library defaults.
 
-    On a cluster ``master`` is left to spark-submit; tests pass ``local[N]``.
+    On a cluster ``master`` is left to spark-submit and ``cluster=True`` adds
+    ``CLUSTER_CONF``; tests pass ``local[N]``.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra_conf or {})
