@@ -155,6 +155,8 @@ def apply_scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
     """Versions of every key of ``changes`` (see module doc for the rules).
 
     ``track_history`` defaults to every column other than keys and sequence.
+    Unless ``hot_keys`` is given or ``rows_per_chunk=0``, building the plan
+    runs one small job (an aggregate over a sample of keys and sequences).
     ``hot_keys`` may be given (as returned by ``find_hot_keys``) to skip the
     sample; ``rows_per_chunk=0`` disables splitting.  ``combine_copies``
     forces (True) or skips (False) the map-side removal of identical rows;

@@ -35,7 +35,7 @@ def register(name: str, sql: str | None = None, ctes: dict[str, str] | None = No
     def deco(fn):
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = O.with_ctes(sql, ctes)
+            ORACLE[name] = sql if sql.startswith("WITH ") else O.with_ctes(sql, ctes)
         return fn
     return deco
 
@@ -702,3 +702,40 @@ def sink_partitioned_roundtrip(spark, sf):
     path = scratch_path(spark, "fact-orders")
     write_table(lake(spark, sf).fact_orders, path, partition_by=ORDER_PARTITIONS)
     return read_table(spark, path)
+
+
+# --------------------------------------------------------------------------
+# The same reports as Spark SQL over views of the layers
+# --------------------------------------------------------------------------
+def _sql_report(spark, sf, report, **kw):
+    from ledgerline.plans.sql_reports import HISTORY, PLAIN, register_views, run_report
+    tables = HISTORY if kw.get("current_only") else PLAIN
+    register_views(lake(spark, sf), list(tables.values()))
+    return run_report(spark, report, AS_OF, **kw)
+
+
+@register("report_top10_30d_sql", ORACLE["report_top10_30d"])
+def report_top10_30d_sql(spark, sf):
+    return _sql_report(spark, sf, "top")
+
+
+@register("report_category_prev_month_sql", ORACLE["report_category_prev_month"])
+def report_category_prev_month_sql(spark, sf):
+    return _sql_report(spark, sf, "category", window="month")
+
+
+@register("report_scd2_top10_prev_month_sql", ORACLE["report_scd2_top10_prev_month"])
+def report_scd2_top10_prev_month_sql(spark, sf):
+    return _sql_report(spark, sf, "top", window="month", current_only=True,
+                       with_avg_price=True)
+
+
+@register("report_scd2_category_30d_sql", ORACLE["report_scd2_category_30d"])
+def report_scd2_category_30d_sql(spark, sf):
+    return _sql_report(spark, sf, "category", current_only=True, with_avg_price=True)
+
+
+@register("report_top1_delivered_30d_sql", ORACLE["report_top1_delivered_30d"])
+def report_top1_delivered_30d_sql(spark, sf):
+    return _sql_report(spark, sf, "top", top=1, current_only=True, with_avg_price=True,
+                       sold_status="Delivered")
