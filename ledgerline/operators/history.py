@@ -43,15 +43,28 @@ def change_log(history: DataFrame, key: str, columns: Sequence[str],
                      F.col(CURRENT).alias("is_current")).orderBy(key, "status_changed_at")
 
 
+def instant_literal(when: dt.datetime | str, dtype) -> "F.Column":
+    """A literal of the sequence type, parsed from text (no time-zone shift
+    for wall-clock timestamps)."""
+    from pyspark.sql import types as T
+    if isinstance(when, str):
+        when = dt.datetime.fromisoformat(when)
+    text = when.isoformat(sep=" ")
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.expr(f"TIMESTAMP_NTZ '{text}'")
+    if isinstance(dtype, T.TimestampType):
+        return F.expr(f"TIMESTAMP '{text}'")
+    if isinstance(dtype, T.DateType):
+        return F.lit(when.date())
+    return F.lit(when).cast(dtype)
+
+
 def as_of(history: DataFrame, when: dt.datetime | str, columns: Sequence[str]) -> DataFrame:
     """State at ``when``: ``start <= t AND (end > t OR end IS NULL)``.
 
     The instant is an explicit literal of the sequence column's type.
     """
-    dtype = history.schema[START_AT].dataType
-    if isinstance(when, str):
-        when = dt.datetime.fromisoformat(when)
-    t = F.lit(when).cast(dtype)
+    t = instant_literal(when, history.schema[START_AT].dataType)
     return history.where((F.col(START_AT) <= t) & (F.col(END_AT).isNull() | (F.col(END_AT) > t))) \
                   .select(*columns, F.col(START_AT).alias("valid_from"),
                           F.col(END_AT).alias("valid_to"))

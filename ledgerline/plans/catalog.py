@@ -645,7 +645,7 @@ def scd2_late_arrivals(spark, sf):
     from ledgerline.session import scratch_path
     from ledgerline.streaming import ChangeLogHistory
     feed = lake(spark, sf).stage_fact_order_items
-    cut = F.lit(LATE_CUT).cast("timestamp_ntz")
+    cut = H.instant_literal(LATE_CUT, feed.schema["updated_at"].dataType)
     target = ChangeLogHistory(spark, scratch_path(spark, "late-items"), ["order_item_id"],
                               "updated_at", list(ITEM_TRACKED), buckets=16)
     target.apply_batch(feed.where(F.col("updated_at") >= cut), 0)
