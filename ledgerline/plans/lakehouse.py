@@ -164,11 +164,17 @@ class Lakehouse:
             "gold/dim_products": (self.dim_products, ()),
             "gold/fact_orders": (self.fact_orders, part),
             "gold/fact_order_items": (self.fact_order_items, ()),
+            "pipeline/dim_customers": (self.pipeline_dim_customers, ()),
+            "pipeline/dim_products": (self.pipeline_dim_products, ()),
+            "pipeline/fact_orders": (lambda: self.history_orders, ()),
+            "pipeline/fact_order_items": (lambda: self.history_order_items, ()),
         }
         paths = {}
         for name, (df, by) in plan.items():
             if only is not None and name not in only:
                 continue
+            if callable(df):
+                df = df()
             path = f"{root.rstrip('/')}/{name}"
             write_table(df, path, fmt=fmt, partition_by=by)
             paths[name] = path

@@ -45,6 +45,31 @@ def register_views(lakehouse, views=None) -> list[str]:
     return out
 
 
+# Materialized table path (``Lakehouse.materialize`` name) -> view name.
+TABLE_VIEWS = {
+    "gold/dim_customers": "gold_dim_customers",
+    "gold/dim_products": "gold_dim_products",
+    "gold/fact_orders": "gold_fact_orders",
+    "gold/fact_order_items": "gold_fact_order_items",
+    "pipeline/dim_customers": "pipeline_dim_customers",
+    "pipeline/dim_products": "pipeline_dim_products",
+    "pipeline/fact_orders": "history_fact_orders",
+    "pipeline/fact_order_items": "history_fact_order_items",
+}
+
+
+def register_table_views(spark: SparkSession, paths: dict[str, str],
+                         fmt: str = "parquet") -> list[str]:
+    """Views over written tables (the table hand-off): reports then scan the
+    stored files, with partition pruning on the partitioned order facts."""
+    out = []
+    for name, path in paths.items():
+        if name in TABLE_VIEWS:
+            spark.read.format(fmt).load(path).createOrReplaceTempView(TABLE_VIEWS[name])
+            out.append(TABLE_VIEWS[name])
+    return out
+
+
 def _window(kind: str, as_of: dt.date, days: int) -> tuple[str, str, str]:
     """(extra CTE, extra FROM item, order predicate) for the time window."""
     d = f"DATE'{as_of.isoformat()}'"

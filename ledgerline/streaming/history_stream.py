@@ -60,8 +60,7 @@ class ChangeLogHistory:
         batch_dir = f"{self.log_path}/{BATCH}={batch_id}"
         (batch.withColumn(BUCKET, self._bucket())
               .write.format(self.fmt).mode("overwrite").partitionBy(BUCKET).save(batch_dir))
-        written = self.spark.read.format(self.fmt).load(batch_dir)
-        touched = sorted(r[0] for r in written.select(BUCKET).distinct().collect())
+        touched = self._touched_buckets(batch_dir)
         if not touched:
             return
         log = (self.spark.read.format(self.fmt).load(self.log_path)
@@ -73,6 +72,23 @@ class ChangeLogHistory:
                  .option("partitionOverwriteMode", "dynamic")
                  .partitionBy(BUCKET).save(self.history_path))
 
+    def _touched_buckets(self, batch_dir: str) -> list[int]:
+        """Bucket values of one written batch: its ``scd_bucket=`` folders.
+
+        Listed through the Hadoop file system (no Spark job); at most
+        ``buckets`` names.  Falls back to a distinct over the written batch
+        where the JVM gateway is not available.
+        """
+        try:
+            jvm = self.spark.sparkContext._jvm
+            path = jvm.org.apache.hadoop.fs.Path(batch_dir)
+            fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+            names = [st.getPath().getName() for st in fs.listStatus(path) if st.isDirectory()]
+            return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{BUCKET}="))
+        except Exception:  # noqa: BLE001  (e.g. Spark Connect)
+            written = self.spark.read.format(self.fmt).load(batch_dir)
+            return sorted(r[0] for r in written.select(BUCKET).distinct().collect())
+
     def history(self) -> DataFrame:
         return self.spark.read.format(self.fmt).load(self.history_path).drop(BUCKET)
 

@@ -50,3 +50,22 @@ def test_report_reads_only_needed_columns(spark):
     for unused in ("l_suppkey", "l_tax", "l_discount"):
         assert unused not in schema
     assert "TakeOrderedAndProject" in plan or "TakeOrdered" in plan
+
+
+def test_materialized_pipeline_tables_and_sql_reports(spark, scratch):
+    from ledgerline.plans.sql_reports import register_table_views, run_report
+    lh = Lakehouse(OrderModel(spark, SF))
+    names = ("gold/fact_order_items", "gold/dim_products", "pipeline/dim_products",
+             "pipeline/fact_orders", "pipeline/fact_order_items")
+    paths = lh.materialize(scratch("lake2"), only=names)
+    assert set(paths) == set(names)
+    hist = read_table(spark, paths["pipeline/fact_orders"])
+    assert hist.count() == lh.history_orders.count()
+    assert sorted(hist.columns) == sorted(lh.history_orders.columns)
+    register_table_views(spark, paths)
+    as_of = dt.date(1998, 9, 1)
+    got = run_report(spark, "top", as_of, current_only=True, with_avg_price=True).collect()
+    want = R.top_products(R.current_only(lh.history_order_items), R.current_only(lh.history_orders),
+                          lh.pipeline_dim_products, R.rolling_30d(as_of),
+                          with_avg_price=True).collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]
