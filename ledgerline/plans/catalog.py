@@ -603,13 +603,14 @@ def scd2_events_as_of(spark, sf):
 def _stream(spark, feed: DataFrame, name: str, keys, seq, tracked, batches: int = 3):
     """Write ``feed`` as ``batches`` arrival files and stream them into history.
 
-    Rows are dealt round-robin to the files, so a key's changes arrive out of
-    sequence order across micro-batches.
+    Rows are dealt to the files by a hash of the whole row (deterministic, no
+    sort), so a key's changes arrive out of sequence order across micro-batches.
     """
     from ledgerline.session import scratch_path
     from ledgerline.streaming import stream_history
     root = scratch_path(spark, f"stream-{name}")
-    feed.repartition(batches).write.mode("overwrite").parquet(f"{root}/source")
+    (feed.repartition(batches, F.xxhash64(*feed.columns))
+         .write.mode("overwrite").parquet(f"{root}/source"))
     return stream_history(spark, f"{root}/source", feed.schema, f"{root}/target", keys, seq,
                           tracked, buckets=16)
 
