@@ -89,6 +89,39 @@ class ChangeLogHistory:
             written = self.spark.read.format(self.fmt).load(batch_dir)
             return sorted(r[0] for r in written.select(BUCKET).distinct().collect())
 
+    def compact(self, upto_batch_id: int) -> str:
+        """Rewrite the log of batches ``<= upto_batch_id`` as one folder.
+
+        Rows are reduced by rule 1 (one row per key and sequence), which is all
+        a rebuild ever reads, and written once per bucket.  The new folder is
+        named ``batch_id=-<upto>`` (negative ids sort before stream batches) and
+        published by a rename *before* the old folders are deleted: a crash in
+        between leaves exact duplicates, which rule 1 removes, never a gap.
+        Returns the compacted folder.
+        """
+        from ledgerline.operators.scd2 import deduplicate_changes
+        log = self.spark.read.format(self.fmt).load(self.log_path)
+        old = [r[0] for r in log.select(BATCH).distinct().collect()
+               if r[0] <= upto_batch_id]
+        if not old:
+            return ""
+        part = (log.where(F.col(BATCH).isin(old)).drop(BATCH))
+        reduced = deduplicate_changes(part.drop(BUCKET), self.keys, self.sequence_by)
+        staging = f"{self.log_path}/_compacting-{upto_batch_id}"
+        target = f"{self.log_path}/{BATCH}=-{upto_batch_id}"
+        (reduced.withColumn(BUCKET, self._bucket())
+                .write.format(self.fmt).mode("overwrite").partitionBy(BUCKET).save(staging))
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        src = jvm.org.apache.hadoop.fs.Path(staging)
+        fs = src.getFileSystem(conf)
+        if not fs.rename(src, jvm.org.apache.hadoop.fs.Path(target)):
+            raise RuntimeError(f"could not publish compacted log {target}")
+        for batch_id in old:
+            if f"{BATCH}={batch_id}" != target.rsplit("/", 1)[1]:
+                fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.log_path}/{BATCH}={batch_id}"), True)
+        return target
+
     def history(self) -> DataFrame:
         return self.spark.read.format(self.fmt).load(self.history_path).drop(BUCKET)
 

@@ -47,3 +47,23 @@ def test_stream_equals_batch(spark, scratch):
     hist = stream_history(spark, f"{root}/source", feed.schema, f"{root}/target", ["k"], "s",
                           ["t"], buckets=4, timeout_s=300)
     assert rows_of(hist) == rows_of(apply_scd2(feed, ["k"], "s", ["t"]))
+
+
+def test_compaction_keeps_history(spark, scratch):
+    h = ChangeLogHistory(spark, scratch("compact"), ["k"], "s", ["t"], buckets=4)
+    rows = [(k, s, "AB"[(s + k) % 2], s) for k in range(6) for s in range(5)]
+    for i in range(4):
+        batch = spark.createDataFrame([r for j, r in enumerate(rows) if j % 4 == i], SCHEMA)
+        h.apply_batch(batch, i)
+        h.apply_batch(batch, i)              # replays are harmless
+    before = rows_of(h.history())
+    target = h.compact(2)
+    assert target.endswith("batch_id=-2")
+    ids = sorted(r[0] for r in spark.read.parquet(h.log_path).select("batch_id").distinct().collect())
+    assert ids == [-2, 3]
+    late = spark.createDataFrame([(0, 100, "Z", 0)], SCHEMA)
+    h.apply_batch(late, 4)
+    after = rows_of(h.history())
+    everything = spark.createDataFrame(rows + [(0, 100, "Z", 0)], SCHEMA)
+    assert after == rows_of(apply_scd2(everything, ["k"], "s", ["t"]))
+    assert len(after) == len(before) + 1
