@@ -144,6 +144,32 @@ def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str],
     return left.join(renamed, cond, how).drop(*[f"_j_{c}" for c in on])
 
 
+def assign_chunks(rows: DataFrame, keys: Sequence[str], sequence_by: str,
+                  hot_keys: list[tuple]) -> DataFrame:
+    """Add the chunk index ``_scd_chunk`` (0 for keys that are not hot) and
+    ``_hot``.  A hot key's sequence range [lo, hi] is cut into ``n_chunks``
+    equal ranges; values outside fall in the first or last chunk, so the
+    index never decreases as the sequence increases."""
+    keys = list(keys)
+    spark = rows.sparkSession
+    key_fields = [T.StructField(k, rows.schema[k].dataType) for k in keys]
+    hot_schema = T.StructType(key_fields + [
+        T.StructField("_nb", T.IntegerType()),
+        T.StructField("_lo", T.DoubleType()),
+        T.StructField("_hi", T.DoubleType())])
+    # bounded: at most MAX_HOT_KEYS rows, built on the driver
+    hot = spark.createDataFrame(hot_keys, hot_schema)
+    out = _null_safe_join(rows, hot, keys, "left", broadcast=True)
+    o = _ordinal(F.col(sequence_by), rows.schema[sequence_by].dataType)
+    span = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1.0))
+    idx = F.floor((o - F.col("_lo")) * F.col("_nb") / span).cast("int")
+    return out.withColumn(
+        _B, F.when(F.col("_nb").isNull(), F.lit(0))
+             .otherwise(F.least(F.greatest(idx, F.lit(0)), F.col("_nb") - 1))) \
+        .withColumn("_hot", F.col("_nb").isNotNull()) \
+        .drop("_nb", "_lo", "_hi")
+
+
 def apply_scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
                track_history: Sequence[str] | None = None,
                except_columns: Sequence[str] = (),
@@ -191,23 +217,8 @@ def apply_scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
     trk = F.struct(*[F.col(c) for c in tracked])
 
     if hot_keys:
-        spark = df.sparkSession
-        key_fields = [T.StructField(k, df.schema[k].dataType) for k in keys]
-        hot_schema = T.StructType(key_fields + [
-            T.StructField("_nb", T.IntegerType()),
-            T.StructField("_lo", T.DoubleType()),
-            T.StructField("_hi", T.DoubleType())])
-        hot = spark.createDataFrame(hot_keys, hot_schema)
         small = sum(h[len(keys)] for h in hot_keys) <= MAX_BROADCAST_CHUNKS
-        rows = _null_safe_join(rows, hot, keys, "left", broadcast=True)
-        o = _ordinal(seq, dtype)
-        span = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1.0))
-        idx = F.floor((o - F.col("_lo")) * F.col("_nb") / span).cast("int")
-        rows = rows.withColumn(
-            _B, F.when(F.col("_nb").isNull(), F.lit(0))
-                 .otherwise(F.least(F.greatest(idx, F.lit(0)), F.col("_nb") - 1))) \
-                   .withColumn("_hot", F.col("_nb").isNotNull()) \
-                   .drop("_nb", "_lo", "_hi")
+        rows = assign_chunks(rows, keys, sequence_by, hot_keys)
         # Border table, one row per chunk of a hot key: the tracked values of
         # its first and last change (ties on the sequence resolved like rule
         # 1) and its first sequence, then the neighbours' across the border.
