@@ -3,9 +3,10 @@
 ``register_views`` exposes the layers of a ``Lakehouse`` as temporary views
 (lazy: nothing is computed until a query runs); ``report_sql`` renders the SQL
 text of a report for given table names and report date, and ``run_report``
-executes it.  Catalyst plans the SQL exactly like the DataFrame version in
-``operators.reports`` (CTEs are inlined, the one-row parameter relation of the
-calendar-month reports is folded into literals).
+executes it.  Catalyst plans the SQL like the DataFrame version in
+``operators.reports``: the CTE is inlined, and the previous calendar month is
+written as constant expressions on the partition columns, which fold to
+literals and prune partitions (no one-row parameter relation to cross join).
 """
 
 from __future__ import annotations
@@ -76,9 +77,10 @@ def _window(kind: str, as_of: dt.date, days: int) -> tuple[str, str, str]:
     if kind == "rolling":
         return "", "", (f"o.order_date >= date_sub({d}, {days}) AND o.order_date < {d}")
     if kind == "month":
-        cte = (f"report_month AS (SELECT year(add_months({d}, -1)) AS y, "
-               f"month(add_months({d}, -1)) AS m),\n")
-        return cte, " CROSS JOIN report_month rm", "o.order_year = rm.y AND o.order_month = rm.m"
+        # constant expressions (folded to literals): partition pruning on the
+        # order calendar columns without joining a one-row parameter relation
+        return "", "", (f"o.order_year = year(add_months({d}, -1)) "
+                        f"AND o.order_month = month(add_months({d}, -1))")
     raise ValueError(kind)
 
 

@@ -1,6 +1,7 @@
 """The SQL reports equal the DataFrame reports (plain and history tables)."""
 
 import datetime as dt
+import re
 
 import pytest
 
@@ -47,6 +48,8 @@ def test_history_reports(spark, lh, window):
     assert rows(got) == rows(R.top_delivered(*args))
 
 
-def test_month_report_sql_has_parameter_relation():
+def test_month_report_sql_uses_constant_month(spark, lh):
     sql = report_sql("top", AS_OF, window="month")
-    assert "CROSS JOIN report_month" in sql and "add_months(DATE'2026-06-14', -1)" in sql
+    assert "CROSS JOIN" not in sql and "add_months(DATE'2026-06-14', -1)" in sql
+    plan = spark.sql(sql)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"order_year#\d+ = 2026\)", plan) and re.search(r"order_month#\d+ = 5\)", plan)
