@@ -48,8 +48,11 @@ def test_history_reports(spark, lh, window):
     assert rows(got) == rows(R.top_delivered(*args))
 
 
-def test_month_report_sql_uses_constant_month(spark, lh):
+def test_month_report_sql_uses_constant_month(spark):
+    from ledgerline.sources.model import OrderModel
     sql = report_sql("top", AS_OF, window="month")
     assert "CROSS JOIN" not in sql and "add_months(DATE'2026-06-14', -1)" in sql
+    lake = Lakehouse(OrderModel(spark, "/root/testdata/sf0.001"))
+    register_views(lake, ["gold_fact_orders", "gold_fact_order_items", "gold_dim_products"])
     plan = spark.sql(sql)._jdf.queryExecution().optimizedPlan().toString()
     assert re.search(r"order_year#\d+ = 2026\)", plan) and re.search(r"order_month#\d+ = 5\)", plan)
