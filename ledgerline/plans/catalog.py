@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from ledgerline import oracle as O
 from ledgerline.functions.columns import round_half_up
-from ledgerline.functions.constants import START_AT
 from ledgerline.operators import history as H
 from ledgerline.operators import profile as P
 from ledgerline.operators import quality as Q

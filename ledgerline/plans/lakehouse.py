@@ -124,19 +124,19 @@ class Lakehouse:
     def stage_fact_order_items(self) -> DataFrame:
         return gold.stage_fact_order_items(self.item_feed)
 
-    @property
+    @cached_property
     def history_orders(self) -> DataFrame:
         return apply_scd2(self.stage_fact_orders, keys=["order_id"],
                           sequence_by="updated_at",
                           track_history=list(ORDER_TRACKED), **self.scd_options)
 
-    @property
+    @cached_property
     def history_order_items(self) -> DataFrame:
         return apply_scd2(self.stage_fact_order_items, keys=["order_item_id"],
                           sequence_by="updated_at",
                           track_history=list(ITEM_TRACKED), **self.scd_options)
 
-    @property
+    @cached_property
     def history_events(self) -> DataFrame:
         return apply_scd2(self.model.events(), keys=["user_id"], sequence_by="ts",
                           track_history=["event_type"], **self.scd_options)

@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from ledgerline.functions import columns as C
 from ledgerline.functions import dates as D

@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from ledgerline.operators import profile as P
 from ledgerline.plans.lakehouse import Lakehouse

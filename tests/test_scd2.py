@@ -3,7 +3,6 @@ import random
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from ledgerline.operators.scd2 import apply_scd2, count_null_sequences, find_hot_keys
 

@@ -1,6 +1,4 @@
-import datetime as dt
 
-from pyspark.sql import functions as F
 
 from ledgerline.operators.scd2 import apply_scd2
 from ledgerline.streaming import ChangeLogHistory, stream_history
