@@ -177,7 +177,8 @@ def apply_scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
                rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
                sample_fraction: float = DEFAULT_SAMPLE_FRACTION,
                hot_keys: list[tuple] | None = None,
-               combine_copies: bool | None = None) -> DataFrame:
+               combine_copies: bool | None = None,
+               sample_source: DataFrame | None = None) -> DataFrame:
     """Versions of every key of ``changes`` (see module doc for the rules).
 
     ``track_history`` defaults to every column other than keys and sequence.
@@ -186,7 +187,10 @@ def apply_scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
     ``hot_keys`` may be given (as returned by ``find_hot_keys``) to skip the
     sample; ``rows_per_chunk=0`` disables splitting.  ``combine_copies``
     forces (True) or skips (False) the map-side removal of identical rows;
-    by default the sample decides.
+    by default the sample decides.  ``sample_source`` (same key and sequence
+    columns) may replace ``changes`` for the sample when it is cheaper to scan
+    and holds at least as many rows per key, e.g. the source scans of a feed
+    built by joins and aggregations; only the split depends on it.
     """
     if ignore_null_updates:
         raise NotImplementedError("ignore_null_updates=True is not supported")
@@ -201,7 +205,9 @@ def apply_scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
     seq = F.col(sequence_by)
 
     if hot_keys is None:
-        hot_keys, copies = (plan_chunks(df, keys, sequence_by, rows_per_chunk, sample_fraction)
+        probe = sample_source if sample_source is not None else df
+        hot_keys, copies = (plan_chunks(probe, keys, sequence_by, rows_per_chunk,
+                                        sample_fraction)
                             if rows_per_chunk > 0 else ([], False))
     else:
         copies = False

@@ -126,9 +126,13 @@ class Lakehouse:
 
     @cached_property
     def history_orders(self) -> DataFrame:
+        opts = dict(self.scd_options)
+        keys_scan = getattr(self.model, "order_feed_keys", None)
+        if keys_scan is not None and "hot_keys" not in opts:
+            opts.setdefault("sample_source", keys_scan())
         return apply_scd2(self.stage_fact_orders, keys=["order_id"],
                           sequence_by="updated_at",
-                          track_history=list(ORDER_TRACKED), **self.scd_options)
+                          track_history=list(ORDER_TRACKED), **opts)
 
     @cached_property
     def history_order_items(self) -> DataFrame:

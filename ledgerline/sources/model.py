@@ -170,5 +170,15 @@ class OrderModel:
         first = o.withColumn("order_status", F.lit("Initial"))
         return first.unionByName(later.select(*first.columns))
 
+    def order_feed_keys(self) -> DataFrame:
+        """(order_id, updated_at) straight from the scans, one row per order
+        and per line item: at least as many rows per order as the change
+        feed has, so it can stand in for it when sampling for hot keys."""
+        return (self.table("orders").select(F.col("o_orderkey").alias("order_id"),
+                                            F.col("o_orderdate").alias("updated_at"))
+                .unionByName(self.table("lineitem").select(
+                    F.col("l_orderkey").alias("order_id"),
+                    F.col("l_shipdate").alias("updated_at"))))
+
     def events(self) -> DataFrame:
         return self.table("events")
