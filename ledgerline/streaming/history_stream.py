@@ -1,22 +1,34 @@
 """Incremental version history (streaming target with late-row placement).
 
-Every micro-batch goes through ``ChangeLogHistory.apply_batch``:
-
-1. the batch is appended to a change log, partitioned by a key bucket
-   ``pmod(xxhash64(keys), buckets)``; each batch has its own folder
-   ``batch_id=N`` written in overwrite mode, so a replayed batch replaces
-   itself instead of duplicating rows;
-2. the buckets the batch touched are listed (at most ``buckets`` values);
-3. the log of those buckets only (partition pruning) is rebuilt into versions
-   with ``apply_scd2``, and written to the history with dynamic partition
-   overwrite, which replaces the touched buckets and leaves the rest.
-
-Collapsed history is not enough to place a late row (A@1, A@4, A@5 stored as
-one version must become A[1,3) B[3,4) A[4,inf) when B@3 arrives), which is why
-the log is kept.  The history never overwrites its own input.  Lateness is
-unbounded, so the log grows with the feed; rebuilding a bucket costs its log.
-``foreachBatch`` gives at-least-once delivery; steps 1-3 are idempotent, so
-the end state is exactly-once.
+Storage: two append-only folders under ``root``.
+
+* ``log/batch_id=N/scd_bucket=b``: every change row received, as received.
+* ``history/batch_id=N/scd_bucket=b``: for each key that batch N touched, the
+  complete set of its versions, rebuilt from the log.
+
+``apply_batch(batch, N)`` (the ``foreachBatch`` function):
+
+1. writes the batch to ``log/batch_id=N`` in overwrite mode, so a replayed
+   batch replaces itself instead of duplicating rows;
+2. takes the batch's distinct keys (a DataFrame, never collected) and reads
+   the log rows of those keys only: the touched ``scd_bucket`` folders are
+   pruned by name (at most ``buckets`` values are listed) and a null-safe
+   semi-join keeps the touched keys;
+3. rebuilds their versions with ``apply_scd2`` and writes them to
+   ``history/batch_id=N`` (overwrite, so replay-safe).
+
+``history()`` resolves merge-on-read: per key, the versions of the latest
+batch that touched it (an aggregate of max batch per key joined back; AQE
+splits a skewed key in that join).  Late rows are placed by sequence because
+the rebuild reads the log, not the collapsed history: collapsed A@1, A@4, A@5
+must become A[1,3) B[3,4) A[4,inf) when B@3 arrives.
+
+Per batch, shuffle and window work grow with the rows of the touched keys,
+not with the whole table; the log scan is columnar and bucket-pruned.
+``compact_log`` and ``compact_history`` fold old batches into one folder each
+(published by rename before the old folders are deleted: a crash leaves
+duplicates that resolve to the same result, never a gap).  ``foreachBatch``
+is at-least-once; every step is idempotent, so the end state is exactly-once.
 """
 
 from __future__ import annotations
@@ -26,12 +38,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators.scd2 import apply_scd2
+from ledgerline.operators.scd2 import apply_scd2, deduplicate_changes
 
 BUCKET = "scd_bucket"
 BATCH = "batch_id"
 
 
+def _null_safe_semi(left: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    right = keys_df.select(*[F.col(k).alias(f"_s_{k}") for k in keys])
+    cond = None
+    for k in keys:
+        term = left[k].eqNullSafe(right[f"_s_{k}"])
+        cond = term if cond is None else cond & term
+    return left.join(right, cond, "left_semi")
+
+
 class ChangeLogHistory:
     def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], sequence_by: str,
                  track_history: Sequence[str] | None = None, buckets: int = 64,
@@ -56,75 +77,107 @@ class ChangeLogHistory:
     def _bucket(self):
         return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
 
+    # -- file system helpers (names only; no data through the driver) -------
+    def _fs(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _children(self, path: str, prefix: str) -> list[int]:
+        """Int values of ``prefix=`` sub-folders of ``path`` (Hadoop listing)."""
+        p, fs = self._fs(path)
+        if not fs.exists(p):
+            return []
+        names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+        return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{prefix}="))
+
+    def _touched_buckets(self, batch_dir: str) -> list[int]:
+        try:
+            return self._children(batch_dir, BUCKET)
+        except Exception:  # noqa: BLE001  (no JVM gateway, e.g. Spark Connect)
+            written = self.spark.read.format(self.fmt).load(batch_dir)
+            return sorted(r[0] for r in written.select(BUCKET).distinct().collect())
+
+    # -- the foreachBatch function --------------------------------------------
     def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
         batch_dir = f"{self.log_path}/{BATCH}={batch_id}"
         (batch.withColumn(BUCKET, self._bucket())
+              .sortWithinPartitions(*self.keys)          # tight min/max stats per file
               .write.format(self.fmt).mode("overwrite").partitionBy(BUCKET).save(batch_dir))
         touched = self._touched_buckets(batch_dir)
         if not touched:
             return
+        batch_keys = (self.spark.read.format(self.fmt).load(batch_dir)
+                      .select(*self.keys).distinct())
         log = (self.spark.read.format(self.fmt).load(self.log_path)
                .where(F.col(BUCKET).isin(touched)).drop(BATCH, BUCKET))
+        log = _null_safe_semi(log, batch_keys, self.keys)
         versions = apply_scd2(log, self.keys, self.sequence_by, self.track_history,
                               **self.scd_options)
         (versions.withColumn(BUCKET, self._bucket())
-                 .write.format(self.fmt).mode("overwrite")
-                 .option("partitionOverwriteMode", "dynamic")
-                 .partitionBy(BUCKET).save(self.history_path))
+                 .write.format(self.fmt).mode("overwrite").partitionBy(BUCKET)
+                 .save(f"{self.history_path}/{BATCH}={batch_id}"))
 
-    def _touched_buckets(self, batch_dir: str) -> list[int]:
-        """Bucket values of one written batch: its ``scd_bucket=`` folders.
-
-        Listed through the Hadoop file system (no Spark job); at most
-        ``buckets`` names.  Falls back to a distinct over the written batch
-        where the JVM gateway is not available.
-        """
-        try:
-            jvm = self.spark.sparkContext._jvm
-            path = jvm.org.apache.hadoop.fs.Path(batch_dir)
-            fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-            names = [st.getPath().getName() for st in fs.listStatus(path) if st.isDirectory()]
-            return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{BUCKET}="))
-        except Exception:  # noqa: BLE001  (e.g. Spark Connect)
-            written = self.spark.read.format(self.fmt).load(batch_dir)
-            return sorted(r[0] for r in written.select(BUCKET).distinct().collect())
+    def history(self) -> DataFrame:
+        """Current content: per key, the versions of its latest batch."""
+        h = self.spark.read.format(self.fmt).load(self.history_path)
+        latest = h.groupBy(*self.keys).agg(F.max(BATCH).alias("_latest"))
+        latest = latest.select(*[F.col(k).alias(f"_l_{k}") for k in self.keys], "_latest")
+        cond = F.col(BATCH) == F.col("_latest")
+        for k in self.keys:
+            cond = cond & h[k].eqNullSafe(latest[f"_l_{k}"])
+        return (h.join(latest, cond, "inner")
+                 .drop(BATCH, BUCKET, "_latest", *[f"_l_{k}" for k in self.keys]))
+
+    # -- compaction ---------------------------------------------------------
+    def _publish(self, df: DataFrame, folder: str, upto: int, old: list[int]) -> str:
+        staging = f"{folder}/_compacting-{upto}"
+        target = f"{folder}/{BATCH}=-{upto}"
+        (df.withColumn(BUCKET, self._bucket())
+           .write.format(self.fmt).mode("overwrite").partitionBy(BUCKET).save(staging))
+        src, fs = self._fs(staging)
+        dst, _ = self._fs(target)
+        if fs.exists(dst):
+            fs.delete(dst, True)      # an earlier compaction to the same id, superseded
+        if not fs.rename(src, dst):
+            raise RuntimeError(f"could not publish {target}")
+        for b in old:
+            if b != -upto:
+                p, _ = self._fs(f"{folder}/{BATCH}={b}")
+                fs.delete(p, True)
+        return target
 
-    def compact(self, upto_batch_id: int) -> str:
-        """Rewrite the log of batches ``<= upto_batch_id`` as one folder.
-
-        Rows are reduced by rule 1 (one row per key and sequence), which is all
-        a rebuild ever reads, and written once per bucket.  The new folder is
-        named ``batch_id=-<upto>`` (negative ids sort before stream batches) and
-        published by a rename *before* the old folders are deleted: a crash in
-        between leaves exact duplicates, which rule 1 removes, never a gap.
-        Returns the compacted folder.
-        """
-        from ledgerline.operators.scd2 import deduplicate_changes
-        log = self.spark.read.format(self.fmt).load(self.log_path)
-        old = [r[0] for r in log.select(BATCH).distinct().collect()
-               if r[0] <= upto_batch_id]
+    def compact_log(self, upto_batch_id: int) -> str:
+        """Fold log batches ``<= upto_batch_id`` into ``batch_id=-upto``,
+        reduced by rule 1 (all a rebuild reads)."""
+        old = [b for b in self._children(self.log_path, BATCH) if b <= upto_batch_id]
         if not old:
             return ""
-        part = (log.where(F.col(BATCH).isin(old)).drop(BATCH))
-        reduced = deduplicate_changes(part.drop(BUCKET), self.keys, self.sequence_by)
-        staging = f"{self.log_path}/_compacting-{upto_batch_id}"
-        target = f"{self.log_path}/{BATCH}=-{upto_batch_id}"
-        (reduced.withColumn(BUCKET, self._bucket())
-                .write.format(self.fmt).mode("overwrite").partitionBy(BUCKET).save(staging))
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        src = jvm.org.apache.hadoop.fs.Path(staging)
-        fs = src.getFileSystem(conf)
-        if not fs.rename(src, jvm.org.apache.hadoop.fs.Path(target)):
-            raise RuntimeError(f"could not publish compacted log {target}")
-        for batch_id in old:
-            if f"{BATCH}={batch_id}" != target.rsplit("/", 1)[1]:
-                fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.log_path}/{BATCH}={batch_id}"), True)
-        return target
-
-    def history(self) -> DataFrame:
-        return self.spark.read.format(self.fmt).load(self.history_path).drop(BUCKET)
-
+        log = (self.spark.read.format(self.fmt).load(self.log_path)
+               .where(F.col(BATCH).isin(old)).drop(BATCH, BUCKET))
+        reduced = deduplicate_changes(log, self.keys, self.sequence_by)
+        return self._publish(reduced, self.log_path, upto_batch_id, old)
+
+    def compact_history(self, upto_batch_id: int) -> str:
+        """Fold history deltas ``<= upto_batch_id`` into ``batch_id=-upto``
+        (keys later batches touched still resolve to those batches)."""
+        old = [b for b in self._children(self.history_path, BATCH) if b <= upto_batch_id]
+        if not old:
+            return ""
+        h = (self.spark.read.format(self.fmt).load(self.history_path)
+             .where(F.col(BATCH).isin(old)))
+        latest = h.groupBy(*self.keys).agg(F.max(BATCH).alias("_latest"))
+        latest = latest.select(*[F.col(k).alias(f"_l_{k}") for k in self.keys], "_latest")
+        cond = F.col(BATCH) == F.col("_latest")
+        for k in self.keys:
+            cond = cond & h[k].eqNullSafe(latest[f"_l_{k}"])
+        resolved = (h.join(latest, cond, "inner")
+                     .drop(BATCH, BUCKET, "_latest", *[f"_l_{k}" for k in self.keys]))
+        return self._publish(resolved, self.history_path, upto_batch_id, old)
+
+    compact = compact_log
+
+    # -- streaming ------------------------------------------------------------
     def start(self, changes: DataFrame, checkpoint: str | None = None,
               available_now: bool = True, processing_time: str | None = None):
         """Start a streaming query feeding ``changes`` (a streaming DataFrame)."""

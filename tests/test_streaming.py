@@ -25,6 +25,16 @@ def test_late_row_is_placed_by_sequence(spark, scratch):
     assert got == [("A", 1, 3), ("A", 4, None), ("B", 3, 4)]
 
 
+def test_batch_rebuilds_only_touched_keys(spark, scratch):
+    h = ChangeLogHistory(spark, scratch("touched"), ["k"], "s", ["t"], buckets=2)
+    h.apply_batch(spark.createDataFrame([(k, 1, "A", 0) for k in range(10)], SCHEMA), 0)
+    h.apply_batch(spark.createDataFrame([(4, 2, "B", 0), (None, 1, "A", 0)], SCHEMA), 1)
+    delta = spark.read.parquet(f"{h.history_path}/batch_id=1")
+    assert sorted((r.k is None, r.k) for r in delta.select("k").distinct().collect()) == \
+        [(False, 4), (True, None)]
+    assert h.history().count() == 12
+
+
 def test_replayed_batch_and_untouched_buckets(spark, scratch):
     h = ChangeLogHistory(spark, scratch("replay"), ["k"], "s", ["t"], buckets=8)
     b0 = spark.createDataFrame([(k, 1, "A", 0) for k in range(20)], SCHEMA)
@@ -55,10 +65,12 @@ def test_compaction_keeps_history(spark, scratch):
         h.apply_batch(batch, i)
         h.apply_batch(batch, i)              # replays are harmless
     before = rows_of(h.history())
-    target = h.compact(2)
+    target = h.compact_log(2)
     assert target.endswith("batch_id=-2")
     ids = sorted(r[0] for r in spark.read.parquet(h.log_path).select("batch_id").distinct().collect())
     assert ids == [-2, 3]
+    assert h.compact_history(3).endswith("batch_id=-3")
+    assert rows_of(h.history()) == before
     late = spark.createDataFrame([(0, 100, "Z", 0)], SCHEMA)
     h.apply_batch(late, 4)
     after = rows_of(h.history())
