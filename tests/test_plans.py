@@ -69,3 +69,24 @@ def test_materialized_pipeline_tables_and_sql_reports(spark, scratch):
                           lh.pipeline_dim_products, R.rolling_30d(as_of),
                           with_avg_price=True).collect()
     assert [tuple(r) for r in got] == [tuple(r) for r in want]
+
+
+def test_bucketed_facts_join_without_shuffle(spark):
+    from ledgerline.plans.sql_reports import run_report
+    lh = Lakehouse(OrderModel(spark, SF))
+    t = lh.materialize_catalog("lake_gold", buckets=8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rep = run_report(spark, "top", dt.date(1998, 9, 1),
+                         tables={"items": t["fact_order_items"], "orders": t["fact_orders"],
+                                 "products": t["dim_products"]})
+        plan = plan_of(rep)
+        assert "SortMergeJoin" in plan
+        assert "hashpartitioning(order_id" not in plan       # both sides bucketed
+        want = R.top_products(lh.fact_order_items, lh.fact_orders, lh.dim_products,
+                              R.rolling_30d(dt.date(1998, 9, 1)))
+        assert [tuple(r) for r in rep.collect()] == [tuple(r) for r in want.collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
