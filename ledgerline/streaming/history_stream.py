@@ -109,11 +109,14 @@ class ChangeLogHistory:
             return
         batch_keys = (self.spark.read.format(self.fmt).load(batch_dir)
                       .select(*self.keys).distinct())
-        log = (self.spark.read.format(self.fmt).load(self.log_path)
-               .where(F.col(BUCKET).isin(touched)).drop(BATCH, BUCKET))
-        log = _null_safe_semi(log, batch_keys, self.keys)
-        versions = apply_scd2(log, self.keys, self.sequence_by, self.track_history,
-                              **self.scd_options)
+        bucket_log = (self.spark.read.format(self.fmt).load(self.log_path)
+                      .where(F.col(BUCKET).isin(touched)).drop(BATCH, BUCKET))
+        log = _null_safe_semi(bucket_log, batch_keys, self.keys)
+        opts = dict(self.scd_options)
+        # the bucket-pruned log has the same rows per touched key and is a
+        # plain scan: sample it for hot keys instead of the semi-join
+        opts.setdefault("sample_source", bucket_log)
+        versions = apply_scd2(log, self.keys, self.sequence_by, self.track_history, **opts)
         (versions.withColumn(BUCKET, self._bucket())
                  .write.format(self.fmt).mode("overwrite").partitionBy(BUCKET)
                  .save(f"{self.history_path}/{BATCH}={batch_id}"))
