@@ -197,7 +197,9 @@ class Lakehouse:
             "gold/fact_order_items": (self.fact_order_items, ()),
             "pipeline/dim_customers": (self.pipeline_dim_customers, ()),
             "pipeline/dim_products": (self.pipeline_dim_products, ()),
-            "pipeline/fact_orders": (lambda: self.history_orders, ()),
+            # an order's calendar columns are the same in all its versions, so
+            # the history partitions cleanly by month and reports prune it
+            "pipeline/fact_orders": (lambda: self.history_orders, ("order_year", "order_month")),
             "pipeline/fact_order_items": (lambda: self.history_order_items, ()),
         }
         paths = {}

@@ -75,7 +75,12 @@ def _window(kind: str, as_of: dt.date, days: int) -> tuple[str, str, str]:
     """(extra CTE, extra FROM item, order predicate) for the time window."""
     d = f"DATE'{as_of.isoformat()}'"
     if kind == "rolling":
-        return "", "", (f"o.order_date >= date_sub({d}, {days}) AND o.order_date < {d}")
+        start = f"date_sub({d}, {days})"
+        # the same window stated on the calendar partition columns (redundant
+        # for the result, lets partitioned tables skip other months)
+        months = (f"o.order_year * 100 + o.order_month BETWEEN "
+                  f"year({start}) * 100 + month({start}) AND year({d}) * 100 + month({d})")
+        return "", "", f"o.order_date >= {start} AND o.order_date < {d} AND {months}"
     if kind == "month":
         # constant expressions (folded to literals): partition pruning on the
         # order calendar columns without joining a one-row parameter relation

@@ -64,7 +64,9 @@ def test_materialized_pipeline_tables_and_sql_reports(spark, scratch):
     assert sorted(hist.columns) == sorted(lh.history_orders.columns)
     register_table_views(spark, paths)
     as_of = dt.date(1998, 9, 1)
-    got = run_report(spark, "top", as_of, current_only=True, with_avg_price=True).collect()
+    rep = run_report(spark, "top", as_of, current_only=True, with_avg_price=True)
+    assert "order_month" in partition_filters(plan_of(rep), "order_status")
+    got = rep.collect()
     want = R.top_products(R.current_only(lh.history_order_items), R.current_only(lh.history_orders),
                           lh.pipeline_dim_products, R.rolling_30d(as_of),
                           with_avg_price=True).collect()
