@@ -1,4 +1,4 @@
-""""Most sold product" and category sales reports.
+"""Reports: the most sold products and sales by category.
 
 Plan shape for every report (Catalyst does the rest):
 

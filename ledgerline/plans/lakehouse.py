@@ -4,7 +4,7 @@
 of raw tables.  Nothing runs until an action; Catalyst sees each report as one
 plan from the source scans to the result, so filters and column pruning reach
 the parquet readers.  ``materialize`` writes the layers as tables (the
-reference's table hand-off), partitioning the order facts by
+source system's table hand-off), partitioning the order facts by
 order_year/order_month/order_day so calendar filters prune.
 """
 
