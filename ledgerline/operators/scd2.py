@@ -29,7 +29,8 @@ Plan and scale
   aggregation removes copies inside each map task before any shuffle.
 * A window keeps a whole partition group in one task.  Keys estimated (from a
   sample) to hold more than ``rows_per_chunk`` rows are split into sequence
-  range chunks; a small per-chunk table (first/last tracked values, first
+  range chunks with borders at sample quantiles of the key's sequence (so a
+  burst of changes is split too); a small per-chunk table (first/last tracked values, first
   sequence, last version start) carries the state across chunk borders.  Its
   size is bounded by the number of chunks, known on the driver before it is
   broadcast.  The sample only decides the split, never the result: any split
@@ -118,9 +119,57 @@ def plan_chunks(df: DataFrame, keys: Sequence[str], sequence_by: str,
         n_chunks = max(2, math.ceil(est / rows_per_chunk))
         hot.append(tuple(row[k] for k in keys) + (n_chunks, row["_lo"], row["_hi"]))
         hot_copies = hot_copies or row["_copies"] > threshold
+    if hot:
+        hot = _quantile_bounds(df, keys, sequence_by, hot, rows_per_chunk, seed)
     return hot, hot_copies
 
 
+POINTS_PER_CHUNK = 20
+
+
+def _quantile_bounds(df: DataFrame, keys: list[str], sequence_by: str, hot: list[tuple],
+                     rows_per_chunk: int, seed: int) -> list[tuple]:
+    """Chunk borders at sample quantiles of each hot key's sequence.
+
+    A second sample of the hot keys' rows only, at ``POINTS_PER_CHUNK``
+    points per target chunk, is ranked per key; every ``POINTS_PER_CHUNK``-th
+    ordinal becomes a border.  Chunks then hold about ``rows_per_chunk`` rows
+    however bursty the sequence is.  At most (number of chunks) values per
+    key reach the driver.  Returns ``(*key, n_chunks, [borders])``.
+    """
+    k = len(keys)
+    dtype = df.schema[sequence_by].dataType
+    rate = min(1.0, POINTS_PER_CHUNK / rows_per_chunk)
+    hot_df = df.sparkSession.createDataFrame(
+        [h[:k] for h in hot], T.StructType([T.StructField(c, df.schema[c].dataType) for c in keys]))
+    pts = df.select(*keys, _ordinal(F.col(sequence_by), dtype).alias("_o")) \
+            .where(F.col("_o").isNotNull())
+    if rate < 1.0:
+        pts = pts.sample(fraction=rate, seed=seed + 1)
+    pts = _null_safe_join(pts, hot_df, keys, "left_semi", broadcast=True)
+    w = Window.partitionBy(*keys).orderBy("_o")
+    picked = (pts.withColumn("_rn", F.row_number().over(w))
+              .where(F.col("_rn") % POINTS_PER_CHUNK == 0)
+              .groupBy(*keys).agg(F.sort_array(F.collect_list("_o")).alias("_b")))
+    found = {tuple(r[c] for c in keys): list(r["_b"]) for r in picked.collect()}
+    out = []
+    for h in hot:
+        bounds = found.get(tuple(h[:k]))
+        if not bounds:        # too few points: fall back to an even split of [lo, hi]
+            n, lo, hi = h[k], h[k + 1], h[k + 2]
+            bounds = [lo + (hi - lo) * i / n for i in range(1, n)]
+        out.append(tuple(h[:k]) + (len(bounds) + 1, bounds))
+    return out
+
+
+def _as_bounds(h: tuple, k: int) -> tuple:
+    """Accept (*key, n, lo, hi) (even split) or (*key, n, [borders])."""
+    if len(h) == k + 3:
+        n, lo, hi = h[k], h[k + 1], h[k + 2]
+        return tuple(h[:k]) + (n, [lo + (hi - lo) * i / n for i in range(1, n)])
+    return tuple(h[:k]) + (h[k], list(h[k + 1]))
+
+
 def find_hot_keys(df: DataFrame, keys: Sequence[str], sequence_by: str,
                   rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
                   sample_fraction: float = DEFAULT_SAMPLE_FRACTION,
@@ -141,33 +190,49 @@ def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str],
     for c in on:
         term = left[c].eqNullSafe(renamed[f"_j_{c}"])
         cond = term if cond is None else cond & term
-    return left.join(renamed, cond, how).drop(*[f"_j_{c}" for c in on])
+    out = left.join(renamed, cond, how)
+    return out if how in ("left_semi", "semi", "leftsemi") else out.drop(*[f"_j_{c}" for c in on])
+
+
+def _bisect_right(bounds: Column, o: Column, max_len: int) -> Column:
+    """Number of borders <= ``o`` (sorted ``bounds``): a binary search written
+    as a fixed number of steps of the ``aggregate`` higher-order function."""
+    steps = max(1, math.ceil(math.log2(max_len + 1)) + 1)
+
+    def step(acc, _):
+        mid = ((acc["lo"] + acc["hi"]) / 2).cast("int")
+        go_right = F.element_at(bounds, mid + 1) <= o
+        return F.when(acc["lo"] >= acc["hi"], acc).otherwise(
+            F.when(go_right, F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi")))
+             .otherwise(F.struct(acc["lo"].alias("lo"), mid.alias("hi"))))
+    start = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step)["lo"]
 
 
 def assign_chunks(rows: DataFrame, keys: Sequence[str], sequence_by: str,
                   hot_keys: list[tuple]) -> DataFrame:
     """Add the chunk index ``_scd_chunk`` (0 for keys that are not hot) and
-    ``_hot``.  A hot key's sequence range [lo, hi] is cut into ``n_chunks``
-    equal ranges; values outside fall in the first or last chunk, so the
-    index never decreases as the sequence increases."""
+    ``_hot``.  A hot key's chunk is the number of its borders at or below
+    the row's sequence, so the index never decreases as the sequence
+    increases."""
     keys = list(keys)
+    k = len(keys)
     spark = rows.sparkSession
-    key_fields = [T.StructField(k, rows.schema[k].dataType) for k in keys]
+    hot_keys = [_as_bounds(h, k) for h in hot_keys]
+    key_fields = [T.StructField(c, rows.schema[c].dataType) for c in keys]
     hot_schema = T.StructType(key_fields + [
         T.StructField("_nb", T.IntegerType()),
-        T.StructField("_lo", T.DoubleType()),
-        T.StructField("_hi", T.DoubleType())])
-    # bounded: at most MAX_HOT_KEYS rows, built on the driver
+        T.StructField("_bounds", T.ArrayType(T.DoubleType()))])
+    # bounded: at most MAX_HOT_KEYS rows and one border per chunk, built on the driver
     hot = spark.createDataFrame(hot_keys, hot_schema)
+    max_len = max((len(h[k + 1]) for h in hot_keys), default=1)
     out = _null_safe_join(rows, hot, keys, "left", broadcast=True)
     o = _ordinal(F.col(sequence_by), rows.schema[sequence_by].dataType)
-    span = F.greatest(F.col("_hi") - F.col("_lo"), F.lit(1.0))
-    idx = F.floor((o - F.col("_lo")) * F.col("_nb") / span).cast("int")
     return out.withColumn(
         _B, F.when(F.col("_nb").isNull(), F.lit(0))
-             .otherwise(F.least(F.greatest(idx, F.lit(0)), F.col("_nb") - 1))) \
+             .otherwise(_bisect_right(F.col("_bounds"), o, max_len))) \
         .withColumn("_hot", F.col("_nb").isNotNull()) \
-        .drop("_nb", "_lo", "_hi")
+        .drop("_nb", "_bounds")
 
 
 def apply_scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
@@ -223,6 +288,7 @@ def apply_scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
     trk = F.struct(*[F.col(c) for c in tracked])
 
     if hot_keys:
+        hot_keys = [_as_bounds(h, len(keys)) for h in hot_keys]
         small = sum(h[len(keys)] for h in hot_keys) <= MAX_BROADCAST_CHUNKS
         rows = assign_chunks(rows, keys, sequence_by, hot_keys)
         # Border table, one row per chunk of a hot key: the tracked values of

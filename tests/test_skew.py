@@ -46,3 +46,23 @@ def test_hot_group_of_copies_is_combined_first(spark):
     plan = auto._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" in plan
     assert canon(auto) == canon(apply_scd2(df, ["k"], "s", ["t"], rows_per_chunk=0))
+
+
+def test_bursty_hot_key_is_split_by_quantiles(spark):
+    # key 0: 100k rows, 90k of them inside 1% of its sequence range
+    burst = spark.range(90_000).select(F.lit(0).cast("long").alias("k"),
+                                       (F.lit(500_000) + F.col("id") / 10).alias("s"))
+    spread = spark.range(10_000).select(F.lit(0).cast("long").alias("k"),
+                                        (F.col("id") * 100).cast("double").alias("s"))
+    others = spark.range(50_000).select((F.col("id") % 5000 + 1).alias("k"),
+                                        F.col("id").cast("double").alias("s"))
+    df = burst.unionByName(spread).unionByName(others).select(
+        "k", "s", F.when((F.col("s") / 7).cast("int") % 2 == 0, "A").otherwise("B").alias("t"),
+        F.lit(0).alias("x"))
+    hot, _ = plan_chunks(df, ["k"], "s", rows_per_chunk=10_000, sample_fraction=0.2)
+    assert [h[0] for h in hot] == [0]
+    sizes = [r["count"] for r in assign_chunks(df, ["k"], "s", hot).where("k = 0")
+             .groupBy("_scd_chunk").count().collect()]
+    assert len(sizes) >= 8 and max(sizes) <= 3 * 10_000      # the burst is split too
+    assert canon(apply_scd2(df, ["k"], "s", ["t"], hot_keys=hot)) == \
+        canon(apply_scd2(df, ["k"], "s", ["t"], rows_per_chunk=0))
