@@ -78,10 +78,12 @@ def write_bucketed_table(df: DataFrame, table: str, buckets: int, by: Sequence[s
 
     Two tables bucketed on the join key with the same bucket count join
     without a shuffle (sort-merge join straight off the scans).  Rows are
-    first shuffled once on the bucket key, so each task writes one file per
-    bucket (and per partition value, if partitioned).
+    first rebalanced on the bucket key into ``buckets`` partitions (the same
+    hash as the buckets, so a task writes one file per bucket); AQE splits a
+    bucket holding a large share of the rows over several tasks, and that
+    bucket then has several files, which bucketed reads allow.
     """
-    writer = (df.repartition(buckets, *by).write.format(fmt).mode("overwrite")
+    writer = (df.hint("rebalance", buckets, *by).write.format(fmt).mode("overwrite")
               .bucketBy(buckets, *by))
     if sort_by:
         writer = writer.sortBy(*sort_by)
