@@ -98,12 +98,20 @@ class ChangeLogHistory:
             written = self.spark.read.format(self.fmt).load(batch_dir)
             return sorted(r[0] for r in written.select(BUCKET).distinct().collect())
 
+    def _write(self, df: DataFrame, folder: str) -> None:
+        """Overwrite ``folder`` partitioned by key bucket: rows are rebalanced
+        on the bucket first (about one file per bucket; AQE splits a bucket
+        holding a large share over several tasks) and sorted by key inside
+        each file, which keeps per-file min/max statistics tight."""
+        (df.withColumn(BUCKET, self._bucket())
+           .hint("rebalance", BUCKET)
+           .sortWithinPartitions(*self.keys)
+           .write.format(self.fmt).mode("overwrite").partitionBy(BUCKET).save(folder))
+
     # -- the foreachBatch function --------------------------------------------
     def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
         batch_dir = f"{self.log_path}/{BATCH}={batch_id}"
-        (batch.withColumn(BUCKET, self._bucket())
-              .sortWithinPartitions(*self.keys)          # tight min/max stats per file
-              .write.format(self.fmt).mode("overwrite").partitionBy(BUCKET).save(batch_dir))
+        self._write(batch, batch_dir)
         touched = self._touched_buckets(batch_dir)
         if not touched:
             return
@@ -117,9 +125,7 @@ class ChangeLogHistory:
         # plain scan: sample it for hot keys instead of the semi-join
         opts.setdefault("sample_source", bucket_log)
         versions = apply_scd2(log, self.keys, self.sequence_by, self.track_history, **opts)
-        (versions.withColumn(BUCKET, self._bucket())
-                 .write.format(self.fmt).mode("overwrite").partitionBy(BUCKET)
-                 .save(f"{self.history_path}/{BATCH}={batch_id}"))
+        self._write(versions, f"{self.history_path}/{BATCH}={batch_id}")
 
     def history(self) -> DataFrame:
         """Current content: per key, the versions of its latest batch."""
@@ -136,8 +142,7 @@ class ChangeLogHistory:
     def _publish(self, df: DataFrame, folder: str, upto: int, old: list[int]) -> str:
         staging = f"{folder}/_compacting-{upto}"
         target = f"{folder}/{BATCH}=-{upto}"
-        (df.withColumn(BUCKET, self._bucket())
-           .write.format(self.fmt).mode("overwrite").partitionBy(BUCKET).save(staging))
+        self._write(df, staging)
         src, fs = self._fs(staging)
         dst, _ = self._fs(target)
         if fs.exists(dst):
