@@ -180,7 +180,8 @@ class Lakehouse:
         ``only`` restricts the write to the named tables (e.g. the gold ones).
 
         Downstream reads of these paths start new, short lineages (the table
-        hand-off between layers).
+        hand-off between layers).  Row counts of the written tables are
+        observed during the writes and left in ``written_rows``.
         """
         from ledgerline.sources.files import write_table
         part = list(silver.ORDER_PARTITIONS)
@@ -202,13 +203,20 @@ class Lakehouse:
             "pipeline/fact_orders": (lambda: self.history_orders, ("order_year", "order_month")),
             "pipeline/fact_order_items": (lambda: self.history_order_items, ()),
         }
+        from pyspark.sql import Observation
+        from pyspark.sql import functions as F
         paths = {}
+        self.written_rows: dict[str, int] = {}
         for name, (df, by) in plan.items():
             if only is not None and name not in only:
                 continue
             if callable(df):
                 df = df()
             path = f"{root.rstrip('/')}/{name}"
-            write_table(df, path, fmt=fmt, partition_by=by)
+            # the row count comes with the write (no second pass over the data)
+            obs = Observation(name.replace("/", "_"))
+            write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), path,
+                        fmt=fmt, partition_by=by)
             paths[name] = path
+            self.written_rows[name] = obs.get["rows"]
         return paths

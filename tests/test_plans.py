@@ -60,7 +60,7 @@ def test_materialized_pipeline_tables_and_sql_reports(spark, scratch):
     paths = lh.materialize(scratch("lake2"), only=names)
     assert set(paths) == set(names)
     hist = read_table(spark, paths["pipeline/fact_orders"])
-    assert hist.count() == lh.history_orders.count()
+    assert hist.count() == lh.history_orders.count() == lh.written_rows["pipeline/fact_orders"]
     assert sorted(hist.columns) == sorted(lh.history_orders.columns)
     register_table_views(spark, paths)
     as_of = dt.date(1998, 9, 1)
