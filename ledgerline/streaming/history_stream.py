@@ -129,6 +129,8 @@ class ChangeLogHistory:
 
     def history(self) -> DataFrame:
         """Current content: per key, the versions of its latest batch."""
+        if not self._children(self.history_path, BATCH):
+            raise ValueError(f"no batch has been applied to {self.root} yet")
         h = self.spark.read.format(self.fmt).load(self.history_path)
         latest = h.groupBy(*self.keys).agg(F.max(BATCH).alias("_latest"))
         latest = latest.select(*[F.col(k).alias(f"_l_{k}") for k in self.keys], "_latest")

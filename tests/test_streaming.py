@@ -1,5 +1,7 @@
 
 
+import pytest
+
 from ledgerline.operators.scd2 import apply_scd2
 from ledgerline.streaming import ChangeLogHistory, stream_history
 
@@ -18,6 +20,8 @@ def rows_of(df):
 
 def test_late_row_is_placed_by_sequence(spark, scratch):
     h = ChangeLogHistory(spark, scratch("late"), ["k"], "s", ["t"], buckets=4)
+    with pytest.raises(ValueError):
+        h.history()
     h.apply_batch(spark.createDataFrame([(1, 1, "A", 0), (1, 4, "A", 0), (1, 5, "A", 0)], SCHEMA), 0)
     assert [(r.t, r["__START_AT"], r["__END_AT"]) for r in h.history().collect()] == [("A", 1, None)]
     h.apply_batch(spark.createDataFrame([(1, 3, "B", 0)], SCHEMA), 1)
