@@ -94,11 +94,12 @@ def plan_chunks(df: DataFrame, keys: Sequence[str], sequence_by: str,
     """Hot keys and hot copy groups, from one pass over a sample.
 
     Returns ``(hot, hot_copies)``: at most ``max_keys`` tuples
-    ``(*key, n_chunks, lo, hi)`` for keys estimated to hold more than
-    ``rows_per_chunk`` rows (``lo``/``hi`` bound the sequence ordinal seen),
-    and whether some single (key, sequence) group is that large (then copies
-    are combined map-side before the window).  Only the sample is aggregated
-    and only keys above the threshold reach the driver.
+    ``(*key, n_chunks, borders)`` for keys estimated to hold more than
+    ``rows_per_chunk`` rows, the borders being sequence ordinals at sample
+    quantiles of the key (see ``_quantile_bounds``), and whether some single
+    (key, sequence) group is that large (then copies are combined map-side
+    before the window).  Only samples are aggregated, and only keys above the
+    threshold (with one border per chunk) reach the driver.
     """
     dtype = df.schema[sequence_by].dataType
     src = df.select(*keys, _ordinal(F.col(sequence_by), dtype).alias("_o")) \
