@@ -224,10 +224,12 @@ def assign_chunks(rows: DataFrame, keys: Sequence[str], sequence_by: str,
     hot_schema = T.StructType(key_fields + [
         T.StructField("_nb", T.IntegerType()),
         T.StructField("_bounds", T.ArrayType(T.DoubleType()))])
-    # bounded: at most MAX_HOT_KEYS rows and one border per chunk, built on the driver
+    # at most MAX_HOT_KEYS rows and one border per chunk, built on the driver;
+    # broadcast only while the borders counted here stay under the bound
     hot = spark.createDataFrame(hot_keys, hot_schema)
     max_len = max((len(h[k + 1]) for h in hot_keys), default=1)
-    out = _null_safe_join(rows, hot, keys, "left", broadcast=True)
+    small = sum(len(h[k + 1]) for h in hot_keys) <= MAX_BROADCAST_CHUNKS
+    out = _null_safe_join(rows, hot, keys, "left", broadcast=small)
     o = _ordinal(F.col(sequence_by), rows.schema[sequence_by].dataType)
     return out.withColumn(
         _B, F.when(F.col("_nb").isNull(), F.lit(0))
