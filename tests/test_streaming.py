@@ -118,3 +118,25 @@ def test_stream_recovers_from_a_failed_batch(spark, scratch):
     target, q2 = run()                       # restart from the checkpoint
     assert q2.exception() is None
     assert rows_of(target.history()) == rows_of(apply_scd2(feed, ["k"], "s", ["t"]))
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 12), st.sampled_from(["A", "B", None]),
+                          st.integers(0, 1)), min_size=1, max_size=40),
+       st.lists(st.integers(0, 2), min_size=40, max_size=40),
+       st.integers(0, 2))
+def test_any_split_and_replay_gives_the_batch_result(spark, scratch, rows, deal, replay):
+    h = ChangeLogHistory(spark, scratch("split"), ["k"], "s", ["t"], buckets=2)
+    batches = [[r for r, d in zip(rows, deal) if d == b] for b in range(3)]
+    for b, part in enumerate(batches):
+        if part:
+            df = spark.createDataFrame(part, SCHEMA)
+            h.apply_batch(df, b)
+            if b == replay:
+                h.apply_batch(df, b)
+    assert rows_of(h.history()) == rows_of(apply_scd2(spark.createDataFrame(rows, SCHEMA),
+                                                      ["k"], "s", ["t"]))
