@@ -65,3 +65,19 @@ def test_raw_csv_drop_end_to_end(spark, scratch):
             [("K-1", 2, 51.0), ("K-2", 2, 80.0)]      # tie on quantity: SKU order
         hist = lh.history_orders.collect()
         assert len(hist) == 2 and all(r["__CURRENT"] for r in hist)
+
+
+def test_raw_csv_drop_materialized(spark, scratch):
+    from ledgerline.sources.files import read_table
+    root = local_path(scratch("drop2"))
+    make_drop(root)
+    lh = Lakehouse(RawCsvSource(spark, root))
+    paths = lh.materialize(scratch("lake"), only=("silver/orders__active", "gold/fact_orders",
+                                                  "gold/dim_products"))
+    assert lh.written_rows == {"silver/orders__active": 2, "gold/fact_orders": 2,
+                               "gold/dim_products": 2}
+    facts = read_table(spark, paths["gold/fact_orders"])
+    types = dict(facts.dtypes)
+    assert types["order_year"] == "int" and types["order_day"] == "int"
+    got = sorted((r.order_id, r.order_date, r.order_day) for r in facts.collect())
+    assert got == [(100, dt.date(2026, 5, 20), 20), (200, dt.date(2026, 6, 1), 1)]
