@@ -56,3 +56,8 @@ def test_query_matches_oracle(spark, con, name):
     ocols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(ocols)
     assert canon(df.columns, [tuple(r) for r in df.collect()]) == canon(ocols, cur.fetchall())
+
+
+def test_every_oracle_plans_in_duckdb(con):
+    for name, sql in E.oracle_sql().items():
+        con.execute("EXPLAIN " + sql)           # raises on any error
