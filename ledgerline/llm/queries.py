@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op3_minhash, op4_packing, op7_bpe, op9_binary, op10_sharding
+from . import op3_minhash, op4_packing, op7_bpe, op8_toxicity, op9_binary, op10_sharding
 
 
 def _vocabulary(name: str) -> str:
@@ -32,6 +32,11 @@ def op7_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
                           public_tokenizers.PATTERN)
 
 
+def op8_toxicity_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op8_toxicity.score_documents(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).drop("passages")
+
+
 def op10_sharding_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_sharding.assign(_table(spark, sf_dir, "documents"))
 
@@ -44,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_minhash_neardup": op3_minhash_neardup,
     "op4_packing_nnls": op4_packing_nnls,
     "op7_bpe_tree": op7_bpe_tree,
+    "op8_toxicity_segments": op8_toxicity_segments,
     "op9_binary_output": op9_binary_output,
     "op10_sharding_splitters": op10_sharding_splitters,
 }
