@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op3_minhash, op4_packing, op7_bpe, op8_toxicity, op9_binary, op10_sharding
+from . import op3_minhash, op4_packing, op6_quality, op7_bpe, op8_toxicity, op9_binary, op10_sharding
 
 
 def _vocabulary(name: str) -> str:
@@ -26,6 +26,10 @@ def op4_packing_nnls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_packing.digest(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
 
+def op6_quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_quality.judge(_table(spark, sf_dir, "documents"))
+
+
 def op7_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return op7_bpe.digest(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_multi_50k.tiktoken"),
@@ -48,6 +52,7 @@ def op9_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_minhash_neardup": op3_minhash_neardup,
     "op4_packing_nnls": op4_packing_nnls,
+    "op6_quality_perplexity": op6_quality_perplexity,
     "op7_bpe_tree": op7_bpe_tree,
     "op8_toxicity_segments": op8_toxicity_segments,
     "op9_binary_output": op9_binary_output,
