@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op3_minhash, op4_packing, op6_quality, op7_bpe, op8_toxicity, op9_binary, op10_sharding
+from . import (
+    op1_topk,
+    op2_linededup,
+    op3_minhash,
+    op4_packing,
+    op6_quality,
+    op7_bpe,
+    op8_toxicity,
+    op9_binary,
+    op10_sharding,
+)
 
 
 def _vocabulary(name: str) -> str:
@@ -18,6 +28,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_topk_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1_topk.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+def op2_linededup_patience(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_linededup.report(_table(spark, sf_dir, "documents"))
+
+
 def op3_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_minhash.near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=85)
 
@@ -50,6 +68,8 @@ def op9_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_topk_pivots": op1_topk_pivots,
+    "op2_linededup_patience": op2_linededup_patience,
     "op3_minhash_neardup": op3_minhash_neardup,
     "op4_packing_nnls": op4_packing_nnls,
     "op6_quality_perplexity": op6_quality_perplexity,
