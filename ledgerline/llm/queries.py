@@ -11,6 +11,7 @@ from . import (
     op2_linededup,
     op3_minhash,
     op4_packing,
+    op5_license,
     op6_quality,
     op7_bpe,
     op8_toxicity,
@@ -44,6 +45,10 @@ def op4_packing_nnls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_packing.digest(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_license.scan(_table(spark, sf_dir, "documents"))
+
+
 def op6_quality_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_quality.judge(_table(spark, sf_dir, "documents"))
 
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_linededup_patience": op2_linededup_patience,
     "op3_minhash_neardup": op3_minhash_neardup,
     "op4_packing_nnls": op4_packing_nnls,
+    "op5_license_scan": op5_license_scan,
     "op6_quality_perplexity": op6_quality_perplexity,
     "op7_bpe_tree": op7_bpe_tree,
     "op8_toxicity_segments": op8_toxicity_segments,
