@@ -88,17 +88,20 @@ def pairs(w: Column) -> Column:
                                     lambda a, b: F.concat_ws(" ", a, b))))
 
 
-def containment(w: Column, family: Column) -> Column:
-    """Largest share of a template's word pairs, over the family's templates."""
-    own = pairs(w)
-    out = F.lit(0.0)
+def shares(own: Column) -> dict[str, list[Column]]:
+    """By family, the share of each template's word pairs among the pairs ``own``."""
+    out = {}
     for name, texts in TEMPLATES.items():
-        best = []
-        for t in texts:
-            tw = t.split()
-            grams = sorted({f"{a} {b}" for a, b in zip(tw, tw[1:])})
-            best.append(F.size(F.array_intersect(own, F.array(*map(F.lit, grams)))) / float(len(grams)))
-        out = F.when(family == name, F.greatest(*best) if len(best) > 1 else best[0]).otherwise(out)
+        grams = [sorted({f"{a} {b}" for a, b in zip(t.split(), t.split()[1:])}) for t in texts]
+        out[name] = [F.size(F.array_intersect(own, F.array(*map(F.lit, g)))) / float(len(g)) for g in grams]
+    return out
+
+
+def containment(own: Column, family: Column) -> Column:
+    """Largest share over the family's templates."""
+    out = F.lit(0.0)
+    for name, found in shares(own).items():
+        out = F.when(family == name, F.greatest(*found) if len(found) > 1 else found[0]).otherwise(out)
     return out
 
 
@@ -106,7 +109,10 @@ def training_rows(docs: DataFrame) -> DataFrame:
     """words, label (index of CLASSES) and fold of the bounded training set."""
     spark = docs.sparkSession
     rows = docs.select(F.explode(paragraphs(F.col("text"))).alias("p"))
-    sample = rows.orderBy(F.xxhash64("p"), "p").limit(SAMPLE).select(F.xxhash64("p").alias("h"), words(F.col("p")).alias("words"))
+    sample = rows.orderBy(F.xxhash64("p"), "p").limit(SAMPLE).repartition(8).select(
+        F.xxhash64("p").alias("h"), words(F.col("p")).alias("words"))
+    # written, so that the pairs are computed once and not once per template
+    sample, _ = written(sample.withColumn("pairs", pairs(F.col("words"))), "op5-sample")
     table = [(c, t.split()) for c, texts in TEMPLATES.items() for t in texts]
     known = spark.createDataFrame(
         [(CLASSES.index(c), w, i * COPIES + j) for i, (c, w) in enumerate(table) for j in range(COPIES)],
@@ -120,7 +126,7 @@ def training_rows(docs: DataFrame) -> DataFrame:
             F.concat("template", F.slice(around, 1, 4))).alias("words"),
         "label", F.pmod(F.xxhash64("slot"), F.lit(2)).alias("fold"))
     # a sampled paragraph that holds most of a template is no example of none
-    similar = F.greatest(*[containment(F.col("words"), F.lit(c)) for c in TEMPLATES])
+    similar = F.greatest(*[x for found in shares(F.col("pairs")).values() for x in found])
     negative = sample.where(similar < 0.5).select("words", F.lit(0).alias("label"), F.pmod("h", F.lit(2)).alias("fold"))
     return positive.unionByName(negative)
 
@@ -130,8 +136,8 @@ def fit(docs: DataFrame):
     rows, path = written(training_rows(docs), "op5-training")
     model = Pipeline(stages=[
         NGram(n=2, inputCol="words", outputCol="grams"),
-        HashingTF(inputCol="words", outputCol="tf1", numFeatures=FEATURES),
-        HashingTF(inputCol="grams", outputCol="tf2", numFeatures=FEATURES),
+        HashingTF(inputCol="words", outputCol="tf1", numFeatures=FEATURES, binary=True),
+        HashingTF(inputCol="grams", outputCol="tf2", numFeatures=FEATURES, binary=True),
         VectorAssembler(inputCols=["tf1", "tf2"], outputCol="features"),
         LogisticRegression(featuresCol="features", labelCol="label", family="multinomial", maxIter=30, regParam=0.002),
     ]).fit(rows.where("fold = 0"))
@@ -160,8 +166,9 @@ def scan(docs: DataFrame) -> DataFrame:
         if name not in (NONE, "unknown"):
             limit = F.when(F.col("best") == name, F.lit(float(min(limits.get(i, 0.5), 0.9)))).otherwise(limit)
     sure = ~F.col("best").isin(NONE, "unknown") & (F.col("top") >= limit)
+    scored = scored.withColumn("pairs", F.when(F.col("is_paragraph") & sure, pairs(F.col("words"))))
     verdict = F.when(~F.col("is_paragraph") | (F.col("like") < LIKE), NONE).when(
-        sure & (containment(F.col("words"), F.col("best")) >= CONFIRM), F.col("best")).otherwise("unknown")
+        F.col("pairs").isNotNull() & (containment(F.col("pairs"), F.col("best")) >= CONFIRM), F.col("best")).otherwise("unknown")
     found = scored.select("doc_id", "is_paragraph", verdict.alias("verdict"))
     per = [F.sum(F.when(F.col("verdict") == c, 1).otherwise(0)).alias(f"n_{c}") for c in CLASSES[1:] if c != "unknown"]
     counted = found.groupBy("doc_id").agg(
