@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ledgerline.session import ensure_checkpoint_dir, scratch_path
 
 #: Rows per Arrow batch sent to Python: long texts stay a few MB a batch.
-BATCH_ROWS = 256
+BATCH_ROWS = 512
 #: Bytes of text hashed at a time.
 SEGMENT = 1 << 20
 

@@ -1,9 +1,10 @@
 """Token ids of whole texts by a public byte-level BPE, with a cache of words.
 
 The split pattern never lets a match run from a non-space character into white
-space, so the ids of a text are the ids of its white-space-led words end to
-end.  Words are looked up one by one and missing ones are encoded by the
-library in one call; a text with rare white space is encoded as a whole.
+space, nor from a letter into anything else, so the ids of a text are the ids
+of its pieces (white space with the letters or with the other characters after
+it) end to end.  Pieces are looked up one by one and missing ones are encoded
+by the library in one call; a text with rare characters is encoded as a whole.
 """
 
 from __future__ import annotations
@@ -17,11 +18,13 @@ import numpy as np
 CACHE_WORDS = 300_000
 ID_BYTES = 4
 
-#: A run of plain white space with the word after it.
-_PIECE = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
 _LEAD = " \n\t\r"
-#: Other white space, which could join a plain run.
-_RARE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Letters below U+0250.
+_LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+#: A run of plain white space with the letters after it, or with what starts otherwise, or alone.
+_PIECE = re.compile(rf"[{_LEAD}]*[{_LETTERS}]+|[{_LEAD}]*[^{_LEAD}{_LETTERS}][^{_LEAD}]*|[{_LEAD}]+")
+#: Other white space, which could join a plain run, and characters that may be further letters.
+_RARE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u0250-\U0010ffff]")
 
 _loaded: dict[str, "WordCacheEncoder"] = {}
 
@@ -32,6 +35,9 @@ class WordCacheEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.id_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)  # the vocabulary spells a byte as one character
+        self.id_bytes[list(vocabulary.values())] = [len(t) for t in vocabulary]
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -46,11 +52,12 @@ class WordCacheEncoder:
         out = dict(zip(other, self._library(other))) if other else {}
         for at in range(0, len(led), 1024):
             part = led[at:at + 1024]
-            found = self.tokenizer.encode("".join(part), add_special_tokens=False)
-            ids = np.array(found.ids, "<u4").tobytes()
-            ends = np.cumsum([len(w) for w in part])
-            cut = np.searchsorted([a for a, _ in found.offsets], ends) * ID_BYTES
-            out.update(zip(part, (ids[a:b] for a, b in zip([0, *cut[:-1].tolist()], cut.tolist()))))
+            found = self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids
+            found = np.array(found, "<u4")
+            ends = np.cumsum([len(w.encode()) for w in part])
+            cut = ((np.searchsorted(np.cumsum(self.id_bytes[found]), ends) + 1) * ID_BYTES).tolist()
+            ids = found.tobytes()
+            out.update(zip(part, (ids[a:b] for a, b in zip([0, *cut[:-1]], cut))))
         return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
