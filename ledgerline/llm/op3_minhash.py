@@ -5,13 +5,17 @@
    The number of bands is set so that a pair at the threshold shares no band
    with a probability of at most ``MISS``.
 2. Documents with equal sets form a class, represented by its least doc_id.
-3. Candidates are pairs of representatives in one bucket.  First each bucket's
-   least member is compared with all others.  While a bucket still touches
+3. Candidates are pairs of representatives in one bucket.  Members are ranked
+   by how many others they meet in all their buckets, so the text that a group
+   was copied from comes first.  First each bucket's first member is compared
+   with all others.  While a bucket still touches
    several components, members outside its largest component are compared with
    all members, a growing number a round, until the bucket is connected or all
    of those members have had their turn.  So every pair of a bucket is either
    compared or already connected, and a group of n near copies costs about n
    comparisons, not n squared.
+   Two counts rule a pair out before it is formed: set sizes, and in large
+   buckets the number of shingles that no other member of a large bucket has.
 4. A candidate whose signatures agree too little (six standard errors below
    the threshold) is dropped; the others are confirmed on their full sets.
 5. Components by alternating large-star and small-star.
@@ -143,6 +147,26 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def _lone_shingles(docs: DataFrame, reps: DataFrame, k: int) -> DataFrame:
+    """rep and lone: how many of its shingles no other text of ``reps`` has."""
+
+    def run(source):
+        for batch in batches(source):
+            values, counts = text_shingles(batch.column(1), k)
+            own = np.cumsum(counts)
+            sets = [np.unique(values[b - n:b]) for n, b in zip(counts, own)]
+            if len(values):
+                yield pa.RecordBatch.from_pydict({
+                    "rep": pa.array(np.repeat(batch.column(0).to_numpy(), [len(s) for s in sets])),
+                    "shingle": pa.array(np.concatenate(sets).view(np.int64))})
+
+    texts = need(docs, "doc_id", "text").join(reps, F.col("doc_id") == F.col("rep"), "left_semi").groupBy("doc_id").agg(
+        F.max("text").alias("text"))
+    found = texts.mapInArrow(run, "rep long, shingle long").groupBy("shingle").agg(
+        F.count("*").alias("texts"), F.min("rep").alias("rep")).where("texts = 1")
+    return found.groupBy("rep").agg(F.count("*").alias("lone"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document."""
     spark = docs.sparkSession
@@ -154,8 +178,21 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame
     classes, _ = written(classes, "op3-classes")
 
     rows = classes.select("rep", F.explode("bands").alias("bucket"))
-    sizes = rows.groupBy("bucket").agg(F.count("*").alias("size"), F.min("rep").alias("first")).where("size > 1")
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     members, members_path = written(rows.join(sizes, "bucket"), "op3-buckets")
+    # the centre of a group meets more of it, in more buckets, than the group's other members do
+    degree = members.groupBy("rep").agg(F.sum("size").alias("degree"))
+    members = members.join(degree, "rep").join(classes.select("rep", F.col("n_shingles").alias("n")), "rep")
+    own = _lone_shingles(docs, members.where(F.col("size") > SMALL).select("rep").distinct(), k)
+    members = members.join(own, "rep", "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
+    members, ranked_path = written(members, "op3-ranked")
+    drop_written(spark, members_path)
+    members_path = ranked_path
+    hub = members.groupBy("bucket").agg(F.max_by(F.struct(
+        F.col("rep").alias("a"), F.col("n").alias("na"), F.col("lone").alias("la")), F.struct("degree", "rep")).alias("hub"))
+    # a lone shingle is in no intersection, and in every union
+    possible = 100 * F.least(F.col("n") - F.col("lone"), F.col("na") - F.col("la")) >= percent * F.greatest(
+        F.col("n") + F.col("la"), F.col("na") + F.col("lone"))
 
     bands = band_count(threshold)
     n = bands * ROWS
@@ -178,28 +215,31 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame
         links = found if links is None else links.union(found)
         return links
 
-    confirm(members.where("rep != first").select(F.col("first").alias("a"), F.col("rep").alias("b")))
+    confirm(members.join(hub, "bucket").select("rep", "n", "lone", "hub.*").where(
+        (F.col("rep") != F.col("a")) & possible).select("a", F.col("rep").alias("b")))
     turns, done = TURNS, None
     while True:
         component = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
         here = members.join(component, members["rep"] == component["node"], "left").select(
-            "bucket", "rep", "size", F.coalesce("component", "rep").alias("component"))
+            "bucket", "rep", "size", "degree", "n", "lone", F.coalesce("component", "rep").alias("component"))
         per = here.groupBy("bucket", "component").agg(F.count("*").alias("n"))
         main = per.groupBy("bucket").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main"))
         open_, open_path = written(here.join(main.where("parts > 1"), "bucket"), "op3-open")
         paths.append(open_path)
-        waiting = open_.where("component != main").select("bucket", "rep", "size", "component")
+        waiting = open_.where("component != main").select("bucket", "rep", "size", "degree", "n", "lone", "component")
         if done is not None:
             waiting = waiting.join(done, ["bucket", "rep"], "left_anti")
-        turn = W.partitionBy("bucket").orderBy(F.xxhash64("rep"), "rep")
+        turn = W.partitionBy("bucket").orderBy(F.desc("degree"), "rep")
         hubs = waiting.where(F.col("size") <= SMALL).union(
             waiting.where(F.col("size") > SMALL).withColumn("turn", F.row_number().over(turn)).where(
                 F.col("turn") <= turns).drop("turn"))
-        hubs, hubs_path = written(hubs.select("bucket", F.col("rep").alias("a"), F.col("component").alias("ca")), "op3-hubs")
+        hubs, hubs_path = written(hubs.select("bucket", F.col("rep").alias("a"), F.col("component").alias("ca"),
+                                              F.col("n").alias("na"), F.col("lone").alias("la")), "op3-hubs")
         paths.append(hubs_path)
         if hubs.isEmpty():
             break
-        pairs = open_.join(hubs, "bucket").where("component != ca").select("a", F.col("rep").alias("b"))
+        pairs = open_.join(hubs, "bucket").where((F.col("component") != F.col("ca")) & possible).select(
+            "a", F.col("rep").alias("b"))
         confirm(pairs)
         taken = hubs.select("bucket", F.col("a").alias("rep"))
         done = taken if done is None else done.union(taken)
