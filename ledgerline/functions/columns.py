@@ -60,11 +60,6 @@ def line_value(quantity: str = "quantity", price: str = "unit_price") -> Column:
     return F.col(quantity).cast(T.DecimalType(12, 0)) * money(price)
 
 
-def money_avg(c: Column) -> Column:
-    """``round(avg(c), 2)`` computed on exact cents, HALF_UP, as double."""
-    return F.round(F.sum(money(c)) / F.count(c), 2).cast(T.DoubleType())
-
-
 def to_utc_columns(df: DataFrame, source_zone: str = "UTC",
                    include_ntz: bool = True) -> DataFrame:
     """Shift every timestamp column from ``source_zone`` wall clock to UTC.

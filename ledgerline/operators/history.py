@@ -18,29 +18,47 @@ def current_state(history: DataFrame, columns: Sequence[str] | None = None) -> D
     return cur.select(*columns) if columns else cur
 
 
+def latest_state(changes: DataFrame, keys: Sequence[str], sequence_by: str) -> DataFrame:
+    """The last change row of every key of a feed: the values of its current version.
+
+    One aggregation with map-side combine: no window, no sampling job, and a
+    hot key is reduced inside every map task.  Equal sequences resolve like
+    the history's rule 1 (largest struct of the other columns); rows without a
+    sequence value are dropped.  Column order is that of ``changes``.
+    """
+    keys = list(keys)
+    rest = [c for c in changes.columns if c not in keys and c != sequence_by]
+    last = (changes.where(F.col(sequence_by).isNotNull())
+            .groupBy(*keys).agg(F.max(F.struct(sequence_by, *rest)).alias("_last")))
+    return last.select(*[F.col(c) if c in keys else F.col("_last")[c].alias(c)
+                         for c in changes.columns])
+
+
 def version_history(history: DataFrame, key: str, columns: Sequence[str],
                     key_value=None) -> DataFrame:
     """Versions with a 'Current Version' / 'Historical Version' label.
 
     ``key_value`` restricts to one key (the filter on the partitioning key
-    is pushed below the history window by Catalyst).
+    is pushed below the history window by Catalyst) and sorts its versions;
+    without it all keys are returned, unsorted.
     """
     df = history if key_value is None else history.where(F.col(key) == F.lit(key_value))
     label = F.when(F.col(CURRENT), F.lit("Current Version")) \
              .otherwise(F.lit("Historical Version"))
-    return df.select(*columns, START_AT, END_AT, CURRENT, label.alias("version_type")) \
-             .orderBy(key, START_AT)
+    out = df.select(*columns, START_AT, END_AT, CURRENT, label.alias("version_type"))
+    return out if key_value is None else out.orderBy(START_AT)
 
 
 def change_log(history: DataFrame, key: str, columns: Sequence[str],
                key_value=None) -> DataFrame:
     """Versions as a change log: ``status_changed_at``, ``status_valid_until``,
-    ``is_current``."""
+    ``is_current``; sorted only for a single key."""
     df = history if key_value is None else history.where(F.col(key) == F.lit(key_value))
-    return df.select(*columns,
-                     F.col(START_AT).alias("status_changed_at"),
-                     F.col(END_AT).alias("status_valid_until"),
-                     F.col(CURRENT).alias("is_current")).orderBy(key, "status_changed_at")
+    out = df.select(*columns,
+                    F.col(START_AT).alias("status_changed_at"),
+                    F.col(END_AT).alias("status_valid_until"),
+                    F.col(CURRENT).alias("is_current"))
+    return out if key_value is None else out.orderBy("status_changed_at")
 
 
 def instant_literal(when: dt.datetime | str, dtype) -> "F.Column":

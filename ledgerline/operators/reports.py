@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from ledgerline.functions.columns import line_value, money
 from ledgerline.functions.constants import CANCELLED, DELIVERED, CURRENT
-from ledgerline.functions.dates import previous_month, rolling_window_predicate
+from ledgerline.functions.dates import month_key, previous_month, rolling_window_predicate
 
 DEFAULT_TOP = 10
 
@@ -75,10 +75,6 @@ def product_sales(items: DataFrame, orders: DataFrame, order_filter: Column,
     )
 
 
-def _avg_price(sales: DataFrame) -> Column:
-    return sales["price_sum"] / sales["price_count"]
-
-
 def top_products(items: DataFrame, orders: DataFrame, products: DataFrame,
                  order_filter: Column, top: int = DEFAULT_TOP,
                  with_avg_price: bool = False,
@@ -135,7 +131,14 @@ def top_delivered(items: DataFrame, orders: DataFrame, products: DataFrame,
 
 def orders_since(orders: DataFrame, since: dt.date | str,
                  columns=("order_id", "order_status", "total_amount")) -> DataFrame:
-    """Orders with ``order_date >= since`` (a history table: add current_only)."""
+    """Orders with ``order_date >= since`` (a history table: add current_only).
+
+    On a table with order_year/order_month the implied month bound is stated
+    too, so a partitioned scan skips earlier months.
+    """
     if isinstance(since, str):
         since = dt.date.fromisoformat(since)
-    return orders.where(F.col("order_date") >= F.lit(since)).select(*columns)
+    recent = F.col("order_date") >= F.lit(since)
+    if {"order_year", "order_month"} <= set(orders.columns):
+        recent = recent & (month_key("order_year", "order_month") >= since.year * 100 + since.month)
+    return orders.where(recent).select(*columns)

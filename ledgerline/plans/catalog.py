@@ -363,7 +363,7 @@ def filter_orders_since(spark, sf):
     SELECT order_id, order_status, total_amount FROM h_orders
     WHERE order_date >= {O._d(SINCE)} AND __CURRENT""")
 def filter_current_orders_since(spark, sf):
-    return R.orders_since(R.current_only(lake(spark, sf).history_orders), SINCE)
+    return R.orders_since(lake(spark, sf).current_orders, SINCE)
 
 
 # --------------------------------------------------------------------------
@@ -465,8 +465,7 @@ _CUR_ORDERS = "(SELECT * FROM h_orders WHERE __CURRENT)"
 
 def _scd_inputs(spark, sf):
     lh = lake(spark, sf)
-    return (R.current_only(lh.history_order_items), R.current_only(lh.history_orders),
-            lh.pipeline_dim_products)
+    return lh.current_order_items, lh.current_orders, lh.pipeline_dim_products
 
 
 @register("report_scd2_top10_30d", _top_sql(
@@ -494,7 +493,10 @@ def report_scd2_top10_prev_month(spark, sf):
 @register("report_scd2_category_prev_month", _category_sql(
     _sales_sql(_CUR_ITEMS, _CUR_ORDERS, _prev_month()), "pipeline_dim_products", True))
 def report_scd2_category_prev_month(spark, sf):
-    items, orders, dims = _scd_inputs(spark, sf)
+    """The one report that reads the current versions of real history tables."""
+    lh = lake(spark, sf)
+    items, orders, dims = (R.current_only(lh.history_order_items), R.current_only(lh.history_orders),
+                           lh.pipeline_dim_products)
     return R.category_sales(items, orders, dims, R.previous_calendar_month(AS_OF),
                             with_avg_price=True)
 
@@ -532,18 +534,15 @@ _CUR_ITEM_COLS = ["order_item_id", "order_id", "product_sku", "quantity", "unit_
 
 
 @register("scd2_current_orders", f"""
-    SELECT {', '.join(_CUR_ORDER_COLS)} FROM h_orders WHERE __CURRENT
-    ORDER BY order_date DESC, order_id""")
+    SELECT {', '.join(_CUR_ORDER_COLS)} FROM h_orders WHERE __CURRENT""")
 def scd2_current_orders(spark, sf):
-    cur = H.current_state(lake(spark, sf).history_orders, _CUR_ORDER_COLS)
-    return cur.orderBy(F.col("order_date").desc(), "order_id")
+    return lake(spark, sf).current_orders.select(*_CUR_ORDER_COLS)
 
 
 @register("scd2_current_items", f"""
-    SELECT {', '.join(_CUR_ITEM_COLS)} FROM h_items WHERE __CURRENT ORDER BY order_item_id""")
+    SELECT {', '.join(_CUR_ITEM_COLS)} FROM h_items WHERE __CURRENT""")
 def scd2_current_items(spark, sf):
-    cur = H.current_state(lake(spark, sf).history_order_items, _CUR_ITEM_COLS)
-    return cur.orderBy("order_item_id")
+    return lake(spark, sf).current_order_items.select(*_CUR_ITEM_COLS)
 
 
 @register("scd2_current_join", """
@@ -552,15 +551,15 @@ def scd2_current_items(spark, sf):
     FROM h_orders o JOIN h_items i ON o.order_id = i.order_id AND o.__CURRENT AND i.__CURRENT""")
 def scd2_current_join(spark, sf):
     lh = lake(spark, sf)
-    return H.current_join(lh.history_orders, lh.history_order_items, "order_id").select(
-        "order_id", F.col("l.order_status"), F.col("l.order_date"), F.col("r.order_item_id"),
-        F.col("r.product_sku"), F.col("r.item_status"), F.col("r.quantity"))
+    orders = lh.current_orders.select("order_id", "order_status", "order_date")
+    items = lh.current_order_items.select("order_id", "order_item_id", "product_sku", "item_status", "quantity")
+    return orders.join(items, "order_id")
 
 
 @register("scd2_order_history", """
     SELECT order_id, order_status, total_amount, __START_AT, __END_AT, __CURRENT,
            CASE WHEN __CURRENT THEN 'Current Version' ELSE 'Historical Version' END AS version_type
-    FROM h_orders ORDER BY order_id, __START_AT""")
+    FROM h_orders""")
 def scd2_order_history(spark, sf):
     return H.version_history(lake(spark, sf).history_orders, "order_id",
                              ["order_id", "order_status", "total_amount"])
@@ -569,12 +568,48 @@ def scd2_order_history(spark, sf):
 @register("scd2_item_history", """
     SELECT order_item_id, item_status, quantity, unit_price, __START_AT AS status_changed_at,
            __END_AT AS status_valid_until, __CURRENT AS is_current
-    FROM h_items ORDER BY order_item_id, __START_AT""")
+    FROM h_items""")
 def scd2_item_history(spark, sf):
     return H.change_log(lake(spark, sf).history_order_items, "order_item_id",
                         ["order_item_id", "item_status", "quantity", "unit_price"])
 
 
+# Single-key lookups: the key filter reaches the feed's scan, so no sampling
+# job plans a split (rows_per_chunk=0): one key's rows are one window group.
+LOOKUP_ORDER = 7
+
+
+@register("scd2_order_lookup", f"""
+    SELECT order_id, order_status, total_amount, __START_AT, __END_AT, __CURRENT,
+           CASE WHEN __CURRENT THEN 'Current Version' ELSE 'Historical Version' END AS version_type
+    FROM h_orders WHERE order_id = {LOOKUP_ORDER} ORDER BY __START_AT""")
+def scd2_order_lookup(spark, sf):
+    lh = lake(spark, sf, scd_options={"rows_per_chunk": 0})
+    return H.version_history(lh.history_orders, "order_id",
+                             ["order_id", "order_status", "total_amount"], key_value=LOOKUP_ORDER)
+
+
+@register("scd2_item_lookup", f"""
+    SELECT order_item_id, item_status, quantity, unit_price, __START_AT AS status_changed_at,
+           __END_AT AS status_valid_until, __CURRENT AS is_current
+    FROM h_items WHERE order_item_id = (SELECT min(order_item_id) FROM h_items)
+    ORDER BY __START_AT""")
+def scd2_item_lookup(spark, sf):
+    lh = lake(spark, sf, scd_options={"rows_per_chunk": 0})
+    first = lh.stage_fact_order_items.agg(F.min("order_item_id")).first()[0]
+    return H.change_log(lh.history_order_items, "order_item_id",
+                        ["order_item_id", "item_status", "quantity", "unit_price"], key_value=first)
+
+
+@register("scd2_orders_except", """
+    SELECT order_id, order_date, order_status, total_amount, updated_at, order_year, order_month,
+           order_day, __START_AT, __END_AT, __CURRENT FROM h_orders""")
+def scd2_orders_except(spark, sf):
+    from ledgerline.operators.scd2 import apply_scd2
+    return apply_scd2(lake(spark, sf).stage_fact_orders, ["order_id"], "updated_at",
+                      ["order_status", "total_amount"], except_columns=["customer_id"])
+
+
 @register("scd2_as_of", f"""
     SELECT order_id, customer_id, order_status, total_amount, __START_AT AS valid_from,
            __END_AT AS valid_to

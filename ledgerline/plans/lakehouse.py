@@ -15,6 +15,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from ledgerline.operators import gold, silver
+from ledgerline.operators.history import latest_state
 from ledgerline.operators.scd2 import apply_scd2
 from ledgerline.sources.model import OrderModel
 
@@ -145,6 +146,15 @@ class Lakehouse:
         return apply_scd2(self.model.events(), keys=["user_id"], sequence_by="ts",
                           track_history=["event_type"], **self.scd_options)
 
+    # -- latest state: the current versions' values without their history ----
+    @property
+    def current_orders(self) -> DataFrame:
+        return latest_state(self.stage_fact_orders, ["order_id"], "updated_at")
+
+    @property
+    def current_order_items(self) -> DataFrame:
+        return latest_state(self.stage_fact_order_items, ["order_item_id"], "updated_at")
+
     # -- materialization ---------------------------------------------------
     def materialize_catalog(self, database: str, buckets: int = 64,
                             fmt: str = "parquet", partition_facts: bool = False) -> dict[str, str]:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -113,6 +112,3 @@ def local_path(path: str) -> str:
     """Strip a ``file:`` scheme (used only by tests that inspect files)."""
     return path[len("file:"):] if path.startswith("file:") else path
 
-
-def is_local(path: str) -> bool:
-    return path.startswith("file:") or path.startswith("/") or os.path.isabs(path)

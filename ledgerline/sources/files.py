@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              infer: bool = False, header: bool = True,
              partition_columns: Sequence[str] = (),
-             timestamp_format: str | None = None) -> DataFrame:
+             timestamp_format: str | None = None, mode: str | None = None) -> DataFrame:
     """Read one CSV file, a folder of them, or Hive-style ``k=v`` folders.
 
     With ``schema`` the read is a single pass and typed; ``infer=True`` keeps
@@ -20,6 +20,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     types are taken as int.
     """
     reader = spark.read.option("header", header)
+    if mode:
+        reader = reader.option("mode", mode)
     if timestamp_format:
         reader = reader.option("timestampFormat", timestamp_format)
     if schema is not None:

@@ -37,7 +37,13 @@ class RawCsvSource:
     """Raw tables of one CSV drop, with the methods ``Lakehouse`` expects."""
 
     def __init__(self, spark: SparkSession, root: str, infer: bool = False,
-                 timestamp_format: str = ZONED_TIMESTAMP):
+                 timestamp_format: str = ZONED_TIMESTAMP, on_bad: str = "fail"):
+        """``on_bad``: ``fail`` stops a typed read at a field that does not
+        parse; ``null`` keeps the row with NULL there (count them with
+        ``count_null_sequences`` before building a history)."""
+        if on_bad not in ("fail", "null"):
+            raise ValueError("on_bad must be 'fail' or 'null'")
+        self.on_bad = on_bad
         self.spark = spark
         self.root = root.rstrip("/")
         self.infer = infer
@@ -48,7 +54,8 @@ class RawCsvSource:
         parts = schemas.ARRIVAL_PARTITIONS if partitioned else ()
         reader_schema = None if self.infer else _instants(schema)
         df = read_csv(self.spark, path, schema=reader_schema, infer=self.infer,
-                      partition_columns=parts, timestamp_format=self.timestamp_format)
+                      partition_columns=parts, timestamp_format=self.timestamp_format,
+                      mode="FAILFAST" if self.on_bad == "fail" and not self.infer else None)
         return df
 
     def status(self) -> DataFrame:

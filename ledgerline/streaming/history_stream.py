@@ -3,19 +3,25 @@
 Storage: two append-only folders under ``root``.
 
 * ``log/batch_id=N/scd_bucket=b``: every change row received, as received.
-* ``history/batch_id=N/scd_bucket=b``: for each key that batch N touched, the
+* ``history/batch_id=N/scd_bucket=b``: for each key that commit N touched, the
   complete set of its versions, rebuilt from the log.
 
-``apply_batch(batch, N)`` (the ``foreachBatch`` function):
+N is a commit number that only grows.  ``_commits/N=run,batch`` records which
+run (a stream checkpoint) and micro-batch it belongs to before anything is
+written, so a replayed batch finds its own number and replaces itself, and a
+stream restarted with a new checkpoint (batch ids from 0 again) gets new
+numbers and never overwrites earlier commits.  A folder counts only once it
+holds ``_SUCCESS``, which the writer's job commit leaves last.
 
-1. writes the batch to ``log/batch_id=N`` in overwrite mode, so a replayed
-   batch replaces itself instead of duplicating rows;
+``apply_batch(batch, id, run)`` (the ``foreachBatch`` function):
+
+1. writes the batch to its log folder in overwrite mode;
 2. takes the batch's distinct keys (a DataFrame, never collected) and reads
-   the log rows of those keys only: the touched ``scd_bucket`` folders are
-   pruned by name (at most ``buckets`` values are listed) and a null-safe
-   semi-join keeps the touched keys;
-3. rebuilds their versions with ``apply_scd2`` and writes them to
-   ``history/batch_id=N`` (overwrite, so replay-safe).
+   the log rows of those keys: the touched ``scd_bucket`` folders are pruned
+   by name (at most ``buckets`` values are listed) and a null-safe semi-join
+   keeps the touched keys;
+3. rebuilds their versions with ``apply_scd2`` and writes them to the history
+   folder of the same number.
 
 ``history()`` resolves merge-on-read: per key, the versions of the latest
 batch that touched it (an aggregate of max batch per key joined back; AQE
@@ -23,16 +29,18 @@ splits a skewed key in that join).  Late rows are placed by sequence because
 the rebuild reads the log, not the collapsed history: collapsed A@1, A@4, A@5
 must become A[1,3) B[3,4) A[4,inf) when B@3 arrives.
 
-Per batch, shuffle and window work grow with the rows of the touched keys,
-not with the whole table; the log scan is columnar and bucket-pruned.
-``compact_log`` and ``compact_history`` fold old batches into one folder each
-(published by rename before the old folders are deleted: a crash leaves
-duplicates that resolve to the same result, never a gap).  ``foreachBatch``
-is at-least-once; every step is idempotent, so the end state is exactly-once.
+Per batch, shuffle and window work grow with the rows of the touched keys; the
+log of the touched buckets is scanned, which for batches that touch all buckets
+is the whole log.  ``compact_log`` and ``compact_history`` fold old commits into
+a new folder below all others, and delete the old ones only after it is
+committed, oldest first, so that at every moment each key's newest surviving
+commit is complete.  ``foreachBatch`` is at-least-once; every step is
+idempotent, so the end state is exactly-once.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,6 +73,7 @@ class ChangeLogHistory:
         self.buckets = buckets
         self.fmt = fmt
         self.scd_options = scd_options
+        self._run = "direct"  # until ``start`` takes the checkpoint's
 
     @property
     def log_path(self) -> str:
@@ -91,6 +100,49 @@ class ChangeLogHistory:
         names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
         return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith(f"{prefix}="))
 
+    def _committed(self, folder: str) -> list[int]:
+        """Commit numbers of ``folder`` whose write has finished."""
+        out = []
+        for n in self._children(folder, BATCH):
+            done, fs = self._fs(f"{folder}/{BATCH}={n}/_SUCCESS")
+            if fs.exists(done):
+                out.append(n)
+        return out
+
+    def _load(self, folder: str, commits: Sequence[int]) -> DataFrame:
+        return (self.spark.read.format(self.fmt).option("basePath", folder)
+                .load([f"{folder}/{BATCH}={n}" for n in commits]))
+
+    def _commit_number(self, run: str, batch_id: int) -> int:
+        """The number of this run's micro-batch: its own if it was begun before, else the next one."""
+        owner = f"{run},{batch_id}"
+        p, fs = self._fs(f"{self.root}/_commits")
+        known = {}
+        if fs.exists(p):
+            for st in fs.listStatus(p):
+                number, _, who = st.getPath().getName().partition("=")
+                known[who] = int(number)
+        if owner in known:
+            return known[owner]
+        taken = [*known.values(), *self._children(self.log_path, BATCH),
+                 *self._children(self.history_path, BATCH), -1]
+        number = max(taken) + 1
+        marker, _ = self._fs(f"{self.root}/_commits/{number}={owner}")
+        if not fs.mkdirs(marker):
+            raise RuntimeError(f"could not record commit {number}")
+        return number
+
+    def _run_of(self, checkpoint: str) -> str:
+        """The id kept beside a stream checkpoint; a new checkpoint gets a new one."""
+        p, fs = self._fs(f"{checkpoint}/_history_run")
+        if fs.exists(p):
+            return fs.listStatus(p)[0].getPath().getName()
+        run = uuid.uuid4().hex
+        marker, _ = self._fs(f"{checkpoint}/_history_run/{run}")
+        if not fs.mkdirs(marker):
+            raise RuntimeError(f"could not record the run of {checkpoint}")
+        return run
+
     def _touched_buckets(self, batch_dir: str) -> list[int]:
         try:
             return self._children(batch_dir, BUCKET)
@@ -109,15 +161,16 @@ class ChangeLogHistory:
            .write.format(self.fmt).mode("overwrite").partitionBy(BUCKET).save(folder))
 
     # -- the foreachBatch function --------------------------------------------
-    def apply_batch(self, batch: DataFrame, batch_id: int) -> None:
-        batch_dir = f"{self.log_path}/{BATCH}={batch_id}"
+    def apply_batch(self, batch: DataFrame, batch_id: int, run: str | None = None) -> None:
+        number = self._commit_number(run or self._run, batch_id)
+        batch_dir = f"{self.log_path}/{BATCH}={number}"
         self._write(batch, batch_dir)
         touched = self._touched_buckets(batch_dir)
         if not touched:
             return
         batch_keys = (self.spark.read.format(self.fmt).load(batch_dir)
                       .select(*self.keys).distinct())
-        bucket_log = (self.spark.read.format(self.fmt).load(self.log_path)
+        bucket_log = (self._load(self.log_path, self._committed(self.log_path))
                       .where(F.col(BUCKET).isin(touched)).drop(BATCH, BUCKET))
         log = _null_safe_semi(bucket_log, batch_keys, self.keys)
         opts = dict(self.scd_options)
@@ -125,13 +178,17 @@ class ChangeLogHistory:
         # plain scan: sample it for hot keys instead of the semi-join
         opts.setdefault("sample_source", bucket_log)
         versions = apply_scd2(log, self.keys, self.sequence_by, self.track_history, **opts)
-        self._write(versions, f"{self.history_path}/{BATCH}={batch_id}")
+        self._write(versions, f"{self.history_path}/{BATCH}={number}")
 
     def history(self) -> DataFrame:
         """Current content: per key, the versions of its latest batch."""
-        if not self._children(self.history_path, BATCH):
+        commits = self._committed(self.history_path)
+        if not commits:
             raise ValueError(f"no batch has been applied to {self.root} yet")
-        h = self.spark.read.format(self.fmt).load(self.history_path)
+        return self._resolved(self._load(self.history_path, commits))
+
+    def _resolved(self, h: DataFrame) -> DataFrame:
+        """Per key, the versions of its latest commit in ``h``."""
         latest = h.groupBy(*self.keys).agg(F.max(BATCH).alias("_latest"))
         latest = latest.select(*[F.col(k).alias(f"_l_{k}") for k in self.keys], "_latest")
         cond = F.col(BATCH) == F.col("_latest")
@@ -141,49 +198,37 @@ class ChangeLogHistory:
                  .drop(BATCH, BUCKET, "_latest", *[f"_l_{k}" for k in self.keys]))
 
     # -- compaction ---------------------------------------------------------
-    def _publish(self, df: DataFrame, folder: str, upto: int, old: list[int]) -> str:
-        staging = f"{folder}/_compacting-{upto}"
-        target = f"{folder}/{BATCH}=-{upto}"
-        self._write(df, staging)
-        src, fs = self._fs(staging)
-        dst, _ = self._fs(target)
-        if fs.exists(dst):
-            fs.delete(dst, True)      # an earlier compaction to the same id, superseded
-        if not fs.rename(src, dst):
-            raise RuntimeError(f"could not publish {target}")
-        for b in old:
-            if b != -upto:
-                p, _ = self._fs(f"{folder}/{BATCH}={b}")
-                fs.delete(p, True)
+    def _publish(self, df: DataFrame, folder: str, old: list[int]) -> str:
+        """Write ``df`` as a new commit below all others, then delete ``old``.
+
+        Deletes go from the logically oldest: earlier compactions (least
+        negative first, each newer one lies lower), then batches in order.
+        """
+        target = f"{folder}/{BATCH}={min([0, *self._children(folder, BATCH)]) - 1}"
+        self._write(df, target)
+        for b in sorted(old, key=lambda n: (n >= 0, abs(n))):
+            p, fs = self._fs(f"{folder}/{BATCH}={b}")
+            if not fs.delete(p, True):
+                raise RuntimeError(f"could not delete {p}; repeat the compaction")
         return target
 
-    def compact_log(self, upto_batch_id: int) -> str:
-        """Fold log batches ``<= upto_batch_id`` into ``batch_id=-upto``,
-        reduced by rule 1 (all a rebuild reads)."""
-        old = [b for b in self._children(self.log_path, BATCH) if b <= upto_batch_id]
+    def compact_log(self, upto_commit: int) -> str:
+        """Fold log commits ``<= upto_commit`` into one, reduced by rule 1 (all a rebuild reads)."""
+        old = [b for b in self._committed(self.log_path) if b <= upto_commit]
         if not old:
             return ""
-        log = (self.spark.read.format(self.fmt).load(self.log_path)
-               .where(F.col(BATCH).isin(old)).drop(BATCH, BUCKET))
-        reduced = deduplicate_changes(log, self.keys, self.sequence_by)
-        return self._publish(reduced, self.log_path, upto_batch_id, old)
-
-    def compact_history(self, upto_batch_id: int) -> str:
-        """Fold history deltas ``<= upto_batch_id`` into ``batch_id=-upto``
-        (keys later batches touched still resolve to those batches)."""
-        old = [b for b in self._children(self.history_path, BATCH) if b <= upto_batch_id]
+        log = self._load(self.log_path, old).drop(BATCH, BUCKET)
+        return self._publish(deduplicate_changes(log, self.keys, self.sequence_by),
+                             self.log_path, old)
+
+    def compact_history(self, upto_commit: int) -> str:
+        """Fold history commits ``<= upto_commit`` into one (keys that later
+        commits touched still resolve to those)."""
+        old = [b for b in self._committed(self.history_path) if b <= upto_commit]
         if not old:
             return ""
-        h = (self.spark.read.format(self.fmt).load(self.history_path)
-             .where(F.col(BATCH).isin(old)))
-        latest = h.groupBy(*self.keys).agg(F.max(BATCH).alias("_latest"))
-        latest = latest.select(*[F.col(k).alias(f"_l_{k}") for k in self.keys], "_latest")
-        cond = F.col(BATCH) == F.col("_latest")
-        for k in self.keys:
-            cond = cond & h[k].eqNullSafe(latest[f"_l_{k}"])
-        resolved = (h.join(latest, cond, "inner")
-                     .drop(BATCH, BUCKET, "_latest", *[f"_l_{k}" for k in self.keys]))
-        return self._publish(resolved, self.history_path, upto_batch_id, old)
+        return self._publish(self._resolved(self._load(self.history_path, old)),
+                             self.history_path, old)
 
     compact = compact_log
 
@@ -191,8 +236,10 @@ class ChangeLogHistory:
     def start(self, changes: DataFrame, checkpoint: str | None = None,
               available_now: bool = True, processing_time: str | None = None):
         """Start a streaming query feeding ``changes`` (a streaming DataFrame)."""
+        checkpoint = checkpoint or f"{self.root}/_checkpoint"
+        self._run = self._run_of(checkpoint)
         writer = (changes.writeStream.foreachBatch(self.apply_batch)
-                  .option("checkpointLocation", checkpoint or f"{self.root}/_checkpoint"))
+                  .option("checkpointLocation", checkpoint))
         if available_now:
             writer = writer.trigger(availableNow=True)
         elif processing_time:

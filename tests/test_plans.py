@@ -92,3 +92,19 @@ def test_bucketed_facts_join_without_shuffle(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_latest_state_queries_have_no_window(spark):
+    import __spark_entry__ as E
+    for name in ("report_scd2_top10_30d", "report_scd2_category_30d", "report_scd2_top10_prev_month",
+                 "report_top1_delivered_30d", "scd2_current_orders", "scd2_current_items",
+                 "scd2_current_join", "filter_current_orders_since"):
+        df = E.queries()[name](spark, "/root/testdata/sf0.001")
+        assert "Window" not in df._jdf.queryExecution().executedPlan().toString(), name
+
+
+def test_single_key_lookup_filters_below_the_window(spark):
+    import __spark_entry__ as E
+    df = E.queries()["scd2_order_lookup"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("_orderkey,7)") >= plan.count("PushedFilters") == 3

@@ -81,3 +81,21 @@ def test_raw_csv_drop_materialized(spark, scratch):
     assert types["order_year"] == "int" and types["order_day"] == "int"
     got = sorted((r.order_id, r.order_date, r.order_day) for r in facts.collect())
     assert got == [(100, dt.date(2026, 5, 20), 20), (200, dt.date(2026, 6, 1), 1)]
+
+
+def test_bad_field_stops_the_read_or_is_counted(spark, tmp_path):
+    import pytest
+
+    from ledgerline.operators.scd2 import count_null_sequences
+    folder = tmp_path / "transactions_data/orders/year=2026/month=05"
+    folder.mkdir(parents=True)
+    (folder / "o.csv").write_text(
+        "order_id,customer_id,ordered_at,order_status,subtotal_amount,tax_amount,shipping_fee,"
+        "total_amount,updated_at\n"
+        "1,1,2026-05-20 10:00:00 America/New_York,Complete,51,0,0,51,2026-05-21 10:00:00 America/New_York\n"
+        "2,1,2026-05-20 10:00:00 America/New_York,Complete,51,0,0,51,2026-05-21 10:00:00\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        RawCsvSource(spark, str(tmp_path)).orders().collect()
+    kept = RawCsvSource(spark, str(tmp_path), on_bad="null").orders()
+    assert kept.count() == 2
+    assert count_null_sequences(kept, "updated_at").first()[0] == 1

@@ -70,10 +70,10 @@ def test_compaction_keeps_history(spark, scratch):
         h.apply_batch(batch, i)              # replays are harmless
     before = rows_of(h.history())
     target = h.compact_log(2)
-    assert target.endswith("batch_id=-2")
+    assert target.endswith("batch_id=-1")     # a fresh number below all others
     ids = sorted(r[0] for r in spark.read.parquet(h.log_path).select("batch_id").distinct().collect())
-    assert ids == [-2, 3]
-    assert h.compact_history(3).endswith("batch_id=-3")
+    assert ids == [-1, 3]
+    assert h.compact_history(3).endswith("batch_id=-1")
     assert rows_of(h.history()) == before
     late = spark.createDataFrame([(0, 100, "Z", 0)], SCHEMA)
     h.apply_batch(late, 4)
@@ -140,3 +140,60 @@ def test_any_split_and_replay_gives_the_batch_result(spark, scratch, rows, deal,
                 h.apply_batch(df, b)
     assert rows_of(h.history()) == rows_of(apply_scd2(spark.createDataFrame(rows, SCHEMA),
                                                       ["k"], "s", ["t"]))
+
+
+def _feed(spark, rows):
+    return spark.createDataFrame(rows, "k long, seq long, v string")
+
+
+def _versions(df):
+    return sorted((r.k, r.v, r["__START_AT"], r["__END_AT"]) for r in df.collect())
+
+
+def test_new_checkpoint_on_an_existing_root_loses_nothing(spark, scratch):
+    from ledgerline.operators.scd2 import apply_scd2
+    from ledgerline.streaming import ChangeLogHistory
+    h = ChangeLogHistory(spark, scratch("restart"), ["k"], "seq", ["v"], buckets=2)
+    rows = [[(1, 1, "A"), (2, 1, "X")], [(1, 3, "B")], [(1, 2, "C"), (3, 1, "Z")]]
+    h.apply_batch(_feed(spark, rows[0]), 0, "first")
+    h.apply_batch(_feed(spark, rows[1]), 1, "first")
+    h.apply_batch(_feed(spark, rows[2]), 0, "second")  # a new checkpoint counts from 0 again
+    h.apply_batch(_feed(spark, rows[2]), 0, "second")  # and may replay
+    want = apply_scd2(_feed(spark, sum(rows, [])), ["k"], "seq", ["v"])
+    assert _versions(h.history()) == _versions(want)
+
+
+@pytest.mark.parametrize("fail_at", [0, 1, 2, 3])
+def test_compaction_interrupted_at_any_step_keeps_the_history(spark, scratch, fail_at):
+    from ledgerline.operators.scd2 import apply_scd2
+    from ledgerline.streaming import ChangeLogHistory
+    h = ChangeLogHistory(spark, scratch("compact"), ["k"], "seq", ["v"], buckets=2)
+    rows = [[(1, 1, "A"), (2, 1, "X")], [(1, 3, "B")], [(1, 2, "C"), (3, 1, "Z")]]
+    for i, r in enumerate(rows):
+        h.apply_batch(_feed(spark, r), i)
+    want = _versions(apply_scd2(_feed(spark, sum(rows, [])), ["k"], "seq", ["v"]))
+    for compact in (h.compact_history, h.compact_log, h.compact_history, h.compact_log):
+        real, steps = h._fs, [0]
+
+        def failing(path, real=real, steps=steps):
+            p, fs = real(path)
+
+            class Files:
+                def __getattr__(self, name):
+                    if name == "delete":
+                        steps[0] += 1
+                        if steps[0] > fail_at:
+                            raise OSError("lost")
+                    return getattr(fs, name)
+            return p, Files()
+
+        h._fs = failing
+        try:
+            compact(2)
+        except OSError:
+            pass
+        h._fs = real
+        assert _versions(h.history()) == want
+    h.apply_batch(_feed(spark, [(1, 5, "D")]), 3)
+    rows.append([(1, 5, "D")])
+    assert _versions(h.history()) == _versions(apply_scd2(_feed(spark, sum(rows, [])), ["k"], "seq", ["v"]))
