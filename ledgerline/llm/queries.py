@@ -84,4 +84,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_binary_output": op9_binary_output,
     "op10_sharding_splitters": op10_sharding_splitters,
 }
-ORACLE: dict[str, str] = {}
+#: Only the exact search has a plain SQL form that is quick on whole tables.
+ORACLE: dict[str, str] = {
+    "op1_topk_pivots": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+        ), r AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10""",
+}
