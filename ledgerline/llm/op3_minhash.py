@@ -8,14 +8,16 @@
 3. Candidates are pairs of representatives in one bucket.  Members are ranked
    by how many others they meet in all their buckets, so the text that a group
    was copied from comes first.  First each bucket's first member is compared
-   with all others.  While a bucket still touches
-   several components, members outside its largest component are compared with
-   all members, a growing number a round, until the bucket is connected or all
-   of those members have had their turn.  So every pair of a bucket is either
-   compared or already connected, and a group of n near copies costs about n
-   comparisons, not n squared.
-   Two counts rule a pair out before it is formed: set sizes, and in large
-   buckets the number of shingles that no other member of a large bucket has.
+   with all others.  Buckets that still touch several components stay open.  In
+   open buckets of at most ``SMALL`` members, each member outside the largest
+   component is compared with all.  For the members of larger open buckets,
+   shingles that at most ``RARE`` of them have are rare: two members that share
+   a rare shingle are a pair, and any other pair has its whole intersection
+   among the other shingles, whose counts rule most pairs and members out.
+   Members that remain take turns, a growing number a round, until the bucket
+   is connected or all have had their turn.  So every pair of a bucket is
+   compared, ruled out by counts or already connected, and a group of n near
+   copies costs about n comparisons, not n squared.
 4. A candidate whose signatures agree too little (six standard errors below
    the threshold) is dropped; the others are confirmed on their full sets.
 5. Components by alternating large-star and small-star.
@@ -44,10 +46,12 @@ from .components import connected_components
 ROWS = 5
 #: Largest probability that a pair at the threshold shares no band.
 MISS = 1e-6
-#: Members of a large bucket that take their turn in the first round; doubled each round.
-TURNS = 16
+#: Members of a large bucket that take their turn in the first round; four times as many each round.
+TURNS = 32
 #: Buckets with no more members than this are finished in one round.
-SMALL = 48
+SMALL = 24
+#: A shingle of so many members of large open buckets at most is rare.
+RARE = 8
 
 SIGNATURES = "doc_id long, n_shingles long, fp1 long, fp2 long, sig binary, bands array<long>"
 
@@ -147,8 +151,8 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def _lone_shingles(docs: DataFrame, reps: DataFrame, k: int) -> DataFrame:
-    """rep and lone: how many of its shingles no other text of ``reps`` has."""
+def _occurrences(texts: DataFrame, k: int) -> DataFrame:
+    """rep and shingle: the distinct shingles of each text."""
 
     def run(source):
         for batch in batches(source):
@@ -160,11 +164,23 @@ def _lone_shingles(docs: DataFrame, reps: DataFrame, k: int) -> DataFrame:
                     "rep": pa.array(np.repeat(batch.column(0).to_numpy(), [len(s) for s in sets])),
                     "shingle": pa.array(np.concatenate(sets).view(np.int64))})
 
-    texts = need(docs, "doc_id", "text").join(reps, F.col("doc_id") == F.col("rep"), "left_semi").groupBy("doc_id").agg(
-        F.max("text").alias("text"))
-    found = texts.mapInArrow(run, "rep long, shingle long").groupBy("shingle").agg(
-        F.count("*").alias("texts"), F.min("rep").alias("rep")).where("texts = 1")
-    return found.groupBy("rep").agg(F.count("*").alias("lone"))
+    return need(texts, "doc_id", "text").mapInArrow(run, "rep long, shingle long")
+
+
+def _rare_shingles(texts: DataFrame, k: int) -> DataFrame:
+    """rep and shingle, of shingles that at most ``RARE`` of the texts have."""
+    found, path = written(_occurrences(texts, k), "op3-shingles")
+    few = found.groupBy("shingle").agg(F.count("*").alias("texts")).where(F.col("texts") <= RARE)
+    rare, _ = written(found.join(few, "shingle").select("rep", "shingle", "texts"), "op3-rare")
+    drop_written(texts.sparkSession, path)
+    return rare
+
+
+def _rare_pairs(rare: DataFrame) -> DataFrame:
+    """Distinct pairs a < b of texts that share a rare shingle; a list has at most ``RARE`` entries."""
+    lists = rare.where("texts > 1").groupBy("shingle").agg(F.array_sort(F.collect_list("rep")).alias("reps"))
+    return lists.select(F.posexplode("reps").alias("at", "a"), "reps").select(
+        "a", F.explode(F.slice("reps", F.col("at") + 2, F.lit(RARE))).alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame:
@@ -183,67 +199,93 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame
     # the centre of a group meets more of it, in more buckets, than the group's other members do
     degree = members.groupBy("rep").agg(F.sum("size").alias("degree"))
     members = members.join(degree, "rep").join(classes.select("rep", F.col("n_shingles").alias("n")), "rep")
-    own = _lone_shingles(docs, members.where(F.col("size") > SMALL).select("rep").distinct(), k)
-    members = members.join(own, "rep", "left").withColumn("lone", F.coalesce("lone", F.lit(0)))
     members, ranked_path = written(members, "op3-ranked")
     drop_written(spark, members_path)
     members_path = ranked_path
+    # the texts that any comparison may need, so that the whole table is joined once;
+    # a doc_id that is repeated with other texts is compared through one of them only
+    reps = members.select(F.col("rep").alias("doc_id")).distinct()
+    texts, texts_path = written(need(docs, "doc_id", "text").join(reps, "doc_id", "left_semi").groupBy("doc_id").agg(
+        F.max("text").alias("text")), "op3-texts")
     hub = members.groupBy("bucket").agg(F.max_by(F.struct(
-        F.col("rep").alias("a"), F.col("n").alias("na"), F.col("lone").alias("la")), F.struct("degree", "rep")).alias("hub"))
-    # a lone shingle is in no intersection, and in every union
-    possible = 100 * F.least(F.col("n") - F.col("lone"), F.col("na") - F.col("la")) >= percent * F.greatest(
-        F.col("n") + F.col("la"), F.col("na") + F.col("lone"))
+        F.col("rep").alias("a"), F.col("n").alias("na")), F.struct("degree", "rep")).alias("hub"))
+    sized = 100 * F.least("n", "na") >= percent * F.greatest("n", "na")
 
     bands = band_count(threshold)
     n = bands * ROWS
     expect = threshold + (1 - threshold) / 256
     least = math.floor(n * expect - 6 * math.sqrt(n * expect * (1 - expect)))
     links: DataFrame | None = None
-    paths = [members_path]
+    paths = [members_path, texts_path]
 
-    def confirm(pairs: DataFrame) -> DataFrame:
-        """Verify distinct pairs, write them and return the links known so far."""
-        nonlocal links
+    component: DataFrame | None = None
+
+    def confirm(pairs: DataFrame) -> None:
+        """Verify distinct pairs, and renew the components if there are new links."""
+        nonlocal links, component
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
         close, close_path = written(_agreeing(pairs, classes, least), "op3-pairs")
-        ids = close.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        # a doc_id that is repeated with other texts is compared through its class's own text only
-        texts = need(docs, "doc_id", "text").join(ids, "doc_id").groupBy("doc_id").agg(
-            F.max("text").alias("text"))
         found, path = written(_confirmed(close, texts, k, percent), "op3-links")
         paths.extend([close_path, path])
+        if component is not None and found.isEmpty():
+            return
         links = found if links is None else links.union(found)
-        return links
+        component = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
-    confirm(members.join(hub, "bucket").select("rep", "n", "lone", "hub.*").where(
-        (F.col("rep") != F.col("a")) & possible).select("a", F.col("rep").alias("b")))
+    def opened(rows: DataFrame) -> DataFrame:
+        """The rows of buckets that touch several components, with the bucket's largest as ``main``."""
+        here = rows.join(component, rows["rep"] == component["node"], "left").select(
+            *rows.columns, F.coalesce("component", "rep").alias("component"))
+        per = here.groupBy("bucket", "component").agg(F.count("*").alias("many"))
+        main = per.groupBy("bucket").agg(
+            F.count("*").alias("parts"), F.max_by("component", F.struct("many", "component")).alias("main"))
+        still, path = written(here.join(main.where("parts > 1"), "bucket").drop("parts"), "op3-open")
+        paths.append(path)
+        return still
+
+    def taking(rows: DataFrame, *more: str) -> DataFrame:
+        return rows.select("bucket", F.col("rep").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"),
+                           *[F.col(c).alias(f"{c}_a") for c in more])
+
+    confirm(members.join(hub, "bucket").select("rep", "n", "hub.*").where(
+        (F.col("rep") != F.col("a")) & sized).select("a", F.col("rep").alias("b")))
+    still = opened(members)
+
+    small, large = still.where(F.col("size") <= SMALL), still.where(F.col("size") > SMALL)
+    apart = F.col("component") != F.col("ca")
+    pairs = small.join(taking(small.where("component != main")), "bucket").where(apart & sized).select(
+        "a", F.col("rep").alias("b"))
+    crowd = large.select(F.col("rep").alias("doc_id")).distinct()
+    rare = _rare_shingles(texts.join(crowd, "doc_id", "left_semi"), k)
+    known = large.select("rep", "n", "component").distinct()
+    rare_pairs = _rare_pairs(rare).join(known.select(F.col("rep").alias("b"), "n", "component"), "b").join(
+        known.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca")), "a")
+    confirm(pairs.union(rare_pairs.where(apart & sized).select("a", "b")))
+
+    # what a member may share with one that has none of its rare shingles
+    core = large.select("bucket", "rep", "degree", "n").join(
+        rare.groupBy("rep").agg(F.count("*").alias("rare")), "rep", "left").select(
+        "bucket", "rep", "degree", "n", (F.col("n") - F.coalesce("rare", F.lit(0))).alias("room"))
+    core, core_path = written(core.where(100 * F.col("room") >= percent * F.col("n")), "op3-core")
+    paths.append(core_path)
+    shared = F.least("room", "room_a")
+    possible = 100 * shared >= percent * (F.col("n") + F.col("na") - shared)
+    turn = W.partitionBy("bucket").orderBy(F.desc("degree"), "rep")
     turns, done = TURNS, None
     while True:
-        component = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        here = members.join(component, members["rep"] == component["node"], "left").select(
-            "bucket", "rep", "size", "degree", "n", "lone", F.coalesce("component", "rep").alias("component"))
-        per = here.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-        main = per.groupBy("bucket").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main"))
-        open_, open_path = written(here.join(main.where("parts > 1"), "bucket"), "op3-open")
-        paths.append(open_path)
-        waiting = open_.where("component != main").select("bucket", "rep", "size", "degree", "n", "lone", "component")
+        still = opened(core)
+        waiting = still.where("component != main")
         if done is not None:
             waiting = waiting.join(done, ["bucket", "rep"], "left_anti")
-        turn = W.partitionBy("bucket").orderBy(F.desc("degree"), "rep")
-        hubs = waiting.where(F.col("size") <= SMALL).union(
-            waiting.where(F.col("size") > SMALL).withColumn("turn", F.row_number().over(turn)).where(
-                F.col("turn") <= turns).drop("turn"))
-        hubs, hubs_path = written(hubs.select("bucket", F.col("rep").alias("a"), F.col("component").alias("ca"),
-                                              F.col("n").alias("na"), F.col("lone").alias("la")), "op3-hubs")
+        hubs = waiting.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= turns)
+        hubs, hubs_path = written(taking(hubs, "room"), "op3-hubs")
         paths.append(hubs_path)
         if hubs.isEmpty():
             break
-        pairs = open_.join(hubs, "bucket").where((F.col("component") != F.col("ca")) & possible).select(
-            "a", F.col("rep").alias("b"))
-        confirm(pairs)
+        confirm(still.join(hubs, "bucket").where(apart & possible).select("a", F.col("rep").alias("b")))
         taken = hubs.select("bucket", F.col("a").alias("rep"))
         done = taken if done is None else done.union(taken)
-        turns *= 2
+        turns *= 4
 
     component, _ = written(component, "op3-components")
     drop_written(spark, *paths)
