@@ -32,10 +32,12 @@ ignored.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -183,6 +185,22 @@ def _rare_pairs(rare: DataFrame) -> DataFrame:
         "a", F.explode(F.slice("reps", F.col("at") + 2, F.lit(RARE))).alias("b")).distinct()
 
 
+@contextmanager
+def _bloom(spark: SparkSession) -> Iterator[None]:
+    """Joins in here drop most rows without a partner before the shuffle, by a Bloom filter of at most 8 MB."""
+    prefix = "spark.sql.optimizer.runtime.bloomFilter"
+    wanted = {f"{prefix}.enabled": "true", f"{prefix}.applicationSideScanSizeThreshold": "0",
+              f"{prefix}.creationSideThreshold": "100GB", f"{prefix}.expectedNumItems": "4000000"}
+    before = {key: spark.conf.get(key) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document."""
     spark = docs.sparkSession
@@ -204,9 +222,10 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame
     members_path = ranked_path
     # the texts that any comparison may need, so that the whole table is joined once;
     # a doc_id that is repeated with other texts is compared through one of them only
-    reps = members.select(F.col("rep").alias("doc_id")).distinct()
-    texts, texts_path = written(need(docs, "doc_id", "text").join(reps, "doc_id", "left_semi").groupBy("doc_id").agg(
-        F.max("text").alias("text")), "op3-texts")
+    reps = members.where("size > 1").select(F.col("rep").alias("doc_id"))
+    with _bloom(spark):
+        texts, texts_path = written(need(docs, "doc_id", "text").join(reps, "doc_id", "left_semi").groupBy("doc_id").agg(
+            F.max("text").alias("text")), "op3-texts")
     hub = members.groupBy("bucket").agg(F.max_by(F.struct(
         F.col("rep").alias("a"), F.col("n").alias("na")), F.struct("degree", "rep")).alias("hub"))
     sized = 100 * F.least("n", "na") >= percent * F.greatest("n", "na")
