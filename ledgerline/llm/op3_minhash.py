@@ -285,10 +285,14 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame
     core = large.select("bucket", "rep", "degree", "n").join(
         rare.groupBy("rep").agg(F.count("*").alias("rare")), "rep", "left").select(
         "bucket", "rep", "degree", "n", (F.col("n") - F.coalesce("rare", F.lit(0))).alias("room"))
-    core, core_path = written(core.where(100 * F.col("room") >= percent * F.col("n")), "op3-core")
+    core = core.where(100 * F.col("room") >= percent * F.col("n"))
+    # a pair meets in the least of the buckets it shares; a member has one bucket a band at most
+    own = core.groupBy("rep").agg(F.collect_set("bucket").alias("own"))
+    core, core_path = written(core.join(own, "rep"), "op3-core")
     paths.append(core_path)
     shared = F.least("room", "room_a")
-    possible = 100 * shared >= percent * (F.col("n") + F.col("na") - shared)
+    possible = (100 * shared >= percent * (F.col("n") + F.col("na") - shared)) & (
+        F.array_min(F.array_intersect("own", "own_a")) == F.col("bucket"))
     turn = W.partitionBy("bucket").orderBy(F.desc("degree"), "rep")
     turns, done = TURNS, None
     while True:
@@ -297,7 +301,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame
         if done is not None:
             waiting = waiting.join(done, ["bucket", "rep"], "left_anti")
         hubs = waiting.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= turns)
-        hubs, hubs_path = written(taking(hubs, "room"), "op3-hubs")
+        hubs, hubs_path = written(taking(hubs, "room", "own"), "op3-hubs")
         paths.append(hubs_path)
         if hubs.isEmpty():
             break
