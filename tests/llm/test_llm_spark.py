@@ -1,5 +1,6 @@
 """Every corpus operator and stage on odd rows: nulls, empty and long texts, ties, repeats, extra columns, empty tables."""
 
+import random
 import zlib
 
 import numpy as np
@@ -85,6 +86,31 @@ def test_near_duplicates(docs, none):
     assert op3_minhash.near_duplicates(none).count() == 0
 
 
+def test_near_duplicates_of_a_crowd(spark, monkeypatch):
+    """Large open buckets: rare shingles, members ruled out and turns give the components of all pairs."""
+    for name, value in (("SMALL", 2), ("RARE", 2), ("TURNS", 1)):
+        monkeypatch.setattr(op3_minhash, name, value)
+    rng = random.Random(5)
+    base = [f"b{i}" for i in range(60)]
+    texts = {}
+    for i in range(70):
+        words = list(base)
+        for _ in range(rng.choice((1, 1, 2, 3, 4))):
+            words[rng.randrange(60)] = rng.choice((f"own{i}", f"pair{i // 2}", f"few{i // 10}"))
+        texts[i] = " ".join(words)
+    sets = {i: {tuple(w[j:j + 3]) for j in range(len(w) - 2)} for i, t in texts.items() for w in [t.split()]}
+    root = {i: i for i in texts}
+    for a in texts:
+        for b in texts:
+            both = len(sets[a] & sets[b])
+            if a < b and 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both) and root[a] != root[b]:
+                low, high = sorted((root[a], root[b]))
+                root = {i: low if r == high else r for i, r in root.items()}
+    assert 3 < len(set(root.values())) < 65
+    rows = op3_minhash.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in rows} == root
+
+
 def test_packing(docs, none):
     pieces = op4_packing.pack(docs, JSON).collect()
     sequences = {}
