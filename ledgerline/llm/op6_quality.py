@@ -1,117 +1,73 @@
-"""Quality rules: counting rules, and n-gram perplexity under a modified Kneser-Ney model per language.
-
-The model is a 4-gram model of symbols inside words.  Bytes are folded to 32
-symbols (letters, digit, mark, two kinds of multi-byte parts, word border), so
-a language has at most 32^4 n-grams however much text is counted: the counts
-grow with the corpus, the model does not, and it can be sent to every task.
-
-1. Tasks fold and count 4-grams of their texts (each distinct word of a batch
-   once, times its count); Spark sums them by language over the whole corpus.
-2. Per language and for all languages together: modified Kneser-Ney with three
-   discounts per order, continuation counts below the top order, interpolated
-   down to the uniform distribution.  Stored as one array of sorted 64-bit
-   hashes with log-probabilities and back-off weights beside it.
-3. The log-perplexity of every passage of ``PASSAGE`` words is looked up; a
-   text is rejected if three quarters of its passages are above the upper end
-   of its language's band, or three quarters below the lower end, so a
-   quotation in another language or a table inside a clean text does not
-   decide.  Either end is the median over the language's texts (those that the
-   counting rules pass) of that quartile, plus or minus ``BAND`` robust
-   deviations (``percentile_approx``; a language below ``LEAST_TEXTS`` such texts
-   uses the band of all).
-
-Edge cases: a null or empty text has no words and fails the counting rules; a
-null or rare language uses the model of all languages; rows that repeat a
-doc_id are each judged; a null doc_id is kept as a row; an empty table gives no
-row; other columns are ignored; without a ``lang`` column all texts use the
-model of all languages.
+"""Quality rules: counting rules, and word-trigram perplexity under a modified Kneser-Ney model per language.
+
+1. Tokens are words between white space (lower case, marks kept), and single
+   characters of scripts written without spaces.  Spark counts the trigrams of
+   the whole corpus by language, with map-side sums; nothing is capped, so the
+   tables grow with the corpus and stay in Spark from counting to scoring.
+2. Texts are dealt to two halves by their least shingle hash (copies and most
+   near copies to the same one), and each half is scored by the counts of the
+   other: a text never predicts itself.
+3. Per language: modified Kneser-Ney with three discounts per order, and
+   continuation counts below the top order, interpolated down to the uniform
+   distribution over the words and one unknown word.  The result is a written
+   table of log-probabilities by 64-bit trigram hash, which the texts' trigrams
+   meet in a shuffled join.
+4. A text's passages of ``PASSAGE`` words get two figures: the log-perplexity per
+   word under the model, and the same by word frequencies alone.  Tokens without
+   a letter or digit are context only.  The text is rejected if ``SHARE`` of its
+   passages lie above the upper end of its language's band by the first figure
+   (junk), or ``SHARE`` below the lower end by the second (nothing but frequent
+   words); a copy of other text is not rejected for being predicted well.  Either
+   end is the median over the language's texts (those that the counting rules
+   pass), plus or minus ``BAND`` robust deviations (``percentile_approx``).
+
+A language with fewer than ``LEAST_TEXTS`` passing texts, and rows without a
+language, are scored by a model of all languages, under the band of all passing
+texts scored by that same model; the number of languages has no limit.
+
+Edge cases: a null or empty text has no words and fails the counting rules;
+rows that repeat a doc_id are each judged; a null doc_id is kept as a row; an
+empty table gives no row; other columns are ignored; without a ``lang`` column
+all texts use the model of all languages.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, hash_spans, lower_ascii, mix, prepare, shingles, text_buffer, word_spans, written
+from .common import batches, hash_spans, mix, prepare, shingles, text_buffer, word_spans, written
 
 ORDER = 4
 SYMBOLS = 32
 SIZE = SYMBOLS ** ORDER
-#: Languages with a model of their own: the most frequent ones; the others use the model of all.
-LANGUAGES = 24
+#: Passing texts that give a language a model and a band of its own.
 LEAST_TEXTS = 30
 PASSAGE = 25
+#: Share of a text's passages that decide.
+SHARE = 0.75
 #: Robust deviations between a language's median log-perplexity and either end of its band.
 BAND = 6.0
 #: Least deviation, for languages whose texts are nearly all alike.
 LEAST_DEVIATION = 0.02
 ALL = ""
+#: The model of all languages; the others are named by the hash of their language.
+MIXED = 0
+#: Stands before the first word of a text.
+BORDER = np.uint64(0x5DEECE66D)
 
 #: Fixed by the contract: marks counted as symbols, and the limits of the counting rules.
 SYMBOL_MARKS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
-_FOLD = np.full(256, 28, np.uint8)  # marks
-_FOLD[97:123] = np.arange(1, 27)
-_FOLD[48:58] = 27
-_FOLD[0xC0:] = 29
-_FOLD[0x80:0xC0] = 30 + (np.arange(0x40) & 1)
 _IS_SYMBOL = np.zeros(256, bool)
 _IS_SYMBOL[[ord(c) for c in SYMBOL_MARKS]] = True
 
 
-def word_grams(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(4-gram codes of each word end to end, grams per word); a word of n bytes has n + 1, its border last."""
-    n = ends - starts
-    room = n + 1
-    begin = np.cumsum(room) - room
-    total = int(room.sum())
-    inside = np.arange(total) - np.repeat(begin, room)
-    at = np.repeat(starts, room) + inside
-    symbol = np.where(inside < np.repeat(n, room), _FOLD[data[np.minimum(at, len(data) - 1)]], 0).astype(np.int64)
-    code = symbol.copy()
-    for j in range(1, ORDER):
-        earlier = np.zeros(total, np.int64)
-        earlier[j:] = symbol[:-j] if j else symbol
-        code += np.where(inside >= j, earlier, 0) << (5 * j)
-    return code, room
-
-
-def count_grams(docs: DataFrame) -> DataFrame:
-    """lang, code, n over all texts: counted in tasks, summed by Spark."""
-
-    def run(source):
-        held: dict[str, np.ndarray] = {}
-
-        def emit():
-            for lang, n in held.items():
-                used = np.flatnonzero(n)
-                yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(used), pa.string()),
-                                                  "code": pa.array(used.astype(np.int32)), "n": pa.array(n[used])})
-            held.clear()
-
-        for batch in batches(source):
-            langs = np.array([x if x is not None else ALL for x in batch.column(1).to_pylist()], object)
-            for lang in sorted(set(langs)):
-                data, offsets = text_buffer(batch.column(0).filter(pa.array(langs == lang)))
-                data = lower_ascii(data)
-                starts, ends, _ = word_spans(data, offsets)
-                if not len(starts):
-                    continue
-                _, first, times = np.unique(hash_spans(data, starts, ends), return_index=True, return_counts=True)
-                code, room = word_grams(data, starts[first], ends[first])
-                if lang not in held and len(held) >= 8:
-                    yield from emit()
-                held[lang] = held.get(lang, 0) + np.bincount(code, np.repeat(times, room), SIZE).astype(np.int64)
-        yield from emit()
-
-    return docs.select("text", "lang").mapInArrow(run, "lang string, code int, n long").groupBy("lang", "code").agg(
-        F.sum("n").alias("n"))
-
-
 def kneser_ney(top: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
     """(seen grams, their log-probability, log back-off of each context) by order 1..ORDER, from 4-gram counts."""
     counts = [None] * (ORDER + 1)
@@ -187,22 +143,6 @@ class Model:
         return out[back]
 
 
-def train(docs: DataFrame) -> Model:
-    """The model of the corpus; the driver gets at most LANGUAGES + 1 tables of 32^4 counts."""
-    spark = docs.sparkSession
-    counted, _ = written(count_grams(docs), "op6-grams")
-    langs = [r["lang"] for r in counted.where(F.col("lang") != ALL).groupBy("lang").agg(F.sum("n").alias("n")).orderBy(
-        F.desc("n"), "lang").limit(LANGUAGES).collect()]
-    tables = {}
-    for lang in [ALL, *langs]:
-        own = counted if lang == ALL else counted.where(F.col("lang") == lang)
-        found = own.groupBy("code").agg(F.sum("n").alias("n")).toArrow()
-        tables[lang] = np.zeros(SIZE)
-        if found.num_rows:
-            tables[lang][found.column("code").to_numpy()] = found.column("n").to_numpy()
-    return Model(tables)
-
-
 def base_counts(column: pa.Array) -> dict[str, np.ndarray]:
     """The counting rules' figures of each text."""
     data, offsets = text_buffer(column)
@@ -248,88 +188,221 @@ def base_counts(column: pa.Array) -> dict[str, np.ndarray]:
 FIGURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
-def measure(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, lang (the model's name), figures, and the lower and upper quartile of its passages' log-perplexity (null without words)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def measure(docs: DataFrame) -> DataFrame:
+    """doc_id, key, m (both as given) and the counting rules' figures."""
 
     def run(source):
-        m = shared.value
         for batch in batches(source):
-            names = [x if x in m.languages else ALL for x in batch.column(1).to_pylist()]
-            langs = np.array(names, object)
-            figures = base_counts(batch.column(2))
-            easy, hard = np.full(batch.num_rows, np.nan), np.full(batch.num_rows, np.nan)
-            for lang in set(names):
-                rows = np.flatnonzero(langs == lang)
-                data, offsets = text_buffer(batch.column(2).take(pa.array(rows)))
-                data = lower_ascii(data)
-                starts, ends, counts = word_spans(data, offsets)
-                if not len(starts):
-                    continue
-                _, first, back = np.unique(hash_spans(data, starts, ends), return_index=True, return_inverse=True)
-                code, room = word_grams(data, starts[first], ends[first])
-                each = np.add.reduceat(m.log_probability(lang, code), np.cumsum(room) - room)
-                # passages: runs of PASSAGE words of one text; the text has the median of its passages
-                per = -(-counts // PASSAGE)
-                begin = (np.repeat(np.cumsum(counts) - counts, per)
-                         + (np.arange(int(per.sum())) - np.repeat(np.cumsum(per) - per, per)) * PASSAGE)
-                each = -np.add.reduceat(each[back], begin) / np.add.reduceat(room[back], begin)
-                ends = np.cumsum(per)
-                for i, a, b in zip(rows.tolist(), (ends - per).tolist(), ends.tolist()):
-                    if b > a:
-                        own = np.sort(each[a:b])
-                        easy[i], hard[i] = own[(b - a - 1) // 4], own[(3 * (b - a - 1) + 3) // 4]
+            figures = base_counts(batch.column(3))
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column(0).cast(pa.int64()), "lang": pa.array(names, pa.string()),
-                **{k: pa.array(v.astype(np.int64)) for k, v in figures.items()},
-                "easy": pa.array(easy, pa.float64(), from_pandas=True),
-                "hard": pa.array(hard, pa.float64(), from_pandas=True)})
+                "doc_id": batch.column(0).cast(pa.int64()), "key": batch.column(1), "m": batch.column(2),
+                **{k: pa.array(v.astype(np.int64)) for k, v in figures.items()}})
+
+    return docs.select("doc_id", "key", "m", "text").mapInArrow(run, f"doc_id long, key long, m long, {FIGURES}")
+
+
+def token_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, tokens per text): words between white space; characters of unspaced scripts are their own."""
+    starts, ends, counts = word_spans(data, offsets)
+    if not len(starts):
+        return starts, ends, counts
+    lead = (data & 0xC0) != 0x80
+    place = np.maximum.accumulate(np.where(lead, np.arange(len(data)), 0))
+    first, second = data[place], data[np.minimum(place + 1, len(data) - 1)]
+    # Han, kana and Hangul; Thai and Lao
+    alone = ((first >= 0xE3) & (first <= 0xED)) | ((first == 0xE0) & (second >= 0xB8) & (second <= 0xBB))
+    if not alone.any():
+        return starts, ends, counts
+    begins, stops = np.zeros(len(data) + 1, bool), np.zeros(len(data) + 1, bool)
+    begins[starts], stops[ends] = True, True
+    cut = np.flatnonzero(lead & (alone | np.concatenate([[False], alone[:-1]])))
+    inside = np.zeros(len(data) + 1, np.int64)
+    np.add.at(inside, starts, 1)
+    np.add.at(inside, ends, -1)
+    cut = cut[np.cumsum(inside)[cut] > 0]
+    begins[cut] = True
+    stops[cut[~begins_of(starts, cut)]] = True
+    starts, ends = np.flatnonzero(begins), np.flatnonzero(stops)
+    return starts, ends, np.diff(np.searchsorted(starts, offsets))
+
+
+def begins_of(starts: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which of ``at`` are among the sorted ``starts``."""
+    return starts[np.minimum(np.searchsorted(starts, at), len(starts) - 1)] == at
+
+
+def trigrams(m: np.ndarray, column: pa.Array):
+    """Of all tokens end to end: text, place, hashes u, v, w and gram, whether it is scored; of texts: half and tokens."""
+    data, offsets = text_buffer(pc.utf8_lower(column))
+    starts, ends, counts = token_spans(data, offsets)
+    w = hash_spans(data, starts, ends)
+    text = np.repeat(np.arange(len(counts)), counts)
+    place = np.arange(len(w)) - np.repeat(np.cumsum(counts) - counts, counts)
+    v, u = np.full(len(w), BORDER), np.full(len(w), BORDER)
+    v[1:] = np.where(place[1:] >= 1, w[:-1], BORDER)
+    u[2:] = np.where(place[2:] >= 2, w[:-2], BORDER)
+    gram = mix(mix(mix(u + m.astype(np.uint64)[text]) + v) + w)
+    letter = ((data >= 97) & (data <= 122)) | ((data >= 48) & (data <= 57)) | (data >= 0x80)
+    sums = np.concatenate([[0], np.cumsum(letter)])
+    half = np.zeros(len(counts), np.int64)
+    window, per = shingles(w, counts, 5)
+    held = np.flatnonzero(per)
+    if len(held):
+        least = np.minimum.reduceat(window, (np.cumsum(per) - per)[held])
+        half[held] = mix(least).astype(np.int64) & 1
+    return text, place, u, v, w, gram, sums[ends] > sums[starts], half, counts
 
-    return docs.select("doc_id", "lang", "text").mapInArrow(
-        run, f"doc_id long, lang string, {FIGURES}, easy double, hard double")
 
+def count_grams(docs: DataFrame) -> DataFrame:
+    """gram, m, u, v, w and its counts n0, n1 in either half of the texts of model m."""
 
-def band_end(rows: DataFrame, column: str, deviations: float) -> Column:
-    """One end of the band, by language: median plus ``deviations`` robust deviations of ``column``."""
+    def run(source):
+        for batch in batches(source):
+            m = batch.column(0).to_numpy()
+            text, _, u, v, w, gram, _, half, _ = trigrams(m, batch.column(1))
+            if not len(gram):
+                continue
+            own, first, back = np.unique(gram, return_index=True, return_inverse=True)
+            of = half[text]
+            n1 = np.bincount(back, of, len(own)).astype(np.int64)
+            n0 = np.bincount(back, 1 - of, len(own)).astype(np.int64)
+            yield pa.RecordBatch.from_pydict({
+                "gram": pa.array(own.view(np.int64)), "m": pa.array(m[text[first]]),
+                **{k: pa.array(x[first].view(np.int64)) for k, x in (("u", u), ("v", v), ("w", w))},
+                "n0": pa.array(n0), "n1": pa.array(n1)})
+
+    counted = docs.select("m", "text").mapInArrow(
+        run, "gram long, m long, u long, v long, w long, n0 long, n1 long")
+    return counted.groupBy("gram").agg(*[F.max(c).alias(c) for c in ("m", "u", "v", "w")],
+                                       *[F.sum(c).alias(c) for c in ("n0", "n1")])
+
+
+def context_stats(grams: DataFrame, *by: str) -> DataFrame:
+    """Of each context, in either half: total, and grams counted once, twice and more often."""
+    out = []
+    for x in "01":
+        n = F.col(f"n{x}")
+        out += [F.sum(n).alias(f"t{x}"), F.count_if(n == 1).alias(f"a{x}"), F.count_if(n == 2).alias(f"b{x}"),
+                F.count_if(n >= 3).alias(f"c{x}")]
+    return grams.groupBy(*by).agg(*out)
+
+
+def discounts(grams: DataFrame) -> DataFrame:
+    """m, and three discounts of either half, by the counts of counts."""
+    counts = grams.groupBy("m").agg(*[F.count_if(F.col(f"n{x}") == j).cast("double").alias(f"c{x}{j}")
+                                      for x in "01" for j in (1, 2, 3, 4)])
+    out = [F.col("m")]
+    for x in "01":
+        n1, n2, n3, n4 = (F.col(f"c{x}{j}") for j in (1, 2, 3, 4))
+        y = F.when((n1 > 0) & (n2 > 0), n1 / (n1 + 2 * n2)).otherwise(0.5)
+        for j, value, other, cap in ((1, 1 - 2 * y * n2 / F.nullif(n1, F.lit(0.0)), 0.5, 0.95),
+                                     (2, 2 - 3 * y * n3 / F.nullif(n2, F.lit(0.0)), 1.0, 1.95),
+                                     (3, 3 - 4 * y * n4 / F.nullif(n3, F.lit(0.0)), 1.5, 2.95)):
+            out.append(F.greatest(F.lit(0.05), F.least(F.lit(cap), F.coalesce(value, F.lit(other)))).alias(f"d{x}{j}"))
+    return counts.select(*out)
+
+
+def interpolated(x: str, lower: Column) -> Column:
+    """A gram's probability in half x, from its n, its context's stats and discounts, and its lower order."""
+    n, t = F.col(f"n{x}"), F.col(f"t{x}")
+    d1, d2, d3 = (F.col(f"d{x}{j}") for j in (1, 2, 3))
+    cut = F.when(n >= 3, d3).when(n == 2, d2).when(n == 1, d1).otherwise(0.0)
+    gamma = (d1 * F.col(f"a{x}") + d2 * F.col(f"b{x}") + d3 * F.col(f"c{x}")) / t
+    return F.when(t > 0, (n - cut) / t + gamma * lower).otherwise(lower)
+
+
+def probabilities(grams: DataFrame) -> DataFrame:
+    """m, u, v, w, gram, and by the counts of half 0 and half 1 the probability of w after u, v (p0, p1) and alone (o0, o1)."""
+    def seen():
+        return [F.count_if(F.col(f"n{x}") > 0).alias(f"n{x}") for x in "01"]
+
+    pairs, _ = written(grams.groupBy("m", "v", "w").agg(*seen()), "op6-pairs")
+    words = pairs.groupBy("m", "w").agg(*seen())
+    p = words.join(context_stats(words, "m"), "m").join(discounts(words), "m")
+    types = words.groupBy("m").agg(*[(F.count_if(F.col(f"n{x}") > 0) + 1).alias(f"types{x}") for x in "01"])
+    p = p.join(types, "m").select("m", "w", *[interpolated(x, 1 / F.col(f"types{x}")).alias(f"o{x}") for x in "01"])
+    p = pairs.join(context_stats(pairs, "m", "v"), ["m", "v"]).join(p, ["m", "w"]).join(discounts(pairs), "m").select(
+        "m", "v", "w", "o0", "o1", *[interpolated(x, F.col(f"o{x}")).alias(f"l{x}") for x in "01"])
+    p = grams.join(context_stats(grams, "m", "u", "v"), ["m", "u", "v"]).join(p, ["m", "v", "w"]).join(
+        discounts(grams), "m")
+    return p.select("m", "u", "v", "w", "gram", "o0", "o1",
+                    *[interpolated(x, F.col(f"l{x}")).alias(f"p{x}") for x in "01"])
+
+
+def score(docs: DataFrame) -> DataFrame:
+    """key, m, hard and easy of texts (key, m, text) under model m of the other half."""
+    grams, _ = written(count_grams(docs), "op6-grams")
+    model, _ = written(probabilities(grams).select(
+        "gram", *[F.log(f"{c}{x}").cast("float").alias(f"{c}{x}") for c in "po" for x in "01"]), "op6-model")
+
+    def run(source):
+        for batch in batches(source):
+            m = batch.column(1).to_numpy()
+            text, place, _, _, _, gram, scored, half, counts = trigrams(m, batch.column(2))
+            if not scored.any():
+                continue
+            passage = np.minimum(place // PASSAGE, np.maximum(counts // PASSAGE, 1)[text] - 1)
+            keys = batch.column(0).to_numpy()
+            text, passage, gram = text[scored], passage[scored], gram[scored]
+            yield pa.RecordBatch.from_pydict({
+                "key": pa.array(keys[text]), "m": pa.array(m[text]), "passage": pa.array(passage.astype(np.int32)),
+                "half": pa.array(half[text] == 1), "gram": pa.array(gram.view(np.int64))})
+
+    asked = docs.select("key", "m", "text").mapInArrow(run, "key long, m long, passage int, half boolean, gram long")
 
+    def mean(c):
+        return -F.avg(F.when(F.col("half"), F.col(f"{c}0")).otherwise(F.col(f"{c}1")))
+
+    passages = asked.join(model, "gram").groupBy("key", "m", "passage").agg(mean("p").alias("x"), mean("o").alias("y"))
+    last = F.count("*") - 1
+    return passages.groupBy("key", "m").agg(
+        F.array_sort(F.collect_list("x"))[F.floor(last * (1 - SHARE)).cast("int")].alias("hard"),
+        F.array_sort(F.collect_list("y"))[F.ceil(last * SHARE).cast("int")].alias("easy"))
+
+
+def bands(rows: DataFrame, band: float) -> DataFrame:
+    """m, low and high: the ends of each model's band over its rows' ``hard`` and ``easy``."""
     def median(of):
         return F.percentile_approx(of, 0.5, 10000)
 
-    by_lang = {r["lang"]: (r["m"], r["n"]) for r in rows.groupBy("lang").agg(
-        median(column).alias("m"), F.count("*").alias("n")).collect()}  # at most LANGUAGES + 1 rows
-    whole = rows.agg(median(column)).first()[0]
-    if whole is None:
-        return F.lit(float("inf") * deviations)
-    middle = F.lit(whole)
-    for name, (m, _) in by_lang.items():
-        middle = F.when(F.col("lang") == name, m).otherwise(middle)
-    spread = {r["lang"]: r["d"] for r in rows.groupBy("lang").agg(
-        median(F.abs(F.col(column) - middle)).alias("d")).collect()}
+    middle = rows.groupBy("m").agg(median("hard").alias("mh"), median("easy").alias("me"))
+    spread = rows.join(middle, "m").groupBy("m", "mh", "me").agg(
+        median(F.abs(F.col("hard") - F.col("mh"))).alias("dh"), median(F.abs(F.col("easy") - F.col("me"))).alias("de"))
 
-    def end(m, d):
-        return m + deviations * max(1.4826 * d, LEAST_DEVIATION)
+    def width(d):
+        return band * F.greatest(1.4826 * F.col(d), F.lit(LEAST_DEVIATION))
 
-    out = F.lit(end(whole, rows.agg(median(F.abs(F.col(column) - whole))).first()[0]))
-    for name, (m, n) in by_lang.items():
-        if n >= LEAST_TEXTS and name != ALL:
-            out = F.when(F.col("lang") == name, end(m, spread[name])).otherwise(out)
-    return out
+    return spread.select("m", (F.col("me") - width("de")).alias("low"), (F.col("mh") + width("dh")).alias("high"))
 
 
-def judge(docs: DataFrame, band: float = BAND) -> DataFrame:
-    """doc_id, figures, base_failed, kept and the two quartiles of every document."""
-    spark = docs.sparkSession
-    prepare(spark)
+def scores(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(every row's figures, model m, hard and easy; hard and easy of the passing texts under each model)."""
+    prepare(docs.sparkSession)
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    docs = docs.select("doc_id", lang.alias("lang"), "text")
-    measured, _ = written(measure(docs, train(docs)), "op6-measured")
+    # rows of equal key are equal in all that is judged
+    docs = docs.select("doc_id", "text", F.when(lang.isNotNull(), F.xxhash64(lang)).alias("m"),
+                       F.xxhash64("doc_id", lang, "text").alias("key"))
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    measured = measured.withColumn("base_failed", failed)
+    measured, _ = written(measure(docs).withColumn("base_failed", failed), "op6-measured")
+    own = measured.where("m is not null").groupBy("m").agg(F.count_if(~F.col("base_failed")).alias("n")).where(
+        F.col("n") >= LEAST_TEXTS).select("m")
+    own, _ = written(own, "op6-languages")
+    texts = docs.select("key", "m", "text").join(own, "m", "left_semi")
+    if not measured.join(own, "m", "left_anti").isEmpty():
+        texts = texts.unionByName(docs.select("key", F.lit(MIXED).alias("m"), "text"))
+    scored, _ = written(score(texts), "op6-scored")
+    owned = own.withColumn("own", F.lit(True))
+    rows = measured.join(owned, "m", "left").withColumn(
+        "m", F.when(F.col("own"), F.col("m")).otherwise(F.lit(MIXED))).drop("own").join(scored, ["key", "m"], "left")
+    passing = measured.where("not base_failed").select("key").join(scored, "key")
+    return rows, passing
+
 
-    passed = measured.where("not base_failed and easy is not null")
-    low, high = band_end(passed, "hard", -band), band_end(passed, "easy", band)
-    inside = (F.col("hard") >= low) & (F.col("easy") <= high)
-    return measured.select(
+def judge(docs: DataFrame, band: float = BAND) -> DataFrame:
+    """doc_id, figures, base_failed, kept, easy and hard of every document."""
+    rows, passing = scores(docs)
+    inside = (F.col("easy") >= F.col("low")) & (F.col("hard") <= F.col("high"))
+    return rows.join(bands(passing, band), "m", "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & F.coalesce(inside, F.lit(False))).alias("kept"), "easy", "hard")

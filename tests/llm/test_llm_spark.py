@@ -144,6 +144,30 @@ def test_quality(docs, none):
     assert op6_quality.judge(docs.drop("lang")).count() == len(ROWS)
 
 
+def _prose(lang, seed, mixed_up=False):
+    """Twelve of a language's sixty phrases of six words, or their words in random order."""
+    fixed, rng = random.Random(f"phrases {lang}"), random.Random(f"{lang} {seed}")
+    phrases = [[f"{lang}{fixed.randrange(150)}x" for _ in range(6)] for _ in range(60)]
+    words = [w for p in rng.sample(phrases, 12) for w in p]
+    if mixed_up:
+        rng.shuffle(words)
+    return " ".join(words)
+
+
+def test_quality_order_of_words_counts(spark):
+    rows = [(i, _prose("a", i, i >= 200), "a") for i in range(205)]
+    got = {r.doc_id: r for r in op6_quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert sum(got[i].kept for i in range(200)) >= 190
+    assert not any(got[i].kept for i in range(200, 205))
+    assert min(got[i].hard for i in range(200, 205)) > max(got[i].hard for i in range(200))
+
+
+def test_quality_model_grows_with_the_words(spark):
+    docs = [spark.createDataFrame([(" ".join(f"w{i}" for i in range(n)), 7)], "text string, m long") for n in (100, 1000)]
+    assert [op6_quality.count_grams(d).count() for d in docs] == [100, 1000]
+
+
 def test_bpe(docs, none):
     bpe = op7_bpe.load(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
     rows = op7_bpe.encode_documents(docs, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN, 256).collect()
