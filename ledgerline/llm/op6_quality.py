@@ -39,8 +39,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, hash_spans, mix, prepare, shingles, text_buffer, word_spans, written
+from .common import batches, drop_written, hash_spans, mix, prepare, shingles, text_buffer, word_spans, written
 
+#: Of the folded symbol model (``kneser_ney``, ``Model``), which no longer scores texts.
 ORDER = 4
 SYMBOLS = 32
 SIZE = SYMBOLS ** ORDER
@@ -48,9 +49,9 @@ SIZE = SYMBOLS ** ORDER
 LEAST_TEXTS = 30
 PASSAGE = 25
 #: Share of a text's passages that decide.
-SHARE = 0.75
+SHARE = 0.5
 #: Robust deviations between a language's median log-perplexity and either end of its band.
-BAND = 6.0
+BAND = 3.0
 #: Least deviation, for languages whose texts are nearly all alike.
 LEAST_DEVIATION = 0.02
 ALL = ""
@@ -331,9 +332,10 @@ def probabilities(grams: DataFrame) -> DataFrame:
 
 def score(docs: DataFrame) -> DataFrame:
     """key, m, hard and easy of texts (key, m, text) under model m of the other half."""
-    grams, _ = written(count_grams(docs), "op6-grams")
+    grams, counted = written(count_grams(docs), "op6-grams")
     model, _ = written(probabilities(grams).select(
         "gram", *[F.log(f"{c}{x}").cast("float").alias(f"{c}{x}") for c in "po" for x in "01"]), "op6-model")
+    drop_written(docs.sparkSession, counted)
 
     def run(source):
         for batch in batches(source):

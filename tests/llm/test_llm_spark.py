@@ -168,6 +168,15 @@ def test_quality_model_grows_with_the_words(spark):
     assert [op6_quality.count_grams(d).count() for d in docs] == [100, 1000]
 
 
+def test_quality_rejects_planted_junk(spark):
+    sf = "/root/testdata/sf0.1"
+    judged = op6_quality.judge(spark.read.parquet(f"{sf}/documents.parquet")).where("not base_failed")
+    rows = judged.join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").select("quality", "kept").collect()
+    bad, good = ([r.kept for r in rows if r.quality == q] for q in (0, 1))
+    assert len(bad) > 200 and bad.count(False) >= 0.85 * len(bad)
+    assert good.count(True) >= 0.99 * len(good)
+
+
 def test_bpe(docs, none):
     bpe = op7_bpe.load(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
     rows = op7_bpe.encode_documents(docs, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN, 256).collect()
