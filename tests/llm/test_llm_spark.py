@@ -177,6 +177,24 @@ def test_quality_rejects_planted_junk(spark):
     assert good.count(True) >= 0.99 * len(good)
 
 
+def test_quality_has_no_language_cap(spark):
+    """The last of 26 languages has a model and band of its own; rows without a language have those of all."""
+    rows = [(k, lang) for lang in [f"l{chr(97 + j)}" for j in range(26)] for k in range(60 if lang < "lz" else 36)]
+    rows = [(_prose(lang, k), lang) for k, lang in rows]
+    good = len(rows)
+    rows += [(_prose("lz", 100 + k, True), "lz") for k in range(3)]
+    named = len(rows)
+    rows += [(_prose(f"l{chr(97 + k)}", 200), None) for k in range(20)] + [(_prose("lv", 200), "rare")]
+    clean = len(rows)
+    rows += [(_prose(f"l{chr(97 + k)}", 300, True), None) for k in range(3)] + [(_prose("lb", 300, True), "rare")]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string")
+    kept = {r.doc_id: r.kept for r in op6_quality.judge(docs).collect()}
+    assert sum(kept[i] for i in range(good)) >= 0.95 * good
+    assert not any(kept[i] for i in range(good, named))
+    assert sum(kept[i] for i in range(named, clean)) >= 19
+    assert not any(kept[i] for i in range(clean, len(rows)))
+
+
 def test_bpe(docs, none):
     bpe = op7_bpe.load(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
     rows = op7_bpe.encode_documents(docs, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN, 256).collect()
