@@ -142,20 +142,21 @@ def expand(source, queries: np.ndarray, query_ids: np.ndarray, pivots: np.ndarra
         v = np.frombuffer(vectors, "<i8").reshape(-1, dim)
         score = (floats[active] @ v.T.astype(float)).astype(np.int64) if exact_in_floats else queries[active] @ v.T
         for row, q in enumerate(active.tolist()):
-            own, heap = score[row], best[q]
+            heap = best[q]
+            other = np.flatnonzero(ids != query_ids[q])  # any number of rows may repeat the query's id
+            own = score[row][other]
             if len(heap) == k:
                 hits = np.flatnonzero(own >= heap[0][0])
             elif len(own) > 4 * k:
-                hits = np.flatnonzero(own >= np.partition(own, len(own) - k - 1)[len(own) - k - 1])
+                hits = np.flatnonzero(own >= np.partition(own, len(own) - k)[len(own) - k])
             else:
                 hits = np.arange(len(own))
             for i in hits.tolist():
-                if ids[i] != query_ids[q]:
-                    item = (int(own[i]), -int(ids[i]))
-                    if len(heap) < k:
-                        heapq.heappush(heap, item)
-                    elif item > heap[0]:
-                        heapq.heapreplace(heap, item)
+                item = (int(own[i]), -int(ids[other[i]]))
+                if len(heap) < k:
+                    heapq.heappush(heap, item)
+                elif item > heap[0]:
+                    heapq.heapreplace(heap, item)
             if len(heap) == k:
                 reach[q] = np.sqrt(max(0.0, square[q] + norm2 - 2 * heap[0][0]))
 

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 
@@ -63,6 +64,27 @@ def test_top_k(spark):
     assert op1_topk.top_k(df.limit(0)).count() == 0
 
 
+def test_top_k_with_copies_of_the_query():
+    """20 rows that repeat a query's id and vector lie beside its neighbours in one block; the neighbours are found."""
+    rng = np.random.default_rng(8)
+    v = rng.integers(-100, 100, (120, 8))
+    v[1:21] = v[0] = 500
+    ids = np.arange(120)
+    ids[:21] = 700
+    norm2 = int((v * v).sum(1).max())
+    lifted = op1_topk.lift(v, norm2)
+    block = pa.RecordBatch.from_pydict({
+        "pivot": pa.array([0], pa.int32()), "low": [0.0],
+        "high": [float(op1_topk.distances(lifted, lifted[:1]).max())], "n": pa.array([120], pa.int32()),
+        "ids": pa.array([ids.astype("<i8").tobytes()], pa.binary()),
+        "vectors": pa.array([v.astype("<i8").tobytes()], pa.binary())})
+    rows = [r for b in op1_topk.expand([block], v[:1], ids[:1], lifted[:1], norm2, 10) for r in b.to_pylist()]
+    score = v[21:] @ v[0]
+    order = np.lexsort((ids[21:], -score))[:10]
+    assert sorted((-r["score"], r["vec_id"]) for r in rows) == [(-int(score[j]), int(ids[21 + j])) for j in order]
+
+
+
 def test_line_dedup(docs, none):
     out, _ = op2_linededup.dedup_lines(docs)
     assert out.columns == docs.columns
