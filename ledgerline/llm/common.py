@@ -131,6 +131,36 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.diff(at)
 
 
+def token_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, tokens per text): words between white space; characters of unspaced scripts are their own."""
+    starts, ends, counts = word_spans(data, offsets)
+    if not len(starts):
+        return starts, ends, counts
+    lead = (data & 0xC0) != 0x80
+    place = np.maximum.accumulate(np.where(lead, np.arange(len(data)), 0))
+    first, second = data[place], data[np.minimum(place + 1, len(data) - 1)]
+    # Han, kana and Hangul; Thai and Lao
+    alone = ((first >= 0xE3) & (first <= 0xED)) | ((first == 0xE0) & (second >= 0xB8) & (second <= 0xBB))
+    if not alone.any():
+        return starts, ends, counts
+    begins, stops = np.zeros(len(data) + 1, bool), np.zeros(len(data) + 1, bool)
+    begins[starts], stops[ends] = True, True
+    cut = np.flatnonzero(lead & (alone | np.concatenate([[False], alone[:-1]])))
+    inside = np.zeros(len(data) + 1, np.int64)
+    np.add.at(inside, starts, 1)
+    np.add.at(inside, ends, -1)
+    cut = cut[np.cumsum(inside)[cut] > 0]
+    begins[cut] = True
+    stops[cut[~_among(starts, cut)]] = True
+    starts, ends = np.flatnonzero(begins), np.flatnonzero(stops)
+    return starts, ends, np.diff(np.searchsorted(starts, offsets))
+
+
+def _among(starts: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which of ``at`` are among the sorted ``starts``."""
+    return starts[np.minimum(np.searchsorted(starts, at), len(starts) - 1)] == at
+
+
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each span, equal on every machine."""
     out = np.empty(len(starts), np.uint64)

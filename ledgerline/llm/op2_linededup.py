@@ -1,18 +1,24 @@
 """Line deduplication by pairwise alignment: patience diff of overlapping documents.
 
-1. A line is a stretch between line feeds, compared without outer white space.
-   Lines of at least ``MIN_WORDS`` words are anchors: equal anchors are never
+1. A text is cut into stretches of words: at line ends, and inside lines where
+   the hash of two neighbouring words is less than that of the borders beside it
+   (every third border or so), so a passage is cut alike wherever it stands.  Characters of scripts written
+   without spaces count as words.  White space between words is not compared.
+2. Anchors are runs of neighbouring stretches, within a line or over several,
+   of at least ``RUN_WORDS`` words (one from every stretch, as short as can be),
+   and whole lines of at least ``MIN_WORDS`` words.  Equal anchors are never
    chance, whatever their frequency, so no frequency cap is needed.
-2. Each document is paired with the first document (least doc_id) that holds
+3. Each document is paired with the first document (least doc_id) that holds
    one of its anchors.  A passage in n documents gives n - 1 pairs, not n^2,
    and every shared anchor of a later document is covered by a pair.
-3. A pair is aligned by patience diff over all its lines: lines unique in both
-   documents, in their longest common rising order, split the pair into gaps
-   that are aligned the same way; equal lines next to a border join it.
-4. Aligned lines that follow each other in both documents form a block.  Blocks
-   with an anchor are deleted from the later document.
+4. A pair is aligned by patience diff over all its stretches: those unique in
+   both documents, in their longest common rising order, split the pair into gaps
+   that are aligned the same way; equal stretches next to a border join it.
+5. Aligned stretches that follow each other in both documents form a block.
+   Shared anchors, and blocks that touch one, are deleted from the later
+   document.  Words beside a passage that share a stretch with host text stay.
 
-The first holder of a line keeps it, as no earlier document has it.
+The first holder of a passage keeps it, as no earlier document has it.
 
 Edge cases: a null text stays null; empty lines are never anchors but go with a
 block that surrounds them; a document whose lines are all deleted keeps its row
@@ -31,12 +37,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, drop_written, prepare, written
+from .common import batches, drop_written, hash_spans, mix, prepare, text_buffer, token_spans, written
 
 #: Words that make a line an anchor.
 MIN_WORDS = 8
-
-_WHITE = " \t\r\x0b\x0c"
+#: Most words of a stretch.
+LONGEST = 8
+#: Words that make a run of stretches an anchor.
+RUN_WORDS = 20
 
 
 def unique_common(a: list, b: list, a0: int, a1: int, b0: int, b1: int) -> list[tuple[int, int]]:
@@ -106,51 +114,154 @@ def doomed_lines(a: list, b: list, anchors: set) -> list[int]:
     return sorted(set(out))
 
 
-def line_table(docs: DataFrame) -> DataFrame:
-    """doc_id, print (hash of the text), lines (hash per line), anchors (two hashes per anchor line)."""
+def doomed_stretches(a: list, b: list, spans: list[tuple[int, int]]) -> list[int]:
+    """Places in ``b`` of shared anchors (``spans``: first and last place), and of aligned blocks that touch one."""
+    out = {j for first, last in spans for j in range(first, last + 1)}
+    block: list[int] = []
+    aligned = patience(a, b)
+    more: list[int] = []
+    for (i, j), after in zip(aligned, [*aligned[1:], (-1, -1)]):
+        block.append(j)
+        if after != (i + 1, j + 1):
+            if not out.isdisjoint(block):
+                more += block
+            block = []
+    return sorted(out.union(more))
+
+
+def stretches(column: pa.Array):
+    """Of all stretches end to end: start and end byte, hash, words, number of their line; and stretches per text."""
+    data, offsets = text_buffer(column)
+    starts, ends, counts = token_spans(data, offsets)
+    n = len(starts)
+    if not n:
+        z = np.zeros(0, np.int64)
+        return z, z, np.zeros(0, np.uint64), z, z, np.zeros(len(counts), np.int64)
+    word = hash_spans(data, starts, ends)
+    text = np.repeat(np.arange(len(counts)), counts)
+    line = np.concatenate([[0], np.cumsum(data == 10)])[starts]
+    first = np.ones(n, bool)
+    # inside a line: borders whose hash is less than those of the borders beside them
+    border = mix(word[:-1] * np.uint64(0x9E3779B97F4A7C15) + word[1:])
+    least = np.zeros(n - 1, bool)
+    least[1:-1] = (border[1:-1] < border[:-2]) & (border[1:-1] < border[2:])
+    first[1:] = (text[1:] != text[:-1]) | (line[1:] != line[:-1]) | least
+    at = np.flatnonzero(first)
+    first |= (np.arange(n) - np.repeat(at, np.diff(np.append(at, n)))) % LONGEST == 0  # one word over and over
+    at = np.flatnonzero(first)
+    size = np.diff(np.append(at, n))
+    place = (np.arange(n) - np.repeat(at, size)).astype(np.uint64)
+    value = mix(np.add.reduceat(mix(word + place * np.uint64(0xD6E8FEB86659FD93)), at) + size.astype(np.uint64))
+    per = np.bincount(text[at], minlength=len(counts))
+    # lines are told apart across texts too: texts need not end in a line feed
+    return starts[at], ends[at + size - 1], value, size, line[at] + text[at], per
+
+
+def anchor_spans(value: np.ndarray, size: np.ndarray, line: np.ndarray, per: np.ndarray):
+    """First and last place (over all texts) and hash of each anchor: runs of RUN_WORDS words, and long whole lines."""
+    n = len(value)
+    text_end = np.repeat(np.cumsum(per), per)
+    words = np.concatenate([[0], np.cumsum(size)])
+    run_end = np.searchsorted(words, words[:-1] + RUN_WORDS)  # one past the last stretch
+    run = np.flatnonzero(run_end <= text_end)
+    edge = np.flatnonzero(np.diff(line, prepend=-1))
+    line_end = np.append(edge[1:], n)[:len(edge)]
+    long = words[line_end] - words[edge] >= MIN_WORDS
+    first = np.concatenate([run, edge[long]])
+    last = np.concatenate([run_end[run], line_end[long]]) - 1
+    kind = np.repeat(np.array([1, 2], np.uint64), [len(run), int(long.sum())])
+    if not len(first):
+        return first, last, np.zeros(0, np.uint64)
+    # hash of a run: its stretches and their places in it
+    room = last - first + 1
+    begin = np.cumsum(room) - room
+    inside = np.arange(int(room.sum())) - np.repeat(begin, room)
+    part = mix(value[np.repeat(first, room) + inside] + inside.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+    return first, last, mix(np.add.reduceat(part, begin) + kind)
+
+
+def stretch_table(docs: DataFrame) -> DataFrame:
+    """doc_id, print (hash of the text), hashes of its stretches, and its anchors: hash, first and last place."""
 
     def run(source):
         import xxhash
         for batch in batches(source):
-            prints, lines, first, second = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                kept = [x.strip(_WHITE).encode() for x in text.split("\n")]
-                own = [xxhash.xxh64_intdigest(x, 1) - (1 << 63) for x in kept]
-                long = {h: x for h, x in zip(own, kept) if len(x) >= 2 * MIN_WORDS - 1 and len(x.split()) >= MIN_WORDS}
-                lines.append(own)
-                first.append(list(long))
-                second.append([xxhash.xxh64_intdigest(x, 2) - (1 << 63) for x in long.values()])
-                prints.append(xxhash.xxh64_intdigest(text.encode(), 3) - (1 << 63))
-            longs = pa.list_(pa.int64())
+            _, _, value, size, line, per = stretches(batch.column(1))
+            first, last, anchor = anchor_spans(value, size, line, per)
+            edge = np.concatenate([[0], np.cumsum(per)])
+            order = np.argsort(first, kind="stable")
+            first, last, anchor = first[order], last[order], anchor[order].view(np.int64)
+            cut = np.searchsorted(first, edge)
+            base = np.repeat(edge[:-1], np.diff(cut))
+
+            def lists(values, at, kind):
+                return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(values, kind))
+
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column(0).cast(pa.int64()), "print": pa.array(prints, pa.int64()),
-                "lines": pa.array(lines, longs), "first": pa.array(first, longs), "second": pa.array(second, longs)})
+                "doc_id": batch.column(0).cast(pa.int64()),
+                "print": pa.array([xxhash.xxh64_intdigest(x.encode(), 3) - (1 << 63) for x in batch.column(1).to_pylist()],
+                                  pa.int64()),
+                "stretches": lists(value.view(np.int64), edge, pa.int64()), "anchors": lists(anchor, cut, pa.int64()),
+                "firsts": lists((first - base).astype(np.int32), cut, pa.int32()),
+                "lasts": lists((last - base).astype(np.int32), cut, pa.int32())})
 
     return docs.select("doc_id", "text").where("doc_id is not null and text is not null").mapInArrow(
-        run, "doc_id long, print long, lines array<long>, first array<long>, second array<long>")
+        run, "doc_id long, print long, stretches array<long>, anchors array<long>, firsts array<int>, lasts array<int>")
+
+
+def without(text: str, removed: set[int]) -> str:
+    """The text without those stretches; a line that loses all goes, as do empty lines between two such lines."""
+    data = text.encode()
+    starts, ends, *_ = stretches(pa.array([text]))
+    spans = list(zip(starts.tolist(), ends.tolist()))
+    out: list[tuple[str, bytes]] = []
+    k = at = 0
+    for line in data.split(b"\n"):
+        end, kept, lost, place = at + len(line), b"", False, at
+        had = False
+        while k < len(spans) and spans[k][0] < end:
+            had = True
+            if k in removed:
+                kept, place, lost = kept + data[place:spans[k][0]], spans[k][1], True
+            k += 1
+        kept += data[place:end]
+        state = "empty" if not had else "gone" if lost and not kept.strip() else "kept"
+        out.append((state, kept.rstrip() if lost else line))
+        at = end + 1
+    after, states = "kept", []
+    for state, _ in reversed(out):
+        after = after if state == "empty" else state
+        states.append(after)
+    before, lines = "kept", []
+    for (state, line), following in zip(out, reversed(states)):
+        before = before if state == "empty" else state
+        if not (before == following == "gone"):
+            lines.append(line)
+    return b"\n".join(lines).decode()
 
 
 def deletions(docs: DataFrame) -> DataFrame:
-    """doc_id, print and removed (places of deleted lines) of every document that loses lines."""
-    rows = line_table(docs).groupBy("doc_id").agg(
-        F.max(F.struct("print", "lines", "first", "second")).alias("d")).select("doc_id", "d.*")
-    lines, path = written(rows, "op2-lines")
-    anchors = lines.select("doc_id", F.explode(F.arrays_zip("first", "second")).alias("x")).select(
-        "doc_id", F.col("x.first").alias("h1"), F.col("x.second").alias("h2"))
-    holders = anchors.groupBy("h1", "h2").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where(
+    """doc_id, print and removed (places of deleted stretches) of every document that loses any."""
+    rows = stretch_table(docs).groupBy("doc_id").agg(
+        F.max(F.struct("print", "stretches", "anchors", "firsts", "lasts")).alias("d")).select("doc_id", "d.*")
+    texts, path = written(rows, "op2-stretches")
+    anchors = texts.select("doc_id", F.explode(F.arrays_zip("anchors", "firsts", "lasts")).alias("x")).select(
+        "doc_id", F.col("x.anchors").alias("h"), F.col("x.firsts").alias("first"), F.col("x.lasts").alias("last"))
+    holders = anchors.groupBy("h").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where(
         "a < z").drop("z")
-    shared = anchors.join(holders, ["h1", "h2"]).where("doc_id > a")
-    pairs = shared.groupBy("a", F.col("doc_id").alias("b")).agg(F.collect_set("h1").alias("shared"))
-    pairs = pairs.join(lines.select(F.col("doc_id").alias("b"), "print", F.col("lines").alias("lines_b")), "b")
-    pairs = pairs.join(lines.select(F.col("doc_id").alias("a"), F.col("lines").alias("lines_a")), "a").select(
-        "b", "print", "shared", "lines_a", "lines_b")
+    shared = anchors.join(holders, "h").where("doc_id > a")
+    pairs = shared.groupBy("a", F.col("doc_id").alias("b")).agg(F.collect_set(F.struct("first", "last")).alias("spans"))
+    pairs = pairs.join(texts.select(F.col("doc_id").alias("b"), "print", F.col("stretches").alias("own")), "b")
+    pairs = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("stretches").alias("other")), "a").select(
+        "b", "print", "spans", "other", "own")
 
     def run(source):
         for batch in batches(source):
-            a, b, shared_ = (batch.column(k).to_pylist() for k in ("lines_a", "lines_b", "shared"))
+            a, b, spans = (batch.column(k).to_pylist() for k in ("other", "own", "spans"))
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("b"), "print": batch.column("print"),
-                "removed": pa.array([doomed_lines(x, y, set(s)) for x, y, s in zip(a, b, shared_)], pa.list_(pa.int32()))})
+                "removed": pa.array([doomed_stretches(x, y, [(s["first"], s["last"]) for s in z])
+                                     for x, y, z in zip(a, b, spans)], pa.list_(pa.int32()))})
 
     found = pairs.mapInArrow(run, "doc_id long, print long, removed array<int>")
     found = found.groupBy("doc_id", "print").agg(
@@ -161,7 +272,7 @@ def deletions(docs: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(the documents without deleted lines, the deletions)."""
+    """(the documents without deleted stretches, the deletions)."""
     prepare(docs.sparkSession)
     found = deletions(docs)
     names = docs.columns
@@ -181,8 +292,7 @@ def dedup_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                 prints = batch.column(len(names)).to_pylist()
                 for i in rows.tolist():
                     if texts[i] is not None and xxhash.xxh64_intdigest(texts[i].encode(), 3) - (1 << 63) == prints[i]:
-                        out = set(gone_[i].as_py())
-                        texts[i] = "\n".join(x for j, x in enumerate(texts[i].split("\n")) if j not in out)
+                        texts[i] = without(texts[i], set(gone_[i].as_py()))
                 column = pa.array(texts, column.type)
             columns = [column if i == at["text"] else batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names=names)
@@ -191,7 +301,7 @@ def dedup_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """doc_id, removed_lines, kept_chars and text_crc32 of every document after deletion."""
+    """doc_id, removed_lines (deleted stretches), kept_chars and text_crc32 of every document after deletion."""
     trimmed, found = dedup_lines(docs.select("doc_id", "text"))
     text = F.coalesce("text", F.lit(""))
     # figures before the join, so that no text is shuffled a second time

@@ -96,6 +96,27 @@ def test_line_dedup(docs, none):
     assert op2_linededup.dedup_lines(none)[0].count() == 0
 
 
+def test_line_dedup_inside_lines(spark):
+    """A passage of 50 words inside longer lines, one of short lines, and one without spaces; the first holder keeps them."""
+    rng = random.Random(4)
+
+    def words(n, mark):
+        return [f"{mark}{rng.randrange(10**6)}" for _ in range(n)]
+
+    inside, verse = words(50, "p"), "\n".join(" ".join(words(4, "v")) for _ in range(10))
+    wide = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(60))
+    rows = [(i, " ".join(words(30, f"h{i}x") + inside + words(30, f"t{i}x")) + f"\n{verse}\nend {i}\nA{i}{wide}B{i}")
+            for i in range(3)]
+    out = {r.doc_id: r.text for r in op2_linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))[0].collect()}
+    assert out[0] == rows[0][1]
+    for i in (1, 2):
+        assert sum(w in out[i].split() for w in inside) <= 20
+        assert sum(w in out[i].split() for w in verse.split()) == 0
+        assert sum(c in out[i] for c in set(wide)) <= 20
+        held = set(rows[i][1].split()) - set(inside) - set(verse.split())
+        assert all(w in out[i].split() for w in held if w[0] in "ht" or w == "end")
+
+
 def test_near_duplicates(docs, none):
     got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in op3_minhash.near_duplicates(docs).collect()),
                  key=str)
