@@ -29,15 +29,31 @@ def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     return docs.join(gone, docs["doc_id"] == gone["__rejected"], "left_anti")
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The documents with ``__row``, a hash of all that a verdict depends on: rows of equal hash share their verdict."""
+    return docs.withColumn("__row", F.xxhash64(*[c for c in ("doc_id", "lang", "text") if c in docs.columns]))
+
+
+def _passing(keyed: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The rows whose own key is not rejected, whether their doc_id is null or repeated."""
+    gone = rejected.select(F.col("doc_id").alias("__rejected")).distinct()
+    return keyed.join(gone, keyed["__row"] == gone["__rejected"], "left_anti").drop("__row")
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return _without(docs, op8_toxicity.score_documents(docs, labels).where("predicted = 1"))
+    prepare(spark)
+    keyed = _keyed(docs)
+    weight, law = op8_toxicity.train(docs, labels)
+    rows = keyed.select(F.col("__row").alias("doc_id"), "text")
+    return _passing(keyed, op8_toxicity.score_rows(rows, weight, law).where("predicted = 1"))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the counting rules and the perplexity band."""
-    return _without(docs, op6_quality.judge(docs).where("not kept"))
+    keyed = _keyed(docs)
+    return _passing(keyed, op6_quality.judge(keyed.withColumn("doc_id", F.col("__row"))).where("not kept"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -265,10 +265,13 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, Calibration]:
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted, and the passages (first word, last word, score) of every document."""
-    spark = docs.sparkSession
-    prepare(spark)
-    weight, law = train(docs, labels)
-    shared = spark.sparkContext.broadcast(weight)  # BUCKETS floats
+    prepare(docs.sparkSession)
+    return score_rows(docs, *train(docs, labels))
+
+
+def score_rows(docs: DataFrame, weight: np.ndarray, law: Calibration) -> DataFrame:
+    """``score_documents`` of any rows, by trained weights; ``doc_id`` may be another key of the row."""
+    shared = docs.sparkSession.sparkContext.broadcast(weight)  # BUCKETS floats
 
     def run(source):
         for batch in batches(source):

@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers as P
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerline.llm import (
@@ -293,6 +294,24 @@ def test_stages_on_odd_rows(spark, docs, none, labels, tmp_path):
         assert stage(spark, none, f"file://{tmp_path}").count() == 0, name
 
 
+def test_verdicts_stay_with_their_rows(spark, monkeypatch, tmp_path):
+    """A rejected row goes though its doc_id is null; a clean row stays though a rejected one has its doc_id."""
+    path = f"file://{tmp_path}"
+    spark.createDataFrame([(1, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    clean = [_prose("a", i) for i in range(60)]
+    rows = [(i, t, "a") for i, t in enumerate(clean)] + [(None, "junk one", "a"), (5, "junk two", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {(r.doc_id, r.text) for r in corpus_pipeline.quality(spark, docs, path).collect()}
+    assert not any("junk" in t for _, t in kept) and (5, clean[5]) in kept
+
+    def scored(rows, *_):
+        return rows.select("doc_id", F.col("text").contains("junk").cast("int").alias("predicted"))
+
+    monkeypatch.setattr(op8_toxicity, "score_rows", scored)
+    kept = {(r.doc_id, r.text) for r in corpus_pipeline.toxicity(spark, docs, path).collect()}
+    assert kept == {(i, t) for i, t, _ in rows[:60]}
+
+
 def test_pipeline_rows(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
