@@ -17,6 +17,9 @@ from . import (
     op8_toxicity,
     op9_binary,
     op10_sharding,
+    op11_decontaminate,
+    op12_merkle,
+    op13_align,
 )
 
 
@@ -72,6 +75,19 @@ def op9_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_binary.digest(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
 
+def op11_decontaminate_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_decontaminate.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_merkle_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_merkle.digest(_table(spark, sf_dir, "documents"))
+
+
+def op13_align_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_align.align(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"),
+                            _vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk_pivots": op1_topk_pivots,
     "op2_linededup_patience": op2_linededup_patience,
@@ -83,9 +99,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity_segments": op8_toxicity_segments,
     "op9_binary_output": op9_binary_output,
     "op10_sharding_splitters": op10_sharding_splitters,
+    "op11_decontaminate_automaton": op11_decontaminate_automaton,
+    "op12_merkle_versions": op12_merkle_versions,
+    "op13_align_identity": op13_align_identity,
 }
-#: Only the exact search has a plain SQL form that is quick on whole tables.
+#: The operators that have a plain SQL form that is quick on whole tables.
 ORACLE: dict[str, str] = {
+    "op11_decontaminate_automaton": op11_decontaminate.ORACLE_SQL,
+    "op12_merkle_versions": op12_merkle.ORACLE_SQL,
     "op1_topk_pivots": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
