@@ -20,54 +20,44 @@ append-only change log places late rows correctly (see ``streaming``).
 
 Plan and scale
 --------------
-* Rules 1-4 are window passes over ``partitionBy(keys, chunk)`` ordered by
-  (sequence, other columns descending): the first row of a tie is kept, then
-  lag/lead and a running max find version starts and ends.  All windows
-  share one shuffle and one sort; no sort-based aggregate is needed.
-* When the sample shows a single (key, sequence) group larger than a chunk
-  (a group of identical copies), a ``distinct`` runs first: its hash
-  aggregation removes copies inside each map task before any shuffle.
-* A window keeps a whole partition group in one task.  Keys estimated (from a
-  sample) to hold more than ``rows_per_chunk`` rows are split into sequence
-  range chunks with borders at sample quantiles of the key's sequence (so a
-  burst of changes is split too); a small per-chunk table (first/last tracked values, first
-  sequence, last version start) carries the state across chunk borders.  Its
-  size is bounded by the number of chunks, known on the driver before it is
-  broadcast.  The sample only decides the split, never the result: any split
-  gives the same versions.
+* Rules 1-4 are window passes over ``partitionBy(keys)`` ordered by (sequence,
+  other columns descending): the first row of a tie is kept, then lag/lead and a
+  running max find version starts and ends.  All windows share one shuffle and
+  one sort; no sort-based aggregate is needed.
+* A window keeps a whole key in one task.  Keys estimated (from a sample) to hold
+  more than ``rows_per_chunk`` rows are *hot* and take a segmented scan instead:
+
+  1. rule 1 by an aggregation, which combines copies and ties inside every map
+     task, then range partitioning by (key, sequence), written to the shared
+     folder with the number of the range;
+  2. an edge summary of each range and key: first and last tracked values, first
+     sequence, last version start inside the range;
+  3. the summaries of a key, in range order, are folded into a carry: the last
+     tracked values and the last start before the range, the first values and
+     sequence after it (lag, lead and a running max: one row per range);
+  4. the windows of the single pass run inside each range, with the carry at its
+     two ends.
+
+  Hot keys, ranges and carries are DataFrames; their number has no bound and
+  none of them passes through the driver.  Ranges are cut at sample quantiles
+  of (key, sequence) by Spark's range partitioning, so a burst is split as well.
+  The sample only decides which way a key takes; both give the same versions.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerline.functions.constants import CURRENT, END_AT, START_AT
+from ledgerline.session import hand_off
 
 DEFAULT_ROWS_PER_CHUNK = 2_000_000
 DEFAULT_SAMPLE_FRACTION = 0.001
-MAX_HOT_KEYS = 100_000
-MAX_BROADCAST_CHUNKS = 1_000_000
 
-_B = "_scd_chunk"
-
-
-def _ordinal(c: Column, dtype: T.DataType) -> Column:
-    """A double that never decreases when the sequence increases."""
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(c).cast("double")
-    if isinstance(dtype, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00")
-                                .cast(T.TimestampNTZType()), c).cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dtype, T.NumericType):
-        return c.cast("double")
-    raise TypeError(f"sequence_by of type {dtype.simpleString()} is not orderable as a number")
+_R = "_scd_range"
 
 
 def deduplicate_changes(df: DataFrame, keys: Sequence[str], sequence_by: str) -> DataFrame:
@@ -87,155 +77,88 @@ def count_null_sequences(df: DataFrame, sequence_by: str) -> DataFrame:
     return df.agg(F.count_if(F.col(sequence_by).isNull()).alias("null_sequence_rows"))
 
 
-def plan_chunks(df: DataFrame, keys: Sequence[str], sequence_by: str,
-                rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
-                sample_fraction: float = DEFAULT_SAMPLE_FRACTION,
-                max_keys: int = MAX_HOT_KEYS, seed: int = 7) -> tuple[list[tuple], bool]:
-    """Hot keys and hot copy groups, from one pass over a sample.
+def find_hot_keys(df: DataFrame, keys: Sequence[str], sequence_by: str,
+                  rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
+                  sample_fraction: float = DEFAULT_SAMPLE_FRACTION, seed: int = 7) -> DataFrame:
+    """Keys estimated to hold more than ``rows_per_chunk`` change rows, with the estimate ``_rows``.
 
-    Returns ``(hot, hot_copies)``: at most ``max_keys`` tuples
-    ``(*key, n_chunks, borders)`` for keys estimated to hold more than
-    ``rows_per_chunk`` rows, the borders being sequence ordinals at sample
-    quantiles of the key (see ``_quantile_bounds``), and whether some single
-    (key, sequence) group is that large (then copies are combined map-side
-    before the window).  Only samples are aggregated, and only keys above the
-    threshold (with one border per chunk) reach the driver.
+    A lazy aggregate over a sample of the key and sequence columns; it has at
+    most (rows / rows_per_chunk) rows and stays a DataFrame.
     """
-    dtype = df.schema[sequence_by].dataType
-    src = df.select(*keys, _ordinal(F.col(sequence_by), dtype).alias("_o")) \
-            .where(F.col("_o").isNotNull())
+    src = df.where(F.col(sequence_by).isNotNull()).select(*keys)
     if sample_fraction < 1.0:
         src = src.sample(fraction=sample_fraction, seed=seed)
-    threshold = rows_per_chunk * sample_fraction
-    stats = (src.groupBy(*keys, "_o").agg(F.count(F.lit(1)).alias("_c"))
-             .groupBy(*keys)
-             .agg(F.sum("_c").alias("_n"), F.min("_o").alias("_lo"), F.max("_o").alias("_hi"),
-                  F.max("_c").alias("_copies"))
-             .where(F.col("_n") > threshold)
-             .orderBy(F.col("_n").desc())
-             .limit(max_keys))
-    hot, hot_copies = [], False
-    for row in stats.collect():
-        est = row["_n"] / sample_fraction
-        n_chunks = max(2, math.ceil(est / rows_per_chunk))
-        hot.append(tuple(row[k] for k in keys) + (n_chunks, row["_lo"], row["_hi"]))
-        hot_copies = hot_copies or row["_copies"] > threshold
-    if hot:
-        hot = _quantile_bounds(df, keys, sequence_by, hot, rows_per_chunk, seed)
-    return hot, hot_copies
-
-
-POINTS_PER_CHUNK = 20
-
-
-def _quantile_bounds(df: DataFrame, keys: list[str], sequence_by: str, hot: list[tuple],
-                     rows_per_chunk: int, seed: int) -> list[tuple]:
-    """Chunk borders at sample quantiles of each hot key's sequence.
-
-    A second sample of the hot keys' rows only, at ``POINTS_PER_CHUNK``
-    points per target chunk, is ranked per key; every ``POINTS_PER_CHUNK``-th
-    ordinal becomes a border.  Chunks then hold about ``rows_per_chunk`` rows
-    however bursty the sequence is.  At most (number of chunks) values per
-    key reach the driver.  Returns ``(*key, n_chunks, [borders])``.
-    """
-    k = len(keys)
-    dtype = df.schema[sequence_by].dataType
-    rate = min(1.0, POINTS_PER_CHUNK / rows_per_chunk)
-    hot_df = df.sparkSession.createDataFrame(
-        [h[:k] for h in hot], T.StructType([T.StructField(c, df.schema[c].dataType) for c in keys]))
-    pts = df.select(*keys, _ordinal(F.col(sequence_by), dtype).alias("_o")) \
-            .where(F.col("_o").isNotNull())
-    if rate < 1.0:
-        pts = pts.sample(fraction=rate, seed=seed + 1)
-    pts = _null_safe_join(pts, hot_df, keys, "left_semi", broadcast=True)
-    w = Window.partitionBy(*keys).orderBy("_o")
-    picked = (pts.withColumn("_rn", F.row_number().over(w))
-              .where(F.col("_rn") % POINTS_PER_CHUNK == 0)
-              .groupBy(*keys).agg(F.sort_array(F.collect_list("_o")).alias("_b")))
-    found = {tuple(r[c] for c in keys): list(r["_b"]) for r in picked.collect()}
-    out = []
-    for h in hot:
-        bounds = found.get(tuple(h[:k]))
-        if not bounds:        # too few points: fall back to an even split of [lo, hi]
-            n, lo, hi = h[k], h[k + 1], h[k + 2]
-            bounds = [lo + (hi - lo) * i / n for i in range(1, n)]
-        out.append(tuple(h[:k]) + (len(bounds) + 1, bounds))
-    return out
-
-
-def _as_bounds(h: tuple, k: int) -> tuple:
-    """Accept (*key, n, lo, hi) (even split) or (*key, n, [borders])."""
-    if len(h) == k + 3:
-        n, lo, hi = h[k], h[k + 1], h[k + 2]
-        return tuple(h[:k]) + (n, [lo + (hi - lo) * i / n for i in range(1, n)])
-    return tuple(h[:k]) + (h[k], list(h[k + 1]))
+    return (src.groupBy(*keys).agg((F.count(F.lit(1)) / sample_fraction).alias("_rows"))
+            .where(F.col("_rows") > rows_per_chunk))
 
 
-def find_hot_keys(df: DataFrame, keys: Sequence[str], sequence_by: str,
-                  rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
-                  sample_fraction: float = DEFAULT_SAMPLE_FRACTION,
-                  max_keys: int = MAX_HOT_KEYS, seed: int = 7) -> list[tuple]:
-    """Keys estimated to hold more than ``rows_per_chunk`` change rows."""
-    return plan_chunks(df, keys, sequence_by, rows_per_chunk, sample_fraction,
-                       max_keys, seed)[0]
-
-
-def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str],
-                    how: str = "left", broadcast: bool = True) -> DataFrame:
+def _null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Join on columns that may be NULL (a NULL key is a key like any other)."""
     renamed = right.select(*[F.col(c).alias(f"_j_{c}") for c in on],
                            *[c for c in right.columns if c not in on])
-    if broadcast:
-        renamed = F.broadcast(renamed)
     cond = None
     for c in on:
         term = left[c].eqNullSafe(renamed[f"_j_{c}"])
         cond = term if cond is None else cond & term
     out = left.join(renamed, cond, how)
-    return out if how in ("left_semi", "semi", "leftsemi") else out.drop(*[f"_j_{c}" for c in on])
-
-
-def _bisect_right(bounds: Column, o: Column, max_len: int) -> Column:
-    """Number of borders <= ``o`` (sorted ``bounds``): a binary search written
-    as a fixed number of steps of the ``aggregate`` higher-order function."""
-    steps = max(1, math.ceil(math.log2(max_len + 1)) + 1)
-
-    def step(acc, _):
-        mid = ((acc["lo"] + acc["hi"]) / 2).cast("int")
-        go_right = F.element_at(bounds, mid + 1) <= o
-        return F.when(acc["lo"] >= acc["hi"], acc).otherwise(
-            F.when(go_right, F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi")))
-             .otherwise(F.struct(acc["lo"].alias("lo"), mid.alias("hi"))))
-    start = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step)["lo"]
-
-
-def assign_chunks(rows: DataFrame, keys: Sequence[str], sequence_by: str,
-                  hot_keys: list[tuple]) -> DataFrame:
-    """Add the chunk index ``_scd_chunk`` (0 for keys that are not hot) and
-    ``_hot``.  A hot key's chunk is the number of its borders at or below
-    the row's sequence, so the index never decreases as the sequence
-    increases."""
-    keys = list(keys)
-    k = len(keys)
-    spark = rows.sparkSession
-    hot_keys = [_as_bounds(h, k) for h in hot_keys]
-    key_fields = [T.StructField(c, rows.schema[c].dataType) for c in keys]
-    hot_schema = T.StructType(key_fields + [
-        T.StructField("_nb", T.IntegerType()),
-        T.StructField("_bounds", T.ArrayType(T.DoubleType()))])
-    # at most MAX_HOT_KEYS rows and one border per chunk, built on the driver;
-    # broadcast only while the borders counted here stay under the bound
-    hot = spark.createDataFrame(hot_keys, hot_schema)
-    max_len = max((len(h[k + 1]) for h in hot_keys), default=1)
-    small = sum(len(h[k + 1]) for h in hot_keys) <= MAX_BROADCAST_CHUNKS
-    out = _null_safe_join(rows, hot, keys, "left", broadcast=small)
-    o = _ordinal(F.col(sequence_by), rows.schema[sequence_by].dataType)
-    return out.withColumn(
-        _B, F.when(F.col("_nb").isNull(), F.lit(0))
-             .otherwise(_bisect_right(F.col("_bounds"), o, max_len))) \
-        .withColumn("_hot", F.col("_nb").isNotNull()) \
-        .drop("_nb", "_bounds")
+    return out if how in ("left_semi", "left_anti") else out.drop(*[f"_j_{c}" for c in on])
+
+
+def split_ranges(rows: DataFrame, keys: Sequence[str], sequence_by: str,
+                 ranges: int | None = None) -> DataFrame:
+    """``rows`` by rule 1, range-partitioned by (keys, sequence) and written, with the range's number ``_scd_range``.
+
+    A range's rows lie before those of the next one.  ``ranges`` defaults to the
+    session's shuffle partitions, which AQE coalesces when they are small.
+    """
+    order = [*keys, sequence_by]
+    one = deduplicate_changes(rows, keys, sequence_by)
+    cut = one.repartitionByRange(ranges, *order) if ranges else one.repartitionByRange(*order)
+    return hand_off(cut.withColumn(_R, F.spark_partition_id()), "scd2-ranges")
+
+
+def range_carries(ranged: DataFrame, keys: Sequence[str], sequence_by: str, tracked: Sequence[str]) -> DataFrame:
+    """What each (key, range) must know of its neighbours: one row each.
+
+    ``_prev``: tracked values before the range; ``_next`` and ``_next_seq``: those and the
+    sequence after it; ``_carry``: the last version start before it.
+    """
+    seq, values = F.col(sequence_by), F.struct(*[F.col(c) for c in tracked])
+    here = Window.partitionBy(_R, *keys).orderBy(seq)
+    before = F.lag(values).over(here)
+    marked = ranged.select(*keys, _R, seq.alias("_s"), values.alias("_t"), F.when(
+        F.lag(seq).over(here).isNotNull() & ~before.eqNullSafe(values), seq).alias("_start"))
+    edges = marked.groupBy(_R, *keys).agg(
+        F.min("_s").alias("_first_seq"), F.min_by("_t", "_s").alias("_first"),
+        F.max_by("_t", "_s").alias("_last"), F.max("_start").alias("_inner"))
+    along = Window.partitionBy(*keys).orderBy(_R)
+    edges = edges.select("*", F.lag("_last").over(along).alias("_prev"), F.lead("_first").over(along).alias("_next"),
+                         F.lead("_first_seq").over(along).alias("_next_seq"))
+    opens = F.col("_prev").isNull() | ~F.col("_prev").eqNullSafe(F.col("_first"))
+    last_start = F.coalesce("_inner", F.when(opens, F.col("_first_seq")))
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    return edges.select(*keys, _R, "_prev", "_next", "_next_seq", F.max(last_start).over(earlier).alias("_carry"))
+
+
+def _collapse(rows: DataFrame, group: Sequence[str], sequence_by: str, tracked: Sequence[str],
+              columns: Sequence[str], carried: bool) -> DataFrame:
+    """Rules 2-4 inside each ``group``, whose rows have one sequence each; ``carried`` rows bring their group's carry."""
+    seq, values = F.col(sequence_by), F.struct(*[F.col(c) for c in tracked])
+    w = Window.partitionBy(*group).orderBy(seq)
+
+    def with_edge(inside: Column, edge: str) -> Column:
+        return F.coalesce(inside, F.col(edge)) if carried else inside
+
+    marked = rows.select(
+        "*", values.alias("_t"), with_edge(F.lag(values).over(w), "_prev").alias("_before"),
+        with_edge(F.lead(values).over(w), "_next").alias("_after"),
+        with_edge(F.lead(seq).over(w), "_next_seq").alias("_end"))
+    differs = lambda c: F.col(c).isNull() | ~F.col(c).eqNullSafe(F.col("_t"))
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    started = marked.withColumn("_start", F.max(F.when(differs("_before"), seq)).over(running))
+    return started.where(differs("_after")).select(
+        *columns, with_edge(F.col("_start"), "_carry").alias(START_AT), F.col("_end").alias(END_AT),
+        F.col("_end").isNull().alias(CURRENT))
 
 
 def apply_scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
@@ -244,18 +167,18 @@ def apply_scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
                ignore_null_updates: bool = False,
                rows_per_chunk: int = DEFAULT_ROWS_PER_CHUNK,
                sample_fraction: float = DEFAULT_SAMPLE_FRACTION,
-               hot_keys: list[tuple] | None = None,
-               combine_copies: bool | None = None,
+               hot_keys: DataFrame | None = None,
+               ranges: int | None = None,
                sample_source: DataFrame | None = None) -> DataFrame:
     """Versions of every key of ``changes`` (see module doc for the rules).
 
     ``track_history`` defaults to every column other than keys and sequence.
     Unless ``hot_keys`` is given or ``rows_per_chunk=0``, building the plan
-    runs one small job (an aggregate over a sample of keys and sequences).
-    ``hot_keys`` may be given (as returned by ``find_hot_keys``) to skip the
-    sample; ``rows_per_chunk=0`` disables splitting.  ``combine_copies``
-    forces (True) or skips (False) the map-side removal of identical rows;
-    by default the sample decides.  ``sample_source`` (same key and sequence
+    runs one small job (an aggregate over a sample of keys); if that finds hot
+    keys, their rows are written in ranges at once.  ``hot_keys`` may be given as a
+    DataFrame of the key columns to skip the sample; ``rows_per_chunk=0`` disables
+    splitting; ``ranges`` is the number of ranges of the hot rows (default: the
+    session's shuffle partitions).  ``sample_source`` (same key and sequence
     columns) may replace ``changes`` for the sample when it is cheaper to scan
     and holds at least as many rows per key, e.g. the source scans of a feed
     built by joins and aggregations; only the split depends on it.
@@ -269,93 +192,29 @@ def apply_scd2(changes: DataFrame, keys: Sequence[str], sequence_by: str,
     bad = [c for c in tracked if c not in values]
     if bad:
         raise ValueError(f"tracked columns must be non-key, non-sequence columns: {bad}")
-    dtype = df.schema[sequence_by].dataType
     seq = F.col(sequence_by)
+    rows = df.where(seq.isNotNull())
 
-    if hot_keys is None:
+    if hot_keys is None and rows_per_chunk > 0:
         probe = sample_source if sample_source is not None else df
-        hot_keys, copies = (plan_chunks(probe, keys, sequence_by, rows_per_chunk,
-                                        sample_fraction)
-                            if rows_per_chunk > 0 else ([], False))
-    else:
-        copies = False
-    if combine_copies is not None:
-        copies = combine_copies
-
-    rows = df.where(seq.isNotNull())
-    if copies:
-        # A large group of identical change rows is reduced inside every map
-        # task (hash aggregation) before anything is shuffled by key.
-        rows = rows.distinct()
+        found = find_hot_keys(probe, keys, sequence_by, rows_per_chunk, sample_fraction)
+        if not found.isEmpty():
+            hot_keys = hand_off(found.select(*keys), "scd2-hot")  # both sides must see the same keys
+
+    # One shuffle by key and one sort by (sequence, other columns descending)
+    # serve every window below.  Rule 1: of rows sharing a sequence the first
+    # in this order (largest struct) is kept.
+    cold = rows if hot_keys is None else _null_safe_join(rows, hot_keys.select(*keys), keys, "left_anti")
     others = F.struct(*[F.col(c) for c in values]) if values else F.lit(0)
-    trk = F.struct(*[F.col(c) for c in tracked])
-
-    if hot_keys:
-        hot_keys = [_as_bounds(h, len(keys)) for h in hot_keys]
-        small = sum(h[len(keys)] for h in hot_keys) <= MAX_BROADCAST_CHUNKS
-        rows = assign_chunks(rows, keys, sequence_by, hot_keys)
-        # Border table, one row per chunk of a hot key: the tracked values of
-        # its first and last change (ties on the sequence resolved like rule
-        # 1) and its first sequence, then the neighbours' across the border.
-        hot_rows = rows.where("_hot")
-        bounds = hot_rows.groupBy(*keys, _B).agg(F.min(seq).alias("_fs"), F.max(seq).alias("_ls"))
-        edges = (_null_safe_join(hot_rows, bounds, keys + [_B], "inner", broadcast=small)
-                 .where((seq == F.col("_fs")) | (seq == F.col("_ls")))
-                 .groupBy(*keys, _B, "_fs")
-                 .agg(F.max(F.when(seq == F.col("_fs"), others)).alias("_fr"),
-                      F.max(F.when(seq == F.col("_ls"), others)).alias("_lr")))
-        pick = (lambda r: F.struct(*[F.col(r)[c].alias(c) for c in tracked])) if values else \
-            (lambda r: F.struct())
-        wc = Window.partitionBy(*keys).orderBy(_B)
-        border = edges.select(
-            *keys, _B,
-            F.lag(pick("_lr")).over(wc).alias("_prev_last_t"),
-            F.lead(pick("_fr")).over(wc).alias("_next_first_t"),
-            F.lead("_fs").over(wc).alias("_next_first_seq"))
-        rows = _null_safe_join(rows, border, keys + [_B], "left", broadcast=small)
-        prev_fix, next_fix, next_seq_fix = (F.col("_prev_last_t"), F.col("_next_first_t"),
-                                            F.col("_next_first_seq"))
-    else:
-        rows = rows.withColumn(_B, F.lit(0)).withColumn("_hot", F.lit(False))
-        prev_fix = next_fix = F.lit(None)
-        next_seq_fix = F.lit(None).cast(dtype)
-
-    # One shuffle by (keys, chunk) and one sort by (sequence, other columns
-    # descending) serve every window below.  Rule 1: of rows sharing a
-    # sequence the first in this order (largest struct) is kept.
-    w_tie = Window.partitionBy(*keys, _B).orderBy(seq, others.desc())
-    rows = rows.withColumn("_dup", F.coalesce(F.lag(seq).over(w_tie) == seq, F.lit(False))) \
-               .where(~F.col("_dup"))
-    w = Window.partitionBy(*keys, _B).orderBy(seq)
-    p1 = rows.select(
-        *keys, sequence_by, *values, _B, "_hot",
-        trk.alias("_t"),
-        F.coalesce(F.lag(trk).over(w), prev_fix).alias("_prev"),
-        F.coalesce(F.lead(trk).over(w), next_fix).alias("_next"),
-        F.coalesce(F.lead(seq).over(w), next_seq_fix).alias("_next_seq"))
-    p1 = p1.withColumn("_is_start", F.col("_prev").isNull() | ~F.col("_prev").eqNullSafe(F.col("_t"))) \
-           .withColumn("_is_end", F.col("_next").isNull() | ~F.col("_next").eqNullSafe(F.col("_t")))
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    p2 = p1.withColumn("_run_start", F.max(F.when(F.col("_is_start"), seq)).over(running))
-    ends = p2.where("_is_end")
-
-    if hot_keys:
-        # A version may begin in an earlier chunk: carry the last start seen
-        # in any earlier chunk of the same key.
-        starts = (p2.where(F.col("_hot") & F.col("_is_start"))
-                  .groupBy(*keys, _B).agg(F.max(seq).alias("_last_start")))
-        carry = _null_safe_join(bounds.select(*keys, _B), starts, keys + [_B], "left",
-                                broadcast=small)
-        before = Window.partitionBy(*keys).orderBy(_B) \
-                       .rowsBetween(Window.unboundedPreceding, -1)
-        carry = carry.select(*keys, _B, F.max("_last_start").over(before).alias("_carry"))
-        ends = _null_safe_join(ends, carry, keys + [_B], "left", broadcast=small)
-        start = F.coalesce(F.col("_run_start"), F.col("_carry"))
-    else:
-        start = F.col("_run_start")
-
-    return ends.select(
-        *df.columns,
-        start.alias(START_AT),
-        F.col("_next_seq").alias(END_AT),
-        F.col("_next_seq").isNull().alias(CURRENT))
+    w_tie = Window.partitionBy(*keys).orderBy(seq, others.desc())
+    cold = (cold.withColumn("_dup", F.coalesce(F.lag(seq).over(w_tie) == seq, F.lit(False)))
+            .where(~F.col("_dup")).drop("_dup"))
+    out = _collapse(cold, keys, sequence_by, tracked, df.columns, carried=False)
+    if hot_keys is None:
+        return out
+
+    hot = _null_safe_join(rows, hot_keys.select(*keys), keys, "left_semi")
+    ranged = split_ranges(hot, keys, sequence_by, ranges)
+    carries = range_carries(ranged, keys, sequence_by, tracked)
+    ranged = _null_safe_join(ranged, carries, [*keys, _R], "inner")
+    return out.unionByName(_collapse(ranged, [_R, *keys], sequence_by, tracked, df.columns, carried=True))

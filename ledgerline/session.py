@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of this library relies on.  The session time zone fixes
 # the calendar columns (order_year/month/day, order_date) derived from
@@ -108,6 +108,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/ledgerline/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def hand_off(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a fresh folder under the shared checkpoint folder and read back.
+
+    Cuts lineage: a lost executor costs only tasks that read the table, and
+    every reader sees the same rows.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme (used only by tests that inspect files)."""
     return path[len("file:"):] if path.startswith("file:") else path

@@ -87,19 +87,22 @@ def test_chunked_equals_unchunked(spark):
     chunked = versions(spark, rows, rows_per_chunk=7, sample_fraction=1.0)
     assert chunked == plain
     df = spark.createDataFrame(rows, SCHEMA)
-    hot = find_hot_keys(df, ["k"], "s", rows_per_chunk=7, sample_fraction=1.0)
-    assert len(hot) == 3 and all(h[1] >= 2 for h in hot)
+    hot = find_hot_keys(df, ["k"], "s", rows_per_chunk=7, sample_fraction=1.0).collect()
+    assert len(hot) == 3 and all(h["_rows"] >= 14 for h in hot)
 
 
-def test_hot_key_with_explicit_chunks_and_late_rows(spark):
-    # One key holds every row and is split in many chunks; changes sit on
-    # chunk borders and some chunks hold no version start at all.
+def hot_keys(spark, *keys):
+    return spark.createDataFrame([(k,) for k in keys], "k long")
+
+
+def test_hot_key_with_explicit_ranges_and_late_rows(spark):
+    # One key holds every row and is split in many ranges; changes sit on
+    # range borders and some ranges hold no version start at all.
     rows = [(7, s, "A" if (s // 40) % 2 == 0 else "B", s) for s in range(400)]
     rows += [(7, 1000 + s, "B", s) for s in range(5)]
     plain = versions(spark, rows, rows_per_chunk=0)
     for nb in (2, 3, 16, 50):
-        chunked = versions(spark, rows, hot_keys=[(7, nb, 0.0, 1004.0)])
-        assert chunked == plain, nb
+        assert versions(spark, rows, hot_keys=hot_keys(spark, 7), ranges=nb) == plain, nb
 
 
 @settings(max_examples=15, deadline=None)
@@ -107,10 +110,18 @@ def test_hot_key_with_explicit_chunks_and_late_rows(spark):
                           st.sampled_from(["A", "B", None]), st.integers(0, 2)),
                 min_size=1, max_size=60),
        st.integers(2, 6))
-def test_chunking_never_changes_results(spark, rows, nb):
+def test_ranges_never_change_results(spark, rows, nb):
     plain = versions(spark, rows, rows_per_chunk=0)
-    hot = [(k, nb, 0.0, 30.0) for k in {r[0] for r in rows}]
-    assert versions(spark, rows, hot_keys=hot) == plain
+    some = sorted({r[0] for r in rows})[:2]          # a third key, if any, stays cold
+    assert versions(spark, rows, hot_keys=hot_keys(spark, *some), ranges=nb) == plain
+
+
+def test_hot_null_key_and_string_sequence(spark):
+    df = spark.createDataFrame([(None, f"{i:03d}", "AB"[i // 7 % 2], i) for i in range(60)] + [(1, "a", "A", 0)],
+                               "k long, s string, t string, x long")
+    plain = apply_scd2(df, ["k"], "s", ["t"], rows_per_chunk=0)
+    split = apply_scd2(df, ["k"], "s", ["t"], rows_per_chunk=5, sample_fraction=1.0, ranges=4)
+    assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
 
 
 def test_timestamp_sequence_and_multiple_tracked(spark):
