@@ -197,3 +197,97 @@ def test_compaction_interrupted_at_any_step_keeps_the_history(spark, scratch, fa
     h.apply_batch(_feed(spark, [(1, 5, "D")]), 3)
     rows.append([(1, 5, "D")])
     assert _versions(h.history()) == _versions(apply_scd2(_feed(spark, sum(rows, [])), ["k"], "seq", ["v"]))
+
+
+def _delta(spark, h, number):
+    return spark.read.parquet(f"{h.history_path}/batch_id={number}")
+
+
+def test_late_row_of_a_long_key_writes_three_versions(spark, scratch):
+    h = ChangeLogHistory(spark, scratch("long"), ["k"], "s", ["t"], buckets=2)
+    base = spark.range(10_000).selectExpr("1L k", "id * 10 s", "concat('v', id) t", "id x")
+    h.apply_batch(base, 0)
+    h.apply_batch(base.selectExpr("k", "s + 1 s", "t", "x + 1 x"), 1)       # every version gets a second row
+    late = spark.createDataFrame([(1, 50_000 + 0, "v5000", 7), (1, 30_004, "late", 1)], SCHEMA)
+    h.apply_batch(late.where("s = 30004"), 2)
+    # appended behind the version's last row: it ends earlier, and the new version is written
+    got = sorted((r.s, r["__START_AT"], r["__END_AT"]) for r in _delta(spark, h, 2).collect())
+    assert got == [(30_001, 30_000, 30_004), (30_004, 30_004, 30_010)]
+    h.apply_batch(spark.createDataFrame([(1, 70_000, "zzz", 0)], SCHEMA), 3)  # ties with a first row, and wins
+    h.apply_batch(spark.createDataFrame([(1, 40_000, "v3999", 9)], SCHEMA), 4)
+    h.apply_batch(spark.createDataFrame([(1, -5, "first", 9)], SCHEMA), 5)
+    assert [_delta(spark, h, n).count() for n in (3, 5)] == [2, 1]
+    assert 4 not in h._committed(h.history_path)                              # the loser of a tie changes nothing
+    everything = h._load(h.log_path, range(6)).select("k", "s", "t", "x")
+    want = apply_scd2(everything, ["k"], "s", ["t"])
+    assert h.history().exceptAll(want.select(h.history().columns)).count() == 0
+    assert h.history().count() == want.count()
+
+
+def test_late_row_inside_a_version_writes_three_versions(spark, scratch):
+    h = ChangeLogHistory(spark, scratch("inside"), ["k"], "s", ["t"], buckets=2)
+    base = spark.range(30_000).selectExpr("1L k", "id s", "concat('v', floor(id / 3)) t", "id x")  # 10,000 versions
+    h.apply_batch(base.where("s != 15001"), 0)
+    h.apply_batch(spark.createDataFrame([(1, 15_001, "late", 0)], SCHEMA), 1)
+    got = sorted((r.t, r["__START_AT"], r["__END_AT"], r["scd_deleted"]) for r in _delta(spark, h, 1).collect())
+    assert got == [("late", 15_001, 15_002, False), ("v5000", 15_000, 15_001, False), ("v5000", 15_002, 15_003, False)]
+    # a row that joins two versions again leaves a tombstone
+    h.apply_batch(spark.createDataFrame([(1, 15_001, "v5000", 0)], SCHEMA), 2)
+    assert rows_of(h.history()) == rows_of(apply_scd2(h._load(h.log_path, range(3)).select("k", "s", "t", "x"),
+                                                      ["k"], "s", ["t"]))
+    assert _delta(spark, h, 2).where("scd_deleted").count() == 2
+
+
+def test_recent_batch_reads_no_log_and_a_late_one_only_its_ranges(spark, scratch, monkeypatch):
+    import datetime as dt
+    schema = "k long, at timestamp_ntz, t string"
+    day = lambda y, m: dt.datetime(y, m, 1)
+    h = ChangeLogHistory(spark, scratch("ranges"), ["k"], "at", ["t"], buckets=2)
+    rows = [(k, day(y, m), "AB"[(y + m // 4) % 2]) for k in range(4) for y in range(2015, 2022) for m in (1, 4, 9)]
+    h.apply_batch(spark.createDataFrame(rows, schema), 0)
+    read = []
+    cut_log = ChangeLogHistory.cut_log
+
+    def seen(self, *args):
+        read.append(cut_log(self, *args))
+        return read[-1]
+
+    monkeypatch.setattr(ChangeLogHistory, "cut_log", seen)
+    recent = [(1, day(2022, 1), "C"), (9, day(2022, 2), "D")]
+    h.apply_batch(spark.createDataFrame(recent, schema), 1)
+    assert read == []                                         # only appended: the log is not scanned
+    late = [(2, dt.datetime(2018, 2, 1), "L"), (2, dt.datetime(2018, 6, 1), "L")]
+    h.apply_batch(spark.createDataFrame(late, schema), 2)
+    assert len(read) == 1
+    plan = read[0]._jdf.queryExecution().executedPlan().toString()
+    pruned = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "scd_bucket" in pruned and "scd_range" in pruned and pruned.count("2018") == 2  # other years are left out
+    assert {r[0].year for r in read[0].select("at").distinct().collect()} == {2018}
+    everything = spark.createDataFrame(rows + recent + late, schema)
+    want = apply_scd2(everything, ["k"], "at", ["t"])
+    assert sorted(map(str, h.history().collect())) == sorted(map(str, want.select(h.history().columns).collect()))
+
+
+def test_rows_logged_by_a_run_that_was_given_up_are_applied(spark, scratch):
+    h = ChangeLogHistory(spark, scratch("lost"), ["k"], "s", ["t"], buckets=2)
+    h.apply_batch(spark.createDataFrame([(1, 1, "A", 0), (1, 9, "A", 0)], SCHEMA), 0, "a")
+    lost = spark.createDataFrame([(1, 5, "B", 0), (2, 1, "Z", 0)], SCHEMA)
+    h._write(lost, f"{h.log_path}/batch_id={h._commit_number('a', 1)}")       # logged, then lost for good
+    h.apply_batch(spark.createDataFrame([(3, 1, "Q", 0)], SCHEMA), 0, "b")
+    want = [(1, 1, "A", 0), (1, 9, "A", 0), (1, 5, "B", 0), (2, 1, "Z", 0), (3, 1, "Q", 0)]
+    assert rows_of(h.history()) == rows_of(apply_scd2(spark.createDataFrame(want, SCHEMA), ["k"], "s", ["t"]))
+
+
+def test_compaction_with_retention_keeps_files_of_open_readers(spark, scratch):
+    h = ChangeLogHistory(spark, scratch("retain"), ["k"], "s", ["t"], buckets=2)
+    for i in range(3):
+        h.apply_batch(spark.createDataFrame([(k, i, "AB"[(i + k) % 2], i) for k in range(5)], SCHEMA), i)
+    reader, want = h.history(), rows_of(h.history())
+    h.compact_history(2, retention_s=3600)
+    h.compact_log(2, retention_s=3600)
+    assert rows_of(reader) == want == rows_of(h.history())     # listed before the compaction, read after it
+    h.apply_batch(spark.createDataFrame([(0, 1, "Z", 9)], SCHEMA), 3)
+    want = rows_of(h.history())
+    h.vacuum()
+    assert rows_of(h.history()) == want
+    assert h._committed(h.history_path) == [-1, 3] and h._committed(h.log_path) == [-1, 3]
