@@ -129,6 +129,26 @@ def top_delivered(items: DataFrame, orders: DataFrame, products: DataFrame,
                         item_filter=F.col("item_status") == DELIVERED)
 
 
+def top_products_joined(items: DataFrame, orders: DataFrame, products: DataFrame,
+                        order_filter: Column, top: int = 1, item_filter: Column | None = None) -> DataFrame:
+    """Most sold products by the three-way join first, the aggregate above it.
+
+    Every dimension row of a SKU joins: rows equal in name and category count its
+    sales again, others are groups of their own, whereas ``top_products`` sums each
+    SKU before it looks up the dimension.  On a dimension with one row per SKU both agree.
+    """
+    if item_filter is None:
+        item_filter = F.col("item_status") == DELIVERED
+    sold = _sold_items(items, orders, order_filter, item_filter)
+    joined = sold.join(products.select("product_sku", "product_name", "category"), "product_sku")
+    out = joined.groupBy("product_sku", "product_name", "category").agg(
+        F.sum("quantity").cast(T.LongType()).alias("total_quantity_sold"),
+        F.countDistinct("order_id").alias("number_of_orders"),
+        F.sum(line_value()).cast(T.DoubleType()).alias("total_revenue"),
+        F.round(F.sum(money("unit_price")) / F.count("unit_price"), 2).cast(T.DoubleType()).alias("avg_unit_price"))
+    return out.orderBy(F.col("total_quantity_sold").desc(), "product_sku", "product_name", "category").limit(top)
+
+
 def orders_since(orders: DataFrame, since: dt.date | str,
                  columns=("order_id", "order_status", "total_amount")) -> DataFrame:
     """Orders with ``order_date >= since`` (a history table: add current_only).

@@ -241,6 +241,22 @@ def dq_metrics(spark, sf):
             .unionByName(Q.expectation_metrics(lh.dim_products, Q.PRODUCT_RULES, "dim_products")))
 
 
+@register("dq_metrics_stream", ORACLE["dq_metrics"])
+def dq_metrics_stream(spark, sf):
+    """The same counts, observed per micro-batch of a stream and summed."""
+    from ledgerline.session import scratch_path
+    from ledgerline.streaming.quality_stream import CheckedStream
+    lh, out = lake(spark, sf), None
+    for df, rules, name in ((lh.dim_customers, Q.CUSTOMER_RULES, "dim_customers"),
+                            (lh.dim_products, Q.PRODUCT_RULES, "dim_products")):
+        root = scratch_path(spark, f"checked-{name}")
+        df.repartition(3, F.xxhash64(*df.columns)).write.parquet(f"{root}/source")
+        target = CheckedStream(spark, f"{root}/target", rules, name, df.schema)
+        target.run(f"{root}/source")
+        out = target.metrics() if out is None else out.unionByName(target.metrics())
+    return out
+
+
 # --------------------------------------------------------------------------
 # Verification aggregates
 # --------------------------------------------------------------------------
@@ -509,6 +525,21 @@ def report_top1_delivered_30d(spark, sf):
     return R.top_delivered(items, orders, dims, R.rolling_30d(AS_OF))
 
 
+@register("report_top1_delivered_30d_joined", f"""
+    SELECT p.product_sku, p.product_name, p.category, CAST(sum(i.quantity) AS BIGINT) AS total_quantity_sold,
+           count(DISTINCT i.order_id) AS number_of_orders,
+           CAST(sum(CAST(i.quantity AS DECIMAL(12,0)) * CAST(i.unit_price AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
+           {O.avg_cents_half_up(f"sum({O.cents('i.unit_price')})", "count(i.unit_price)")} AS avg_unit_price
+    FROM h_items i JOIN h_orders o ON i.order_id = o.order_id AND o.__CURRENT
+    JOIN pipeline_dim_products p ON i.product_sku = p.product_sku
+    WHERE i.__CURRENT AND {_window_30d()} AND o.order_status != 'Cancelled' AND i.item_status = 'Delivered'
+    GROUP BY p.product_sku, p.product_name, p.category
+    ORDER BY total_quantity_sold DESC, p.product_sku LIMIT 1""")
+def report_top1_delivered_30d_joined(spark, sf):
+    items, orders, dims = _scd_inputs(spark, sf)
+    return R.top_products_joined(items, orders, dims, R.rolling_30d(AS_OF))
+
+
 # --------------------------------------------------------------------------
 # Version history
 # --------------------------------------------------------------------------
@@ -688,9 +719,122 @@ def scd2_late_arrivals(spark, sf):
     return target.history()
 
 
+@register("scd2_stream_compacted", "SELECT * FROM h_items")
+def scd2_stream_compacted(spark, sf):
+    """Items history from two batches, a compaction of log and history, and a later batch of late rows."""
+    from ledgerline.plans.lakehouse import ITEM_TRACKED
+    from ledgerline.session import scratch_path
+    from ledgerline.streaming import ChangeLogHistory
+    feed = lake(spark, sf).stage_fact_order_items
+    target = ChangeLogHistory(spark, scratch_path(spark, "compacted-items"), ["order_item_id"],
+                              "updated_at", list(ITEM_TRACKED), buckets=16)
+    status = F.coalesce("item_status", F.lit(""))
+    target.apply_batch(feed.where(status == "Initial"), 0)
+    target.apply_batch(feed.where(status == "Delivered"), 1)
+    target.compact_log(1)
+    target.compact_history(1)
+    target.apply_batch(feed.where(~status.isin("Initial", "Delivered")), 2)
+    return target.history()
+
+
+# --------------------------------------------------------------------------
+# Layers through catalog tables, stored histories, partition refresh
+# --------------------------------------------------------------------------
+def _layers(spark, sf, **kw):
+    from ledgerline.plans.tables import Layers
+    return Layers.build(OrderModel(spark, sf), **kw)
+
+
+@register("report_top10_30d_catalog", ORACLE["report_top10_30d"])
+def report_top10_30d_catalog(spark, sf):
+    """Bronze, silver and gold written as catalog tables, each from the one before, and the report over gold."""
+    t = _layers(spark, sf, histories=False).table
+    return R.top_products(t("fact_order_items"), t("fact_orders"), t("dim_products"), R.rolling_30d(AS_OF))
+
+
+@register("scd2_current_join_stored", ORACLE["scd2_current_join"])
+def scd2_current_join_stored(spark, sf):
+    """Current orders and items from histories stored by validity and bucketed on the order."""
+    from ledgerline.plans import tables as TB
+    layers = _layers(spark, sf)
+    orders = layers.table("history_orders").select("order_id", "order_status", "order_date", H.START_AT, H.END_AT, H.CURRENT, TB.END_MONTH)
+    items = layers.table("history_order_items").drop("updated_at", "unit_price")
+    return TB.stored_current_join(orders, items, "order_id")
+
+
+@register("scd2_as_of_stored", ORACLE["scd2_as_of"])
+def scd2_as_of_stored(spark, sf):
+    """Point in time over a stored history: partitions that ended earlier are left out."""
+    from ledgerline.plans import tables as TB
+    db = TB.create_database(spark)
+    TB.write_history(lake(spark, sf).history_orders, f"{db}.history_orders", ["order_id"], 8)
+    return TB.stored_as_of(spark.table(f"{db}.history_orders"), O.ORDERS_AS_OF,
+                           ["order_id", "customer_id", "order_status", "total_amount"])
+
+
+@register("sink_replace_schema", """
+    SELECT order_item_id, order_id, CAST(quantity AS DOUBLE) AS quantity, unit_price, item_status,
+           item_status = 'Cancelled' AS cancelled FROM fact_items""")
+def sink_replace_schema(spark, sf):
+    """A table replaced by one with a column added, two dropped and one retyped, read through its name."""
+    from ledgerline.plans import tables as TB
+    db = TB.create_database(spark)
+    TB.replace_table(lake(spark, sf).fact_order_items, f"{db}.items")
+    old = spark.table(f"{db}.items")
+    TB.replace_table(old.select("order_item_id", "order_id", F.col("quantity").cast("double").alias("quantity"),
+                                "unit_price", "item_status", (F.col("item_status") == "Cancelled").alias("cancelled")),
+                     f"{db}.items")
+    return spark.table(f"{db}.items")
+
+
+@register("gold_fact_orders_refreshed", "SELECT * FROM fact_orders")
+def gold_fact_orders_refreshed(spark, sf):
+    """Order facts of all arrival folders but the newest, which a partition refresh then takes in."""
+    from ledgerline.plans import tables as TB
+    from ledgerline.session import scratch_path
+    from ledgerline.sources.files import write_table
+    root = scratch_path(spark, "refreshed-orders")
+    orders = lake(spark, sf).bronze_orders
+    write_table(orders, f"{root}/raw", partition_by=TB.ARRIVAL)
+    raw = spark.read.parquet(f"{root}/raw")
+    year, month = divmod(raw.agg(F.max(F.col("year") * 100 + F.col("month"))).first()[0], 100)
+    early = raw.where((F.col("year") != year) | (F.col("month") != month))
+    write_table(TB.order_facts(early), f"{root}/facts", partition_by=S.ORDER_PARTITIONS)
+    write_table(TB.dependencies(early), f"{root}/depends", partition_by=TB.ARRIVAL)
+    TB.refresh_orders(raw, year, month, root)
+    return spark.read.parquet(f"{root}/facts").select(*TB.order_facts(raw).columns)
+
+
 # --------------------------------------------------------------------------
 # Sources and sinks (round trips through files in the shared folder)
 # --------------------------------------------------------------------------
+@register("scan_csv_inferred_file", """
+    SELECT CAST(customer_id AS INTEGER) AS customer_id, first_name, CAST(last_name AS INTEGER) AS last_name, email,
+           zipcode, created_at, deleted_at FROM customers_raw""")
+def scan_csv_inferred_file(spark, sf):
+    """Customers as one CSV file, every type inferred."""
+    from ledgerline.session import scratch_path
+    from ledgerline.sources import reconcile
+    path = scratch_path(spark, "csv-inferred")
+    lake(spark, sf).bronze_customers.repartition(1).write.option("header", True).csv(path)
+    return reconcile.scan(spark, path).rows
+
+
+@register("scan_csv_reconciled_folder", """
+    SELECT CAST(order_id AS INTEGER) AS order_id, CAST(customer_id AS INTEGER) AS customer_id, ordered_at, order_status,
+           subtotal_amount, tax_amount, shipping_fee, total_amount, updated_at FROM orders_raw""")
+def scan_csv_reconciled_folder(spark, sf):
+    """Orders in files of two layouts, columns in reverse order in one, types inferred per file and widened."""
+    from ledgerline.session import scratch_path
+    from ledgerline.sources import reconcile
+    path = scratch_path(spark, "csv-layouts")
+    orders = lake(spark, sf).bronze_orders.drop("year", "month")
+    done = F.coalesce(F.col("order_status") == "Complete", F.lit(False))
+    orders.where(done).write.option("header", True).csv(path)
+    orders.where(~done).select(*reversed(orders.columns)).write.mode("append").option("header", True).csv(path)
+    return reconcile.scan(spark, path).rows.select(*orders.columns)
+
+
 @register("scan_csv_roundtrip", "SELECT * FROM customers_raw")
 def scan_csv_roundtrip(spark, sf):
     """Customers written as CSV with a header, scanned back with the schema."""
