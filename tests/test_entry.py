@@ -11,7 +11,7 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
-TABLES = ["customer", "part", "orders", "lineitem", "events", "documents", "embeddings", "labels"]
+TABLES = ["customer", "part", "orders", "lineitem", "events", "documents", "embeddings", "labels", "benchmark"]
 FAST = ["report_top10_30d", "report_category_prev_month", "report_scd2_category_30d",
         "report_top1_delivered_30d", "scd2_events", "scd2_order_items", "dq_metrics",
         "silver_utc_columns", "profile_schema", "join_status_broadcast", "scd2_as_of",
