@@ -133,30 +133,32 @@ def weights(counts: np.ndarray) -> np.ndarray:
 
 
 def maximal_segments(at: np.ndarray, value: np.ndarray) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments (first word, last word, score).
+    """All maximal scoring segments (first word, last word, score), in linear time.
 
     ``at`` are the places of the positive words and ``value`` their scores;
     every other word scores ``-PENALTY``.  One pass with a list of candidate
-    segments, each with the running totals before (l) and after (r) it; the
-    total number of joins is at most the number of candidates.
+    segments, each with the running totals before (l) and after (r) it and a
+    link to the nearest candidate to its left whose l is lower.  A search goes
+    along these links, so a candidate is stepped over once; each is joined once.
     """
-    segments: list[list[float]] = []  # first, last, l, r
+    segments: list[tuple[int, int, float, float, int]] = []  # first, last, l, r, link
     running, last = 0.0, -1
     for i, s in zip(at.tolist(), value.tolist()):
         running -= PENALTY * (i - last - 1)
         last = i
-        new = [i, i, running, running + s]
+        first, low = i, running
         running += s
+        j = len(segments) - 1
         while True:
-            j = len(segments) - 1
-            while j >= 0 and segments[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or segments[j][3] >= new[3]:
-                segments.append(new)
+            while j >= 0 and segments[j][2] >= low:
+                j = segments[j][4]
+            if j < 0 or segments[j][3] >= running:
+                segments.append((first, i, low, running, j))
                 break
-            new = [segments[j][0], i, segments[j][2], new[3]]
+            first, _, low, _, link = segments[j]
             del segments[j:]
-    return [(int(a), int(b), r - l) for a, b, l, r in segments]
+            j = link
+    return [(a, b, r - l) for a, b, l, r, _ in segments]
 
 
 def scan(column: pa.Array, weight: np.ndarray) -> tuple[list[list[tuple[int, int, float]]], np.ndarray]:

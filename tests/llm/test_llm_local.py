@@ -175,6 +175,20 @@ def test_maximal_segments_equal_the_definition(marks):
     assert sum(s for *_, s in got) == pytest.approx(sum(s for *_, s in want))
 
 
+@pytest.mark.parametrize("gap", [1, 9, 50])
+def test_maximal_segments_are_found_in_linear_time(gap):
+    import time
+    took = []
+    for n in (40_000, 400_000):
+        at = np.arange(0, n, gap)
+        value = np.where(np.arange(len(at)) % 3 == 0, 0.11, 0.07)
+        begin = time.process_time()
+        got = X.maximal_segments(at, value)
+        took.append(time.process_time() - begin)
+        assert sum(b - a + 1 for a, b, _ in got) <= n
+    assert took[1] < 40 * took[0] + 0.5  # a quadratic scan takes a hundred times as long, or 16 s
+
+
 @given(st.lists(st.integers(0, 40), min_size=64, max_size=64), st.integers(0, 5000))
 @settings(max_examples=40, deadline=None)
 def test_plan_places_every_remainder_once(counts, copies):
