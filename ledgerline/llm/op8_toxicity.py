@@ -79,16 +79,21 @@ def word_tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """text, toxic and fold (0 or 2) of the labelled rows that are not held out; equal texts once."""
-    marked = need(labels, "doc_id", "toxic").where(
-        "toxic is not null and doc_id is not null and crc32(cast(cast(doc_id as string) as binary)) % 3 != 1")
+    """text, toxic and fold (0 or 2) of the labelled rows that are not held out; equal texts once.
+
+    Which row stands for equal texts is settled by ids and hashes; then each
+    text moves once, in the same way at every size.
+    """
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    marked = need(labels, "doc_id", "toxic").where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold != 1))
     marked = marked.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = need(docs, "doc_id", "text").join(marked, "doc_id")
-    text = F.coalesce("text", F.lit(""))
-    return rows.groupBy(F.xxhash64(text).alias("key")).agg(
-        F.first(text).alias("text"), F.max("toxic").alias("toxic"),
-        F.min(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3).alias("fold")).select(
-        "text", F.col("toxic").cast("int").alias("toxic"), F.col("fold").cast("int").alias("fold"))
+    rows = need(docs, "doc_id", "text").where(F.col("doc_id").isNotNull() & (fold != 1)).select(
+        "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.withColumn("key", F.xxhash64("text"))
+    chosen = rows.select("doc_id", "key").join(marked, "doc_id").groupBy("key").agg(
+        F.min("doc_id").alias("doc_id"), F.max("toxic").cast("int").alias("toxic"), F.min(fold).cast("int").alias("fold"))
+    texts = rows.groupBy("doc_id", "key").agg(F.first("text").alias("text"))
+    return texts.join(chosen.hint("merge"), ["doc_id", "key"]).select("text", "toxic", "fold")
 
 
 def count_tokens(rows: DataFrame) -> np.ndarray:
