@@ -92,5 +92,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: Trained scores and approximate quantiles have no SQL form; tests hold run() against a brute-force version.
+#: Trained scores and approximate quantiles have no SQL form.
 ORACLE_SQL = None
