@@ -53,11 +53,6 @@ def inactive_orders(silver: DataFrame) -> DataFrame:
     return silver.where(F.col("order_status") == CANCELLED)
 
 
-def split_orders(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(active, inactive) from one silver orders DataFrame."""
-    return active_orders(silver), inactive_orders(silver)
-
-
 def silver_order_items(items: DataFrame, source_zone: str = "UTC") -> DataFrame:
     """Timestamps to UTC; ``discount_applied`` becomes ``discounted``."""
     df = to_utc_columns(items, source_zone)

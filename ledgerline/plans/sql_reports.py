@@ -89,6 +89,11 @@ def _window(kind: str, as_of: dt.date, days: int) -> tuple[str, str, str]:
     raise ValueError(kind)
 
 
+def _text(value: str) -> str:
+    """A SQL string literal of any text."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def report_sql(report: str, as_of: dt.date, window: str = "rolling", days: int = 30,
                tables: dict[str, str] | None = None, top: int = 10,
                current_only: bool = False, with_avg_price: bool = False,
@@ -102,7 +107,7 @@ def report_sql(report: str, as_of: dt.date, window: str = "rolling", days: int =
     t = dict(PLAIN if not current_only else HISTORY)
     t.update(tables or {})
     cte, cross, pred = _window(window, as_of, days)
-    item_pred = (f"i.item_status = '{sold_status}'" if sold_status
+    item_pred = (f"i.item_status = {_text(sold_status)}" if sold_status
                  else "i.item_status <> 'Cancelled'")
     current = " AND i.__CURRENT AND o.__CURRENT" if current_only else ""
     sold = f"""WITH {cte}sold AS (

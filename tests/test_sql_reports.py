@@ -57,3 +57,9 @@ def test_month_report_sql_uses_constant_month(spark):
     # the month is folded to literals (no add_months left, no join)
     assert "= 2026)" in plan and "= 5)" in plan and "add_months" not in plan
     assert "Join Cross" not in plan
+
+
+def test_a_status_with_quotes_is_text(spark):
+    from ledgerline.plans.sql_reports import _text
+    for value in ("Delivered", "it's", "a\\'b", "' OR '1' = '1"):
+        assert spark.sql(f"SELECT {_text(value)} AS v").first().v == value
