@@ -608,6 +608,7 @@ def scd2_item_history(spark, sf):
 # Single-key lookups: the key filter reaches the feed's scan, so no sampling
 # job plans a split (rows_per_chunk=0): one key's rows are one window group.
 LOOKUP_ORDER = 7
+LOOKUP_ITEM = 103
 
 
 @register("scd2_order_lookup", f"""
@@ -623,13 +624,12 @@ def scd2_order_lookup(spark, sf):
 @register("scd2_item_lookup", f"""
     SELECT order_item_id, item_status, quantity, unit_price, __START_AT AS status_changed_at,
            __END_AT AS status_valid_until, __CURRENT AS is_current
-    FROM h_items WHERE order_item_id = (SELECT min(order_item_id) FROM h_items)
+    FROM h_items WHERE order_item_id = {LOOKUP_ITEM}
     ORDER BY __START_AT""")
 def scd2_item_lookup(spark, sf):
     lh = lake(spark, sf, scd_options={"rows_per_chunk": 0})
-    first = lh.stage_fact_order_items.agg(F.min("order_item_id")).first()[0]
     return H.change_log(lh.history_order_items, "order_item_id",
-                        ["order_item_id", "item_status", "quantity", "unit_price"], key_value=first)
+                        ["order_item_id", "item_status", "quantity", "unit_price"], key_value=LOOKUP_ITEM)
 
 
 @register("scd2_orders_except", """
