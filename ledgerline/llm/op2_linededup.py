@@ -8,24 +8,27 @@
    of at least ``RUN_WORDS`` words (one from every stretch, as short as can be),
    and whole lines of at least ``MIN_WORDS`` words.  Equal anchors are never
    chance, whatever their frequency, so no frequency cap is needed.
-3. Each document is paired with the first document (least doc_id) that holds
-   one of its anchors.  A passage in n documents gives n - 1 pairs, not n^2,
-   and every shared anchor of a later document is covered by a pair.
-4. A pair is aligned by patience diff over all its stretches: those unique in
-   both documents, in their longest common rising order, split the pair into gaps
+3. To find pairs, every whole line and, of any ``WINDOW`` neighbouring runs, the
+   one of least hash stand for the text: a passage that holds so many runs has the
+   same least ones wherever it stands.  Each document is paired with the first
+   document that holds one of these.  A passage in n documents gives n - 1 pairs,
+   not n^2, and every such anchor of a later document is covered by a pair.
+4. A pair is aligned by patience diff over the stretches that both hold: those
+   unique in both documents, in their longest common rising order, split the pair into gaps
    that are aligned the same way; equal stretches next to a border join it.
 5. Aligned stretches that follow each other in both documents form a block.
-   Shared anchors, and blocks that touch one, are deleted from the later
+   All anchors that the pair shares, and blocks that touch one, are deleted from the later
    document.  Words beside a passage that share a stretch with host text stay.
 
-The first holder of a passage keeps it, as no earlier document has it.
+The first holder of a passage keeps it, as no earlier document has it.  Documents
+are ordered by doc_id, and different texts of one doc_id by a hash of the text.
 
 Edge cases: a null text stays null; empty lines are never anchors but go with a
 block that surrounds them; a document whose lines are all deleted keeps its row
 with an empty text.  Rows that repeat a doc_id with the same text are all
-trimmed alike; where their texts differ, the greatest text (in byte order) is
-aligned and the others are left as they are.  A null doc_id is left as it is.
-An empty table gives no row.  All other columns are kept.
+trimmed alike; different texts of one doc_id are documents of their own.
+A null doc_id is left as it is.
+An empty table gives no row.  All other columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,10 +37,11 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, drop_written, hash_spans, mix, prepare, text_buffer, token_spans, written
+from .common import SEGMENT, batches, drop_written, hash_spans, mix, prepare, text_buffer, token_spans, written
 
 #: Words that make a line an anchor.
 MIN_WORDS = 8
@@ -45,6 +49,10 @@ MIN_WORDS = 8
 LONGEST = 8
 #: Words that make a run of stretches an anchor.
 RUN_WORDS = 20
+#: Neighbouring runs of which the one of least hash is looked up.
+WINDOW = 4
+#: Marks the first stretch of a line in its shape byte; the rest is its number of words.
+LINE_START = 128
 
 
 def unique_common(a: list, b: list, a0: int, a1: int, b0: int, b1: int) -> list[tuple[int, int]]:
@@ -93,32 +101,14 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def doomed_lines(a: list, b: list, anchors: set) -> list[int]:
-    """Places in ``b`` of aligned blocks that hold a line of ``anchors``.
+def doomed_stretches(a: list, b: list, spans: list[tuple[int, int]], at_a: list, at_b: list) -> list[int]:
+    """Places in the later text of shared anchors (``spans``: first and last place), and of aligned blocks that touch one.
 
-    An anchor that patience diff left unaligned (moved, or repeated) is a block of its own.
+    ``a`` and ``b`` are the stretches that both texts hold, ``at_a`` and ``at_b`` their places.
     """
-    aligned = patience(a, b)
-    out: list[int] = []
-    block: list[int] = []
-    hit = False
-    for (i, j), after in zip(aligned, [*aligned[1:], (-1, -1)]):
-        block.append(j)
-        hit = hit or b[j] in anchors
-        if after != (i + 1, j + 1):
-            if hit:
-                out += block
-            block, hit = [], False
-    have = set(a)
-    out += [j for j, line in enumerate(b) if line in anchors and line in have]
-    return sorted(set(out))
-
-
-def doomed_stretches(a: list, b: list, spans: list[tuple[int, int]]) -> list[int]:
-    """Places in ``b`` of shared anchors (``spans``: first and last place), and of aligned blocks that touch one."""
     out = {j for first, last in spans for j in range(first, last + 1)}
     block: list[int] = []
-    aligned = patience(a, b)
+    aligned = [(at_a[i], at_b[j]) for i, j in patience(a, b)]
     more: list[int] = []
     for (i, j), after in zip(aligned, [*aligned[1:], (-1, -1)]):
         block.append(j)
@@ -144,7 +134,8 @@ def stretches(column: pa.Array):
     # inside a line: borders whose hash is less than those of the borders beside them
     border = mix(word[:-1] * np.uint64(0x9E3779B97F4A7C15) + word[1:])
     least = np.zeros(n - 1, bool)
-    least[1:-1] = (border[1:-1] < border[:-2]) & (border[1:-1] < border[2:])
+    # both borders beside it in the same text, so that a text is cut alike in any batch
+    least[1:-1] = (border[1:-1] < border[:-2]) & (border[1:-1] < border[2:]) & (text[:-3] == text[3:])
     first[1:] = (text[1:] != text[:-1]) | (line[1:] != line[:-1]) | least
     at = np.flatnonzero(first)
     first |= (np.arange(n) - np.repeat(at, np.diff(np.append(at, n)))) % LONGEST == 0  # one word over and over
@@ -158,7 +149,7 @@ def stretches(column: pa.Array):
 
 
 def anchor_spans(value: np.ndarray, size: np.ndarray, line: np.ndarray, per: np.ndarray):
-    """First and last place (over all texts) and hash of each anchor: runs of RUN_WORDS words, and long whole lines."""
+    """First and last place (over all texts) and hash of each anchor, runs of RUN_WORDS words before whole lines; number of runs."""
     n = len(value)
     text_end = np.repeat(np.cumsum(per), per)
     words = np.concatenate([[0], np.cumsum(size)])
@@ -171,49 +162,95 @@ def anchor_spans(value: np.ndarray, size: np.ndarray, line: np.ndarray, per: np.
     last = np.concatenate([run_end[run], line_end[long]]) - 1
     kind = np.repeat(np.array([1, 2], np.uint64), [len(run), int(long.sum())])
     if not len(first):
-        return first, last, np.zeros(0, np.uint64)
+        return first, last, np.zeros(0, np.uint64), 0
     # hash of a run: its stretches and their places in it
     room = last - first + 1
     begin = np.cumsum(room) - room
     inside = np.arange(int(room.sum())) - np.repeat(begin, room)
     part = mix(value[np.repeat(first, room) + inside] + inside.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
-    return first, last, mix(np.add.reduceat(part, begin) + kind)
+    return first, last, mix(np.add.reduceat(part, begin) + kind), len(run)
+
+
+def looked_up(first: np.ndarray, anchor: np.ndarray, runs: int, per: np.ndarray) -> np.ndarray:
+    """Which anchors stand for their text: whole lines, and of any WINDOW neighbouring runs the one of least hash.
+
+    The first ``runs`` anchors are runs; a text of fewer than WINDOW runs has one window.
+    """
+    out = np.ones(len(first), bool)
+    text = np.searchsorted(np.cumsum(per), first[:runs], "right")
+    h = anchor[:runs]
+    out[:runs] = False
+    wide = runs - WINDOW + 1
+    if wide > 0:
+        least = h[:wide].copy()
+        for d in range(1, WINDOW):
+            np.minimum(least, h[d:d + wide], out=least)
+        whole = text[:wide] == text[WINDOW - 1:]
+        for d in range(WINDOW):
+            out[d:d + wide] |= whole & (h[d:d + wide] == least)
+    if runs:
+        edge = np.flatnonzero(np.diff(text, prepend=-1))
+        room = np.diff(np.append(edge, runs))
+        few = np.repeat(room < WINDOW, room)
+        out[:runs] |= few & (h == np.repeat(np.minimum.reduceat(h, edge), room))
+    return out
+
+
+def _lists(values: np.ndarray, edge: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(values, kind))
+
+
+def _bytes(values: np.ndarray, edge: np.ndarray) -> pa.Array:
+    """Binary values: elements ``edge[i]`` to ``edge[i + 1]`` of ``values``, little-endian."""
+    offsets = (edge * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(edge) - 1, [None, pa.py_buffer(offsets.tobytes()),
+                                                              pa.py_buffer(values.tobytes())])
+
+
+def _unpacked(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """(all elements of binary values end to end, elements per value)."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+    return np.frombuffer(data.tobytes(), kind), np.diff(offsets) // np.dtype(kind).itemsize
+
+
+def _parts(batch: pa.RecordBatch, *sized: int):
+    """The batch in slices of about ``SEGMENT`` bytes of the columns ``sized``, one row at least."""
+    sizes = sum(pc.binary_length(batch.column(k)).to_numpy().astype(np.int64) for k in sized)
+    part = (np.cumsum(sizes) - sizes) // SEGMENT
+    edge = [*np.flatnonzero(np.diff(part, prepend=-1)).tolist(), batch.num_rows]
+    for i, j in zip(edge, edge[1:]):
+        yield pa.RecordBatch.from_arrays([pa.concat_arrays([c.slice(i, j - i)]) for c in batch.columns],
+                                         names=batch.schema.names)
 
 
 def stretch_table(docs: DataFrame) -> DataFrame:
-    """doc_id, print (hash of the text), hashes of its stretches, and its anchors: hash, first and last place."""
+    """doc_id, print (hash of the text), values and shapes of its stretches (bytes), and the anchors that are looked up."""
 
     def run(source):
-        import xxhash
         for batch in batches(source):
-            _, _, value, size, line, per = stretches(batch.column(1))
-            first, last, anchor = anchor_spans(value, size, line, per)
-            edge = np.concatenate([[0], np.cumsum(per)])
+            _, _, value, size, line, per = stretches(batch.column(2))
+            first, _, anchor, runs = anchor_spans(value, size, line, per)
+            keep = looked_up(first, anchor, runs, per)
+            first, anchor = first[keep], anchor[keep]
             order = np.argsort(first, kind="stable")
-            first, last, anchor = first[order], last[order], anchor[order].view(np.int64)
-            cut = np.searchsorted(first, edge)
-            base = np.repeat(edge[:-1], np.diff(cut))
+            first, anchor = first[order], anchor[order].view(np.int64)
+            edge = np.concatenate([[0], np.cumsum(per)])
+            shape = size.astype(np.uint8)
+            shape[np.flatnonzero(np.diff(line, prepend=-1))] |= LINE_START
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": batch.column(0).cast(pa.int64()), "print": batch.column(1),
+                "value": _bytes(value, edge), "shape": _bytes(shape, edge),
+                "anchors": _lists(anchor, np.searchsorted(first, edge), pa.int64())})
 
-            def lists(values, at, kind):
-                return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(values, kind))
+    return docs.where("doc_id is not null and text is not null").select(
+        "doc_id", F.xxhash64("text").alias("print"), "text").mapInArrow(
+        run, "doc_id long, print long, value binary, shape binary, anchors array<long>")
 
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column(0).cast(pa.int64()),
-                "print": pa.array([xxhash.xxh64_intdigest(x.encode(), 3) - (1 << 63) for x in batch.column(1).to_pylist()],
-                                  pa.int64()),
-                "stretches": lists(value.view(np.int64), edge, pa.int64()), "anchors": lists(anchor, cut, pa.int64()),
-                "firsts": lists((first - base).astype(np.int32), cut, pa.int32()),
-                "lasts": lists((last - base).astype(np.int32), cut, pa.int32())})
-
-    return docs.select("doc_id", "text").where("doc_id is not null and text is not null").mapInArrow(
-        run, "doc_id long, print long, stretches array<long>, anchors array<long>, firsts array<int>, lasts array<int>")
-
-
-def without(text: str, removed: set[int]) -> str:
-    """The text without those stretches; a line that loses all goes, as do empty lines between two such lines."""
-    data = text.encode()
-    starts, ends, *_ = stretches(pa.array([text]))
-    spans = list(zip(starts.tolist(), ends.tolist()))
+
+def without(data: bytes, spans: list[tuple[int, int]], removed: set[int]) -> str:
+    """The text without those stretches (of all its ``spans``); a line that loses all goes, as do empty lines between such."""
     out: list[tuple[str, bytes]] = []
     k = at = 0
     for line in data.split(b"\n"):
@@ -240,61 +277,123 @@ def without(text: str, removed: set[int]) -> str:
     return b"\n".join(lines).decode()
 
 
+def trimmed_texts(column: pa.Array, removed: list[list[int]]) -> list[str]:
+    """Each text without its removed stretches."""
+    starts, ends, _, _, _, per = stretches(column)
+    offsets = text_buffer(column)[1]
+    edge = np.concatenate([[0], np.cumsum(per)])
+    out = []
+    for i, (text, gone) in enumerate(zip(column.to_pylist(), removed)):
+        here = slice(edge[i], edge[i + 1])
+        spans = list(zip((starts[here] - offsets[i]).tolist(), (ends[here] - offsets[i]).tolist()))
+        out.append(without(text.encode(), spans, set(gone)))
+    return out
+
+
+def doomed(values: tuple[pa.Array, pa.Array], shapes: tuple[pa.Array, pa.Array]) -> list[list[int]]:
+    """Of each pair (earlier, later) of texts by their stretches: the places that the later one loses."""
+    sides = []
+    for value, shape in zip(values, shapes):
+        value, per = _unpacked(value, np.uint64)
+        shape, _ = _unpacked(shape, np.uint8)
+        first, last, anchor, _ = anchor_spans(value, (shape & (LINE_START - 1)).astype(np.int64),
+                                              np.cumsum(shape >= LINE_START), per)
+        salt = mix(np.arange(len(per), dtype=np.uint64) + np.uint64(1))  # compare within the pair only
+        edge = np.concatenate([[0], np.cumsum(per)])
+        pair = np.searchsorted(edge, first, "right") - 1
+        sides.append((value, mix(value ^ np.repeat(salt, per)), edge, first, last, mix(anchor ^ salt[pair]), pair))
+    (value_a, key_a, edge_a, _, _, anchor_a, _), (value_b, key_b, edge_b, first, last, anchor_b, pair) = sides
+    common_a, common_b = np.flatnonzero(np.isin(key_a, key_b)), np.flatnonzero(np.isin(key_b, key_a))
+    shared = np.flatnonzero(np.isin(anchor_b, anchor_a))
+    shared = shared[np.argsort(pair[shared], kind="stable")]
+    n = len(edge_a) - 1
+    cut_a, cut_b = np.searchsorted(common_a, edge_a), np.searchsorted(common_b, edge_b)
+    cut = np.searchsorted(pair[shared], np.arange(n + 1))
+    out = []
+    for i in range(n):
+        at_a, at_b = common_a[cut_a[i]:cut_a[i + 1]], common_b[cut_b[i]:cut_b[i + 1]]
+        own = shared[cut[i]:cut[i + 1]]
+        spans = list(zip((first[own] - edge_b[i]).tolist(), (last[own] - edge_b[i]).tolist()))
+        out.append(doomed_stretches(value_a[at_a].tolist(), value_b[at_b].tolist(), spans,
+                                    (at_a - edge_a[i]).tolist(), (at_b - edge_b[i]).tolist()))
+    return out
+
+
 def deletions(docs: DataFrame) -> DataFrame:
     """doc_id, print and removed (places of deleted stretches) of every document that loses any."""
-    rows = stretch_table(docs).groupBy("doc_id").agg(
-        F.max(F.struct("print", "stretches", "anchors", "firsts", "lasts")).alias("d")).select("doc_id", "d.*")
-    texts, path = written(rows, "op2-stretches")
-    anchors = texts.select("doc_id", F.explode(F.arrays_zip("anchors", "firsts", "lasts")).alias("x")).select(
-        "doc_id", F.col("x.anchors").alias("h"), F.col("x.firsts").alias("first"), F.col("x.lasts").alias("last"))
-    holders = anchors.groupBy("h").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where(
-        "a < z").drop("z")
-    shared = anchors.join(holders, "h").where("doc_id > a")
-    pairs = shared.groupBy("a", F.col("doc_id").alias("b")).agg(F.collect_set(F.struct("first", "last")).alias("spans"))
-    pairs = pairs.join(texts.select(F.col("doc_id").alias("b"), "print", F.col("stretches").alias("own")), "b")
-    pairs = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("stretches").alias("other")), "a").select(
-        "b", "print", "spans", "other", "own")
+    spark = docs.sparkSession
+    texts, path = written(stretch_table(docs), "op2-stretches")
+    # the print tells rows of one doc_id apart; where there is one row, it need not travel with each anchor
+    several, several_path = written(texts.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(
+        "doc_id", F.lit(True).alias("several")), "op2-several")
+    texts = texts.join(several, "doc_id", "left").withColumn(
+        "sub", F.when(F.col("several"), F.col("print")).otherwise(F.lit(0)))
+    anchors = texts.select("doc_id", "sub", F.explode("anchors").alias("h"))
+    place = F.struct("doc_id", "sub")
+    holders = anchors.groupBy("h").agg(F.min(place).alias("a"), F.max(place).alias("z")).where("a < z").select("h", "a")
+    pairs = anchors.join(holders, "h").where(F.col("a") < place).select(
+        F.col("a.doc_id").alias("a"), F.col("a.sub").alias("a_sub"), F.col("doc_id").alias("b"),
+        F.col("sub").alias("b_sub")).distinct()
+    pairs, pairs_path = written(pairs, "op2-pairs")
+    members, members_path = written(pairs.select(F.col("a").alias("doc_id"), F.col("a_sub").alias("sub")).union(
+        pairs.select("b", "b_sub")).distinct(), "op2-members")
+    used = texts.join(members, ["doc_id", "sub"], "left_semi").select("doc_id", "sub", "print", "value", "shape", "several")
+    # rows that repeat a text are aligned once
+    once = used.where("several").groupBy("doc_id", "sub").agg(*[F.first(c).alias(c) for c in ("print", "value", "shape")])
+    used = used.where("several is null").drop("several").unionByName(once)
+    other = used.select(F.col("doc_id").alias("a"), F.col("sub").alias("a_sub"),
+                        F.col("value").alias("value_a"), F.col("shape").alias("shape_a"))
+    own = used.select(F.col("doc_id").alias("b"), F.col("sub").alias("b_sub"), "print",
+                      F.col("value").alias("value_b"), F.col("shape").alias("shape_b"))
+    joined = pairs.join(other, ["a", "a_sub"]).join(own, ["b", "b_sub"]).select(
+        "b", "print", "value_a", "shape_a", "value_b", "shape_b")
 
     def run(source):
         for batch in batches(source):
-            a, b, spans = (batch.column(k).to_pylist() for k in ("other", "own", "spans"))
-            yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("b"), "print": batch.column("print"),
-                "removed": pa.array([doomed_stretches(x, y, [(s["first"], s["last"]) for s in z])
-                                     for x, y, z in zip(a, b, spans)], pa.list_(pa.int32()))})
+            for part in _parts(batch, 2, 4):
+                removed = doomed((part.column(2), part.column(4)), (part.column(3), part.column(5)))
+                yield pa.RecordBatch.from_pydict({"doc_id": part.column(0), "print": part.column(1),
+                                                  "removed": pa.array(removed, pa.list_(pa.int32()))})
 
-    found = pairs.mapInArrow(run, "doc_id long, print long, removed array<int>")
+    found = joined.mapInArrow(run, "doc_id long, print long, removed array<int>")
     found = found.groupBy("doc_id", "print").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("removed")))).alias("removed"))
     found, _ = written(found, "op2-removed")
-    drop_written(docs.sparkSession, path)
+    drop_written(spark, path, several_path, pairs_path, members_path)
     return found
 
 
+def _unused(names: list[str], name: str) -> str:
+    """``name``, longer until no column has it."""
+    taken = {n.lower() for n in names}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def dedup_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(the documents without deleted stretches, the deletions)."""
     prepare(docs.sparkSession)
     found = deletions(docs)
     names = docs.columns
-    at = {c: i for i, c in enumerate(names)}
-    gone = found.select(F.col("doc_id").alias("__id"), F.col("print").alias("__print"), F.col("removed").alias("__removed"))
-    joined = docs.join(gone, docs["doc_id"] == gone["__id"], "left").select(
-        *[docs[c] for c in names], "__print", "__removed")
+    at = names.index("text")
+    id_, print_, gone_ = (_unused(names, x) for x in ("found_id", "found_print", "found_removed"))
+    gone = found.select(F.col("doc_id").alias(id_), F.col("print").alias(print_), F.col("removed").alias(gone_))
+    joined = docs.join(gone, (docs["doc_id"] == gone[id_]) & (F.xxhash64(docs["text"]) == gone[print_]), "left").select(
+        *[docs[c] for c in names], gone_)
 
     def run(source):
-        import xxhash
         for batch in batches(source):
-            gone_ = batch.column(len(names) + 1)
-            column = batch.column(at["text"])
-            rows = np.flatnonzero(np.array(gone_.is_valid()))
+            removed = batch.column(len(names))
+            column = batch.column(at)
+            rows = np.flatnonzero(np.array(removed.is_valid()))
             if len(rows):
                 texts = column.to_pylist()
-                prints = batch.column(len(names)).to_pylist()
-                for i in rows.tolist():
-                    if texts[i] is not None and xxhash.xxh64_intdigest(texts[i].encode(), 3) - (1 << 63) == prints[i]:
-                        texts[i] = without(texts[i], set(gone_[i].as_py()))
+                new = trimmed_texts(column.take(pa.array(rows)), removed.take(pa.array(rows)).to_pylist())
+                for i, text in zip(rows.tolist(), new):
+                    texts[i] = text
                 column = pa.array(texts, column.type)
-            columns = [column if i == at["text"] else batch.column(i) for i in range(len(names))]
+            columns = [column if i == at else batch.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return joined.mapInArrow(run, docs.schema), found

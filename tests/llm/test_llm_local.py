@@ -144,10 +144,45 @@ def test_patience_alignment_is_common_and_rising(a, b):
     assert all(i < k and j < m for (i, j), (k, m) in zip(pairs, pairs[1:]))
 
 
+@given(st.lists(st.lists(st.sampled_from(["a ", "b ", "c\n", "d ", "\n", "漢"]), max_size=30).map("".join), max_size=5))
+@settings(max_examples=200, deadline=None)
+def test_a_text_is_cut_alike_in_any_batch(texts):
+    starts, ends, value, size, _, per = L.stretches(pa.array(texts, pa.string()))
+    alone = [L.stretches(pa.array([t])) for t in texts]
+    assert per.tolist() == [len(x[2]) for x in alone]
+    assert value.tolist() == [v for x in alone for v in x[2].tolist()]
+    assert size.tolist() == [v for x in alone for v in x[3].tolist()]
+
+
+def _doomed(a, b, spans):
+    at_a, at_b = [i for i, x in enumerate(a) if x in b], [j for j, x in enumerate(b) if x in a]
+    return L.doomed_stretches([a[i] for i in at_a], [b[j] for j in at_b], spans, at_a, at_b)
+
+
 def test_blocks_need_an_anchor():
-    assert L.doomed_lines(list("xabcy"), list("zabcw"), {"b"}) == [1, 2, 3]
-    assert L.doomed_lines(list("xabcy"), list("zabcw"), set()) == []
-    assert L.doomed_lines(list("abcd"), list("dab"), {"d", "a"}) == [0, 1, 2]
+    assert _doomed("xabcy", "zabcw", [(2, 2)]) == [1, 2, 3]
+    assert _doomed("xabcy", "zabcw", []) == []
+    assert _doomed("abcd", "dab", [(0, 0), (1, 1)]) == [0, 1, 2]
+    assert _doomed("abxcd", "abycd", [(0, 0)]) == [0, 1]  # a block ends where the texts differ
+
+
+@given(st.lists(st.lists(st.integers(0, 9), max_size=14), max_size=5))
+@settings(max_examples=200, deadline=None)
+def test_least_run_of_every_window_is_looked_up(texts):
+    """Of any WINDOW neighbouring runs of a text (all, if fewer) the least is kept, and no other."""
+    per = np.array([len(t) + 1 for t in texts], np.int64)
+    begin = np.cumsum(per) - per
+    first = np.array([b + i for b, t in zip(begin.tolist(), texts) for i in range(len(t))], np.int64)
+    flat = np.array([h for t in texts for h in t], np.uint64)
+    got = L.looked_up(first, flat, len(flat), per).tolist() if texts else []
+    want = []
+    for t in texts:
+        kept = set()
+        for i in range(max(1, len(t) - L.WINDOW + 1)):
+            part = t[i:i + L.WINDOW]
+            kept |= {i + d for d, h in enumerate(part) if h == min(part)}
+        want += [i in kept for i in range(len(t))]
+    assert got == want
 
 
 def _plain_maximal(scores):

@@ -118,6 +118,68 @@ def test_line_dedup_inside_lines(spark):
         assert all(w in out[i].split() for w in held if w[0] in "ht" or w == "end")
 
 
+def _plain_deletions(rows):
+    """Places that each (doc_id, text) loses, pair by pair in plain Python."""
+    order, texts = op2_linededup, {}
+    for key, text in rows:
+        _, _, value, size, line, per = order.stretches(pa.array([text]))
+        first, last, anchor, runs = order.anchor_spans(value, size, line, per)
+        spans = list(zip(first.tolist(), last.tolist(), anchor.tolist()))
+        found = {h for _, _, h in spans[runs:]}
+        for i in range(max(1, runs - order.WINDOW + 1)):
+            found |= {min((h for _, _, h in spans[:runs][i:i + order.WINDOW]), default=None)} - {None}
+        texts[key] = value.tolist(), spans, found
+    out = {}
+    for b in sorted(texts):
+        own, spans, found = texts[b]
+        lost = set()
+        for a in {min(k for k in texts if h in texts[k][2]) for h in found} - {b}:
+            other, have, _ = texts[a]
+            held = {h for _, _, h in have}
+            hit = {j for i, k, h in spans if h in held for j in range(i, k + 1)}
+            at_a, at_b = [i for i, x in enumerate(other) if x in own], [j for j, x in enumerate(own) if x in other]
+            aligned = [(at_a[i], at_b[j]) for i, j in order.patience([other[i] for i in at_a], [own[j] for j in at_b])]
+            blocks = []
+            for i, j in aligned:
+                if blocks and blocks[-1][-1] == (i - 1, j - 1):
+                    blocks[-1].append((i, j))
+                else:
+                    blocks.append([(i, j)])
+            lost |= hit.union(*[{j for _, j in x} for x in blocks if any(j in hit for _, j in x)])
+        if lost:
+            out[b] = sorted(lost)
+    return out
+
+
+def test_line_dedup_equals_plain_python(spark):
+    """Shared passages, copies, near copies, repeated words and moved blocks."""
+    rng = random.Random(11)
+    common = [[f"c{rng.randrange(400)}" for _ in range(rng.choice([9, 24, 50, 90]))] for _ in range(8)]
+    rows = []
+    for i in range(40):
+        parts = []
+        for _ in range(rng.randrange(1, 6)):
+            part = rng.choice([rng.choice(common), [f"w{rng.randrange(500)}" for _ in range(rng.randrange(60))], ["x"] * 30])
+            parts.append(rng.choice([" ", "\n"]).join([" ".join(part)]) + rng.choice([" ", "\n"]))
+        rows.append((i, "".join(parts)))
+    rows += [(40, rows[7][1]), (41, rows[9][1] + " tail"), (42, rows[7][1])]
+    df = spark.createDataFrame(rows + rows[:3], "doc_id long, text string")
+    got = {r.doc_id: r.removed for r in op2_linededup.dedup_lines(df)[1].collect()}
+    want = _plain_deletions(rows)
+    assert got == want and len(want) > 20
+
+
+def test_line_dedup_of_repeated_ids(spark):
+    """Every text of a repeated id is trimmed, and columns may bear any name."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(1, passage, 7), (2, f"aa {passage}", 8), (2, f"zz bb {passage}", 9)]
+    out = op2_linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, found_print long"))[0]
+    assert out.columns == ["doc_id", "text", "found_print"]
+    got = {r.found_print: r.text.split() for r in out.collect()}
+    assert got[7] == passage.split()
+    assert sum(w.startswith("p") for w in got[8]) <= 16 and sum(w.startswith("p") for w in got[9]) <= 16
+
+
 def test_near_duplicates(docs, none):
     got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in op3_minhash.near_duplicates(docs).collect()),
                  key=str)
