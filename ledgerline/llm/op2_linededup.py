@@ -53,6 +53,8 @@ RUN_WORDS = 20
 WINDOW = 4
 #: Marks the first stretch of a line in its shape byte; the rest is its number of words.
 LINE_START = 128
+#: Bytes of a stretch's hash that are compared within a pair.
+VALUE_BYTES = 6
 
 
 def unique_common(a: list, b: list, a0: int, a1: int, b0: int, b1: int) -> list[tuple[int, int]]:
@@ -180,14 +182,14 @@ def looked_up(first: np.ndarray, anchor: np.ndarray, runs: int, per: np.ndarray)
     text = np.searchsorted(np.cumsum(per), first[:runs], "right")
     h = anchor[:runs]
     out[:runs] = False
-    wide = runs - WINDOW + 1
-    if wide > 0:
-        least = h[:wide].copy()
+    windows = runs - WINDOW + 1
+    if windows > 0:
+        least = h[:windows].copy()
         for d in range(1, WINDOW):
-            np.minimum(least, h[d:d + wide], out=least)
-        whole = text[:wide] == text[WINDOW - 1:]
+            np.minimum(least, h[d:d + windows], out=least)
+        whole = text[:windows] == text[WINDOW - 1:]
         for d in range(WINDOW):
-            out[d:d + wide] |= whole & (h[d:d + wide] == least)
+            out[d:d + windows] |= whole & (h[d:d + windows] == least)
     if runs:
         edge = np.flatnonzero(np.diff(text, prepend=-1))
         room = np.diff(np.append(edge, runs))
@@ -200,19 +202,29 @@ def _lists(values: np.ndarray, edge: np.ndarray, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(values, kind))
 
 
-def _bytes(values: np.ndarray, edge: np.ndarray) -> pa.Array:
-    """Binary values: elements ``edge[i]`` to ``edge[i + 1]`` of ``values``, little-endian."""
-    offsets = (edge * values.itemsize).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(edge) - 1, [None, pa.py_buffer(offsets.tobytes()),
-                                                              pa.py_buffer(values.tobytes())])
+def _bytes(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Binary values: bytes ``offsets[i]`` to ``offsets[i + 1]`` of ``data``."""
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32).tobytes()),
+                                                                 pa.py_buffer(data.tobytes())])
 
 
-def _unpacked(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
-    """(all elements of binary values end to end, elements per value)."""
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all values end to end, bytes per value)."""
     column = column.cast(pa.large_binary())
     offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
-    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
-    return np.frombuffer(data.tobytes(), kind), np.diff(offsets) // np.dtype(kind).itemsize
+    return np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]], np.diff(offsets)
+
+
+def narrow(value: np.ndarray) -> np.ndarray:
+    """The low ``VALUE_BYTES`` bytes of each hash, end to end: enough to tell the stretches of two texts apart."""
+    return value.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :VALUE_BYTES].ravel()
+
+
+def wide(data: np.ndarray) -> np.ndarray:
+    """The hashes of ``narrow`` bytes."""
+    out = np.zeros((len(data) // VALUE_BYTES, 8), np.uint8)
+    out[:, :VALUE_BYTES] = data.reshape(-1, VALUE_BYTES)
+    return out.view("<u8").ravel().astype(np.uint64)
 
 
 def _parts(batch: pa.RecordBatch, *sized: int):
@@ -234,15 +246,20 @@ def stretch_table(docs: DataFrame) -> DataFrame:
             first, _, anchor, runs = anchor_spans(value, size, line, per)
             keep = looked_up(first, anchor, runs, per)
             first, anchor = first[keep], anchor[keep]
-            order = np.argsort(first, kind="stable")
-            first, anchor = first[order], anchor[order].view(np.int64)
             edge = np.concatenate([[0], np.cumsum(per)])
+            # each anchor once a text
+            text = np.searchsorted(edge, first, "right") - 1
+            order = np.lexsort((anchor, text))
+            text, anchor = text[order], anchor[order].view(np.int64)
+            new = np.ones(len(text), bool)
+            new[1:] = (text[1:] != text[:-1]) | (anchor[1:] != anchor[:-1])
+            text, anchor = text[new], anchor[new]
             shape = size.astype(np.uint8)
             shape[np.flatnonzero(np.diff(line, prepend=-1))] |= LINE_START
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0).cast(pa.int64()), "print": batch.column(1),
-                "value": _bytes(value, edge), "shape": _bytes(shape, edge),
-                "anchors": _lists(anchor, np.searchsorted(first, edge), pa.int64())})
+                "value": _bytes(narrow(value), edge * VALUE_BYTES), "shape": _bytes(shape, edge),
+                "anchors": _lists(anchor, np.searchsorted(text, np.arange(len(per) + 1)), pa.int64())})
 
     return docs.where("doc_id is not null and text is not null").select(
         "doc_id", F.xxhash64("text").alias("print"), "text").mapInArrow(
@@ -294,8 +311,8 @@ def doomed(values: tuple[pa.Array, pa.Array], shapes: tuple[pa.Array, pa.Array])
     """Of each pair (earlier, later) of texts by their stretches: the places that the later one loses."""
     sides = []
     for value, shape in zip(values, shapes):
-        value, per = _unpacked(value, np.uint64)
-        shape, _ = _unpacked(shape, np.uint8)
+        value = wide(_unpacked(value)[0])
+        shape, per = _unpacked(shape)
         first, last, anchor, _ = anchor_spans(value, (shape & (LINE_START - 1)).astype(np.int64),
                                               np.cumsum(shape >= LINE_START), per)
         salt = mix(np.arange(len(per), dtype=np.uint64) + np.uint64(1))  # compare within the pair only
@@ -323,30 +340,23 @@ def deletions(docs: DataFrame) -> DataFrame:
     """doc_id, print and removed (places of deleted stretches) of every document that loses any."""
     spark = docs.sparkSession
     texts, path = written(stretch_table(docs), "op2-stretches")
-    # the print tells rows of one doc_id apart; where there is one row, it need not travel with each anchor
-    several, several_path = written(texts.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(
-        "doc_id", F.lit(True).alias("several")), "op2-several")
-    texts = texts.join(several, "doc_id", "left").withColumn(
-        "sub", F.when(F.col("several"), F.col("print")).otherwise(F.lit(0)))
-    anchors = texts.select("doc_id", "sub", F.explode("anchors").alias("h"))
-    place = F.struct("doc_id", "sub")
-    holders = anchors.groupBy("h").agg(F.min(place).alias("a"), F.max(place).alias("z")).where("a < z").select("h", "a")
-    pairs = anchors.join(holders, "h").where(F.col("a") < place).select(
-        F.col("a.doc_id").alias("a"), F.col("a.sub").alias("a_sub"), F.col("doc_id").alias("b"),
-        F.col("sub").alias("b_sub")).distinct()
+    # where every doc_id has one row, the print need not travel with each anchor; the result is the same
+    single = texts.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+    texts = texts.withColumn("place", F.col("doc_id") if single else F.struct("doc_id", "print"))
+    anchors = texts.select("place", F.explode("anchors").alias("h"))
+    holders = anchors.groupBy("h").agg(F.min("place").alias("a"), F.count("*").alias("n")).where("n > 1").select("h", "a")
+    # the joins are the same at every size
+    pairs = anchors.join(holders.hint("merge"), "h").where(F.col("a") < F.col("place")).select(
+        "a", F.col("place").alias("b")).distinct()
     pairs, pairs_path = written(pairs, "op2-pairs")
-    members, members_path = written(pairs.select(F.col("a").alias("doc_id"), F.col("a_sub").alias("sub")).union(
-        pairs.select("b", "b_sub")).distinct(), "op2-members")
-    used = texts.join(members, ["doc_id", "sub"], "left_semi").select("doc_id", "sub", "print", "value", "shape", "several")
-    # rows that repeat a text are aligned once
-    once = used.where("several").groupBy("doc_id", "sub").agg(*[F.first(c).alias(c) for c in ("print", "value", "shape")])
-    used = used.where("several is null").drop("several").unionByName(once)
-    other = used.select(F.col("doc_id").alias("a"), F.col("sub").alias("a_sub"),
-                        F.col("value").alias("value_a"), F.col("shape").alias("shape_a"))
-    own = used.select(F.col("doc_id").alias("b"), F.col("sub").alias("b_sub"), "print",
-                      F.col("value").alias("value_b"), F.col("shape").alias("shape_b"))
-    joined = pairs.join(other, ["a", "a_sub"]).join(own, ["b", "b_sub"]).select(
-        "b", "print", "value_a", "shape_a", "value_b", "shape_b")
+    used = texts.select("place", "doc_id", "print", "value", "shape")
+    if not single:  # rows that repeat a text are aligned once
+        used = used.groupBy("place").agg(*[F.first(c).alias(c) for c in ("doc_id", "print", "value", "shape")])
+    other = used.select(F.col("place").alias("a"), F.col("value").alias("value_a"), F.col("shape").alias("shape_a"))
+    own = used.select(F.col("place").alias("b"), "doc_id", "print", F.col("value").alias("value_b"),
+                      F.col("shape").alias("shape_b"))
+    joined = pairs.join(other.hint("merge"), "a").join(own.hint("merge"), "b").select(
+        "doc_id", "print", "value_a", "shape_a", "value_b", "shape_b")
 
     def run(source):
         for batch in batches(source):
@@ -359,7 +369,7 @@ def deletions(docs: DataFrame) -> DataFrame:
     found = found.groupBy("doc_id", "print").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("removed")))).alias("removed"))
     found, _ = written(found, "op2-removed")
-    drop_written(spark, path, several_path, pairs_path, members_path)
+    drop_written(spark, path, pairs_path)
     return found
 
 
