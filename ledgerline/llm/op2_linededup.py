@@ -247,19 +247,18 @@ def stretch_table(docs: DataFrame) -> DataFrame:
             keep = looked_up(first, anchor, runs, per)
             first, anchor = first[keep], anchor[keep]
             edge = np.concatenate([[0], np.cumsum(per)])
-            # each anchor once a text
-            text = np.searchsorted(edge, first, "right") - 1
-            order = np.lexsort((anchor, text))
-            text, anchor = text[order], anchor[order].view(np.int64)
-            new = np.ones(len(text), bool)
-            new[1:] = (text[1:] != text[:-1]) | (anchor[1:] != anchor[:-1])
-            text, anchor = text[new], anchor[new]
+            order = np.argsort(first, kind="stable")
+            first, anchor = first[order], anchor[order].view(np.int64)
+            new = np.ones(len(first), bool)  # one word over and over has one anchor
+            new[1:] = anchor[1:] != anchor[:-1]
+            new[np.searchsorted(first, edge[:-1][per > 0]).clip(max=max(len(new) - 1, 0))] = True
+            first, anchor = first[new], anchor[new]
             shape = size.astype(np.uint8)
             shape[np.flatnonzero(np.diff(line, prepend=-1))] |= LINE_START
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0).cast(pa.int64()), "print": batch.column(1),
                 "value": _bytes(narrow(value), edge * VALUE_BYTES), "shape": _bytes(shape, edge),
-                "anchors": _lists(anchor, np.searchsorted(text, np.arange(len(per) + 1)), pa.int64())})
+                "anchors": _lists(anchor, np.searchsorted(first, edge), pa.int64())})
 
     return docs.where("doc_id is not null and text is not null").select(
         "doc_id", F.xxhash64("text").alias("print"), "text").mapInArrow(
@@ -307,6 +306,14 @@ def trimmed_texts(column: pa.Array, removed: list[list[int]]) -> list[str]:
     return out
 
 
+def among(x: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Which of ``x`` are in ``of``."""
+    if not len(of):
+        return np.zeros(len(x), bool)
+    of = np.sort(of)
+    return of[np.searchsorted(of, x).clip(max=len(of) - 1)] == x
+
+
 def doomed(values: tuple[pa.Array, pa.Array], shapes: tuple[pa.Array, pa.Array]) -> list[list[int]]:
     """Of each pair (earlier, later) of texts by their stretches: the places that the later one loses."""
     sides = []
@@ -320,8 +327,8 @@ def doomed(values: tuple[pa.Array, pa.Array], shapes: tuple[pa.Array, pa.Array])
         pair = np.searchsorted(edge, first, "right") - 1
         sides.append((value, mix(value ^ np.repeat(salt, per)), edge, first, last, mix(anchor ^ salt[pair]), pair))
     (value_a, key_a, edge_a, _, _, anchor_a, _), (value_b, key_b, edge_b, first, last, anchor_b, pair) = sides
-    common_a, common_b = np.flatnonzero(np.isin(key_a, key_b)), np.flatnonzero(np.isin(key_b, key_a))
-    shared = np.flatnonzero(np.isin(anchor_b, anchor_a))
+    common_a, common_b = np.flatnonzero(among(key_a, key_b)), np.flatnonzero(among(key_b, key_a))
+    shared = np.flatnonzero(among(anchor_b, anchor_a))
     shared = shared[np.argsort(pair[shared], kind="stable")]
     n = len(edge_a) - 1
     cut_a, cut_b = np.searchsorted(common_a, edge_a), np.searchsorted(common_b, edge_b)
