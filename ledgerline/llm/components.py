@@ -46,3 +46,24 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
         before = after
     return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+def joined_components(known: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component) as above, of the stars ``known`` with the edges ``links`` (u, v) added.
+
+    Only components that a link touches are contracted; a node of another keeps its own.
+    """
+    spark = links.sparkSession
+
+    def of(edges, c):
+        named = known.select(F.col("node").alias(c), F.col("component").alias("at"))
+        return edges.join(named, c, "left").withColumn(c, F.coalesce("at", c)).drop("at")
+
+    between, path = written(of(of(links, "u"), "v").where("u != v").distinct(), "component-links")
+    new = connected_components(between)
+    moved = new.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    # a component that moves was the least of its nodes, and becomes a node itself
+    stars = known.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    out, _ = written(stars.union(new), "components")
+    drop_written(spark, path)
+    return out

@@ -1,11 +1,12 @@
 """Near-duplicate documents: universal hash minima, banding, verification and star contraction.
 
 1. Per document: distinct word shingles, minima of many universal hashes
-   (a x + b over 64-bit words), a fingerprint of the set, and a key per band.
+   (a x + b over 64-bit words), a 64-bit fingerprint of the set, and a key per band.
    The number of bands is set so that a pair at the threshold shares no band
    with a probability of at most ``MISS``.
-2. Documents with equal sets form a class, represented by its least doc_id.
-3. Candidates are pairs of representatives in one bucket.  Members are ranked
+2. Documents with equal sets form a class, named by the set's fingerprint; pairs,
+   texts and components are of classes.
+3. Candidates are pairs of classes in one bucket.  Members are ranked
    by how many others they meet in all their buckets, so the text that a group
    was copied from comes first.  First each bucket's first member is compared
    with all others.  Buckets that still touch several components stay open.  In
@@ -20,13 +21,15 @@
    copies costs about n comparisons, not n squared.
 4. A candidate whose signatures agree too little (six standard errors below
    the threshold) is dropped; the others are confirmed on their full sets.
-5. Components by alternating large-star and small-star.
+5. Components by alternating large-star and small-star, carried from round to round:
+   new links join the components found so far, so only those are contracted again.
 
 Edge cases: a document without words (null, empty, white space) has an empty
-set, no link and is kept.  Rows that repeat a doc_id each get a row; their sets
-link through the shared id's class.  A null doc_id is linked with nothing, has
-a null component and is kept.  An empty table gives no row.  Other columns are
-ignored.
+set, no link and is kept.  Rows that repeat a doc_id each get a row; all their
+sets are compared, and are one group as they share the id.  A null doc_id is
+linked with nothing, has a null component and is kept.  Where ``row`` names a
+column that tells rows apart, a shared doc_id links nothing, and a null one takes
+part, after all others of its group.  An empty table gives no row.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -43,7 +46,7 @@ from pyspark.sql import functions as F
 
 from .common import (batches, drop_written, hash_spans, lower_ascii, mix, need, prepare, shingles,
                      text_buffer, word_spans, written)
-from .components import connected_components
+from .components import connected_components, joined_components
 
 ROWS = 5
 #: Largest probability that a pair at the threshold shares no band.
@@ -55,7 +58,7 @@ SMALL = 24
 #: A shingle of so many members of large open buckets at most is rare.
 RARE = 8
 
-SIGNATURES = "doc_id long, n_shingles long, fp1 long, fp2 long, sig binary, bands array<long>"
+SIGNATURES = "doc_id long, row long, n_shingles long, rep long, sig binary, bands array<long>"
 
 
 def band_count(threshold: float, rows: int = ROWS, miss: float = MISS) -> int:
@@ -70,8 +73,20 @@ def text_shingles(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     return shingles(hash_spans(data, starts, ends), counts, k)
 
 
+def fingerprints(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct shingles, fingerprint of the set) of each text; both are 0 without words."""
+    ends = np.cumsum(counts)
+    distinct, print_ = np.zeros(len(counts), np.int64), np.zeros(len(counts), np.uint64)
+    for i in np.flatnonzero(counts).tolist():
+        own = np.unique(values[ends[i] - counts[i]:ends[i]])
+        distinct[i] = len(own)
+        print_[i] = own.sum()
+        print_[i:i + 1] = mix(mix(print_[i:i + 1] + np.uint64(len(own))) + mix(own + np.uint64(1)).sum())
+    return distinct, print_.view(np.int64)
+
+
 def signatures(docs: DataFrame, k: int, threshold: float) -> DataFrame:
-    """One row per document; signature and bands are null without words."""
+    """One row per row of (doc_id, row, text); signature and bands are null without words."""
     bands = band_count(threshold)
     n = bands * ROWS
     rng = np.random.default_rng(7)
@@ -80,16 +95,10 @@ def signatures(docs: DataFrame, k: int, threshold: float) -> DataFrame:
 
     def run(source):
         for batch in batches(source):
-            values, counts = text_shingles(batch.column(1), k)
+            values, counts = text_shingles(batch.column(2), k)
             has = np.flatnonzero(counts)
             begin = (np.cumsum(counts) - counts)[has]
-            distinct = np.zeros(len(counts), np.int64)
-            fp = np.zeros((2, len(counts)), np.uint64)
-            for i, a in zip(has.tolist(), begin.tolist()):
-                own = np.unique(values[a:a + counts[i]])
-                distinct[i] = len(own)
-                fp[0, i] = own.sum()
-                fp[1, i] = mix(own + np.uint64(1)).sum()
+            distinct, rep = fingerprints(values, counts)
             minima = np.empty((len(has), n), np.uint64)
             if len(has):
                 for j in range(n):
@@ -103,11 +112,21 @@ def signatures(docs: DataFrame, k: int, threshold: float) -> DataFrame:
             for row, i in enumerate(has.tolist()):
                 sig[i], band[i] = low[row].tobytes(), keys[row]
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column(0).cast(pa.int64()), "n_shingles": pa.array(distinct),
-                "fp1": pa.array(fp[0].view(np.int64)), "fp2": pa.array(fp[1].view(np.int64)),
-                "sig": pa.array(sig, pa.binary()), "bands": pa.array(band, pa.list_(pa.int64()))})
+                "doc_id": batch.column(0).cast(pa.int64()), "row": batch.column(1), "n_shingles": pa.array(distinct),
+                "rep": pa.array(rep), "sig": pa.array(sig, pa.binary()), "bands": pa.array(band, pa.list_(pa.int64()))})
+
+    return need(docs, "doc_id", "row", "text").mapInArrow(run, SIGNATURES)
 
-    return need(docs, "doc_id", "text").mapInArrow(run, SIGNATURES)
+
+def _class_texts(texts: DataFrame, k: int) -> DataFrame:
+    """rep and text: each text with the fingerprint of its set."""
+
+    def run(source):
+        for batch in batches(source):
+            _, rep = fingerprints(*text_shingles(batch.column(0), k))
+            yield pa.RecordBatch.from_pydict({"rep": pa.array(rep), "text": batch.column(0)})
+
+    return need(texts, "text").mapInArrow(run, "rep long, text string")
 
 
 def _agreeing(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
@@ -127,8 +146,8 @@ def _agreeing(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs whose full sets reach ``100 * intersection >= percent * union``."""
-    joined = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").join(
-        texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+    joined = pairs.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b")), "b").join(
+        texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a")), "a")
 
     def run(source):
         last, last_set = None, None
@@ -166,7 +185,7 @@ def _occurrences(texts: DataFrame, k: int) -> DataFrame:
                     "rep": pa.array(np.repeat(batch.column(0).to_numpy(), [len(s) for s in sets])),
                     "shingle": pa.array(np.concatenate(sets).view(np.int64))})
 
-    return need(texts, "doc_id", "text").mapInArrow(run, "rep long, shingle long")
+    return need(texts, "rep", "text").mapInArrow(run, "rep long, shingle long")
 
 
 def _rare_shingles(texts: DataFrame, k: int) -> DataFrame:
@@ -201,14 +220,29 @@ def _bloom(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(key, value)
 
 
-def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every document."""
+def _shared_ids(signed: DataFrame) -> DataFrame:
+    """Links a, b between the classes that hold one doc_id, one link a class."""
+    ids = signed.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b")
+    return signed.select("doc_id", F.col("rep").alias("b")).join(ids.select("doc_id", "a"), "doc_id").where(
+        "a != b").select("a", "b").distinct()
+
+
+def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, row: str | None = None) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every document.
+
+    With ``row``, a column of longs that tells rows apart, that column too, and
+    one row of each group is kept: that of the least doc_id, then of the least ``row``.
+    """
     spark = docs.sparkSession
     prepare(spark)
     threshold = percent / 100
+    docs = docs.select("doc_id", F.col(row).alias("row") if row else F.lit(0).cast("long").alias("row"), "text")
     signed, _ = written(signatures(docs, k, threshold), "op3-signatures")
-    classes = signed.where("n_shingles > 0 and doc_id is not null").groupBy("fp1", "fp2", "n_shingles").agg(
-        F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("bands").alias("bands"))
+    member = "n_shingles > 0" if row else "n_shingles > 0 and doc_id is not null"
+    place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row")
+    classes = signed.where(member).groupBy("rep").agg(
+        F.min(place).alias("place"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"),
+        F.first("bands").alias("bands"))
     classes, _ = written(classes, "op3-classes")
 
     rows = classes.select("rep", F.explode("bands").alias("bucket"))
@@ -220,11 +254,14 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame
     members, ranked_path = written(members, "op3-ranked")
     drop_written(spark, members_path)
     members_path = ranked_path
-    # the texts that any comparison may need, so that the whole table is joined once;
-    # a doc_id that is repeated with other texts is compared through one of them only
-    reps = members.where("size > 1").select(F.col("rep").alias("doc_id"))
+    # the texts that any comparison may need, so that the whole table is joined once; of a repeated
+    # doc_id all texts come, and find their class by the fingerprint of their set
+    wanted = members.select("rep").distinct()
+    held = wanted.join(classes, "rep").select("place.doc_id", "place.row")
     with _bloom(spark):
-        texts, texts_path = written(need(docs, "doc_id", "text").join(reps, "doc_id", "left_semi").groupBy("doc_id").agg(
+        same = docs["doc_id"].eqNullSafe(held["doc_id"]) if row else docs["doc_id"] == held["doc_id"]
+        texts = _class_texts(docs.join(held, same & (docs["row"] == held["row"]), "left_semi"), k)
+        texts, texts_path = written(texts.join(wanted, "rep", "left_semi").groupBy("rep").agg(
             F.max("text").alias("text")), "op3-texts")
     hub = members.groupBy("bucket").agg(F.max_by(F.struct(
         F.col("rep").alias("a"), F.col("n").alias("na")), F.struct("degree", "rep")).alias("hub"))
@@ -234,22 +271,18 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame
     n = bands * ROWS
     expect = threshold + (1 - threshold) / 256
     least = math.floor(n * expect - 6 * math.sqrt(n * expect * (1 - expect)))
-    links: DataFrame | None = None
     paths = [members_path, texts_path]
-
-    component: DataFrame | None = None
+    same_id = _shared_ids(signed.where(member if row is None else "false"))
+    component = connected_components(same_id.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
     def confirm(pairs: DataFrame) -> None:
-        """Verify distinct pairs, and renew the components if there are new links."""
-        nonlocal links, component
+        """Verify distinct pairs, and join the components that new links touch."""
+        nonlocal component
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
         close, close_path = written(_agreeing(pairs, classes, least), "op3-pairs")
         found, path = written(_confirmed(close, texts, k, percent), "op3-links")
         paths.extend([close_path, path])
-        if component is not None and found.isEmpty():
-            return
-        links = found if links is None else links.union(found)
-        component = connected_components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        component = joined_components(component, found.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
     def opened(rows: DataFrame) -> DataFrame:
         """The rows of buckets that touch several components, with the bucket's largest as ``main``."""
@@ -274,8 +307,8 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame
     apart = F.col("component") != F.col("ca")
     pairs = small.join(taking(small.where("component != main")), "bucket").where(apart & sized).select(
         "a", F.col("rep").alias("b"))
-    crowd = large.select(F.col("rep").alias("doc_id")).distinct()
-    rare = _rare_shingles(texts.join(crowd, "doc_id", "left_semi"), k)
+    crowd = large.select("rep").distinct()
+    rare = _rare_shingles(texts.join(crowd, "rep", "left_semi"), k)
     known = large.select("rep", "n", "component").distinct()
     rare_pairs = _rare_pairs(rare).join(known.select(F.col("rep").alias("b"), "n", "component"), "b").join(
         known.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca")), "a")
@@ -310,12 +343,13 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame
         done = taken if done is None else done.union(taken)
         turns *= 4
 
-    component, _ = written(component, "op3-components")
+    names = classes.select("rep", "place").join(component, F.col("rep") == F.col("node"), "left").select(
+        "rep", "place", F.coalesce("component", "rep").alias("component"))
+    first = names.groupBy("component").agg(F.min("place").alias("first"))
+    names, _ = written(names.join(first, "component").select("rep", "first"), "op3-components")
     drop_written(spark, *paths)
-    names = classes.select("fp1", "fp2", "n_shingles", "rep").join(
-        component, F.col("rep") == F.col("node"), "left").select(
-        "fp1", "fp2", "n_shingles", F.coalesce("component", "rep").alias("component"))
-    alone = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
-    return signed.select("doc_id", "n_shingles", "fp1", "fp2").join(names, ["fp1", "fp2", "n_shingles"], "left").select(
-        "doc_id", "n_shingles", alone.alias("component_id"),
-        F.coalesce(F.col("doc_id") == alone, F.lit(True)).alias("kept"))
+    joined = signed.withColumn("takes", F.expr(f"coalesce({member}, false)")).join(names, "rep", "left")
+    return joined.select(
+        "doc_id", *([F.col("row").alias(row)] if row else []), "n_shingles",
+        F.when(F.col("takes"), F.col("first.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        (~F.col("takes") | F.coalesce(place.eqNullSafe(F.col("first")), F.lit(True))).alias("kept"))

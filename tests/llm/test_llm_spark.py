@@ -192,6 +192,36 @@ def test_near_duplicates(docs, none):
     assert op3_minhash.near_duplicates(none).count() == 0
 
 
+def _varied(text, at):
+    """The text with one word of it changed."""
+    words = text.split()
+    words[at] = f"other{at}"
+    return " ".join(words)
+
+
+def test_near_duplicates_of_a_repeated_id(spark):
+    """Every text of a repeated doc_id is compared; the texts are one group as they share the id."""
+    x, y = (" ".join(f"{c}{i}" for i in range(200)) for c in "xy")
+    rows = [(1, x), (1, y), (2, _varied(x, 50)), (3, _varied(y, 90)), (4, _varied(y, 20)), (5, "alone " + x[:300])]
+    got = op3_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 5)}
+    assert len(got) == 6
+
+
+def test_near_dedup_stage_judges_rows(spark):
+    """A null id takes part, equal rows leave one, and a namesake with another text has its own verdict."""
+    x, y, z = (" ".join(f"{c}{i}" for i in range(200)) for c in "xyz")
+    rows = [(2, x), (2, z), (None, x), (None, _varied(x, 50)), (7, y), (7, y), (7, y), (None, _varied(y, 3)), (3, ""), (3, "")]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, __row int")
+    got = corpus_pipeline.near_dedup(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == sorted(
+        [(2, x), (2, z), (7, y), (3, ""), (3, "")])
+    apart = spark.createDataFrame([(2, x, 1), (5, z, 1), (9, _varied(x, 50), 1), (5, _varied(z, 9), 1)], docs.schema)
+    assert sorted((r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, apart, "").collect()) in (
+        sorted([(2, x), (5, z)]), sorted([(2, x), (5, _varied(z, 9))]))
+
+
 def test_near_duplicates_of_a_crowd(spark, monkeypatch):
     """Large open buckets: rare shingles, members ruled out and turns give the components of all pairs."""
     for name, value in (("SMALL", 2), ("RARE", 2), ("TURNS", 1)):
