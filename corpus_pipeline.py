@@ -23,37 +23,38 @@ from ledgerline.llm.common import drop_written, prepare, written
 SHINGLE, PERCENT = 5, 80
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The documents whose doc_id is not rejected; all columns as they are."""
-    gone = rejected.select(F.col("doc_id").alias("__rejected")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["__rejected"], "left_anti")
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The documents with a key column of a free name: a hash of all that a verdict depends on.
 
+    Rows of equal key share their verdict.
+    """
+    key = "__row"
+    while key in docs.columns:
+        key += "_"
+    return docs.withColumn(key, F.xxhash64(*[c for c in ("doc_id", "lang", "text") if c in docs.columns])), key
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """The documents with ``__row``, a hash of all that a verdict depends on: rows of equal hash share their verdict."""
-    return docs.withColumn("__row", F.xxhash64(*[c for c in ("doc_id", "lang", "text") if c in docs.columns]))
 
-
-def _passing(keyed: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows whose own key is not rejected, whether their doc_id is null or repeated."""
-    gone = rejected.select(F.col("doc_id").alias("__rejected")).distinct()
-    return keyed.join(gone, keyed["__row"] == gone["__rejected"], "left_anti").drop("__row")
+def _passing(keyed: DataFrame, key: str, rejected: DataFrame) -> DataFrame:
+    """The rows whose own key is not rejected (a table of one column), whether their doc_id is null or repeated."""
+    gone = rejected.toDF("__rejected").distinct()
+    return keyed.join(gone, keyed[key] == gone["__rejected"], "left_anti").drop(key)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     prepare(spark)
-    keyed = _keyed(docs)
+    keyed, key = _keyed(docs)
     weight, law = op8_toxicity.train(docs, labels)
-    rows = keyed.select(F.col("__row").alias("doc_id"), "text")
-    return _passing(keyed, op8_toxicity.score_rows(rows, weight, law).where("predicted = 1"))
+    rows = keyed.select(F.col(key).alias("doc_id"), "text")
+    return _passing(keyed, key, op8_toxicity.score_rows(rows, weight, law).where("predicted = 1").select("doc_id"))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the counting rules and the perplexity band."""
-    keyed = _keyed(docs)
-    return _passing(keyed, op6_quality.judge(keyed.withColumn("doc_id", F.col("__row"))).where("not kept"))
+    keyed, key = _keyed(docs)
+    judged = op6_quality.judge(keyed.withColumn("doc_id", F.col(key)))
+    return _passing(keyed, key, judged.where("not kept").select("doc_id"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,8 +67,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return _without(docs, op3_minhash.near_duplicates(docs, SHINGLE, PERCENT).where("not kept"))
+    """One row of each group of near duplicates, that of the least doc_id; rows without words all stay.
+
+    Verdicts go by a key of the row, so a null doc_id takes part and a namesake
+    with another text is judged by its own text.  Rows equal in doc_id, lang and
+    text are one row here: the first of them stays.
+    """
+    keyed, key = _keyed(docs)
+    judged = op3_minhash.near_duplicates(keyed, SHINGLE, PERCENT, row=key)
+    held = judged.where("kept and n_shingles > 0").groupBy(key).count().where("count > 1").select(F.col(key).alias("__twice"))
+    held, _ = written(held, "pipeline-twice")
+    kept = _passing(keyed.withColumn("__kept", F.col(key)), key, judged.where("not kept").select(key))
+    again = kept["__kept"] == held["__twice"]
+    once = kept.join(held, again, "left_anti")
+    return once.unionByName(kept.join(held, again, "left_semi").dropDuplicates(["__kept"])).drop("__kept")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
