@@ -25,7 +25,9 @@ vec_id.  Rows that repeat a vec_id are separate candidates, and the greatest
 of their vectors asks the query; a query's own
 vec_id is never its candidate.  Ties go to the smaller vec_id.  Fewer than k
 candidates are all returned.  An empty table gives no row.  Other columns are
-ignored.
+ignored.  Large finite components are summed exactly: in doubles, 64-bit words or
+Python's integers, as the greatest norm needs; components and scores beyond a long
+are set to the nearest long.
 """
 
 from __future__ import annotations
@@ -76,10 +78,11 @@ def farthest_first(sample: np.ndarray, count: int) -> np.ndarray:
     return sample[chosen]
 
 
-def lift(v: np.ndarray, norm2: int) -> np.ndarray:
+def lift(v: np.ndarray, norm2: float) -> np.ndarray:
     """One more coordinate that makes every squared norm ``norm2``."""
-    last = np.sqrt(np.maximum(0, norm2 - (v * v).sum(1)).astype(float))
-    return np.concatenate([v.astype(float), last[:, None]], 1)
+    v = v.astype(float)
+    last = np.sqrt(np.maximum(0, norm2 - (v * v).sum(1)))
+    return np.concatenate([v, last[:, None]], 1)
 
 
 def distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -87,7 +90,7 @@ def distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0, square))
 
 
-def build_index(rows: DataFrame, dim: int, norm2: int, pivots: np.ndarray) -> DataFrame:
+def build_index(rows: DataFrame, dim: int, norm2: float, pivots: np.ndarray) -> DataFrame:
     """Blocks of all vectors, sorted by (pivot, distance) within ranges."""
 
     def key(source):
@@ -119,17 +122,25 @@ def build_index(rows: DataFrame, dim: int, norm2: int, pivots: np.ndarray) -> Da
     return keyed.mapInArrow(blocks, BLOCKS)
 
 
-def expand(source, queries: np.ndarray, query_ids: np.ndarray, pivots: np.ndarray, norm2: int, k: int):
+def expand(source, queries: np.ndarray, query_ids: np.ndarray, pivots: np.ndarray, norm2: float, k: int):
     """The k best candidates of every query within one task's blocks."""
-    lifted = np.concatenate([queries.astype(float), np.zeros((len(queries), 1))], 1)
-    to_pivot = distances(lifted, pivots)
-    square = (queries * queries).sum(1).astype(float)
+    floats = queries.astype(float)
+    to_pivot = distances(np.concatenate([floats, np.zeros((len(queries), 1))], 1), pivots)
+    square = (floats * floats).sum(1)
     slack = 1e-6 * np.sqrt(norm2 + square + 1)
     best: list[list[tuple[int, int]]] = [[] for _ in queries]  # heaps of (score, -vec_id)
     reach = np.full(len(queries), np.inf)  # distance of the k-th best
-    floats = queries.astype(float)
     dim = queries.shape[1]
-    exact_in_floats = norm2 < 2 ** 52 and square.max() < 2 ** 52  # products below 2^53: float sums are exact
+    # no part of a product's sum exceeds the greatest norm
+    exact_in_floats = norm2 < 2 ** 52 and square.max() < 2 ** 52
+    exact_in_longs = norm2 < 2 ** 62 and square.max() < 2 ** 62
+
+    def products(rows, v):
+        if exact_in_floats:
+            return (floats[rows] @ v.T.astype(float)).astype(np.int64)
+        if exact_in_longs:
+            return queries[rows] @ v.T
+        return queries[rows].astype(object) @ v.T.astype(object)
 
     def visit(block):
         pivot, low, high, n, ids, vectors = block
@@ -140,7 +151,7 @@ def expand(source, queries: np.ndarray, query_ids: np.ndarray, pivots: np.ndarra
             return
         ids = np.frombuffer(ids, "<i8")
         v = np.frombuffer(vectors, "<i8").reshape(-1, dim)
-        score = (floats[active] @ v.T.astype(float)).astype(np.int64) if exact_in_floats else queries[active] @ v.T
+        score = products(active, v)
         for row, q in enumerate(active.tolist()):
             heap = best[q]
             other = np.flatnonzero(ids != query_ids[q])  # any number of rows may repeat the query's id
@@ -166,7 +177,7 @@ def expand(source, queries: np.ndarray, query_ids: np.ndarray, pivots: np.ndarra
         nearest = [float(np.maximum(0, np.maximum(b[1] - to_pivot[:, b[0]], to_pivot[:, b[0]] - b[2])).min()) for b in held]
         for i in np.argsort(nearest, kind="stable").tolist():
             visit(held[i])
-    found = [(int(query_ids[q]), -i, s) for q, heap in enumerate(best) for s, i in heap]
+    found = [(int(query_ids[q]), -i, min(max(s, -2 ** 63), 2 ** 63 - 1)) for q, heap in enumerate(best) for s, i in heap]
     if found:
         a, b, c = zip(*found)
         yield pa.RecordBatch.from_pydict({"query_id": pa.array(a, pa.int64()), "vec_id": pa.array(b, pa.int64()),
@@ -184,7 +195,7 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
         return empty
     dim = common["dim"]
     rows = rows.where(F.size("v") == dim)
-    norm = F.aggregate("v", F.lit(0).cast("long"), lambda a, x: a + x * x)
+    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     norm2 = rows.agg(F.max(norm)).first()[0]
     picked = rows.orderBy(F.xxhash64("vec_id", "v"), "vec_id").limit(SAMPLE).toArrow()
     sample = np.array(picked.column("v").to_pylist(), np.int64)

@@ -126,16 +126,6 @@ def test_base_counts_equal_plain_python(texts):
     assert rows == [_plain_counts(t) for t in texts]
 
 
-def test_kneser_ney_is_a_distribution():
-    rng = np.random.default_rng(1)
-    counts = np.zeros(Q.SIZE)
-    np.add.at(counts, rng.integers(0, 600, 3000), 1)
-    model = Q.Model({Q.ALL: counts})
-    for context in (0, 5, 77, 20000):
-        p = np.exp(model.log_probability(Q.ALL, context * 32 + np.arange(32)))
-        assert abs(p.sum() - 1) < 1e-3
-
-
 @given(st.lists(st.sampled_from("abcdef"), max_size=12), st.lists(st.sampled_from("abcdef"), max_size=12))
 @settings(max_examples=200, deadline=None)
 def test_patience_alignment_is_common_and_rising(a, b):

@@ -1,7 +1,9 @@
 """Every corpus operator and stage on odd rows: nulls, empty and long texts, ties, repeats, extra columns, empty tables."""
 
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -180,6 +182,20 @@ def test_line_dedup_of_repeated_ids(spark):
     assert sum(w.startswith("p") for w in got[8]) <= 16 and sum(w.startswith("p") for w in got[9]) <= 16
 
 
+def test_top_k_of_large_components(spark):
+    """Finite components whose products leave 64 bits are ranked by exact integers."""
+    rng = np.random.default_rng(11)
+    for size in (1e7, 3e12):
+        v = rng.normal(size=(120, 4)) * size
+        df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "vec_id long, embedding array<double>")
+        got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in op1_topk.top_k(df).collect()}
+        q = [[int(np.floor(1024 * float(x))) for x in r] for r in v]
+        for i in (0, 100):
+            exact = sorted((-sum(a * b for a, b in zip(q[i], r)), j) for j, r in enumerate(q) if j != i)[:10]
+            clamped = sorted((-min(-s, 2 ** 63 - 1), j) for s, j in exact)
+            assert [got[i, k + 1] for k in range(10)] == [(j, -s) for s, j in clamped]
+
+
 def test_near_duplicates(docs, none):
     got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in op3_minhash.near_duplicates(docs).collect()),
                  key=str)
@@ -208,6 +224,33 @@ def test_near_duplicates_of_a_repeated_id(spark):
     assert len(got) == 6
 
 
+def test_near_dedup_stage_equals_all_pairs(spark):
+    """The stage's rows on a whole small table are those that comparing all pairs of texts leaves."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = docs.select("doc_id", "text").collect()
+
+    def shingles(text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]+", lambda m: m[0].lower(), text or ""))
+        return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    rows = sorted((r.doc_id, shingles(r.text)) for r in rows)
+    root = {i: i for i, _ in rows}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for n, (i, a) in enumerate(rows):
+        for j, b in rows[:n]:
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    got = corpus_pipeline.near_dedup(spark, docs, "").select("doc_id").collect()
+    assert sorted(r.doc_id for r in got) == [i for i, _ in rows if find(i) == i]
+    assert len(got) < len(rows)
+
+
 def test_near_dedup_stage_judges_rows(spark):
     """A null id takes part, equal rows leave one, and a namesake with another text has its own verdict."""
     x, y, z = (" ".join(f"{c}{i}" for i in range(200)) for c in "xyz")
@@ -290,6 +333,51 @@ def _prose(lang, seed, mixed_up=False):
     return " ".join(words)
 
 
+def _kneser_ney(texts):
+    """(u, v, w) to the interpolated probability of w after u, v and alone, by plain counting over lists of words."""
+    top = Counter()
+    for words in texts:
+        padded = [None, None, *words]
+        top.update(zip(padded, padded[1:], words))
+    two = Counter((v, w) for _, v, w in top)
+    one = Counter(w for _, w in two)
+
+    def level(counts, lower):
+        n = Counter(counts.values())
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] and n[2] else 0.5
+        d = [0, *(min(cap, max(0.05, j - (j + 1) * y * n[j + 1] / n[j])) if n[j] else other
+                  for j, other, cap in ((1, 0.5, 0.95), (2, 1.0, 1.95), (3, 1.5, 2.95)))]
+        total, mass = Counter(), Counter()
+        for gram, c in counts.items():
+            total[gram[:-1]] += c
+            mass[gram[:-1]] += d[min(c, 3)]
+        return {g: (c - d[min(c, 3)] + mass[g[:-1]] * lower(g)) / total[g[:-1]] for g, c in counts.items()}
+
+    p1 = level({(w,): c for w, c in one.items()}, lambda g: 1 / (len(one) + 1))
+    p2 = level(two, lambda g: p1[g[1:]])
+    p3 = level(top, lambda g: p2[g[1:]])
+    return {g: (p3[g], p1[g[2:]]) for g in top}
+
+
+def test_quality_probabilities_equal_plain_kneser_ney(spark):
+    rng = random.Random(5)
+    texts = [[f"w{min(rng.randrange(40), rng.randrange(40))}" for _ in range(rng.randrange(3, 60))] for _ in range(120)]
+    column = pa.array([" ".join(t) for t in texts])
+    docs = spark.createDataFrame([(" ".join(t), 7) for t in texts], "text string, m long")
+    got = {r.gram: r for r in op6_quality.probabilities(op6_quality.count_grams(docs)).collect()}
+    text, _, _, _, _, gram, _, half, _ = op6_quality.trigrams(np.full(len(texts), 7), column)
+    assert 0 < half.sum() < len(half)
+    words = [w for t in texts for w in t]
+    before = [[None, None, *t] for t in texts]
+    grams = [(b[i], b[i + 1], b[i + 2]) for b in before for i in range(len(b) - 2)]
+    assert len(grams) == len(gram) == len(words)
+    for x in (0, 1):
+        want = _kneser_ney([t for t, h in zip(texts, half) if h == x])
+        for key, g in zip(gram.view(np.int64).tolist(), grams):
+            if g in want:
+                assert (got[key][f"p{x}"], got[key][f"o{x}"]) == pytest.approx(want[g])
+
+
 def test_quality_order_of_words_counts(spark):
     rows = [(i, _prose("a", i, i >= 200), "a") for i in range(205)]
     got = {r.doc_id: r for r in op6_quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
