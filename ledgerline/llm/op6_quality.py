@@ -41,10 +41,6 @@ from pyspark.sql import functions as F
 
 from .common import batches, drop_written, hash_spans, mix, prepare, shingles, text_buffer, token_spans, word_spans, written
 
-#: Of the folded symbol model (``kneser_ney``, ``Model``), which no longer scores texts.
-ORDER = 4
-SYMBOLS = 32
-SIZE = SYMBOLS ** ORDER
 #: Passing texts that give a language a model and a band of its own.
 LEAST_TEXTS = 30
 PASSAGE = 25
@@ -69,81 +65,6 @@ _IS_SYMBOL = np.zeros(256, bool)
 _IS_SYMBOL[[ord(c) for c in SYMBOL_MARKS]] = True
 
 
-def kneser_ney(top: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
-    """(seen grams, their log-probability, log back-off of each context) by order 1..ORDER, from 4-gram counts."""
-    counts = [None] * (ORDER + 1)
-    counts[ORDER] = top.reshape((SYMBOLS,) * ORDER).astype(float)
-    raw = counts[ORDER]
-    for k in range(ORDER - 1, 0, -1):
-        raw = raw.sum(0)
-        counts[k] = (counts[k + 1] > 0).sum(0).astype(float)
-        if k > 1:
-            counts[k][0] = raw[0]  # nothing stands before a word border: plain counts
-    lower = np.full(SYMBOLS, 1 / SYMBOLS)
-    seen, logs, backs = [], [], []
-    for k in range(1, ORDER + 1):
-        c = counts[k]
-        n1, n2, n3, n4 = (float((c == j).sum()) for j in (1, 2, 3, 4))
-        y = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
-        d = [np.clip(v, 0.05, cap) for v, cap in (
-            (1 - 2 * y * n2 / n1 if n1 else 0.5, 0.95), (2 - 3 * y * n3 / n2 if n2 else 1.0, 1.95),
-            (3 - 4 * y * n4 / n3 if n3 else 1.5, 2.95))]
-        cut = np.where(c >= 3, d[2], np.where(c == 2, d[1], np.where(c == 1, d[0], 0)))
-        total = c.sum(-1, keepdims=True)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            gamma = np.where(total > 0, cut.sum(-1, keepdims=True) / total, 1.0)
-            p = np.where(total > 0, (c - cut) / total, 0.0) + gamma * lower
-        used = np.flatnonzero(c.ravel())
-        seen.append(used)
-        logs.append(np.log(p.ravel()[used]))
-        backs.append(np.log(gamma.ravel()))
-        lower = p if k == ORDER else np.broadcast_to(p, (SYMBOLS,) * (k + 1))
-    return seen, logs, backs
-
-
-def _key(language: int, order: int, code: np.ndarray) -> np.ndarray:
-    return mix((np.uint64(language) << np.uint64(40)) + (np.uint64(order) << np.uint64(32)) + code.astype(np.uint64))
-
-
-class Model:
-    """Sorted hashes of all grams and contexts, with their values."""
-
-    def __init__(self, tables: dict[str, np.ndarray]):
-        self.languages = {lang: i for i, lang in enumerate(sorted(tables))}
-        keys, values = [], []
-        for lang, i in self.languages.items():
-            seen, logs, backs = kneser_ney(tables[lang])
-            for k in range(1, ORDER + 1):
-                keys.append(_key(i, k, seen[k - 1]))
-                values.append(logs[k - 1])
-                contexts = np.flatnonzero(backs[k - 1])  # log 1 = 0 is left out
-                keys.append(_key(i, k + 16, contexts))
-                values.append(backs[k - 1][contexts])
-        key, value = np.concatenate(keys), np.concatenate(values)
-        order = np.argsort(key, kind="stable")
-        self.key, self.value = key[order], value[order].astype(np.float32)
-
-    def _find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
-        return self.key[at] == key, self.value[at]
-
-    def log_probability(self, lang: str, code: np.ndarray) -> np.ndarray:
-        """Of each 4-gram's last symbol given the three before it."""
-        i = self.languages.get(lang, self.languages[ALL])
-        grams, back = np.unique(code, return_inverse=True)
-        out = np.zeros(len(grams))
-        todo = np.arange(len(grams))
-        for k in range(ORDER, 0, -1):
-            part = grams[todo] & (SYMBOLS ** k - 1)
-            found, value = self._find(_key(i, k, part))
-            out[todo[found]] += value[found]
-            todo, part = todo[~found], part[~found]
-            found, value = self._find(_key(i, k + 16, part >> 5))
-            out[todo] += np.where(found, value, 0.0)
-        out[todo] += np.log(1 / SYMBOLS)
-        return out[back]
-
-
 def base_counts(column: pa.Array) -> dict[str, np.ndarray]:
     """The counting rules' figures of each text."""
     data, offsets = text_buffer(column)
