@@ -257,12 +257,14 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, row: str | N
     # the texts that any comparison may need, so that the whole table is joined once; of a repeated
     # doc_id all texts come, and find their class by the fingerprint of their set
     wanted = members.select("rep").distinct()
-    held = wanted.join(classes, "rep").select("place.doc_id", "place.row")
+    held, held_path = written(wanted.join(classes, "rep").select("rep", "n_shingles", "place.doc_id", "place.row"), "op3-held")
+    held = held.where("n_shingles > 0")  # true of all; the filter is built for sides that have one
+    at = "row" if row else "doc_id"
     with _bloom(spark):
-        same = docs["doc_id"].eqNullSafe(held["doc_id"]) if row else docs["doc_id"] == held["doc_id"]
-        texts = _class_texts(docs.join(held, same & (docs["row"] == held["row"]), "left_semi"), k)
-        texts, texts_path = written(texts.join(wanted, "rep", "left_semi").groupBy("rep").agg(
+        texts = _class_texts(docs.join(held, docs[at] == held[at], "left_semi"), k)
+        texts, texts_path = written(texts.join(held, "rep", "left_semi").groupBy("rep").agg(
             F.max("text").alias("text")), "op3-texts")
+    drop_written(spark, held_path)
     hub = members.groupBy("bucket").agg(F.max_by(F.struct(
         F.col("rep").alias("a"), F.col("n").alias("na")), F.struct("degree", "rep")).alias("hub"))
     sized = 100 * F.least("n", "na") >= percent * F.greatest("n", "na")
