@@ -66,3 +66,16 @@ def test_query_matches_oracle(spark, con, name):
 def test_every_oracle_plans_in_duckdb(con):
     for name, sql in E.oracle_sql().items():
         con.execute("EXPLAIN " + sql)           # raises on any error
+
+
+def test_item_lookup_takes_the_least_key_of_the_history(spark, scratch):
+    root = scratch("items")
+    day = lambda d: dt.datetime(1997, 1, d)
+    rows = [(4, 1, None, "N"), (5, 2, day(3), "N"), (5, 2, day(9), "A"), (9, 3, day(1), "R")]
+    spark.createDataFrame(
+        [(o, 1, n, 2.0, 10.0, 0.0, s, "F", at) for o, n, at, s in rows],
+        "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    ).write.parquet(f"{root}/lineitem.parquet")
+    got = E.queries()["scd2_item_lookup"](spark, root).collect()
+    assert [(r.order_item_id, r.item_status, r.is_current) for r in got] == [(502, "Initial", False), (502, "Delivered", True)]
