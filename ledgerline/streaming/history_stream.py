@@ -32,8 +32,16 @@ writer's job commit leaves last.
    from the stored ones are written, others are left.  A late row into a key
    with any number of versions writes three rows at most.
 
+A batch that holds a large part of the log (one row to ``REBUILD`` logged before it)
+in every stored bucket touches most versions; splicing would move them several
+times.  Its commit is *whole* instead: the versions of all logged rows, by one
+shuffle on bucket and part of a bucket, in which the rebuild and the write
+both stay.  ``history/_whole`` names such commits, and readers begin at the latest.  As
+the log grows by a share each time, all rebuilds together read it a bounded
+number of times.
+
 ``history()`` resolves merge-on-read: per key and version start, the row of the
-latest commit, without tombstones.
+latest commit, without tombstones; a whole commit alone is read as it is.
 Late rows are placed by sequence because a cut version is rebuilt from the log:
 collapsed A@1, A@4, A@5 must become A[1,3) B[3,4) A[4,inf) when B@3 arrives.
 
@@ -63,6 +71,10 @@ BUCKET = "scd_bucket"
 RANGE = "scd_range"
 BATCH = "batch_id"
 DELETED = "scd_deleted"
+#: Part of a bucket: what one task rebuilds.
+PART = "scd_part"
+#: Logged rows to one new row up to which versions are built anew rather than spliced.
+REBUILD = 4
 _STOP = "_scd_stop"
 
 
@@ -121,7 +133,7 @@ class ChangeLogHistory:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _children(self, path: str, prefix: str) -> list[int]:
+    def children(self, path: str, prefix: str) -> list[int]:
         """Int values of ``prefix=`` sub-folders of ``path`` (Hadoop listing)."""
         p, fs = self._fs(path)
         if not fs.exists(p):
@@ -132,7 +144,7 @@ class ChangeLogHistory:
     def _committed(self, folder: str) -> list[int]:
         """Commit numbers of ``folder`` whose write has finished and left rows."""
         out = []
-        for n in self._children(folder, BATCH):
+        for n in self.children(folder, BATCH):
             p, fs = self._fs(f"{folder}/{BATCH}={n}")
             names = [st.getPath().getName() for st in fs.listStatus(p)]
             if "_SUCCESS" in names and any(x.startswith(f"{BUCKET}=") for x in names):
@@ -164,8 +176,8 @@ class ChangeLogHistory:
         known = self._markers()
         if owner in known:
             return known[owner]
-        taken = [*known.values(), *self._children(self.log_path, BATCH),
-                 *self._children(self.history_path, BATCH), -1]
+        taken = [*known.values(), *self.children(self.log_path, BATCH),
+                 *self.children(self.history_path, BATCH), -1]
         number = max(taken) + 1
         self._mark(number, owner)
         return number
@@ -181,21 +193,45 @@ class ChangeLogHistory:
             raise RuntimeError(f"could not record the run of {checkpoint}")
         return run
 
+    def _folded(self, folder: str) -> dict[int, int]:
+        """Compaction's number -> the last commit it stands for."""
+        p, fs = self._fs(f"{folder}/_folded")
+        if not fs.exists(p):
+            return {}
+        names = [st.getPath().getName() for st in fs.listStatus(p)]
+        return {int(n.partition("=")[0]): int(n.partition("=")[2]) for n in names}
+
+    def _live(self) -> list[int]:
+        """History commits that count: from the latest whole one on, and compactions that took it in."""
+        commits = self._committed(self.history_path)
+        whole = [n for n in self.children(f"{self.history_path}/_whole", BATCH) if n in commits]
+        if not whole:
+            return commits
+        folded = self._folded(self.history_path)
+        return [n for n in commits if n >= whole[-1] or folded.get(n, n) >= whole[-1]]
+
     def _touched_buckets(self, batch_dirs: Sequence[str]) -> list[int]:
-        return sorted({b for d in batch_dirs for b in self._children(d, BUCKET)})
+        return sorted({b for d in batch_dirs for b in self.children(d, BUCKET)})
 
-    def _write(self, df: DataFrame, folder: str) -> None:
+    def _write(self, df: DataFrame, folder: str, placed: bool = False) -> None:
         """Overwrite ``folder`` partitioned by key bucket (and sequence range, in
         the log): rows are rebalanced on these first (about one file each; AQE splits
         one holding a large share over several tasks) and sorted inside each
-        file, which keeps per-file min/max statistics tight."""
-        out, by = df.withColumn(BUCKET, self._bucket()), [BUCKET]
+        file, which keeps per-file min/max statistics tight.  ``placed`` rows bring
+        their bucket and lie by bucket and part already: no shuffle."""
+        out, by = df if placed else df.withColumn(BUCKET, self._bucket()), [BUCKET]
         if folder.startswith(f"{self.log_path}/"):
             out, by = out.withColumn(RANGE, self._range(df.schema)), [BUCKET, RANGE]
         order = [*self.keys, self.sequence_by] if RANGE in by else self.keys
-        (out.hint("rebalance", *by).sortWithinPartitions(*by, *order)
+        out = out if placed else out.hint("rebalance", *by)
+        (out.sortWithinPartitions(*by, *order)
             .write.format(self.fmt).mode("overwrite").partitionBy(*by).save(folder))
 
+    def _part(self):
+        """The part of its bucket that a key lies in; all parts together are some more than the shuffle's partitions."""
+        total = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return F.pmod(F.hash(*[F.col(k) for k in self.keys]), F.lit(max(1, -(-2 * total // self.buckets))))
+
     # -- the foreachBatch function --------------------------------------------
     def apply_batch(self, batch: DataFrame, batch_id: int, run: str | None = None) -> None:
         number = self._commit_number(run or self._run, batch_id)
@@ -209,8 +245,12 @@ class ChangeLogHistory:
         pending = [number, *lost]
         touched = self._touched_buckets([f"{self.log_path}/{BATCH}={n}" for n in pending])
         if touched:
-            rows = self._load(self.log_path, pending).drop(BATCH, BUCKET, RANGE)
-            self._write(self._changed(rows, number, touched), f"{self.history_path}/{BATCH}={number}")
+            folder = f"{self.history_path}/{BATCH}={number}"
+            if self._is_whole(number, pending, touched):
+                self._write(self._rebuilt(), folder, placed=True)
+            else:
+                rows = self._load(self.log_path, pending).drop(BATCH, BUCKET, RANGE)
+                self._write(self._changed(rows, number, touched), folder)
         for n in pending:
             self._mark(n, "done")
 
@@ -225,14 +265,37 @@ class ChangeLogHistory:
                 opts.setdefault("sample_source", source)
         return opts
 
+    def _is_whole(self, number: int, pending: Sequence[int], touched: list[int]) -> bool:
+        """Whether this commit is built from the whole log; if so, that is recorded before it is written."""
+        marker, fs = self._fs(f"{self.history_path}/_whole/{BATCH}={number}")
+        if fs.exists(marker):
+            return True  # an attempt that failed
+        stored = self._touched_buckets([f"{self.history_path}/{BATCH}={n}" for n in self._live() if n != number])
+        if not set(stored) <= set(touched):
+            return False
+        count = lambda commits: self._load(self.log_path, commits).count()  # noqa: E731  (from the files' footers)
+        logged = self._committed(self.log_path)
+        if stored and count(pending) * (REBUILD + 1) < count(logged):
+            return False
+        if not fs.mkdirs(marker):
+            raise RuntimeError(f"could not record the whole commit {number}")
+        return True
+
+    def _rebuilt(self) -> DataFrame:
+        """The versions of all logged rows, by bucket and part of a bucket."""
+        log = self._load(self.log_path, self._committed(self.log_path)).drop(BATCH, RANGE).withColumn(PART, self._part())
+        opts = self._options(log)
+        if opts.get("hot_keys") is not None:
+            opts["hot_keys"] = opts["hot_keys"].withColumn(BUCKET, self._bucket()).withColumn(PART, self._part())
+        new = apply_scd2(log.repartition(BUCKET, PART), [BUCKET, PART, *self.keys], self.sequence_by,
+                         self.track_history, **opts)
+        return new.drop(PART).withColumn(DELETED, F.lit(False))
+
     def _changed(self, rows: DataFrame, number: int, touched: list[int]) -> DataFrame:
         """The versions that ``rows`` change, and tombstones of those that are no more."""
         # a folder of this number can only be a failed attempt's
-        commits = [n for n in self._committed(self.history_path) if n != number]
-        if not commits:
-            return apply_scd2(rows, self.keys, self.sequence_by, self.track_history, **self._options(rows)) \
-                .withColumn(DELETED, F.lit(False))
-        stored = self._resolved(self._load(self.history_path, commits).where(F.col(BUCKET).isin(touched)))
+        commits = [n for n in self._live() if n != number]
+        stored = self._resolved(self._load(self.history_path, commits).where(F.col(BUCKET).isin(touched)), commits)
         region = self.region(stored, rows)
         tracked = self.track_history or [c for c in rows.columns if c not in self.keys and c != self.sequence_by]
         given = rows.columns
@@ -298,27 +361,28 @@ class ChangeLogHistory:
 
     def history(self) -> DataFrame:
         """Current content: per key and version start, the row of the latest commit."""
-        commits = self._committed(self.history_path)
+        commits = self._live()
         if not commits:
             raise ValueError(f"no batch has been applied to {self.root} yet")
-        return self._resolved(self._load(self.history_path, commits))
-
-    def _resolved(self, h: DataFrame) -> DataFrame:
-        """The versions of ``h``, each by its latest commit."""
-        by = [*self.keys, START_AT]
-        order = Window.partitionBy(*by).orderBy(F.desc(BATCH))  # a version has few rows: one shuffle, one sort
-        last = h.withColumn("_n", F.row_number().over(order)).where((F.col("_n") == 1) & ~F.col(DELETED))
+        return self._resolved(self._load(self.history_path, commits), commits)
+
+    def _resolved(self, h: DataFrame, commits: Sequence[int]) -> DataFrame:
+        """The versions of ``h``, rows of ``commits``, each by its latest commit."""
+        last = h.where(~F.col(DELETED))
+        if len(commits) > 1:  # one commit holds a version once
+            order = Window.partitionBy(*self.keys, START_AT).orderBy(F.desc(BATCH))  # a version has few rows: one shuffle, one sort
+            last = h.withColumn("_n", F.row_number().over(order)).where((F.col("_n") == 1) & ~F.col(DELETED))
         return last.select(*[c for c in h.columns if c not in (BATCH, BUCKET, RANGE, DELETED)])
 
     # -- compaction ---------------------------------------------------------
-    def _publish(self, df: DataFrame, folder: str, upto: int, retention_s: float) -> str:
+    def _publish(self, df: DataFrame, folder: str, upto: int, retention_s: float, placed: bool = False) -> str:
         """Write ``df`` as a new commit below all others, which stands for those up to ``upto``."""
-        number = min([0, *self._children(folder, BATCH)]) - 1
+        number = min([0, *self.children(folder, BATCH)]) - 1
         marker, fs = self._fs(f"{folder}/_folded/{number}={upto}")
         if not fs.mkdirs(marker):
             raise RuntimeError(f"could not record compaction {number}")
         target = f"{folder}/{BATCH}={number}"
-        self._write(df, target)
+        self._write(df, target, placed)
         self._vacuum(folder, retention_s)
         return target
 
@@ -328,19 +392,15 @@ class ChangeLogHistory:
         From the logically oldest: earlier compactions (least negative first,
         each newer one lies lower), then batches in order.
         """
-        p, fs = self._fs(f"{folder}/_folded")
-        if not fs.exists(p):
-            return
         done = set(self._committed(folder))
         ripe = []
-        for st in fs.listStatus(p):
-            number, _, upto = st.getPath().getName().partition("=")
-            if int(number) in done:
-                success, _ = self._fs(f"{folder}/{BATCH}={number}/_SUCCESS")
+        for number, upto in self._folded(folder).items():
+            if number in done:
+                success, fs = self._fs(f"{folder}/{BATCH}={number}/_SUCCESS")
                 age = time.time() - fs.getFileStatus(success).getModificationTime() / 1000
                 if age >= retention_s or retention_s <= 0:
-                    ripe.append((int(number), int(upto)))
-        gone = {n for c, upto in ripe for n in self._children(folder, BATCH) if (n <= upto if n >= 0 else n > c)}
+                    ripe.append((number, upto))
+        gone = {n for c, upto in ripe for n in self.children(folder, BATCH) if (n <= upto if n >= 0 else n > c)}
         for b in sorted(gone, key=lambda n: (n >= 0, abs(n))):
             p, fs = self._fs(f"{folder}/{BATCH}={b}")
             if not fs.delete(p, True):
@@ -359,18 +419,20 @@ class ChangeLogHistory:
         old = [b for b in old if not waiting or b < min(waiting)]  # a batch that is not applied yet stays
         if not old:
             return ""
-        log = self._load(self.log_path, old).drop(BATCH, BUCKET, RANGE)
-        return self._publish(deduplicate_changes(log, self.keys, self.sequence_by), self.log_path,
-                             max(old), retention_s)
+        log = self._load(self.log_path, old).drop(BATCH, RANGE).withColumn(PART, self._part())
+        once = deduplicate_changes(log.repartition(BUCKET, PART), [BUCKET, PART, *self.keys], self.sequence_by)
+        given = [c for c in log.columns if c != PART]
+        return self._publish(once.select(*given), self.log_path, max(old), retention_s, placed=True)
 
     def compact_history(self, upto_commit: int, retention_s: float = 0.0) -> str:
         """Fold history commits ``<= upto_commit`` into one (versions that later
         commits changed still resolve to those)."""
-        old = [b for b in self._committed(self.history_path) if b <= upto_commit]
+        old = [b for b in self._live() if b <= upto_commit]
         if not old:
             return ""
-        folded = self._resolved(self._load(self.history_path, old)).withColumn(DELETED, F.lit(False))
-        return self._publish(folded, self.history_path, max(old), retention_s)
+        folded = self._resolved(self._load(self.history_path, old), old).withColumn(DELETED, F.lit(False))
+        known = self._folded(self.history_path)
+        return self._publish(folded, self.history_path, max(known.get(b, b) for b in old), retention_s)
 
     compact = compact_log
 
@@ -393,17 +455,18 @@ def stream_history(spark: SparkSession, source_dir: str, schema, root: str,
                    keys: Sequence[str], sequence_by: str,
                    track_history: Sequence[str] | None = None,
                    files_per_batch: int = 1, buckets: int = 64,
-                   timeout_s: float | None = None, **scd_options) -> DataFrame:
+                   timeout_s: float | None = None, checkpoint: str | None = None, **scd_options) -> DataFrame:
     """Run a file-source stream of change rows to completion; return the history.
 
     The source folder is read with an explicit schema; each trigger takes
-    ``files_per_batch`` new files.
+    ``files_per_batch`` new files.  Streams of several folders into one ``root`` have a
+    ``checkpoint`` each.
     """
     target = ChangeLogHistory(spark, root, keys, sequence_by, track_history, buckets,
                               **scd_options)
     stream = (spark.readStream.schema(schema)
               .option("maxFilesPerTrigger", files_per_batch).parquet(source_dir))
-    query = target.start(stream)
+    query = target.start(stream, checkpoint)
     finished = query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination()
     if finished is False:
         query.stop()

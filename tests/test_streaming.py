@@ -291,3 +291,23 @@ def test_compaction_with_retention_keeps_files_of_open_readers(spark, scratch):
     h.vacuum()
     assert rows_of(h.history()) == want
     assert h._committed(h.history_path) == [-1, 3] and h._committed(h.log_path) == [-1, 3]
+
+
+def test_a_large_batch_is_committed_whole_and_read_without_a_shuffle(spark, scratch):
+    h = ChangeLogHistory(spark, scratch("whole"), ["k"], "s", ["t"], buckets=2)
+    rows = [(k, s, "AB"[(s // 3 + k) % 2], s) for k in [*range(20), None] for s in range(6)]
+    for n in range(3):
+        h.apply_batch(spark.createDataFrame([r for i, r in enumerate(rows) if i % 3 == n], SCHEMA), n)
+    want = rows_of(apply_scd2(spark.createDataFrame(rows, SCHEMA), ["k"], "s", ["t"]))
+    assert h._live() == [2] and rows_of(h.history()) == want
+    assert "Exchange" not in h.history()._jdf.queryExecution().executedPlan().toString()
+    h.apply_batch(spark.createDataFrame([(3, 9, "Z", 0)], SCHEMA), 3)          # a small one is spliced
+    assert h._live() == [2, 3] and _delta(spark, h, 3).count() == 2
+    want = rows_of(h.history())
+    h.compact_history(2, retention_s=3600)                                      # what came before 2 stays unread
+    assert h._live() == [-1, 2, 3] and rows_of(h.history()) == want
+    h.vacuum()
+    assert h._live() == [-1, 3] and rows_of(h.history()) == want
+    h.compact_history(3)
+    h.compact_log(3)
+    assert h._live() == [-2] and rows_of(h.history()) == want
