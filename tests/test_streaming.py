@@ -295,7 +295,7 @@ def test_compaction_with_retention_keeps_files_of_open_readers(spark, scratch):
 
 def test_a_large_batch_is_committed_whole_and_read_without_a_shuffle(spark, scratch):
     h = ChangeLogHistory(spark, scratch("whole"), ["k"], "s", ["t"], buckets=2)
-    rows = [(k, s, "AB"[(s // 3 + k) % 2], s) for k in [*range(20), None] for s in range(6)]
+    rows = [(k, s, "AB"[(s // 3 + (k or 0)) % 2], s) for k in [*range(20), None] for s in range(6)]
     for n in range(3):
         h.apply_batch(spark.createDataFrame([r for i, r in enumerate(rows) if i % 3 == n], SCHEMA), n)
     want = rows_of(apply_scd2(spark.createDataFrame(rows, SCHEMA), ["k"], "s", ["t"]))
