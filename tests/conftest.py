@@ -21,3 +21,15 @@ def spark(tmp_path_factory):
 def scratch(spark):
     from ledgerline.session import scratch_path
     return lambda name: scratch_path(spark, name)
+
+
+@pytest.fixture(scope="module", autouse=True)
+def no_views_left():
+    """Views that a module's tests registered show up in every database of the shared session: drop them."""
+    yield
+    from pyspark.sql import SparkSession
+    session = SparkSession.getActiveSession()
+    if session:
+        for table in session.catalog.listTables():
+            if table.isTemporary:
+                session.catalog.dropTempView(table.name)

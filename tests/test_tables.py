@@ -11,11 +11,14 @@ from shop import ORDERS, FrameSource
 from ledgerline.operators import history as H
 from ledgerline.operators import quality as Q
 from ledgerline.operators import reports as R
+from ledgerline.operators.scd2 import apply_scd2
 from ledgerline.operators.silver import ORDER_PARTITIONS
 from ledgerline.plans import tables as TB
 from ledgerline.plans.lakehouse import Lakehouse
 from ledgerline.session import local_path
 from ledgerline.sources import reconcile
+from ledgerline.sources.files import bucket_number
+from ledgerline.sources.model import OrderModel
 from ledgerline.streaming.quality_stream import CheckedStream
 
 AS_OF = dt.date(2026, 6, 15)
@@ -128,6 +131,80 @@ def test_point_in_time_leaves_out_what_ended_before(spark, stored, when):
     assert "end_month" in plan(got).split("PartitionFilters: [")[1].split("]")[0]
 
 
+# ------------------------------------------------------------ one shuffle for windows and buckets
+
+@pytest.fixture
+def item_changes(spark):
+    t = lambda d: dt.datetime(2026, 1, d)
+    plain = [(i, 100 + i // 3, f"s{d % 3}", t(d)) for i in range(40) for d in (1, 2, 5, 5)]
+    odd = [(90, 100, "a", t(1)), (90, 101, "a", t(2)), (90, None, "b", t(3)), (91, None, "a", t(1)), (91, None, "b", t(2)),
+           (None, 100, "a", t(1)), (None, 105, "b", t(2)), (92, 103, "a", None)]
+    return spark.createDataFrame(plain + odd, "item long, order_id long, status string, at timestamp_ntz")
+
+
+def test_a_placed_history_is_shuffled_once_and_is_the_history(spark, item_changes):
+    orders = item_changes.where("item < 90")
+    one = TB.placed_history(orders, ["order_id"], "at", ["status"], ["order_id"], 4)
+    assert plan(one).count("Exchange") == 1
+    assert rows(one) == rows(apply_scd2(orders, ["order_id"], "at", ["status"]))
+    items = TB.placed_history(orders, ["item"], "at", ["status"], ["order_id"], 4)
+    assert plan(items).count("Exchange") == 1
+    assert rows(items) == rows(apply_scd2(orders, ["item"], "at", ["status"]))
+
+
+def test_an_item_that_moves_to_another_order_keeps_its_versions(spark, item_changes):
+    want = rows(apply_scd2(item_changes, ["item"], "at", ["status"]))
+    hot = {"rows_per_chunk": 3, "sample_fraction": 1.0, "ranges": 3}
+    for options in ({}, hot):
+        got = TB.placed_history(item_changes, ["item"], "at", ["status"], ["order_id"], 4, **options)
+        assert rows(got) == want
+    db = TB.create_database(spark)
+    TB.write_history(got, f"{db}.items", ["order_id"], 4, placed=True)
+    assert rows(spark.table(f"{db}.items").drop(TB.END_MONTH)) == want
+
+
+def test_placed_rows_lie_in_their_bucket(spark, item_changes):
+    db = TB.create_database(spark)
+    TB.write_history(TB.placed_history(item_changes, ["order_id"], "at", ["status"], ["order_id"], 4), f"{db}.orders",
+                     ["order_id"], 4, placed=True)
+    lies = spark.table(f"{db}.orders").select(
+        F.regexp_extract(F.input_file_name(), "_0*([0-9]+)[.]c", 1).cast("int").alias("file"), bucket_number(4, ["order_id"]).alias("own"))
+    assert lies.where("file <> own or file is null").count() == 0 and lies.count() > 0
+
+
+def test_the_windows_shuffle_carries_each_column_once(item_changes):
+    history = apply_scd2(item_changes, ["item"], "at", ["status"], rows_per_chunk=0)
+    assert "hashpartitioning(item" in plan(history)
+    below = plan(history).split("hashpartitioning(item")[1]
+    assert "struct" not in below                             # the tie break's struct was shuffled beside its columns
+
+
+def test_change_feed_shuffles_lines_once(spark, scratch):
+    root = scratch("feed")
+    spark.sql("""SELECT 1L o_orderkey, 1L o_custkey, 'F' o_orderstatus, 2.0 o_totalprice, timestamp_ntz'1997-01-01' o_orderdate,
+                 '5-LOW' o_orderpriority""").write.parquet(f"{root}/orders.parquet")
+    spark.sql("""SELECT k l_orderkey, timestamp_ntz'1997-01-02' l_shipdate, s l_linestatus
+                 FROM VALUES (1L, 'F'), (1L, 'O'), (2L, 'F'), (NULL, 'F') AS v(k, s)""").write.parquet(f"{root}/lineitem.parquet")
+    feed = OrderModel(spark, root).order_change_feed()
+    assert [(r.order_id, r.order_status) for r in feed.orderBy("updated_at").collect()] == [(1, "Initial"), (1, "In-Progress")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert plan(OrderModel(spark, root).order_change_feed()).count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_tables_are_packed_and_bronze_lies_in_order(spark):
+    layers = TB.Layers.build(FrameSource(spark), buckets=2, histories=False)
+    assert spark.conf.get(TB.SPLIT) != TB.SORTED_SPLIT
+    for name in ("bronze_order_items", "fact_order_items"):
+        for path in layers.table(name).inputFiles():
+            assert ".zstd." in path
+    for path in layers.table("bronze_order_items").inputFiles():
+        keys = [tuple(r) for r in spark.read.parquet(path).select(*TB.BRONZE_ORDER["order_items"]).collect()]
+        assert keys == sorted(keys)
+
+
 # ------------------------------------------------------------ refresh
 
 def files_of(root):
