@@ -55,6 +55,8 @@ WINDOW = 4
 LINE_START = 128
 #: Bytes of a stretch's hash that are compared within a pair.
 VALUE_BYTES = 6
+#: Low bits of a hash by which those of two batches are told apart before they are searched.
+MARK_BITS = 20
 
 
 def unique_common(a: list, b: list, a0: int, a1: int, b0: int, b1: int) -> list[tuple[int, int]]:
@@ -155,7 +157,10 @@ def anchor_spans(value: np.ndarray, size: np.ndarray, line: np.ndarray, per: np.
     n = len(value)
     text_end = np.repeat(np.cumsum(per), per)
     words = np.concatenate([[0], np.cumsum(size)])
-    run_end = np.searchsorted(words, words[:-1] + RUN_WORDS)  # one past the last stretch
+    of_word = np.repeat(np.arange(n), size)  # stretch of each word
+    run_end = np.full(n, n + 1)  # one past the last stretch
+    enough = words[:-1] + RUN_WORDS <= words[-1]
+    run_end[enough] = of_word[words[:-1][enough] + (RUN_WORDS - 1)] + 1
     run = np.flatnonzero(run_end <= text_end)
     edge = np.flatnonzero(np.diff(line, prepend=-1))
     line_end = np.append(edge[1:], n)[:len(edge)]
@@ -265,21 +270,22 @@ def stretch_table(docs: DataFrame) -> DataFrame:
         run, "doc_id long, print long, value binary, shape binary, anchors array<long>")
 
 
-def without(data: bytes, spans: list[tuple[int, int]], removed: set[int]) -> str:
-    """The text without those stretches (of all its ``spans``); a line that loses all goes, as do empty lines between such."""
+def without(data: bytes, starts: list[int], ends: list[int], removed: list[int]) -> str:
+    """The text without the stretches ``removed`` (rising) of all its stretches; a line that loses all goes, as do empty lines between such."""
     out: list[tuple[str, bytes]] = []
-    k = at = 0
+    k = r = at = 0
     for line in data.split(b"\n"):
-        end, kept, lost, place = at + len(line), b"", False, at
-        had = False
-        while k < len(spans) and spans[k][0] < end:
-            had = True
-            if k in removed:
-                kept, place, lost = kept + data[place:spans[k][0]], spans[k][1], True
-            k += 1
-        kept += data[place:end]
-        state = "empty" if not had else "gone" if lost and not kept.strip() else "kept"
-        out.append((state, kept.rstrip() if lost else line))
+        end, first = at + len(line), k
+        k = bisect_left(starts, end, k)
+        if r < len(removed) and removed[r] < k:
+            kept, place = b"", at
+            while r < len(removed) and removed[r] < k:
+                kept, place = kept + data[place:starts[removed[r]]], ends[removed[r]]
+                r += 1
+            kept += data[place:end]
+            out.append(("kept" if kept.strip() else "gone", kept.rstrip()))
+        else:
+            out.append(("empty" if k == first else "kept", line))
         at = end + 1
     after, states = "kept", []
     for state, _ in reversed(out):
@@ -301,17 +307,23 @@ def trimmed_texts(column: pa.Array, removed: list[list[int]]) -> list[str]:
     out = []
     for i, (text, gone) in enumerate(zip(column.to_pylist(), removed)):
         here = slice(edge[i], edge[i + 1])
-        spans = list(zip((starts[here] - offsets[i]).tolist(), (ends[here] - offsets[i]).tolist()))
-        out.append(without(text.encode(), spans, set(gone)))
+        out.append(without(text.encode(), (starts[here] - offsets[i]).tolist(), (ends[here] - offsets[i]).tolist(), gone))
     return out
 
 
 def among(x: np.ndarray, of: np.ndarray) -> np.ndarray:
-    """Which of ``x`` are in ``of``."""
+    """Which of the hashes ``x`` are in ``of``."""
+    out = np.zeros(len(x), bool)
     if not len(of):
-        return np.zeros(len(x), bool)
+        return out
+    # hashes: their low bits rule out most of those that are not, the others are looked up
+    held = np.zeros(1 << MARK_BITS, bool)
+    low = np.uint64((1 << MARK_BITS) - 1)
+    held[of & low] = True
+    maybe = np.flatnonzero(held[x & low])
     of = np.sort(of)
-    return of[np.searchsorted(of, x).clip(max=len(of) - 1)] == x
+    out[maybe] = of[np.searchsorted(of, x[maybe]).clip(max=len(of) - 1)] == x[maybe]
+    return out
 
 
 def doomed(values: tuple[pa.Array, pa.Array], shapes: tuple[pa.Array, pa.Array]) -> list[list[int]]:

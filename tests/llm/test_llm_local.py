@@ -3,6 +3,7 @@
 import base64
 import itertools
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ from ledgerline.llm import op7_bpe as B
 from ledgerline.llm import op8_toxicity as X
 from ledgerline.llm import op10_sharding as S
 from ledgerline.llm import simple8b
-from ledgerline.llm.common import hash_spans, lower_ascii, shingles, text_buffer, word_spans
+from ledgerline.llm.common import hash_spans, lower_ascii, shingles, text_buffer, token_spans, word_spans
 from ledgerline.llm.tokens import WordCacheEncoder
 
 TEXTS = ["", " ", "a  b", "it's I'll 'r e\n'll x", "héllo\nworld's 12 3!!  ", "x\x85y z", "  x  y",
@@ -26,6 +27,47 @@ TEXTS = ["", " ", "a  b", "it's I'll 'r e\n'll x", "héllo\nworld's 12 3!!  ", "
 pieces = st.lists(st.sampled_from([" ", "\n", "  ", "\t", "a", "Be", "'s", "12", "!", "é", "_", "\r", "ß.", "日"]), max_size=60)
 
 
+def _peak(function, *args):
+    """(result, most bytes allocated at once meanwhile)."""
+    tracemalloc.start()
+    try:
+        return function(*args), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_tokens_of_spaced_scripts_take_no_work_per_byte():
+    """A text without characters of unspaced scripts makes no array of numbers as long as its bytes."""
+    words = ["some\xe9", "words", "\u20ac", "\u0e01x", "more"]
+    for picked, whole in (([0, 1, 2, 4], False), ([0, 1, 2, 3, 4], True)):
+        column = pa.array([" ".join(words[i] for i in picked) + " "] + ["long" * 8 + " "] * 20000)
+        data, offsets = text_buffer(column)
+        (starts, ends, counts), bytes_held = _peak(token_spans, data, offsets)
+        assert counts[0] == (6 if whole else 4) and (counts[1:] == 1).all()
+        assert (bytes_held > 8 * len(data)) == whole
+        _, bytes_held = _peak(hash_spans, data, starts, ends)
+        assert bytes_held < 4 * len(data)
+
+
+def test_hashes_of_words_do_not_depend_on_their_place():
+    words = ["a", "bc" * 9000, "d" * 40000, "e", "f" * 32768, "g" * 32767]
+    once = []
+    for w in words:
+        data, _ = text_buffer(pa.array([w]))
+        once += hash_spans(data, np.array([0]), np.array([len(data)])).tolist()
+    data, offsets = text_buffer(pa.array([" ".join(words * 5)]))
+    starts, ends, _ = token_spans(data, offsets)
+    assert hash_spans(data, starts, ends).tolist() == once * 5 and len(set(once)) == len(words)
+
+
+@given(st.lists(st.integers(0, 30) | st.integers(0, 2**64 - 1), max_size=40),
+       st.lists(st.integers(0, 30) | st.integers(0, 2**64 - 1), max_size=40))
+@settings(max_examples=60, deadline=None)
+def test_hashes_among_others(x, of):
+    of += [v ^ (1 << 40) for v in x[::2]]  # equal low bits
+    assert L.among(np.array(x, np.uint64), np.array(of, np.uint64)).tolist() == [v in of for v in x]
+
+
 @given(st.lists(st.integers(0, 2**64 - 1) | st.integers(0, 60000) | st.just(0), max_size=900))
 @settings(max_examples=60, deadline=None)
 def test_simple8b_round_trip(values):
