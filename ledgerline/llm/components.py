@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import drop_written, written
@@ -11,33 +12,37 @@ from .common import drop_written, written
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour v of u is linked to the least of u and its neighbours."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = both.withColumn("m", F.least("u", F.min("v").over(W.partitionBy("u"))))
+    return least.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """u and its smaller neighbours are linked to the least of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    links = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return links.union(least.select("u", F.col("m").alias("v")))
+    least = down.withColumn("m", F.min("v").over(W.partitionBy("u")))
+    return least.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, component) of every node of ``edges`` (u, v) that is not the least of its component.
+    """(node, component) of every node of ``edges`` (u, v) that is not the least of its component."""
+    return _contracted(*written(edges.where("u != v").select("u", "v").distinct(), "stars"))
+
+
+def _contracted(now: DataFrame, path: str) -> DataFrame:
+    """The same of written edges, which are distinct and join different nodes; their folder is dropped.
 
     Each step is written to the checkpoint folder; the loop ends when a double
     step leaves the edge set as it was, which then consists of stars.
     """
-    spark = edges.sparkSession
+    spark = now.sparkSession
 
     def mark(df):
         return tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
 
-    now, path = written(edges.where("u != v").select("u", "v").distinct(), "stars")
     before = mark(now)
     while before[0]:
-        step = _small_star(_large_star(now).where("u != v").distinct()).where("u != v").distinct()
+        # an edge found twice by the first star changes no minimum of the second
+        step = _small_star(_large_star(now).where("u != v")).where("u != v").distinct()
         new, new_path = written(step, "stars")
         drop_written(spark, path)
         now, path = new, new_path
@@ -53,17 +58,13 @@ def joined_components(known: DataFrame, links: DataFrame) -> DataFrame:
 
     Only components that a link touches are contracted; a node of another keeps its own.
     """
-    spark = links.sparkSession
-
     def of(edges, c):
         named = known.select(F.col("node").alias(c), F.col("component").alias("at"))
         return edges.join(named, c, "left").withColumn(c, F.coalesce("at", c)).drop("at")
 
-    between, path = written(of(of(links, "u"), "v").where("u != v").distinct(), "component-links")
-    new = connected_components(between)
+    new = _contracted(*written(of(of(links, "u"), "v").where("u != v").select("u", "v").distinct(), "component-links"))
     moved = new.select(F.col("node").alias("component"), F.col("component").alias("to"))
     # a component that moves was the least of its nodes, and becomes a node itself
     stars = known.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
     out, _ = written(stars.union(new), "components")
-    drop_written(spark, path)
     return out

@@ -40,7 +40,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -58,7 +58,9 @@ SMALL = 24
 #: A shingle of so many members of large open buckets at most is rare.
 RARE = 8
 
-SIGNATURES = "doc_id long, row long, n_shingles long, rep long, sig binary, bands array<long>"
+SIGNATURES = "doc_id long, row long, n_shingles long, rep long, sig array<long>, bands array<long>"
+#: The lowest bit of each byte.
+_LOWEST = 0x0101010101010101
 
 
 def band_count(threshold: float, rows: int = ROWS, miss: float = MISS) -> int:
@@ -107,13 +109,15 @@ def signatures(docs: DataFrame, k: int, threshold: float) -> DataFrame:
             for r in range(ROWS):
                 keys = mix(keys + minima[:, r::ROWS])
             keys = (keys + np.arange(bands, dtype=np.uint64)).view(np.int64)
-            low = (mix(minima) & np.uint64(255)).astype(np.uint8)
+            low = np.zeros((len(has), -(-n // 8) * 8), np.uint8)
+            low[:, :n] = (mix(minima) & np.uint64(255)).astype(np.uint8)
+            low = low.view(np.int64)
             sig, band = [None] * len(counts), [None] * len(counts)
             for row, i in enumerate(has.tolist()):
-                sig[i], band[i] = low[row].tobytes(), keys[row]
+                sig[i], band[i] = low[row], keys[row]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0).cast(pa.int64()), "row": batch.column(1), "n_shingles": pa.array(distinct),
-                "rep": pa.array(rep), "sig": pa.array(sig, pa.binary()), "bands": pa.array(band, pa.list_(pa.int64()))})
+                "rep": pa.array(rep), "sig": pa.array(sig, pa.list_(pa.int64())), "bands": pa.array(band, pa.list_(pa.int64()))})
 
     return need(docs, "doc_id", "row", "text").mapInArrow(run, SIGNATURES)
 
@@ -129,19 +133,22 @@ def _class_texts(texts: DataFrame, k: int) -> DataFrame:
     return need(texts, "text").mapInArrow(run, "rep long, text string")
 
 
-def _agreeing(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
-    """Pairs (a, b) whose signatures agree in at least ``least`` places."""
-    sig = classes.select("rep", "sig")
-    both = pairs.join(sig.withColumnsRenamed({"rep": "a", "sig": "sig_a"}), "a").join(
-        sig.withColumnsRenamed({"rep": "b", "sig": "sig_b"}), "b").select("a", "b", "sig_a", "sig_b")
+def differing(a: str, b: str) -> Column:
+    """In how many bytes two arrays of longs differ."""
+    def folded(x: Column) -> Column:
+        for bits in (4, 2, 1):
+            x = x.bitwiseOR(F.shiftrightunsigned(x, bits))
+        return F.bit_count(x.bitwiseAND(F.lit(_LOWEST)))
 
-    def run(source):
-        for batch in batches(source):
-            x, y = (np.stack([np.frombuffer(v, np.uint8) for v in batch.column(i).to_pylist()]) for i in (2, 3))
-            keep = pa.array((x == y).sum(1) >= least)
-            yield batch.select(["a", "b"]).filter(keep)
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x.bitwiseXOR(y)), F.lit(0), lambda n, x: n + folded(x))
 
-    return both.mapInArrow(run, "a long, b long")
+
+def _agreeing(pairs: DataFrame, classes: DataFrame, most: int) -> DataFrame:
+    """Pairs (a, b) whose signatures differ in at most ``most`` places."""
+    sig = classes.select("rep", "sig")
+    both = pairs.join(sig.withColumnsRenamed({"rep": "a", "sig": "sig_a"}), "a").join(
+        sig.withColumnsRenamed({"rep": "b", "sig": "sig_b"}), "b")
+    return both.where(differing("sig_a", "sig_b") <= most).select("a", "b")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -281,9 +288,8 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, row: str | N
         """Verify distinct pairs, and join the components that new links touch."""
         nonlocal component
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
-        close, close_path = written(_agreeing(pairs, classes, least), "op3-pairs")
-        found, path = written(_confirmed(close, texts, k, percent), "op3-links")
-        paths.extend([close_path, path])
+        found, path = written(_confirmed(_agreeing(pairs, classes, n - least), texts, k, percent), "op3-links")
+        paths.append(path)
         component = joined_components(component, found.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
     def opened(rows: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerline.llm import (
+    components,
     op1_topk,
     op2_linededup,
     op3_minhash,
@@ -290,6 +291,32 @@ def test_near_duplicates_of_a_crowd(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in rows} == root
 
 
+def test_star_steps_shuffle_once_each(spark):
+    """One exchange a star, and the components of a hub, a chain and random edges."""
+    rng = random.Random(2)
+    edges = [(5, i) for i in range(6, 60)] + [(i, i + 1) for i in range(100, 120)]
+    edges += [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(60)]
+    df = spark.createDataFrame(edges, "u long, v long")
+    step = components._small_star(components._large_star(df))
+    assert step._jdf.queryExecution().sparkPlan().toString().count("Window [") == 2
+    assert step._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    least = {x: x for e in edges for x in e}
+    for _ in least:
+        for u, v in edges:
+            least[u] = least[v] = min(least[u], least[v])
+    got = {r.node: r.component for r in components.connected_components(df).collect()}
+    assert got == {x: y for x, y in least.items() if x != y}
+
+
+def test_signatures_are_compared_without_python(spark):
+    rng = np.random.default_rng(4)
+    a = rng.integers(0, 256, (40, 120), dtype=np.uint8)
+    b = np.where(rng.random((40, 120)) < rng.random((40, 1)), a, rng.integers(0, 256, (40, 120), dtype=np.uint8))
+    rows = [(x.tolist(), y.tolist()) for x, y in zip(a.view(np.int64), b.view(np.int64))]
+    df = spark.createDataFrame(rows, "x array<long>, y array<long>").select(op3_minhash.differing("x", "y").alias("n"))
+    assert [r.n for r in df.collect()] == (a != b).sum(1).tolist()
+
+
 def test_packing(docs, none):
     pieces = op4_packing.pack(docs, JSON).collect()
     sequences = {}
