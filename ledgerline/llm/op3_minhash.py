@@ -252,15 +252,10 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, row: str | N
         F.first("bands").alias("bands"))
     classes, _ = written(classes, "op3-classes")
 
-    rows = classes.select("rep", F.explode("bands").alias("bucket"))
-    sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    members, members_path = written(rows.join(sizes, "bucket"), "op3-buckets")
+    rows = classes.select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
+    rows = rows.withColumn("size", F.count("*").over(W.partitionBy("bucket"))).where("size > 1")
     # the centre of a group meets more of it, in more buckets, than the group's other members do
-    degree = members.groupBy("rep").agg(F.sum("size").alias("degree"))
-    members = members.join(degree, "rep").join(classes.select("rep", F.col("n_shingles").alias("n")), "rep")
-    members, ranked_path = written(members, "op3-ranked")
-    drop_written(spark, members_path)
-    members_path = ranked_path
+    members, members_path = written(rows.withColumn("degree", F.sum("size").over(W.partitionBy("rep"))), "op3-members")
     # the texts that any comparison may need, so that the whole table is joined once; of a repeated
     # doc_id all texts come, and find their class by the fingerprint of their set
     wanted = members.select("rep").distinct()
@@ -296,6 +291,7 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, row: str | N
         """The rows of buckets that touch several components, with the bucket's largest as ``main``."""
         here = rows.join(component, rows["rep"] == component["node"], "left").select(
             *rows.columns, F.coalesce("component", "rep").alias("component"))
+        here = here.repartition("bucket")  # the counts and the join need no other shuffle
         per = here.groupBy("bucket", "component").agg(F.count("*").alias("many"))
         main = per.groupBy("bucket").agg(
             F.count("*").alias("parts"), F.max_by("component", F.struct("many", "component")).alias("main"))
@@ -328,8 +324,8 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85, row: str | N
         "bucket", "rep", "degree", "n", (F.col("n") - F.coalesce("rare", F.lit(0))).alias("room"))
     core = core.where(100 * F.col("room") >= percent * F.col("n"))
     # a pair meets in the least of the buckets it shares; a member has one bucket a band at most
-    own = core.groupBy("rep").agg(F.collect_set("bucket").alias("own"))
-    core, core_path = written(core.join(own, "rep"), "op3-core")
+    own = F.collect_set("bucket").over(W.partitionBy("rep"))
+    core, core_path = written(core.withColumn("own", own), "op3-core")
     paths.append(core_path)
     shared = F.least("room", "room_a")
     possible = (100 * shared >= percent * (F.col("n") + F.col("na") - shared)) & (
