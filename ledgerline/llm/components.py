@@ -23,33 +23,31 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return least.select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, component) of every node of ``edges`` (u, v) that is not the least of its component."""
-    return _contracted(*written(edges.where("u != v").select("u", "v").distinct(), "stars"))
+def _distinct(edges: DataFrame) -> DataFrame:
+    """Each edge between different nodes once, from the larger one to the smaller."""
+    return edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
-def _contracted(now: DataFrame, path: str) -> DataFrame:
-    """The same of written edges, which are distinct and join different nodes; their folder is dropped.
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether no node has two smaller neighbours, or a smaller and a larger one."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1").isEmpty()
 
-    Each step is written to the checkpoint folder; the loop ends when a double
-    step leaves the edge set as it was, which then consists of stars.
-    """
-    spark = now.sparkSession
 
-    def mark(df):
-        return tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+def connected_components(edges: DataFrame) -> DataFrame:
+    """(node, component) of every node of ``edges`` (u, v) that is not the least of its component.
 
-    before = mark(now)
-    while before[0]:
+    Each step is written to the checkpoint folder; the loop ends when the edges
+    are stars, whose centres are then the least of their components.
+    """
+    spark = edges.sparkSession
+    now, path = written(_distinct(edges), "stars")
+    while not _are_stars(now):
         # an edge found twice by the first star changes no minimum of the second
-        step = _small_star(_large_star(now).where("u != v")).where("u != v").distinct()
-        new, new_path = written(step, "stars")
+        new, new_path = written(_distinct(_small_star(_large_star(now).where("u != v"))), "stars")
         drop_written(spark, path)
         now, path = new, new_path
-        after = mark(now)
-        if after == before:
-            break
-        before = after
     return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
@@ -62,7 +60,7 @@ def joined_components(known: DataFrame, links: DataFrame) -> DataFrame:
         named = known.select(F.col("node").alias(c), F.col("component").alias("at"))
         return edges.join(named, c, "left").withColumn(c, F.coalesce("at", c)).drop("at")
 
-    new = _contracted(*written(of(of(links, "u"), "v").where("u != v").select("u", "v").distinct(), "component-links"))
+    new = connected_components(of(of(links, "u"), "v"))
     moved = new.select(F.col("node").alias("component"), F.col("component").alias("to"))
     # a component that moves was the least of its nodes, and becomes a node itself
     stars = known.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))

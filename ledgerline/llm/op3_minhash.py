@@ -197,10 +197,8 @@ def _occurrences(texts: DataFrame, k: int) -> DataFrame:
 
 def _rare_shingles(texts: DataFrame, k: int) -> DataFrame:
     """rep and shingle, of shingles that at most ``RARE`` of the texts have."""
-    found, path = written(_occurrences(texts, k), "op3-shingles")
-    few = found.groupBy("shingle").agg(F.count("*").alias("texts")).where(F.col("texts") <= RARE)
-    rare, _ = written(found.join(few, "shingle").select("rep", "shingle", "texts"), "op3-rare")
-    drop_written(texts.sparkSession, path)
+    found = _occurrences(texts, k).withColumn("texts", F.count("*").over(W.partitionBy("shingle")))
+    rare, _ = written(found.where(F.col("texts") <= RARE), "op3-rare")
     return rare
 
 

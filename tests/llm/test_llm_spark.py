@@ -308,6 +308,12 @@ def test_star_steps_shuffle_once_each(spark):
     assert got == {x: y for x, y in least.items() if x != y}
 
 
+def test_stars_need_no_step(spark, monkeypatch):
+    monkeypatch.setattr(components, "_large_star", None)
+    df = spark.createDataFrame([(9, 1), (1, 8), (9, 1), (7, 2), (3, 3)], "u long, v long")
+    assert sorted(map(tuple, components.connected_components(df).collect())) == [(7, 2), (8, 1), (9, 1)]
+
+
 def test_signatures_are_compared_without_python(spark):
     rng = np.random.default_rng(4)
     a = rng.integers(0, 256, (40, 120), dtype=np.uint8)
