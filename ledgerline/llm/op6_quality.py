@@ -1,17 +1,16 @@
 """Quality rules: counting rules, and word-trigram perplexity under a modified Kneser-Ney model per language.
 
 1. Tokens are words between white space (lower case, marks kept), and single
-   characters of scripts written without spaces.  Spark counts the trigrams of
-   the whole corpus by language, with map-side sums; nothing is capped, so the
-   tables grow with the corpus and stay in Spark from counting to scoring.
+   characters of scripts written without spaces.  The trigrams of the whole corpus
+   count by language; nothing is capped, so what is counted grows with the corpus.
 2. Texts are dealt to two halves by their least shingle hash (copies and most
    near copies to the same one), and each half is scored by the counts of the
    other: a text never predicts itself.
 3. Per language: modified Kneser-Ney with three discounts per order, and
    continuation counts below the top order, interpolated down to the uniform
-   distribution over the words and one unknown word.  The result is a written
-   table of log-probabilities by 64-bit trigram hash, which the texts' trigrams
-   meet in a shuffled join.
+   distribution over the words and one unknown word.  ``kneser_ney`` counts and
+   scores in packed blocks and rounds, within little disk; ``count_grams`` and
+   ``probabilities`` are the plain form of the same model, by which tests hold it.
 4. A text's passages of ``PASSAGE`` words get two figures: the log-perplexity per
    word under the model, and the same by word frequencies alone.  Tokens without
    a letter or digit are context only.  The text is rejected if ``SHARE`` of its
@@ -35,11 +34,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, drop_written, hash_spans, mix, prepare, shingles, text_buffer, token_spans, word_spans, written
+from .common import batches, drop_written, hash_spans, mix, prepare, shingles, text_buffer, word_spans, written
+from .kneser_ney import BORDER, score, text_tokens
 
 #: Passing texts that give a language a model and a band of its own.
 LEAST_TEXTS = 30
@@ -53,8 +52,6 @@ LEAST_DEVIATION = 0.02
 ALL = ""
 #: The model of all languages; the others are named by the hash of their language.
 MIXED = 0
-#: Stands before the first word of a text.
-BORDER = np.uint64(0x5DEECE66D)
 
 #: Fixed by the contract: marks counted as symbols, and the limits of the counting rules.
 SYMBOL_MARKS = "#*$%&|<>"
@@ -72,13 +69,14 @@ def base_counts(column: pa.Array) -> dict[str, np.ndarray]:
     n = len(words)
 
     def per_text(mask):
-        sums = np.concatenate([[0], np.cumsum(mask)])
+        sums = np.zeros(len(mask) + 1, np.int32)
+        np.cumsum(mask, out=sums[1:])
         return sums[offsets[1:]] - sums[offsets[:-1]]
 
     inside = np.zeros(len(data) + 1, np.int8)
     inside[starts] += 1
     inside[ends] -= 1
-    in_word = np.cumsum(inside[:-1]) > 0
+    in_word = np.cumsum(inside[:-1], dtype=np.int8) > 0
     if len(starts):
         # adjacent words of neighbouring texts touch: a start on an end cancels, so mark starts again
         in_word[starts] = True
@@ -92,8 +90,7 @@ def base_counts(column: pa.Array) -> dict[str, np.ndarray]:
         keep = np.repeat(words >= 3, np.where(words >= 3, per, (words > 0).astype(np.int64)))
         window = window[keep]
         doc = np.repeat(np.arange(n), per).astype(np.uint64)
-        _, back, times = np.unique(mix(window + doc * np.uint64(0x9E3779B97F4A7C15)), return_inverse=True, return_counts=True)
-        twice = at[times[back] > 1]
+        twice = at[_repeated(mix(window + doc * np.uint64(0x9E3779B97F4A7C15)))]
         cover = np.zeros(len(starts) + 3, np.int64)
         np.add.at(cover, twice, 1)
         np.add.at(cover, twice + 3, -1)
@@ -107,6 +104,16 @@ def base_counts(column: pa.Array) -> dict[str, np.ndarray]:
             "n_dup_lines": duplicates, "n_repeat_words": repeats}
 
 
+def _repeated(hashes: np.ndarray) -> np.ndarray:
+    """Places of the hashes that occur more than once."""
+    ordered = np.sort(hashes)
+    more = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    low = np.zeros(1 << 16, bool)
+    low[more & np.uint64(0xFFFF)] = True
+    maybe = np.flatnonzero(low[hashes & np.uint64(0xFFFF)])
+    return maybe[np.isin(hashes[maybe], more)]
+
+
 FIGURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
@@ -125,24 +132,14 @@ def measure(docs: DataFrame) -> DataFrame:
 
 def trigrams(m: np.ndarray, column: pa.Array):
     """Of all tokens end to end: text, place, hashes u, v, w and gram, whether it is scored; of texts: half and tokens."""
-    data, offsets = text_buffer(pc.utf8_lower(column))
-    starts, ends, counts = token_spans(data, offsets)
-    w = hash_spans(data, starts, ends)
+    w, scored, counts, half = text_tokens(column)
     text = np.repeat(np.arange(len(counts)), counts)
     place = np.arange(len(w)) - np.repeat(np.cumsum(counts) - counts, counts)
     v, u = np.full(len(w), BORDER), np.full(len(w), BORDER)
     v[1:] = np.where(place[1:] >= 1, w[:-1], BORDER)
     u[2:] = np.where(place[2:] >= 2, w[:-2], BORDER)
     gram = mix(mix(mix(u + m.astype(np.uint64)[text]) + v) + w)
-    letter = ((data >= 97) & (data <= 122)) | ((data >= 48) & (data <= 57)) | (data >= 0x80)
-    sums = np.concatenate([[0], np.cumsum(letter)])
-    half = np.zeros(len(counts), np.int64)
-    window, per = shingles(w, counts, 5)
-    held = np.flatnonzero(per)
-    if len(held):
-        least = np.minimum.reduceat(window, (np.cumsum(per) - per)[held])
-        half[held] = mix(least).astype(np.int64) & 1
-    return text, place, u, v, w, gram, sums[ends] > sums[starts], half, counts
+    return text, place, u, v, w, gram, scored, half, counts
 
 
 def count_grams(docs: DataFrame) -> DataFrame:
@@ -221,38 +218,6 @@ def probabilities(grams: DataFrame) -> DataFrame:
                     *[interpolated(x, F.col(f"l{x}")).alias(f"p{x}") for x in "01"])
 
 
-def score(docs: DataFrame) -> DataFrame:
-    """key, m, hard and easy of texts (key, m, text) under model m of the other half."""
-    grams, counted = written(count_grams(docs), "op6-grams")
-    model, _ = written(probabilities(grams).select(
-        "gram", *[F.log(f"{c}{x}").cast("float").alias(f"{c}{x}") for c in "po" for x in "01"]), "op6-model")
-    drop_written(docs.sparkSession, counted)
-
-    def run(source):
-        for batch in batches(source):
-            m = batch.column(1).to_numpy()
-            text, place, _, _, _, gram, scored, half, counts = trigrams(m, batch.column(2))
-            if not scored.any():
-                continue
-            passage = np.minimum(place // PASSAGE, np.maximum(counts // PASSAGE, 1)[text] - 1)
-            keys = batch.column(0).to_numpy()
-            text, passage, gram = text[scored], passage[scored], gram[scored]
-            yield pa.RecordBatch.from_pydict({
-                "key": pa.array(keys[text]), "m": pa.array(m[text]), "passage": pa.array(passage.astype(np.int32)),
-                "half": pa.array(half[text] == 1), "gram": pa.array(gram.view(np.int64))})
-
-    asked = docs.select("key", "m", "text").mapInArrow(run, "key long, m long, passage int, half boolean, gram long")
-
-    def mean(c):
-        return -F.avg(F.when(F.col("half"), F.col(f"{c}0")).otherwise(F.col(f"{c}1")))
-
-    passages = asked.join(model, "gram").groupBy("key", "m", "passage").agg(mean("p").alias("x"), mean("o").alias("y"))
-    last = F.count("*") - 1
-    return passages.groupBy("key", "m").agg(
-        F.array_sort(F.collect_list("x"))[F.floor(last * (1 - SHARE)).cast("int")].alias("hard"),
-        F.array_sort(F.collect_list("y"))[F.ceil(last * SHARE).cast("int")].alias("easy"))
-
-
 def bands(rows: DataFrame, band: float) -> DataFrame:
     """m, low and high: the ends of each model's band over its rows' ``hard`` and ``easy``."""
     def median(of):
@@ -284,7 +249,9 @@ def scores(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = docs.select("key", "m", "text").join(own, "m", "left_semi")
     if not measured.join(own, "m", "left_anti").isEmpty():
         texts = texts.unionByName(docs.select("key", F.lit(MIXED).alias("m"), "text"))
-    scored, _ = written(score(texts), "op6-scored")
+    found, read = score(texts, PASSAGE, SHARE)
+    scored, _ = written(found.groupBy("key", "m").agg(F.max("hard").alias("hard"), F.max("easy").alias("easy")), "op6-scored")
+    drop_written(docs.sparkSession, *read)
     owned = own.withColumn("own", F.lit(True))
     rows = measured.join(owned, "m", "left").withColumn(
         "m", F.when(F.col("own"), F.col("m")).otherwise(F.lit(MIXED))).drop("own").join(scored, ["key", "m"], "left")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from ledgerline.llm import (
     components,
+    kneser_ney,
     op1_topk,
     op2_linededup,
     op3_minhash,
@@ -411,6 +412,59 @@ def test_quality_probabilities_equal_plain_kneser_ney(spark):
                 assert (got[key][f"p{x}"], got[key][f"o{x}"]) == pytest.approx(want[g])
 
 
+def test_quality_scores_of_dealt_words_equal_the_whole_model(spark):
+    """Several rounds, buckets smaller than the texts of one middle word, and a book without most words change no figure."""
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice([f"w{min(rng.randrange(50), rng.randrange(50))}", f"r{rng.randrange(900)}", "##"])
+                      for _ in range(rng.randrange(0, 120))) for _ in range(150)]
+    rows = [(i, 7 + i % 2, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows + rows[:3], "key long, m long, text string")
+    want = {}
+    for r in op6_quality.probabilities(op6_quality.count_grams(docs)).collect():
+        want[r.gram] = r
+    scores = {}
+    for key, m, t in rows:
+        text, place, _, _, _, gram, scored, half, counts = op6_quality.trigrams(np.full(1, m), pa.array([t]))
+        sums = {}
+        for g, k, yes in zip(gram.view(np.int64).tolist(), place.tolist(), scored.tolist()):
+            if yes:
+                x = 0 if half[0] else 1
+                sums.setdefault(min(k // 25, max(int(counts[0]) // 25, 1) - 1), []).append(
+                    [np.log(want[g][f"{c}{x}"]) for c in "po"])
+        if sums:
+            hard, easy = (sorted(-np.mean([v[c] for v in p]) for p in sums.values()) for c in (0, 1))
+            scores[key, m] = (hard[int((len(hard) - 1) * 0.5)], easy[-int(-(len(easy) - 1) * 0.5 // 1)])
+    for sizes in ({}, {"chunk": 700, "bucket": 300, "least": 400}):
+        found, folders = kneser_ney.score(docs, 25, 0.5, **sizes)
+        got = {(r.key, r.m): (r.hard, r.easy) for r in found.collect()}
+        assert got.keys() == scores.keys() and len(folders) == 2
+        for at, pair in scores.items():
+            assert got[at] == pytest.approx(pair, rel=1e-5)
+
+
+def test_quality_hands_on_no_row_per_trigram(spark, monkeypatch):
+    rows = [(i, _prose("a", i), "a") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sizes = {}
+    for module in (op6_quality, kneser_ney):
+        def counting(df, name, was=module.written):
+            table, path = was(df, name)
+            sizes[name] = max(sizes.get(name, 0), table.count())
+            return table, path
+        monkeypatch.setattr(module, "written", counting)
+    judged, _ = op6_quality.scores(docs)
+    assert judged.count() == 120 and sizes["op6-tokens"] and max(sizes.values()) < 500
+    grams = op6_quality.count_grams(docs.select(F.lit(7).cast("long").alias("m"), "text")).count()
+    assert grams > 1000
+
+
+def test_quality_packed_arrays(spark):
+    arrays = [np.array([], np.uint32), np.arange(300, dtype=np.uint64) << np.uint64(55), np.array([0.5, -3.25]),
+              np.array([-1, 2**62]), np.array([0, 0, 1], np.uint8), np.array([70000], np.uint32)]
+    for a, b in zip(arrays, kneser_ney.unpacked(kneser_ney.packed(*arrays)), strict=True):
+        assert a.dtype == b.dtype and a.tolist() == b.tolist()
+
+
 def test_quality_order_of_words_counts(spark):
     rows = [(i, _prose("a", i, i >= 200), "a") for i in range(205)]
     got = {r.doc_id: r for r in op6_quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
