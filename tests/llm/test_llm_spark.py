@@ -442,9 +442,9 @@ def test_quality_scores_of_dealt_words_equal_the_whole_model(spark):
             assert got[at] == pytest.approx(pair, rel=1e-5)
 
 
-def test_quality_hands_on_no_row_per_trigram(spark, monkeypatch):
-    rows = [(i, _prose("a", i), "a") for i in range(120)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+@pytest.fixture
+def handed_on(monkeypatch):
+    """Most rows of each table that the quality rules hand on, by name."""
     sizes = {}
     for module in (op6_quality, kneser_ney):
         def counting(df, name, was=module.written):
@@ -452,12 +452,23 @@ def test_quality_hands_on_no_row_per_trigram(spark, monkeypatch):
             sizes[name] = max(sizes.get(name, 0), table.count())
             return table, path
         monkeypatch.setattr(module, "written", counting)
+    return sizes
+
+
+def test_quality_hands_on_no_row_per_trigram(spark, handed_on):
+    docs = spark.createDataFrame([(i, _prose("a", i), "a") for i in range(120)], "doc_id long, text string, lang string")
     judged, _ = op6_quality.scores(docs)
-    assert judged.count() == 120 and sizes["op6-tokens"] and max(sizes.values()) < 500
+    assert judged.count() == 120 and handed_on["op6-tokens"] and max(handed_on.values()) < 500
     grams = op6_quality.count_grams(docs.select(F.lit(7).cast("long").alias("m"), "text")).count()
     assert grams > 1000
 
 
+def test_pipeline_quality_hands_on_no_row_per_trigram(spark, handed_on):
+    docs = spark.createDataFrame([(i, _prose("a", i), "a") for i in range(120)], "doc_id long, text string, lang string")
+    assert corpus_pipeline.quality(spark, docs, "").count() > 100
+    assert handed_on["op6-tokens"] and max(handed_on.values()) < 500
+
+
 def test_quality_packed_arrays(spark):
     arrays = [np.array([], np.uint32), np.arange(300, dtype=np.uint64) << np.uint64(55), np.array([0.5, -3.25]),
               np.array([-1, 2**62]), np.array([0, 0, 1], np.uint8), np.array([70000], np.uint32)]
